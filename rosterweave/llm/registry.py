@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import exact_dedup, line_dedup, source_mix
+from rosterweave.llm import bpe, exact_dedup, line_dedup, simhash, source_mix
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op4_simhash": simhash.op4_simhash,
         "op5_source_mix": source_mix.op5_source_mix,
+        "op7_bpe": bpe.op7_bpe,
     }
 
 
