@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterweave.llm.common import ship
+
 MAX_NODES = 300_000
 
 #: How byte-level files cut texts into words.
@@ -191,6 +193,7 @@ def default_path() -> str:
 
 def encoded(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", path: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row; with_ids adds the ids and the decoded text themselves."""
+    ship(docs.sparkSession)
     # The driver alone reads the file; its size bounds the broadcast.
     shipped = docs.sparkSession.sparkContext.broadcast(Path(path or default_path()).read_text(encoding="utf-8"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")

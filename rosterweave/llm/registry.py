@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import bpe, exact_dedup, line_dedup, simhash, source_mix
+from rosterweave.llm import bpe, exact_dedup, langid, line_dedup, quality_classifier, quality_rules, simhash, source_mix
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": langid.op1_language_id,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_simhash": simhash.op4_simhash,
         "op5_source_mix": source_mix.op5_source_mix,
+        "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_bpe": bpe.op7_bpe,
+        "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     }
 
 

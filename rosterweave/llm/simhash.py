@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import salted_left_join, shared_dir, without_rows, written
+from rosterweave.llm.common import salted_left_join, shared_dir, ship, without_rows, written
 from rosterweave.llm.components import components
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
@@ -57,6 +57,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp: the fingerprint as a signed long."""
 
+    ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
