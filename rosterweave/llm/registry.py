@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import bpe, exact_dedup, langid, line_dedup, quality_classifier, quality_rules, simhash, source_mix
+from rosterweave.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,7 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_source_mix": source_mix.op5_source_mix,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_bpe": bpe.op7_bpe,
+        "op8_lm_scoring": lm_scoring.op8_lm_scoring,
         "op9_quality_classifier": quality_classifier.op9_quality_classifier,
+        "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     }
 
 
