@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.llm.common import ship
 
-MAX_NODES = 300_000
+MAX_NODES = 1_000_000
 
 #: How byte-level files cut texts into words.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -54,6 +54,8 @@ class TrieBpe:
             self.bytes_of[vocab[t]] = b
         for t, i in self.special.items():
             self.bytes_of[i] = t.encode()
+        self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
+        self.sizes = [len(b) for b in self.bytes_of]
         # rank of a merge; bytes have rank -1 and no parts
         self.rank, self.parts, self.merge = [-1] * size, [None] * size, {}
         for rank, m in enumerate(model["merges"]):
@@ -76,8 +78,6 @@ class TrieBpe:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether a and b stay apart when they stand side by side: undo their merges, latest first; no pair that meets at the border may have a merge that comes before the one just undone."""
-        if (known := self.fits_memo.get((a, b))) is not None:
-            return known
         left, right, undone, after = a, b, len(self.merge) + 1, False
         while True:
             found = self.merge.get((left, right))
@@ -114,45 +114,51 @@ class TrieBpe:
         return known
 
     def _learn(self, words: set[str]) -> None:
-        """Put words into the trie, spread last tokens to the new nodes, read the encodings."""
-        child, last, ids = self.child, self.last, self.ids
-        ends, fresh = [], []
-        for word in words:
-            node, new_from = 0, -1
-            spelled = word.encode()
-            for i, byte in enumerate(spelled):
-                key = node << 8 | byte
-                if (to := child.get(key)) is None:
-                    to = child[key] = len(last)
-                    last.append(-1)
-                    if new_from < 0:
-                        new_from = i
-                node = to
-            ends.append((word, spelled))
-            if new_from >= 0:
-                fresh.append(spelled)
-        # Depth first: in sorted order each path shares with the one before it what it has in common, and those nodes are done.
-        for spelled in sorted(fresh):
-            node, path = 0, [-1]
-            for depth in range(1, len(spelled) + 1):
-                node = child[node << 8 | spelled[depth - 1]]
-                if last[node] < 0:
-                    for length in range(min(depth, self.longest), 0, -1):
-                        token = ids.get(spelled[depth - length : depth])
-                        if token is not None and self.whole(token) and (length == depth or self.fits(path[depth - length], token)):
-                            last[node] = token
-                            break
+        """Put words into the trie, spread last tokens to the new nodes, read the encodings.
+
+        Words in sorted order walk the trie depth first: each goes on from the prefix that it shares with the one before it."""
+        child, last, known, packed, sizes = self.child, self.last, self.known, self.packed, self.sizes
+        nodes, path, before = [0], [-1], b""
+        for spelled in sorted(map(str.encode, words)):
+            shared, most = 0, min(len(spelled), len(before))
+            while shared < most and spelled[shared] == before[shared]:
+                shared += 1
+            del nodes[shared + 1 :], path[shared + 1 :]
+            node = nodes[shared]
+            for depth in range(shared + 1, len(spelled) + 1):
+                key = node << 8 | spelled[depth - 1]
+                node = child.get(key, -1)
+                if node < 0:
+                    node = child[key] = len(last)
+                    last.append(self._last_token(spelled, depth, path))
+                nodes.append(node)
                 path.append(last[node])
-        for word, spelled in ends:
-            node, path = 0, [-1]
-            for byte in spelled:
-                node = child[node << 8 | byte]
-                path.append(last[node])
-            out, depth = [], len(spelled)
+            before, out, depth = spelled, [], len(spelled)
             while depth:
-                out.append(path[depth])
-                depth -= len(self.bytes_of[path[depth]])
-            self.known[word] = np.array(out[::-1], dtype="<u4").tobytes()
+                token = path[depth]
+                out.append(packed[token])
+                depth -= sizes[token]
+            out.reverse()
+            known[spelled.decode()] = b"".join(out)
+
+    def _last_token(self, spelled: bytes, depth: int, path: list[int]) -> int:
+        """The one token that ends the prefix of `depth` bytes and fits the last token of what stands before it."""
+        ids, memo = self.ids, self.fits_memo
+        # what the prefix one byte shorter ends with often just grows, so its length and one more comes first
+        likely = self.sizes[path[depth - 1]] + 1 if depth > 1 else 1
+        for length in (likely, *range(min(depth, self.longest), 0, -1)):
+            token = ids.get(spelled[depth - length : depth])
+            if token is None or not self.whole(token):
+                continue
+            if length == depth:
+                return token
+            pair = (path[depth - length], token)
+            fits = memo.get(pair)
+            if fits is None:
+                fits = self.fits(*pair)
+            if fits:
+                return token
+        raise ValueError("the vocabulary lacks a byte")
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
