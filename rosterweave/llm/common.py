@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,24 +32,6 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application, so that operators with Python code run wherever the driver was started."""
-    if (app := spark.sparkContext.applicationId) in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = tempfile.mkdtemp(prefix="rosterweave-")  # on the driver, which serves the file as long as it lives
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    file = f"{folder}/{root.name}-{app}.zip"
-    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
-        for source in sorted(root.rglob("*.py")):
-            z.write(source, source.relative_to(root.parent))
-    spark.sparkContext.addPyFile(file)
-    _shipped.add(app)
-
-
 def forget(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder."""
     jvm = spark.sparkContext._jvm
@@ -80,8 +59,8 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def salted_left_join(facts: DataFrame, dims: DataFrame, keys: list[str], weight: str, total: int, salt_by: Column) -> DataFrame:
-    """facts left join dims on keys, where dims has one row a key and `weight` is the number of rows of facts with that key.
+def salted_join(facts: DataFrame, dims: DataFrame, keys: list[str], weight: str, total: int, salt_by: Column, how: str = "left") -> DataFrame:
+    """facts joined with dims on keys, where dims has one row a key and `weight` is the number of rows of facts with that key.
 
     Keys with over total / HOT_SHARE rows are dealt over HOT_SALTS partitions: their dims rows are copied once a salt, and the
     facts of those keys take the salt of `salt_by`. At most HOT_SHARE keys can be hot, which bounds the broadcast list.
@@ -90,7 +69,7 @@ def salted_left_join(facts: DataFrame, dims: DataFrame, keys: list[str], weight:
     hot = dims.filter(F.col(weight) > hot_from).select(*keys, F.lit(True).alias("_hot"))
     facts = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt_by, F.lit(HOT_SALTS)).cast("int")).otherwise(F.lit(0))).drop("_hot")
     salts = F.when(F.col(weight) > hot_from, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return facts.join(dims.withColumn("_salt", F.explode(salts)), [*keys, "_salt"], "left").drop("_salt")
+    return facts.join(dims.withColumn("_salt", F.explode(salts)), [*keys, "_salt"], how).drop("_salt")
 
 
 #: Keys of rows to drop are broadcast up to this many; beyond it they are shuffled.

@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import SPACE_CLASS, salted_left_join, shared_dir, without_rows, written
+from rosterweave.llm.common import SPACE_CLASS, salted_join, shared_dir, without_rows, written
 
 #: The directory has at most 2 ** MAX_DEPTH entries, which bounds what reaches the driver.
 MAX_DEPTH = 14
@@ -86,7 +86,7 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     )
     index = written(index.repartitionByRange("bucket", "h64").sortWithinPartitions("bucket", "h64"), folder, "index")
 
-    found = salted_left_join(entries, index.drop("bucket"), ["h64", "text_sha256"], "group_size", total, F.xxhash64("doc_id"))
+    found = salted_join(entries, index.drop("bucket"), ["h64", "text_sha256"], "group_size", total, F.xxhash64("doc_id"))
     keep = F.when(F.col("keep") != _TOP, F.col("keep")).otherwise(F.when(F.col("group_size").isNull(), F.col("doc_id")))
     return found.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import SPACE_CHARS, ascii_lower, salted_left_join, shared_dir, written
+from rosterweave.llm.common import SPACE_CHARS, ascii_lower, salted_join, shared_dir, written
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 20, 3, 4, 2
 _LEAST = -(2**63)
@@ -82,7 +82,7 @@ def repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
         runs.add(once.groupBy("key").agg(F.sum("n").alias("n"), F.max("doc_id").alias("holder")))
     drop = written(runs.merged(runs.rows()).filter(F.col("n") >= min_docs), folder, "drop")
     total = lines.count()
-    found = salted_left_join(lines.drop("batch"), drop, ["key"], "n", total, F.xxhash64("doc_id"))
+    found = salted_join(lines.drop("batch"), drop, ["key"], "n", total, F.xxhash64("doc_id"))
     return found.filter(F.col("holder") != F.col("doc_id")).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drops"))
 
 

@@ -28,8 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import salted_left_join, shared_dir, ship, without_rows, written
+from rosterweave.llm.common import salted_join, shared_dir, without_rows, written
 from rosterweave.llm.components import components
+from rosterweave.shipping import ship
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
@@ -180,9 +181,9 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     rooted = written(rooted, folder, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("fps"))
     n_classes = rooted.count()
-    of_class = salted_left_join(rooted, named, ["root"], "fps", n_classes, F.col("fp")).select("fp", "n", "component_id")
+    of_class = salted_join(rooted, named, ["root"], "fps", n_classes, F.col("fp")).select("fp", "n", "component_id")
     total = marks.count()
-    return salted_left_join(marks, of_class, ["fp"], "n", total, F.xxhash64("doc_id")).select("doc_id", "fp", "component_id")
+    return salted_join(marks, of_class, ["fp"], "n", total, F.xxhash64("doc_id")).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:

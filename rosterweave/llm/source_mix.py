@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import WORD_PATTERN, salted_left_join, shared_dir, written
+from rosterweave.llm.common import WORD_PATTERN, salted_join, shared_dir, written
 
 WEIGHTS, MOST, SEED = (1, 2, 3), 3, "mix"
 _COIN_DIGITS = 13  # hexadecimal, 52 bits: exact in a double
@@ -68,7 +68,7 @@ def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", i
     if targets.count() <= SOURCES_BROADCAST:
         found = keyed.join(F.broadcast(targets), ["_source", "_last"], "left")
     else:
-        found = salted_left_join(keyed, targets, ["_source", "_last"], "n_docs", total, F.xxhash64(id_col))
+        found = salted_join(keyed, targets, ["_source", "_last"], "n_docs", total, F.xxhash64(id_col))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + F.when(coin(id_col, seed) < rate - F.floor(rate), 1).otherwise(0)
     return found.withColumn("copies", copies.cast("long")).drop("_source", "_last", "n_docs")

@@ -2,19 +2,21 @@
 
 A text is cut into sentences, each with the white space after it, so that joining them gives the text again. A sentence of over
 LONG words is cut further after words that a hash picks, which does not depend on where the sentence began. From every sentence a
-span runs over SENTENCES sentences or more, until it has MIN_WORDS words. Spans are compared everywhere by a 128-bit hash of their
+span runs over SENTENCES sentences or more, until it has MIN_WORDS words. Spans are compared everywhere by 96 bits of a hash of their
 words in lower case. Of the spans that are equal, the first (smallest doc_id, then position) stays; every sentence that any other
 of them covers is removed.
 
+Two shuffles move spans, so their rows are kept small: a key, a doc_id, two positions. Whether a span repeats one before it in its
+own document is settled before the shuffle; so the smallest doc_id of a key, a plain aggregate, decides the rest.
+
 Null and empty texts have no sentences and stay empty. Rows that repeat both doc_id and text are the same document and get the same
-result. A null doc_id ranks below all others. An empty table gives an empty result.
+result; rows that share a doc_id alone rank alike. A null doc_id ranks below all others. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from decimal import Decimal
 from itertools import accumulate
 
 import numpy as np
@@ -24,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import salted_left_join, shared_dir, ship, written
+from rosterweave.llm.common import salted_join, shared_dir, written
+from rosterweave.shipping import ship
 
 SENTENCES, MIN_WORDS, LONG, CUT = 3, 20, 12, 6
 _LEAST = -(2**63)
@@ -50,59 +53,62 @@ def sentences(text: str | None) -> list[str]:
     return out
 
 
-def spans(parts: list[str]) -> list[tuple[int, int, bytes]]:
-    """(first sentence, last sentence, hash) of the span from each sentence that has one. Sentences without words are passed over."""
+def spans(parts: list[str]) -> list[tuple[int, int, int, int, bool]]:
+    """(first sentence, last sentence, 64 bits of the hash, 32 more, whether the text had this span before) of the span from each sentence that has one. Sentences without words are passed over."""
     words = [p.lower().split() for p in parts]
     used = [i for i, w in enumerate(words) if w]
     sizes = [0, *accumulate(len(words[i]) for i in used)]
     keys = [" ".join(words[i]) for i in used]
-    out, e = [], 0
+    out, e, seen = [], 0, set()
     for s in range(len(used) - SENTENCES + 1):
         e = max(e, s + SENTENCES)
         while e < len(used) and sizes[e] - sizes[s] < MIN_WORDS:
             e += 1
         if sizes[e] - sizes[s] < MIN_WORDS:
             break
-        out.append((used[s], used[e - 1], xxhash.xxh128_digest(" ".join(keys[s:e]).encode("utf-8", "surrogatepass"))))
+        h = xxhash.xxh128_intdigest(" ".join(keys[s:e]).encode("utf-8", "surrogatepass"))
+        out.append((used[s], used[e - 1], (h & (2**64 - 1)) - 2**63, (h >> 96) - 2**31, h in seen))
+        seen.add(h)
     return out
 
 
-def span_table(docs: DataFrame, folder: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, text_hash, first, last, key of every span of every document."""
+def span_table(docs: DataFrame, folder: str, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, bool]:
+    """doc_id, text_hash, first, last, again, key, more of every span of every document; whether doc_ids are unique (text_hash is 0 then, which costs the shuffles nothing)."""
     ship(docs.sparkSession)
-    names = ["doc_id", "text_hash", "first", "last", "key"]
+    names = ["doc_id", "text_hash", "first", "last", "key", "more", "again"]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes, texts = (batch.column(k) for k in range(3))
             found = [spans(sentences(texts[i].as_py())) for i in range(batch.num_rows)]
             of = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found]))
-            flat = [x for f in found for x in f]
-            yield pa.RecordBatch.from_arrays([ids.take(of), hashes.take(of), pa.array([x[0] for x in flat], pa.int32()), pa.array([x[1] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.binary())], names=names)
+            columns = list(zip(*(x for f in found for x in f), strict=True)) or [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([ids.take(of), hashes.take(of), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=names)
 
+    unique = docs.groupBy(id_col).count().filter("count > 1").limit(1).count() == 0
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return written(rows.mapInArrow(run, "doc_id long, text_hash long, first int, last int, key binary"), folder, "spans")
+    rows = rows.select("doc_id", (F.lit(0).cast("long") if unique else F.xxhash64("text")).alias("text_hash"), "text")
+    return written(rows.mapInArrow(run, "doc_id long, text_hash long, first int, last int, key long, more int, again boolean"), folder, "spans"), unique
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, text_hash, firsts, lasts: for each document with spans that are not the first of their kind, where these begin and end."""
+def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, bool]:
+    """doc_id, text_hash, firsts, lasts: for each document with spans that are not the first of their kind, where these begin and end; whether doc_ids are unique."""
     folder = shared_dir(docs.sparkSession)
-    table = span_table(docs, folder, text_col, id_col)
-    # place in one number, so that the aggregate hashes and combines before the shuffle
-    place = F.col("doc_id").cast("decimal(20,0)") * F.lit(Decimal(2**31)) + F.col("first")
-    place = place.cast("decimal(38,0)")
-    first = table.groupBy("key").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    table, unique = span_table(docs, folder, text_col, id_col)
+    first = table.groupBy("key", "more").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = written(first, folder, "repeated")
-    found = salted_left_join(table, first, ["key"], "n", table.count(), F.xxhash64("doc_id", "first"))
-    return found.filter(F.col("place") != place).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")).select("doc_id", "text_hash", F.col("spans.first").alias("firsts"), F.col("spans.last").alias("lasts"))
+    found = salted_join(table, first, ["key", "more"], "n", table.count(), F.xxhash64("doc_id", "first"), how="inner")
+    gone = found.filter((F.col("first_doc") != F.col("doc_id")) | F.col("again"))
+    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")).select("doc_id", "text_hash", F.col("spans.first").alias("firsts"), F.col("spans.last").alias("lasts")), unique
 
 
 def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_sentences, n_removed, n_words_removed, kept_text for each row."""
-    gone = repeated_spans(docs, text_col, id_col).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    gone, unique = repeated_spans(docs, text_col, id_col)
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = rows.join(gone, (F.coalesce("doc_id", F.lit(_LEAST)) == gone["_id"]) & (F.xxhash64("text") == gone["_hash"]), "left").select("doc_id", "text", "firsts", "lasts")
+    found = rows.join(gone, (F.coalesce("doc_id", F.lit(_LEAST)) == gone["_id"]) & ((F.lit(0) if unique else F.xxhash64("text")) == gone["_hash"]), "left").select("doc_id", "text", "firsts", "lasts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
