@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterweave.functions import lists
-from rosterweave.functions.text import C, alternation, any_of, ascii_key, col, text, trim, unescape, without_invisible
+from rosterweave.functions.text import C, alternation, any_of, ascii_key, col, fold_letters, text, trim, unescape, without_invisible
 
 ADDRESS = r"(?i)([A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,})"
 NONE = "array<string>"
@@ -176,16 +176,14 @@ def strip_plus_digits(emails: C) -> Column:
     return F.array_distinct(F.filter(found, lambda e: e.rlike("^[^@]+@[^@]+$")))
 
 
-def related(a: C, b: C, letters: dict[str, str] | None = None, fold: bool = True, fold_fn=None) -> Column:
+def related(a: C, b: C, letters: dict[str, str] | None = None, fold: bool = True) -> Column:
     """EM7: whether two domains belong together: equal, one below the other, equal when folded, or first labels of three letters or more of which one holds the other."""
-    from rosterweave.functions.text import fold_marks
-
     x, y = F.lower(trim(a)), F.lower(trim(b))
 
     def folded(d: Column) -> Column:
         for k, v in (letters or {}).items():
             d = F.replace(d, F.lit(k), F.lit(v))
-        return F.replace((fold_fn or fold_marks)(d) if fold else d, F.lit("-"), F.lit(""))
+        return F.replace(fold_letters(d) if fold else d, F.lit("-"), F.lit(""))
 
     fx, fy = folded(x), folded(y)
     lx, ly = F.substring_index(fx, ".", 1), F.substring_index(fy, ".", 1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterweave.functions import emails, lists, urls
-from rosterweave.functions.text import C, alnum_key, any_of, ascii_key, col, distinct_filled, filled, first_filled, squeeze, text, trim, unescape, without_invisible
+from rosterweave.functions.text import C, alnum_key, any_of, ascii_key, col, distinct_filled, filled, first_filled, squeeze, text, trim, unescape, unescape_common, without_invisible
 
 _SIDES = r"^[ \t\r\n|/;,:：]+|[ \t\r\n|/;,:：]+$"
 _MATCHED = "[^0-9a-z가-힣\\x{4e00}-\\x{9fff}\\x{3040}-\\x{309f}\\x{30a0}-\\x{30ff}]+"
@@ -85,9 +85,9 @@ def sanitized(name: C, rep: C, email_values: C, phone: C, **options) -> Column:
 
 
 # persons (NA4-NA6)
-def person(value: C, company: C = None) -> Column:
+def person(value: C, company: C = None, decode: bool = True) -> Column:
     """NA4: a person's name without titles and roles, in title case; '' if it is none."""
-    t = squeeze(F.regexp_replace(unescape(value), _SIDES, ""))
+    t = squeeze(F.regexp_replace(unescape(value) if decode else text(value), _SIDES, ""))
     strip = lambda x: F.regexp_replace(x, _SIDES, "")
     t = strip(F.regexp_replace(t, lists.PERSON_PREFIX, ""))
     t = strip(F.regexp_replace(t, rf"(?i)\b(?:{lists.PERSON_ROLES})$", ""))
@@ -117,8 +117,8 @@ def title_case(name: C) -> Column:
 
 def merge_persons(first: C, second: C, company: C = None) -> Column:
     """NA5: names of both, split at ;, each once by letters, joined by ;."""
-    parts = F.concat(F.split(text(first), ";"), F.split(text(second), ";"))
-    named = F.filter(F.transform(parts, lambda p: person(p, company)), lambda p: p != "")
+    parts = F.concat(F.split(unescape_common(first), ";"), F.split(unescape_common(second), ";"))
+    named = F.filter(F.transform(parts, lambda p: person(p, company, decode=False)), lambda p: p != "")
     keys = F.transform(named, ascii_key)
     return F.array_join(F.filter(named, lambda p, i: F.array_position(keys, ascii_key(p)) == i + 1), ";")
 

@@ -92,6 +92,14 @@ def unescape(c: C) -> Column:
     return F.when(F.contains(t, F.lit("&")), _unescape(F.when(F.contains(t, F.lit("&")), t))).otherwise(t)
 
 
+def unescape_common(c: C) -> Column:
+    """The five commonest entities decoded without leaving the JVM. For use inside array functions."""
+    out = text(c)
+    for entity, char in (("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
+
+
 @F.pandas_udf(StringType())
 def _fold_marks(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else "".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch)))
@@ -104,6 +112,25 @@ def fold_marks(c: C) -> Column:
     return F.when(plain, t).otherwise(_fold_marks(F.when(~plain, t)))
 
 
+def _single_folds() -> tuple[str, str]:
+    """Letters of the basic plane that fold to one other character, and those characters."""
+    pairs = []
+    for n in range(0x80, 0x10000):
+        folded = "".join(ch for ch in unicodedata.normalize("NFKD", chr(n)) if not unicodedata.combining(ch))
+        if len(folded) == 1 and folded != chr(n):
+            pairs.append((chr(n), folded))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+_FOLDED, _FOLDS_TO = _single_folds()
+
+
+def fold_letters(c: C) -> Column:
+    """Accents and widths folded away without leaving the JVM; letters that fold to several (ligatures) stay. For use inside array functions."""
+    t = text(c)
+    return F.when(F.octet_length(t) == F.char_length(t), t).otherwise(F.translate(F.regexp_replace(t, r"\p{M}", ""), _FOLDED, _FOLDS_TO))
+
+
 def middle_cut(c: C, most: int, marker: str = "\n...\n") -> Column:
     """The first and last half of texts that are longer than `most`."""
     t = text(c)

@@ -383,10 +383,8 @@ def segment_split(spark, d):
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     r, n = F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))
     levels = [(r, F.lit("")), (n, r), (F.concat(n, "c_mktsegment"), n)]
-    facets = None
-    for scope, parent in levels:
-        one = c.groupBy(scope.alias("scope"), parent.alias("parent")).agg(F.count(F.lit(1)).alias("hits"))
-        facets = one if facets is None else facets.unionByName(one)
+    scopes = c.select(F.inline(F.array(*[F.struct(scope.alias("scope"), parent.alias("parent")) for scope, parent in levels])))
+    facets = scopes.groupBy("scope", "parent").agg(F.count(F.lit(1)).alias("hits"))
     return queues.segments(facets, 55, 3).select("scope", "hits", "level", "truncated")
 
 
