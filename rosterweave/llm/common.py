@@ -83,3 +83,17 @@ def without_rows(df: DataFrame, keys: DataFrame, made: dict[str, Column]) -> Dat
     same = [left[n].eqNullSafe(keys[k]) for n, k in zip(names, made, strict=True)]
     right = F.broadcast(keys) if keys.count() <= KEYS_BROADCAST else keys
     return left.join(right, same, "left_anti").drop(*names)
+
+
+#: A bitmap has at most 2 ** BITMAP_BITS bits, sent as 2 ** (BITMAP_BITS - 6) words of 64 at most.
+BITMAP_BITS = 27
+
+
+def possible(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
+    """rows whose key may be among the n keys (longs): all that are, and few others while the bitmap is sparse. For use before an exact join."""
+    bits = min(BITMAP_BITS, max(10, (16 * max(n, 1)).bit_length()))
+    at = F.col(key).bitwiseAND(F.lit(2**bits - 1).cast("long"))
+    word, bit = F.shiftrightunsigned(at, 6), at.bitwiseAND(F.lit(63).cast("long")).cast("int")
+    words = keys.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    hit = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    return rows.withColumn("_word", word).join(F.broadcast(words), "_word").filter(hit).drop("_word", "_bits")

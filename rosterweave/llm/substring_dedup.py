@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import salted_join, shared_dir, written
+from rosterweave.llm.common import possible, salted_join, shared_dir, written
 from rosterweave.shipping import ship
 
 SENTENCES, MIN_WORDS, LONG, CUT = 3, 20, 12, 6
+TEXTS = 1000  # texts whose spans are found at once
 _LEAST = -(2**63)
 _sentence = regex.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _word = regex.compile(r"\S+\s*|\s+")
@@ -53,38 +53,66 @@ def sentences(text: str | None) -> list[str]:
     return out
 
 
-def spans(parts: list[str]) -> list[tuple[int, int, int, int, bool]]:
-    """(first sentence, last sentence, 64 bits of the hash, 32 more, whether the text had this span before) of the span from each sentence that has one. Sentences without words are passed over."""
-    words = [p.lower().split() for p in parts]
-    used = [i for i, w in enumerate(words) if w]
-    sizes = [0, *accumulate(len(words[i]) for i in used)]
-    keys = [" ".join(words[i]) for i in used]
-    out, e, seen = [], 0, set()
-    for s in range(len(used) - SENTENCES + 1):
-        e = max(e, s + SENTENCES)
-        while e < len(used) and sizes[e] - sizes[s] < MIN_WORDS:
-            e += 1
-        if sizes[e] - sizes[s] < MIN_WORDS:
-            break
-        h = xxhash.xxh128_intdigest(" ".join(keys[s:e]).encode("utf-8", "surrogatepass"))
-        out.append((used[s], used[e - 1], (h & (2**64 - 1)) - 2**63, (h >> 96) - 2**31, h in seen))
-        seen.add(h)
-    return out
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)  # modulo 2 ** 64
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+#: Odd multipliers, and their inverses modulo 2 ** 64.
+_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_INVERSES = tuple(pow(b, -1, 2**64) for b in _BASES)
+
+
+def spans(texts: list[list[str]]) -> dict[str, np.ndarray]:
+    """For texts as lists of sentences: text (its number), first and last sentence, key (64 bits), more (32 bits), again (its text had the span before) of the span from each sentence that has one. Sentences without words are passed over.
+
+    A sentence is hashed once; a span's hash is a polynomial in the hashes of its sentences, which sums over prefixes give for all spans at once."""
+    of, at, sizes, hashes = [], [], [], []
+    for number, parts in enumerate(texts):
+        for i, part in enumerate(parts):
+            if words := part.lower().split():
+                of.append(number)
+                at.append(i)
+                sizes.append(len(words))
+                hashes.append(xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")))
+    of, at, h = np.array(of, dtype=np.int64), np.array(at, dtype=np.int32), np.array(hashes, dtype=np.uint64)
+    n = len(of)
+    words = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))]).astype(np.int64)
+    start = np.arange(n)
+    end = np.maximum(start + SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS))
+    fits = end <= np.searchsorted(of, of, side="right")
+    s, e = start[fits], end[fits]
+    found = []
+    for base, inverse, x in zip(_BASES, _INVERSES, (h, _mixed(h)), strict=True):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * _powers(base, n)[:n])])
+        found.append(_mixed((sums[e] - sums[s]) * _powers(inverse, n)[s]))
+    text, key, more = of[s], found[0].view(np.int64), (found[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    order = np.lexsort((s, more, key, text))
+    same = np.zeros(len(s), dtype=bool)
+    same[1:] = (np.diff(text[order]) == 0) & (np.diff(key[order]) == 0) & (np.diff(more[order]) == 0)
+    again = np.zeros(len(s), dtype=bool)
+    again[order] = same
+    return {"text": text, "first": at[s], "last": at[e - 1], "key": key, "more": more, "again": again}
 
 
 def span_table(docs: DataFrame, folder: str, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, bool]:
-    """doc_id, text_hash, first, last, again, key, more of every span of every document; whether doc_ids are unique (text_hash is 0 then, which costs the shuffles nothing)."""
+    """doc_id, text_hash, first, last, key, more, again of every span of every document; whether doc_ids are unique (text_hash is 0 then, which costs the shuffles nothing)."""
     ship(docs.sparkSession)
-    names = ["doc_id", "text_hash", "first", "last", "key", "more", "again"]
-    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
+    names = ["first", "last", "key", "more", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, hashes, texts = (batch.column(k) for k in range(3))
-            found = [spans(sentences(texts[i].as_py())) for i in range(batch.num_rows)]
-            of = pa.array(np.repeat(np.arange(batch.num_rows), [len(f) for f in found]))
-            columns = list(zip(*(x for f in found for x in f), strict=True)) or [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([ids.take(of), hashes.take(of), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=names)
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                found = spans([sentences(part.column(2)[i].as_py()) for i in range(part.num_rows)])
+                of = pa.array(found["text"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(1).take(of), *(pa.array(found[c]) for c in names)], names=["doc_id", "text_hash", *names])
 
     unique = docs.groupBy(id_col).count().filter("count > 1").limit(1).count() == 0
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -98,13 +126,15 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     table, unique = span_table(docs, folder, text_col, id_col)
     first = table.groupBy("key", "more").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = written(first, folder, "repeated")
-    found = salted_join(table, first, ["key", "more"], "n", table.count(), F.xxhash64("doc_id", "first"), how="inner")
+    # most spans occur once; a bitmap of bounded size keeps them out of the shuffle
+    likely = possible(table, first.select("key"), "key", first.count())
+    found = salted_join(likely, first, ["key", "more"], "n", table.count(), F.xxhash64("doc_id", "first"), how="inner")
     gone = found.filter((F.col("first_doc") != F.col("doc_id")) | F.col("again"))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")).select("doc_id", "text_hash", F.col("spans.first").alias("firsts"), F.col("spans.last").alias("lasts")), unique
 
 
 def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_sentences, n_removed, n_words_removed, kept_text for each row."""
+    """doc_id, n_removed, n_words_removed, kept_text for each row."""
     gone, unique = repeated_spans(docs, text_col, id_col)
     gone = gone.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -112,26 +142,24 @@ def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], []]
             for i in range(batch.num_rows):
-                text = batch.column(1)[i].as_py()
-                parts, firsts = sentences(text), batch.column(2)[i].as_py()
+                text, firsts, lost = batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), []
                 if firsts:
+                    parts = sentences(text)
                     edge = np.zeros(len(parts) + 1, dtype=np.int64)
                     np.add.at(edge, firsts, 1)
                     np.add.at(edge, np.array(batch.column(3)[i].as_py()) + 1, -1)
                     covered = np.cumsum(edge)[:-1] > 0
                     lost = [p for p, c in zip(parts, covered, strict=True) if c]
                     text = "".join(p for p, c in zip(parts, covered, strict=True) if not c)
-                else:
-                    lost = []
-                for column, value in zip(out, (len(parts), len(lost), sum(len(p.split()) for p in lost), text), strict=True):
+                for column, value in zip(out, (len(lost), sum(len(p.split()) for p in lost), text), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=["doc_id", "n_sentences", "n_removed", "n_words_removed", "kept_text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.string()), strict=True))], names=["doc_id", "n_removed", "n_words_removed", "kept_text"])
 
-    return found.mapInArrow(run, "doc_id long, n_sentences long, n_removed long, n_words_removed long, kept_text string")
+    return found.mapInArrow(run, "doc_id long, n_removed long, n_words_removed long, kept_text string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeated_spans(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_sentences", "n_removed", "n_words_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_removed", "n_words_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
