@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterweave.functions import emails, names
-from rosterweave.functions.text import C, col, filled, first_filled, number, squeeze, text, trim, unescape
+from rosterweave.functions.text import C, col, filled, first_filled, number, squeeze, text, trim, unescape, unescape_common
 
 _S = "string"
 
 
-def unmasked(c: C) -> Column:
+def unmasked(c: C, decode=unescape) -> Column:
     """Text squeezed; blank where only question marks and no letter or digit are left."""
-    t = squeeze(unescape(c))
+    t = squeeze(decode(c))
     return F.when(F.replace(t, F.lit("?"), F.lit("")).rlike(r"[\p{L}\p{N}]"), t).otherwise("")
 
 
@@ -58,7 +58,7 @@ def profile(payload: C) -> Column:
     """PA1: a profile as a struct. The representative is the key principal, else the first contact with a real name."""
     p = F.from_json(col(payload), PROFILE)
     cookie = p["header"]["companyNewHeaderParameter"]["companyInformationForCookie"]
-    real = F.filter(F.transform(F.coalesce(p["contacts"]["contacts"], F.array().cast("array<struct<name:string>>")), lambda x: unmasked(x["name"])), lambda n: (n != "") & ~F.startswith(F.lower(n), F.lit("contact ")))
+    real = F.filter(F.transform(F.coalesce(p["contacts"]["contacts"], F.array().cast("array<struct<name:string>>")), lambda x: unmasked(x["name"], unescape_common)), lambda n: (n != "") & ~F.startswith(F.lower(n), F.lit("contact ")))
     return F.struct(
         unmasked(first_filled(p["overview"]["primaryName"], p["header"]["companyName"], cookie["companyName"])).alias("company_name"),
         first_filled(unmasked(p["overview"]["keyPrincipal"]), F.get(real, F.lit(0))).alias("representative"),

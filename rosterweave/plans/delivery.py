@@ -40,6 +40,8 @@ class Delivery:
     search_back: bool = True
     #: write keys though nothing is new
     keys_without_delta: bool = False
+    #: keys of earlier days may have spaces around their parts
+    tidy_keys: bool = False
     email_options: dict = field(default_factory=dict)
 
 
@@ -61,7 +63,7 @@ COUNTRIES: dict[str, Delivery] = {
         Delivery("UnitedStates", _three, "best", sanitize=False),
         Delivery("Germany", _alnum),
         Delivery("UnitedArabEmirates", _alnum, gate=_site_done, sanitize=False),
-        Delivery("Japan", _four, "composite", gate=lambda: gates.three_fields(dash_is_blank=True)),
+        Delivery("Japan", _four, "composite", gate=lambda: gates.three_fields(dash_is_blank=True), tidy_keys=True),
     )
 }
 
@@ -106,7 +108,7 @@ def day(records: DataFrame, baseline: DataFrame, spec: Delivery) -> tuple[DataFr
 def deliver(spark: SparkSession, records: DataFrame, delivery: str, label: str, spec: Delivery) -> dict:
     """One day: checked, computed, written. Returns the summary."""
     number, before = queues.check_day(label, spec.country, [n for n in readers.Folder(spark, delivery).names(folders=True)])
-    baseline = readers.baseline_keys(spark, delivery, spec.country, before, search_back=spec.search_back).cache()
+    baseline = readers.baseline_keys(spark, delivery, spec.country, before, search_back=spec.search_back, tidy=spec.tidy_keys).cache()
     current, new = day(records, baseline, spec)
     current, new = current.cache(), new.cache()
     counts = {"baseline": baseline.count(), "total": current.count(), "delta": new.count()}

@@ -54,7 +54,8 @@ class Folder:
         out.close()
 
     def read_text(self, name: str) -> str:
-        return self.spark.read.option("wholetext", True).text(f"{self.path}/{name}").first()[0]
+        row = self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()
+        return row[0] if row else ""
 
 
 def jsonl_sites(spark: SparkSession, root: str, schema: str, candidates: tuple[str, ...] = CANDIDATES, skip: tuple[str, ...] = ("delivery",)) -> DataFrame | None:
@@ -121,8 +122,8 @@ def tidy_key(c: str) -> Column:
     return F.array_join(F.transform(F.split(F.lower(trim(c)), r"\|"), lambda p: F.trim(p)), "|")
 
 
-def baseline_keys(spark: SparkSession, delivery: str, country: str, day: int, site: str | None = None, search_back: bool = True) -> DataFrame:
-    """SC7, SC8: the keys of the last day that has some, going back from `day`; site files before country files, keys before CSV. With search_back off, of that day alone."""
+def baseline_keys(spark: SparkSession, delivery: str, country: str, day: int, site: str | None = None, search_back: bool = True, tidy: bool = False) -> DataFrame:
+    """SC7, SC8: the keys of the last day that has some, going back from `day`; site files before country files, keys before CSV. With search_back off, of that day alone; with tidy, key text is trimmed part by part."""
     from rosterweave.operators.queues import day_folder
 
     for n in range(day, 0, -1) if search_back else ([day] if day else []):
@@ -130,7 +131,8 @@ def baseline_keys(spark: SparkSession, delivery: str, country: str, day: int, si
         for stem in [s for s in (site, None) if s or s is None]:
             keys, csv = (f"{stem}.keys.txt", f"{stem}.csv") if stem else ("keys.txt", "companies.csv")
             if folder.has(keys):
-                return key_file(spark, f"{folder.path}/{keys}", upgrade=False).select(tidy_key("key").alias("key")).distinct()
+                found = key_file(spark, f"{folder.path}/{keys}", upgrade=False)
+                return found.select(tidy_key("key").alias("key")).distinct() if tidy else found
             if folder.has(csv):
                 return keys_of_csv(spark, f"{folder.path}/{csv}")
     return spark.createDataFrame([], "key string")
