@@ -5,7 +5,8 @@ last token of each prefix, exactly one token that ends the string fits what stan
 token, holds its whole encoding. The distinct words of a batch are put into a trie, and the last tokens spread depth first: a
 prefix that many words share is computed once. A word's encoding is then read backwards from its node.
 
-Trie and words are kept between batches of a task and dropped when they reach MAX_NODES, which bounds memory and changes no result.
+Trie, encoded words and checked pairs are kept between batches and dropped when they reach MAX_NODES, MAX_WORDS and MAX_PAIRS, which
+bounds memory and changes no result.
 Tokens marked special in the file are cut out of a text first, as the tokenizers library does. A null text is empty, with no tokens.
 Rows that repeat are encoded each time; a null doc_id passes through. An empty table gives an empty result.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.shipping import ship
 
-MAX_NODES = 1_000_000
+MAX_NODES, MAX_WORDS, MAX_PAIRS = 500_000, 400_000, 200_000
 
 #: How byte-level files cut texts into words.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -41,14 +43,14 @@ def byte_letters() -> dict[str, int]:
 class TrieBpe:
     """Encodes and decodes with one vocabulary file (the JSON text of a byte-level BPE tokenizer)."""
 
-    def __init__(self, file_text: str, max_nodes: int = MAX_NODES):
+    def __init__(self, file_text: str, max_nodes: int = MAX_NODES, max_words: int = MAX_WORDS):
         spec = json.loads(file_text)
         model, letters = spec["model"], byte_letters()
         vocab = model["vocab"]
         raw = {t: bytes(letters[c] for c in t) for t in vocab}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = 1 + max([*vocab.values(), *self.special.values()])
-        self.max_nodes, self.ids = max_nodes, {b: vocab[t] for t, b in raw.items()}
+        self.max_nodes, self.max_words, self.ids = max_nodes, max_words, {b: vocab[t] for t, b in raw.items()}
         self.bytes_of = np.full(size, b"", dtype=object)
         for t, b in raw.items():
             self.bytes_of[vocab[t]] = b
@@ -69,12 +71,12 @@ class TrieBpe:
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.fits_memo: dict[tuple[int, int], bool] = {}
         self.whole_memo: dict[int, bool] = {}
+        self.known: dict[str, bytes] = {}  # a word's ids as little-endian unsigned 32-bit integers
         self._clear()
 
     def _clear(self) -> None:
         self.child: dict[int, int] = {}  # node * 256 + byte: node
-        self.last: list[int] = [-1]  # a node's last token; the root has none
-        self.known: dict[str, bytes] = {}  # a word's ids as little-endian unsigned 32-bit integers
+        self.last = array("i", [-1])  # a node's last token; the root has none
 
     def fits(self, a: int, b: int) -> bool:
         """Whether a and b stay apart when they stand side by side: undo their merges, latest first; no pair that meets at the border may have a merge that comes before the one just undone."""
@@ -171,6 +173,10 @@ class TrieBpe:
         if new := set(words).difference(self.known):
             if len(self.last) > self.max_nodes:
                 self._clear()
+            if len(self.fits_memo) > MAX_PAIRS:
+                self.fits_memo.clear()
+            if len(self.known) > self.max_words:
+                self.known.clear()
                 new = set(words)
             self._learn(new)
         return b"".join(map(self.known.__getitem__, words))
