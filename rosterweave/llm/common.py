@@ -72,6 +72,11 @@ def salted_join(facts: DataFrame, dims: DataFrame, keys: list[str], weight: str,
     return facts.join(dims.withColumn("_salt", F.explode(salts)), [*keys, "_salt"], how).drop("_salt")
 
 
+def packed(docs: DataFrame, **named: Column | str) -> DataFrame:
+    """docs as one column `_row`, so that no name of its columns clashes with an operator's, beside the named columns."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *[(docs[c] if isinstance(c, str) else c).alias(n) for n, c in named.items()])
+
+
 #: Keys of rows to drop are broadcast up to this many; beyond it they are shuffled.
 KEYS_BROADCAST = 1_000_000
 

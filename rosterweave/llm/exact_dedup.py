@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import SPACE_CLASS, salted_join, shared_dir, without_rows, written
+from rosterweave.llm.common import SPACE_CLASS, packed, salted_join, shared_dir, without_rows, written
 
 #: The directory has at most 2 ** MAX_DEPTH entries, which bounds what reaches the driver.
 MAX_DEPTH = 14
@@ -60,7 +60,7 @@ def _leading(bits: int) -> Column:
 def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_code_points, bucket."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
     norm = rows.select("doc_id", F.length(F.coalesce("_text", F.lit(""))).cast("long").alias("n_code_points"), normalised(F.col("_text")).alias("norm"))
     entries = written(norm.select("doc_id", "n_code_points", F.xxhash64("norm").alias("h64"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), folder, "entries")
 
@@ -99,8 +99,9 @@ def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     marks = exact_duplicates(docs, text_col, id_col).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
     marks = written(marks, shared_dir(docs.sparkSession), "marks")
     repeated = marks.groupBy("_id", "_sha").count().filter("count > 1").limit(1).count() > 0
-    out = without_rows(docs, marks.filter("not kept").select("_id", "_sha").distinct(), {"_id": F.col(id_col).cast("long"), "_sha": F.sha2(normalised(F.col(text_col)).cast("binary"), 256)})
-    return out.dropDuplicates([id_col, text_col]) if repeated else out
+    rows = packed(docs, id=docs[id_col].cast("long"), text=docs[text_col].cast("string"))
+    out = without_rows(rows, marks.filter("not kept").select("_id", "_sha").distinct(), {"_id": F.col("id"), "_sha": F.sha2(normalised(F.col("text")).cast("binary"), 256)})
+    return (out.dropDuplicates(["id", "text"]) if repeated else out).select("_row.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

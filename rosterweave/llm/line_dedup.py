@@ -66,7 +66,7 @@ def lines_of(text: Column) -> Column:
 def repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """doc_id, text_hash, drops: for each document that loses lines, their positions from 0 in order."""
     folder = shared_dir(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     cuts = rows.agg(F.percentile_approx("doc_id", [(i + 1) / batches for i in range(batches - 1)], 1000).alias("cuts")).first()["cuts"] if batches > 1 else []
     number = sum((F.when(F.col("doc_id") <= c, 1).otherwise(0) for c in cuts or []), F.lit(0))  # falling doc_id: rising number
     exploded = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split(ascii_lower(F.col("text")), "\n", -1)).alias("pos", "line"))
@@ -87,11 +87,11 @@ def repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
 
 
 def without_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with n_lines, n_dropped, kept_text added."""
+    """doc_id, n_lines, n_dropped, kept_text for each row."""
     drops = repeated_lines(docs, text_col, id_col, **options).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.join(drops, (F.coalesce(docs[id_col].cast("long"), F.lit(_LEAST)) == drops["_id"]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == drops["_hash"]), "left")
-    lines, none = lines_of(F.col(text_col)), F.array().cast("array<int>")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    found = rows.join(drops, (F.coalesce(rows["doc_id"], F.lit(_LEAST)) == drops["_id"]) & (F.xxhash64(rows["text"]) == drops["_hash"]), "left")
+    text, lines, none = F.col("text"), lines_of(F.col("text")), F.array().cast("array<int>")
     gone = F.coalesce("drops", none)
     starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda p: p + 1))
     ends = F.concat(gone, F.array(F.size(lines)))
@@ -99,7 +99,7 @@ def without_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str
     return found.withColumns({
         "n_lines": F.size(lines).cast("long"), "n_dropped": F.size(gone).cast("long"),
         "kept_text": F.when(F.col("drops").isNull(), text).otherwise(F.array_join(F.flatten(runs), "\n")),
-    }).drop("_id", "_hash", "drops")
+    }).select("doc_id", "n_lines", "n_dropped", "kept_text")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

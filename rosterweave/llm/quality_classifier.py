@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from rosterweave.llm.common import packed
 from rosterweave.shipping import ship
 
 #: Labelled documents of each grade that the model is fitted on, by hash of doc_id; the bound of the sample.
 SAMPLE_PER_GRADE = 3000
 GRADES, BITS, LEAST = 3, 18, 0.5
-_CACHE = 200_000
+_CACHE = 100_000
 _AGAIN = "=="  # the kind of a word that repeats the one before it
-_ordinary = regex.compile(r"A?a?[.,;:!?]?")
 _lower, _upper, _digit = regex.compile(r"[\p{Ll}\p{Lo}\p{M}]+"), regex.compile(r"[\p{Lu}\p{Lt}]+"), regex.compile(r"\p{N}+")
 
 
@@ -53,10 +53,11 @@ class Features:
 
     def _word(self, word: str) -> tuple[tuple[int, ...], str]:
         if (known := self.words.get(word)) is None:
-            bare = word.lower().strip(".,;:!?\"'()[]|#*$%&<>-_")
+            low = word.lower()
+            bare = low.strip(".,;:!?\"'()[]|#*$%&<>-_")
             slots = (_slot("w", bare), _slot("4", bare[:4]), _slot("5", bare[:5])) if bare else ()
-            shape = _digit.sub("0", _upper.sub("A", _lower.sub("a", word)))[:12]
-            known = self.words[word] = (slots, shape)
+            plain = low.rstrip(".,;:!?").isalpha() and len(low) - len(bare) < 2 and (word == low or word[1:] == low[1:])
+            known = self.words[word] = (slots, "" if plain else _digit.sub("0", _upper.sub("A", _lower.sub("a", word)))[:12])
         return known
 
     def _shares(self, shape: str) -> list[int]:
@@ -76,11 +77,12 @@ class Features:
         for word, n in times.items():
             slots, shape = self._word(word)
             out.update(slots)
-            shapes[shape] += n
+            if shape:
+                shapes[shape] += n
         shapes[_AGAIN] = sum(map(eq, words, words[1:]))
         total = max(1, len(words))
         for shape, n in shapes.items():
-            if n and not _ordinary.fullmatch(shape):
+            if n:
                 out.update(self._shares(shape)[: (64 * n // total).bit_length() + 1])
         return np.fromiter(sorted(out), dtype=np.int32, count=len(out))
 
@@ -108,10 +110,12 @@ class Ordinal:
 def _descend(rows: list[np.ndarray], grades: np.ndarray, usable: np.ndarray, df: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """Accelerated proximal gradient steps over the usable slots; no weight is above 0."""
     n = len(rows)
-    flat, of = np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows])
+    flat, of = np.concatenate(rows), np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     use = usable[flat]
-    slots, flat = np.unique(flat[use], return_inverse=True)
-    of, m = of[use], len(slots)
+    slots = np.flatnonzero(usable & (df > 0))
+    place = np.zeros(1 << BITS, dtype=np.int32)
+    place[slots] = np.arange(len(slots))
+    flat, of, m = place[flat[use]], of[use], len(slots)
     share = df[slots] / n
     scale = 1 / np.sqrt(share * (1 - share) + 0.02)  # common and rare features move alike
     mean = share * scale
@@ -179,15 +183,17 @@ def fitted(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: s
     got = sorted(((r[0], bytes(r[1])) for r in sample.mapInArrow(run, "grade int, slots binary").collect()))
     if not got:
         return Ordinal(np.zeros(1 << BITS, dtype=np.float32), np.full(GRADES - 1, -30.0))
-    return Ordinal.fit([np.frombuffer(s, dtype=np.int32) for _, s in got], np.array([g for g, _ in got]))
+    grades, rows = np.array([g for g, _ in got]), [np.frombuffer(s, dtype=np.int32) for _, s in got]
+    del got
+    return Ordinal.fit(rows, grades)
 
 
-def scored(docs: DataFrame, model: Ordinal, text_col: str = "text", id_col: str = "doc_id", least: float = LEAST, keep_columns: bool = False) -> DataFrame:
-    """doc_id, expected_grade, tail_prob, kept for each row; with keep_columns, the columns of docs and these (prefixed by _) instead."""
-    ship(docs.sparkSession)
+def _scored(rows: DataFrame, model: Ordinal, least: float) -> DataFrame:
+    """rows: any columns, then the text. The text gives way to expected_grade, tail_prob, kept."""
+    ship(rows.sparkSession)
     # The model's size is fixed by BITS.
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-    at = len(docs.columns) if keep_columns else 1
+    shipped, at = rows.sparkSession.sparkContext.broadcast(model), len(rows.columns) - 1
+    names = [*rows.columns[:at], "expected_grade", "tail_prob", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, model = Features(), shipped.value
@@ -196,19 +202,19 @@ def scored(docs: DataFrame, model: Ordinal, text_col: str = "text", id_col: str
             made = [pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= least)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *made], names=names)
 
-    text = F.col(text_col).cast("string").alias("_text")
-    if keep_columns:
-        rows, names = docs.select(*docs.columns, text), [*docs.columns, "_expected_grade", "_tail_prob", "_kept"]
-        schema = StructType([*docs.schema.fields, StructField("_expected_grade", DoubleType()), StructField("_tail_prob", DoubleType()), StructField("_kept", BooleanType())])
-        return rows.mapInArrow(run, schema)
-    names = ["doc_id", "expected_grade", "tail_prob", "kept"]
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, expected_grade double, tail_prob double, kept boolean")
+    schema = StructType([*rows.schema.fields[:at], StructField("expected_grade", DoubleType()), StructField("tail_prob", DoubleType()), StructField("kept", BooleanType())])
+    return rows.mapInArrow(run, schema)
+
+
+def scored(docs: DataFrame, model: Ordinal, text_col: str = "text", id_col: str = "doc_id", least: float = LEAST) -> DataFrame:
+    """doc_id, expected_grade, tail_prob, kept for each row."""
+    return _scored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), model, least)
 
 
-def selected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of docs that the model keeps, with their columns. The model learns from the labels that docs' own rows have."""
-    model = fitted(docs, labels)
-    return scored(docs, model, keep_columns=True, **options).filter("_kept").select(*docs.columns)
+def selected(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", least: float = LEAST) -> DataFrame:
+    """The rows of docs that the model keeps, with their columns. The model learns from the labels of these rows."""
+    model = fitted(docs, labels, text_col, id_col)
+    return _scored(packed(docs, text=docs[text_col].cast("string")), model, least).filter("kept").select("_row.*")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

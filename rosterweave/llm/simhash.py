@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import salted_join, shared_dir, without_rows, written
+from rosterweave.llm.common import packed, salted_join, shared_dir, without_rows, written
 from rosterweave.llm.components import components
 from rosterweave.shipping import ship
 
@@ -191,8 +191,8 @@ def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     marks = written(near_duplicates(docs, text_col, id_col, **options), shared_dir(docs.sparkSession), "marks")
     drop = marks.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     repeated = marks.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    out = without_rows(docs, drop, {"_id": F.col(id_col).cast("long")})
-    return out.dropDuplicates([id_col]) if repeated else out
+    out = without_rows(packed(docs, id=docs[id_col].cast("long")), drop, {"_id": F.col("id")})
+    return (out.dropDuplicates(["id"]) if repeated else out).select("_row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import WORD_PATTERN, salted_join, shared_dir, written
+from rosterweave.llm.common import WORD_PATTERN, packed, salted_join, shared_dir, written
 
 WEIGHTS, MOST, SEED = (1, 2, 3), 3, "mix"
 _COIN_DIGITS = 13  # hexadecimal, 52 bits: exact in a double
@@ -58,30 +58,39 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return sources.withColumn("target", target), sums["docs"] or 0
 
 
-def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """docs with size, source_size, target and copies: how many times the mix takes the document."""
-    taken_names = {"size": F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")}
-    measured = written(docs.select(F.col(source_col).alias("source"), taken_names["size"].alias("size")), shared_dir(docs.sparkSession), "sizes")
+#: Targets are broadcast up to this many sources; beyond it they are joined by a shuffle that salts the hot ones.
+SOURCES_BROADCAST = 50_000
+
+
+def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
+    """rows: doc_id, text, source and others. Adds size, source_size, target, copies; text and source go."""
+    rows = rows.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")).drop("text")
+    measured = written(rows.select("source", "size"), shared_dir(rows.sparkSession), "sizes")
     targets, total = source_targets(measured, weights, most)
     targets = targets.select(F.coalesce("source", F.lit("")).alias("_source"), F.col("last").alias("_last"), "n_docs", "source_size", "target")
-    keyed = docs.withColumns({"size": taken_names["size"], "_source": F.coalesce(F.col(source_col), F.lit("")), "_last": F.col(source_col).isNull()})
+    keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_last": F.col("source").isNull()}).drop("source")
     if targets.count() <= SOURCES_BROADCAST:
         found = keyed.join(F.broadcast(targets), ["_source", "_last"], "left")
     else:
-        found = salted_join(keyed, targets, ["_source", "_last"], "n_docs", total, F.xxhash64(id_col))
+        found = salted_join(keyed, targets, ["_source", "_last"], "n_docs", total, F.xxhash64("doc_id"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(coin(id_col, seed) < rate - F.floor(rate), 1).otherwise(0)
+    copies = F.floor(rate) + F.when(coin("doc_id", seed) < rate - F.floor(rate), 1).otherwise(0)
     return found.withColumn("copies", copies.cast("long")).drop("_source", "_last", "n_docs")
 
 
-#: Targets are broadcast up to this many sources; beyond it they are joined by a shuffle that salts the hot ones.
-SOURCES_BROADCAST = 50_000
+def _named(docs: DataFrame, text_col: str, source_col: str, id_col: str) -> dict[str, Column]:
+    return {"doc_id": docs[id_col].cast("long"), "text": docs[text_col].cast("string"), "source": docs[source_col].cast("string")}
+
+
+def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, copies (how many times the mix takes the document) for each row."""
+    return _mixed(docs.select(*[c.alias(n) for n, c in _named(docs, text_col, source_col, id_col).items()]), weights, most, seed)
 
 
-def emitted(docs: DataFrame, **options) -> DataFrame:
+def emitted(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, with the columns of docs."""
-    copies = F.sequence(F.lit(1), F.col("copies"))
-    return mixed(docs, **options).filter("copies > 0").withColumn("_copy", F.explode(copies)).select(*docs.columns)
+    found = _mixed(packed(docs, **_named(docs, text_col, source_col, id_col)), weights, most, seed)
+    return found.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
