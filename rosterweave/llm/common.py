@@ -24,7 +24,7 @@ _made: list[tuple[SparkSession, str]] = []
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and every executor reach: below spark.checkpoint.dir, or below the local temp folder where that is unset (tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{tempfile.gettempdir()}/rosterweave-checkpoints"
     path = f"{base.rstrip('/')}/rosterweave-{uuid.uuid4().hex}"
