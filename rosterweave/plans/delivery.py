@@ -49,7 +49,6 @@ _lower = lambda: names.key_lower("company_name")
 _alnum = lambda: names.key_alnum("company_name")
 _three = lambda: names.key_three("company_name", "representative", "website")
 _four = lambda: names.key_four("company_name", "representative", "website", "address")
-_site_done = lambda: trim("company_name") != ""
 
 #: UX2: the registry. A new country is a new row.
 COUNTRIES: dict[str, Delivery] = {
@@ -62,7 +61,7 @@ COUNTRIES: dict[str, Delivery] = {
         Delivery("Brazil", _three, "best", sanitize=False),
         Delivery("UnitedStates", _three, "best", sanitize=False),
         Delivery("Germany", _alnum),
-        Delivery("UnitedArabEmirates", _alnum, gate=_site_done, sanitize=False),
+        Delivery("UnitedArabEmirates", _alnum, gate=lambda: trim("company_name") != "", sanitize=False),
         Delivery("Japan", _four, "composite", gate=lambda: gates.three_fields(dash_is_blank=True), tidy_keys=True),
     )
 }
@@ -111,18 +110,56 @@ def deliver(spark: SparkSession, records: DataFrame, delivery: str, label: str,
     baseline = readers.baseline_keys(spark, delivery, spec.country, before, search_back=spec.search_back, tidy=spec.tidy_keys).cache()
     current, new = day(records, baseline, spec)
     current, new = current.cache(), new.cache()
-    counts = {"baseline": baseline.count(), "total": current.count(), "delta": new.count()}
     folder = sinks.prepared(spark, delivery, queues.day_folder(spec.country, number))
-    if counts["delta"]:
-        sinks.delta_csv(new, folder, "companies.csv", COLUMNS, bom=True)
-    if counts["delta"] or spec.keys_without_delta:
-        sinks.key_file(baseline, current, folder, policy=spec.key_policy)
-    out = sinks.summary(folder, country=spec.country, day=number, baseline_day=before, **counts)
+    total, n = _write(folder, "companies", "keys.txt", baseline, current, new, spec)
+    out = sinks.summary(folder, country=spec.country, day=number, baseline_day=before, delta_companies=n, total_current_companies=total)
     for df in (baseline, current, new):
         df.unpersist()
     return out
 
 
+def _write(folder: readers.Folder, stem: str, keys: str, baseline: DataFrame, current: DataFrame, new: DataFrame, spec: Delivery) -> tuple[int, int]:
+    """SK8: without a delta there is no CSV, and keys only where the country always writes them. Returns (records, new ones)."""
+    total, n = current.count(), new.count()
+    if n:
+        sinks.delta_csv(new, folder, f"{stem}.csv", COLUMNS, bom=True)
+    if n or spec.keys_without_delta:
+        sinks.key_file(baseline, current, folder, keys, policy=spec.key_policy)
+    if not n:
+        sinks.cleared(folder, f"{stem}.csv", *([] if spec.keys_without_delta else [keys]))
+    return total, n
+
+
+def deliver_sites(spark: SparkSession, sites: dict[str, DataFrame], delivery: str, label: str, spec: Delivery, only: str | None = None, keep: bool = False, summary_only: bool = False) -> dict:
+    """One day, site by site: each with its own CSV, keys and baseline; sites are a few dozen, their records are not.
+
+    only: FP4, a list of sites. keep: files of other sites of the day stay (else the folder is new). summary_only: nothing is computed, the
+    summary is made from the files there are (SK3)."""
+    number, before = queues.check_day(label, spec.country, readers.Folder(spark, delivery).names(folders=True))
+    folder = sinks.prepared(spark, delivery, queues.day_folder(spec.country, number), keep=keep or summary_only)
+    wanted = {x.strip().lower() for x in (only or "").replace(";", ",").split(",") if x.strip()}
+    stats, skipped = {}, []
+    for site in sorted(sites) if not summary_only else []:
+        if wanted and site.lower() not in wanted:
+            continue
+        baseline = readers.baseline_keys(spark, delivery, spec.country, before, site, spec.search_back, spec.tidy_keys).cache()
+        current, new = (df.cache() for df in day(sites[site], baseline, spec))
+        total, n = _write(folder, site, f"{site}.keys.txt", baseline, current, new, spec)
+        stats[site] = {"qualified_current": total, "delta": n}
+        if not n:
+            skipped.append(site)
+        for df in (baseline, current, new):
+            df.unpersist()
+    for site in sorted({n.removesuffix(".keys.txt").removesuffix(".csv") for n in folder.names(folders=False) if n.endswith((".csv", ".keys.txt")) and not n.startswith(".")} - stats.keys()):
+        csv, keys = (f"{folder.path}/{site}{end}" for end in (".csv", ".keys.txt"))
+        stats[site] = {
+            "qualified_current": spark.read.text(keys).filter(trim("value") != "").count() if folder.has(f"{site}.keys.txt") else 0,
+            "delta": spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(csv).count() if folder.has(f"{site}.csv") else 0,
+        }
+    sums = {f"{k}_companies": sum(s[v] for s in stats.values()) for k, v in (("delta", "delta"), ("total_current", "qualified_current"))}
+    return sinks.summary(folder, country=spec.country, day=number, baseline_day=before, **sums, sites=stats, skipped_sites_no_delta=sorted(skipped))
+
+
 def deliver_country(spark: SparkSession, country: str, records: DataFrame, delivery: str, label: str) -> dict:
     """UX2."""
     if country.lower() not in COUNTRIES:
@@ -130,18 +167,27 @@ def deliver_country(spark: SparkSession, country: str, records: DataFrame, deliv
     return deliver(spark, records, delivery, label, COUNTRIES[country.lower()])
 
 
-def deliver_websites(spark: SparkSession, websites: DataFrame, delivery: str, label: str, country: str) -> dict:
-    """J7: websites alone: today's set without the days before; keys are written always."""
-    number, before = queues.check_day(label, country, readers.Folder(spark, delivery).names(folders=True))
-    baseline = readers.baseline_keys(spark, delivery, country, before).select(F.col("key").alias("website"))
-    new = delta.website_difference(websites, baseline).cache()
-    folder = sinks.prepared(spark, delivery, queues.day_folder(country, number))
-    n = new.count()
-    if n:
-        sinks.delta_csv(new, folder, "websites.csv", ["website"])
-    sinks.key_file(baseline.select(F.col("website").alias("key")), websites.select(trim("website").alias("key")).filter("key <> ''"), folder)
-    new.unpersist()
-    return sinks.summary(folder, country=country, day=number, baseline_day=before, delta=n)
+def deliver_websites(spark: SparkSession, sites: dict[str, DataFrame], delivery: str, label: str, country: str) -> dict:
+    """J7: websites alone, in a series of days of its own: each site's set of today without that of the day before; keys are written always."""
+    series = f"{country}_websites"
+    number, before = queues.check_day(label, series, readers.Folder(spark, delivery).names(folders=True))
+    folder = sinks.prepared(spark, delivery, queues.day_folder(series, number))
+    stats, skipped = {}, []
+    for site in sorted(sites):
+        today = sites[site].select(trim("website").alias("website")).filter("website <> ''").distinct().cache()
+        old = readers.baseline_keys(spark, delivery, series, before, site, search_back=False).select(F.col("key").alias("website"))
+        new = delta.website_difference(today, old).cache()
+        if n := new.count():
+            sinks.delta_csv(new, folder, f"{site}.csv", ["website"])
+        else:
+            skipped.append(site)
+        keys = today.select(F.col("website").alias("key"))
+        sinks.key_file(keys, keys, folder, f"{site}.keys.txt", policy="current")
+        stats[site] = {"qualified_current": today.count(), "delta": n}
+        today.unpersist()
+        new.unpersist()
+    sums = {f"{k}_websites": sum(s[v] for s in stats.values()) for k, v in (("delta", "delta"), ("total_current", "qualified_current"))}
+    return sinks.summary(folder, country=country, day=number, baseline_day=before, **sums, sites=stats, skipped_sites_no_delta=skipped)
 
 
 def engine_delivery(current: DataFrame, history: DataFrame | None, baseline: DataFrame, suspicious: Callable[[], Column] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -97,18 +97,18 @@ def test_cursor_source(spark, tmp_path):
     assert [(r["cursor"], r["item"]) for r in spark.read.format("cursor_pages").option("path", str(tmp_path)).load().collect()] == [("start", '{"n": 1}'), ("start", '{"n": 2}'), ("c1", '{"n": 3}')]
 
 
-@pytest.mark.parametrize("country", ["England", "Taiwan", "Germany", "Brazil", "Japan", "Finland"])
+@pytest.mark.parametrize("country", ["England", "Brazil", "Japan", "Finland"])
 def test_three_days(spark, tmp_path, records, country):
     mails = ("info@firm.dk",)
     go = lambda label, names: delivery.deliver_country(spark, country, records([company(n, site="https://firm.dk", mails=mails) for n in names]), str(tmp_path), label)
-    assert go("day1", ["Acme", "Bravo"])["delta"] == 2
-    assert go("day2", ["Acme", "Bravo", "Cyan"])["delta"] == 1
+    assert go("day1", ["Acme", "Bravo"])["delta_companies"] == 2
+    assert go("day2", ["Acme", "Bravo", "Cyan"])["delta_companies"] == 1
     assert [x.split(",")[0] for x in lines(tmp_path / f"{country}_day002" / "companies.csv")] == ["company_name", "Cyan"]
-    assert go("day2", ["Acme", "Cyan"])["delta"] == 1  # the day again
+    assert go("day2", ["Acme", "Cyan"])["delta_companies"] == 1  # the day again
     assert any((tmp_path / ".trash").iterdir())
     again = go("day3", ["Bravo"])
     # keys of today alone forget a company that was away for a day; the union does not
-    assert again["delta"] == (1 if delivery.COUNTRIES[country.lower()].key_policy == "current" else 0)
+    assert again["delta_companies"] == (1 if delivery.COUNTRIES[country.lower()].key_policy == "current" else 0)
     with pytest.raises(ValueError):
         go("day5", ["Acme"])
 
@@ -116,8 +116,8 @@ def test_three_days(spark, tmp_path, records, country):
 def test_empty_delta_leaves_no_files_and_keys_are_found_further_back(spark, tmp_path, records):
     go = lambda label, names: delivery.deliver_country(spark, "Germany", records([company(n) for n in names]), str(tmp_path), label)
     go("day1", ["Acme"])
-    assert go("day2", ["Acme"])["delta"] == 0 and [p.name for p in sorted((tmp_path / "Germany_day002").iterdir()) if not p.name.startswith(".")] == ["summary.json"]
-    assert go("day3", ["Acme"])["delta"] == 0
+    assert go("day2", ["Acme"])["delta_companies"] == 0 and [p.name for p in sorted((tmp_path / "Germany_day002").iterdir()) if not p.name.startswith(".")] == ["summary.json"]
+    assert go("day3", ["Acme"])["delta_companies"] == 0
 
 
 def test_country_rules(spark, tmp_path, records):
@@ -129,10 +129,42 @@ def test_country_rules(spark, tmp_path, records):
 
 
 def test_websites_days(spark, tmp_path):
-    w = lambda *s: spark.createDataFrame([(x,) for x in s], "website string")
-    assert delivery.deliver_websites(spark, w("a.dk", " b.dk ", ""), str(tmp_path), "day1", "Italy")["delta"] == 2
-    assert delivery.deliver_websites(spark, w("a.dk", "c.dk"), str(tmp_path), "day2", "Italy")["delta"] == 1
-    assert lines(tmp_path / "Italy_day002" / "keys.txt") == ["a.dk", "b.dk", "c.dk"]
+    w = lambda *s: {"wiza": spark.createDataFrame([(x,) for x in s], "website string")}
+    assert delivery.deliver_websites(spark, w("a.dk", " b.dk ", ""), str(tmp_path), "day1", "Italy")["delta_websites"] == 2
+    got = delivery.deliver_websites(spark, w("a.dk", "c.dk"), str(tmp_path), "day2", "Italy")
+    assert got["delta_websites"] == 1 and got["sites"] == {"wiza": {"qualified_current": 2, "delta": 1}}
+    assert lines(tmp_path / "Italy_websites_day002" / "wiza.keys.txt") == ["a.dk", "c.dk"] and lines(tmp_path / "Italy_websites_day002" / "wiza.csv") == ["website", "c.dk"]
+    assert delivery.deliver_websites(spark, w("a.dk", "c.dk"), str(tmp_path), "day3", "Italy")["skipped_sites_no_delta"] == ["wiza"]
+
+
+def test_site_days(spark, tmp_path, records):
+    spec = delivery.COUNTRIES["japan"]
+    sites = lambda **names: {s: records([company(n, site="https://firm.dk") for n in ns]) for s, ns in names.items()}
+    go = lambda label, tables, **more: delivery.deliver_sites(spark, tables, str(tmp_path), label, spec, **more)
+    assert go("day1", sites(a=["A1", "A2"], b=["B1"]))["sites"] == {"a": {"qualified_current": 2, "delta": 2}, "b": {"qualified_current": 1, "delta": 1}}
+    got = go("day2", sites(a=["A1", "A3"], b=["B1"]))
+    assert got["skipped_sites_no_delta"] == ["b"] and got["delta_companies"] == 1 and not (tmp_path / "Japan_day002" / "b.keys.txt").exists()
+    assert go("day2", sites(a=["A1"], b=["B1", "B2"]), only="b", keep=True)["sites"] == {"a": {"qualified_current": 3, "delta": 1}, "b": {"qualified_current": 2, "delta": 1}}
+    assert go("day2", {}, summary_only=True)["delta_companies"] == 2
+    assert go("day3", sites(a=["A2"], b=["B1"]))["delta_companies"] == 0  # keys are found further back
+
+
+def test_product(spark, tmp_path, capsys):
+    from rosterweave.plans import product
+
+    for site, names in (("proff", ["Acme", "Bravo"]), ("virk", ["acme", "Cyan"])):
+        (tmp_path / "data" / site).mkdir(parents=True)
+        (tmp_path / "data" / site / "final_companies.jsonl").write_text("\n".join(json.dumps({"company_name": n, "representative": f"Rep {site}", "homepage": "https://firm.dk", "email": f"info@firm.dk;{site}@firm.dk"}) for n in names))
+        (tmp_path / "data" / site / "websites.txt").write_text("a.dk\nb.dk\n")
+    got = product.run(spark, "Denmark", "companies", "day1", str(tmp_path / "data"), str(tmp_path / "out"))
+    assert got["delta_companies"] == 3
+    acme = next(x for x in lines(tmp_path / "out" / "Denmark_day001" / "companies.csv") if x.startswith("Acme"))
+    assert acme.split(",")[:3] == ["Acme", "Rep proff", "info@firm.dk; proff@firm.dk; virk@firm.dk"]
+    assert product.run(spark, "Denmark", "websites", "day1", str(tmp_path / "data"), str(tmp_path / "out"))["delta_websites"] == 4
+    assert product.run(spark, "Germany", "companies", "day1", str(tmp_path / "data"), str(tmp_path / "out2"))["sites"].keys() == {"proff", "virk"}
+    with pytest.raises(ValueError):
+        product.run(spark, "Atlantis", "companies", "day1", str(tmp_path / "data"), str(tmp_path / "out"))
+    assert product.main(["x"]) == 2
 
 
 def test_shared_engine(spark, records):
