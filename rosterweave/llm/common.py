@@ -91,7 +91,7 @@ def without_rows(df: DataFrame, keys: DataFrame, made: dict[str, Column]) -> Dat
 
 
 #: A bitmap has at most 2 ** BITMAP_BITS bits, sent as 2 ** (BITMAP_BITS - 6) words of 64 at most.
-BITMAP_BITS = 27
+BITMAP_BITS = 26
 
 
 def possible(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
