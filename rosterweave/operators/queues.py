@@ -58,7 +58,7 @@ def revive_empty(queue: DataFrame, now: Column) -> DataFrame:
 def cache_decision(now: Column, stale: int = 900) -> Column:
     """QS6: what to do about a domain by its cache row (status null: there is none): claimed, done or wait, and how long."""
     blank, status, retry = is_blank("domain"), F.col("status"), F.col("next_retry_at")
-    seconds = lambda t: F.greatest(t.cast("double") - now.cast("double"), F.lit(1.0))
+    seconds = lambda t: F.greatest(t.cast("timestamp").cast("double") - now.cast("timestamp").cast("double"), F.lit(1.0))
     later = retry.isNotNull() & (retry > now)
     fresh = (status == "running") & (F.col("updated_at") > now - F.make_dt_interval(secs=F.lit(stale)))
     answer = lambda what, wait: F.struct(F.lit(what).alias("decision"), wait.cast("double").alias("wait"))
@@ -100,9 +100,9 @@ def segments(facets: DataFrame, capacity: int, levels: int, key: str = "scope",
     return out
 
 
-def drained(queues: DataFrame) -> Column:
+def drained(status: str = "status") -> Column:
     """QS11: an aggregate: nothing is pending or running."""
-    return F.count_if(F.col("status").isin("pending", "running")) == 0
+    return F.count_if(F.col(status).isin("pending", "running")) == 0
 
 
 _DAY = re.compile(r"day([1-9][0-9]*)", re.IGNORECASE)

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rosterweave.plans import queries
+from rosterweave.plans import more_queries, queries  # noqa: F401
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
