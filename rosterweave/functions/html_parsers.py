@@ -293,22 +293,31 @@ def _depth(node: Node) -> int:
     return n
 
 
-def parse_table(df: DataFrame, parser: Callable[[str, str], list[dict]], fields: list[str], page: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """Rows of a parser over a table of pages: the keys, pos, and the fields as strings."""
+def parse_table(df: DataFrame, parser: Callable[[str, str], list[dict]], fields: list[str], page: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id",), errors: bool = False) -> DataFrame:
+    """Rows of a parser over a table of pages: the keys, pos, and the fields as strings.
+
+    QS12: with errors, a page that a parser fails on gives one row with the error's text instead of ending the job."""
     ship(df.sparkSession)
+    fields = [*fields, "error"] if errors else fields
     types = dict(df.dtypes)
-    rows = df.select(*keys, url, page)
+    table = df.select(*keys, url, page)
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "pos int", *(f"{f} string" for f in fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, made = [], []
             for i in range(batch.num_rows):
-                for pos, row in enumerate(parser(batch.column(len(keys) + 1)[i].as_py() or "", batch.column(len(keys))[i].as_py() or "")):
+                try:
+                    rows = parser(batch.column(len(keys) + 1)[i].as_py() or "", batch.column(len(keys))[i].as_py() or "")
+                except Exception as e:
+                    if not errors:
+                        raise
+                    rows = [{"error": f"{type(e).__name__}: {e}"[:500]}]
+                for pos, row in enumerate(rows):
                     at.append(i)
                     made.append((pos, *(str(row.get(f, "") or "") for f in fields)))
             take = pa.array(at, pa.int64())
             columns = list(zip(*made, strict=True)) or [[] for _ in range(len(fields) + 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(len(keys))), pa.array(columns[0], pa.int32()), *(pa.array(c, pa.string()) for c in columns[1:])], names=[*keys, "pos", *fields])
 
-    return rows.mapInArrow(run, schema)
+    return table.mapInArrow(run, schema)
