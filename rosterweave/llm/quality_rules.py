@@ -135,3 +135,25 @@ def ablations(book: DataFrame, version: str = CURRENT) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = ledger(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return apply_policy(book).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
+
+
+_W = "[^\\x20\\x09-\\x0D]"
+ORACLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_W}+') AS w FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 4] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, (SELECT unnest(range(5)) AS j) GROUP BY doc_id),
+l AS (SELECT doc_id, len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_W}'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_W}')))) AS dup,
+  len(string_split(t, chr(10))) AS lines FROM d),
+m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    l.dup::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words, l.lines AS n_lines, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\\p{{L}}')) AS n_letters,
+    len(list_filter(w, lambda x: regexp_matches(trim(x, '.,;:!?"''()'), '^\\p{{L}}+$'))) AS n_alpha_words
+  FROM d JOIN l USING (doc_id) LEFT JOIN cov USING (doc_id)
+),
+f AS (
+  SELECT *, ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT + 4 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
+    + 16 * (10 * n_dup_lines > 3 * n_lines)::BIGINT + 32 * (2 * n_upper > n_letters)::BIGINT + 64 * (2 * n_alpha_words < n_words)::BIGINT + 128 * (n_words > 100000)::BIGINT) AS failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 127 = 0 AS kept, failed FROM f
+"""

@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op5_source_mix": source_mix.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op5_source_mix": source_mix.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
