@@ -189,7 +189,7 @@ def failed_requeued(spark, d):
 
 @query(f"SELECT id, CASE WHEN id % 5 + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN id % 5 + 1 >= 3 THEN NULL ELSE {NOW} + (pow(2, id % 5 + 1)::BIGINT * INTERVAL 1 SECOND) END AS next_run_at FROM ({_TASKS})")
 def failure_transition(spark, d):
-    return queues.failed_once_more(_tasks(spark, d).withColumn("retries", F.col("id") % 5), F.expr(NOW), 3, 300).select("id", "status", "next_run_at")
+    return queues.failed_once_more(_tasks(spark, d).withColumn("retries", F.col("id") % 5), F.expr(NOW), 3, 300).select("id", "status", F.col("next_run_at").cast("timestamp_ntz").alias("next_run_at"))
 
 
 @query(f"SELECT count(*) FILTER (WHERE status IN ('pending', 'running')) = 0 AS drained, user_id FROM ({_TASKS}) GROUP BY user_id")
@@ -338,4 +338,4 @@ def job_payload(spark, d):
 @query("SELECT doc_id, length(text) AS n FROM documents WHERE length(text) <= 100")
 def short_texts(spark, d):
     cut = middle_cut("text", 100, "")
-    return table(spark, d, "documents").filter(cut == F.col("text")).select("doc_id", F.length("text").alias("n"))
+    return table(spark, d, "documents").filter(cut == F.col("text")).select("doc_id", F.length("text").cast("long").alias("n"))
