@@ -71,11 +71,15 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 30
     square = np.einsum("ij,ij->i", x, x) + 1e-12
     top = np.where(y > 0, cost * len(y) / (2 * max(1, (y > 0).sum())), cost * len(y) / (2 * max(1, (y < 0).sum())))
     for _ in range(epochs):
+        moved = 0.0
         for i in rng.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * (x[i] @ w) - 1) / square[i], 0.0), top[i])
+            new = min(max(alpha[i] - (y[i] * np.einsum("i,i->", x[i], w) - 1) / square[i], 0.0), top[i])  # einsum: no threads for one row
             if new != alpha[i]:
+                moved = max(moved, abs(new - alpha[i]) / top[i])
                 w += (new - alpha[i]) * y[i] * x[i]
                 alpha[i] = new
+        if moved < 1e-3:
+            break
     return w
 
 
