@@ -35,7 +35,7 @@ from rosterweave.shipping import ship
 #: Labelled documents of each grade that the model is fitted on, by hash of doc_id; the bound of the sample.
 SAMPLE_PER_GRADE = 3000
 GRADES, BITS, LEAST = 3, 18, 0.5
-_CACHE = 100_000
+_CACHE, _ROWS = 100_000, 512
 _AGAIN = "=="  # the kind of a word that repeats the one before it
 _lower, _upper, _digit = regex.compile(r"[\p{Ll}\p{Lo}\p{M}]+"), regex.compile(r"[\p{Lu}\p{Lt}]+"), regex.compile(r"\p{N}+")
 
@@ -124,8 +124,25 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, usable: np.ndarray, df:
     top, low = grades < GRADES - 1, grades > 0
     above, below = np.minimum(grades, GRADES - 2), np.maximum(grades - 1, 0)
 
-    score = lambda w: np.bincount(of, weights=(w * scale)[flat], minlength=n) - w @ mean
-    back = lambda g: np.bincount(flat, weights=g[of], minlength=m) * scale - g.sum() * mean
+    # by blocks of rows, so that what a step needs beside the features stays small
+    blocks, lo = [], 0
+    for first in range(0, n, _ROWS):
+        last = min(n, first + _ROWS)
+        hi = int(np.searchsorted(of, last))
+        blocks.append((first, last, lo, hi))
+        lo = hi
+
+    def score(w: np.ndarray) -> np.ndarray:
+        scaled, out = w * scale, np.empty(n)
+        for first, last, lo, hi in blocks:
+            out[first:last] = np.bincount(of[lo:hi] - first, weights=scaled[flat[lo:hi]], minlength=last - first)
+        return out - w @ mean
+
+    def back(g: np.ndarray) -> np.ndarray:
+        out = np.zeros(m)
+        for _, _, lo, hi in blocks:
+            out += np.bincount(flat[lo:hi], weights=g[of[lo:hi]], minlength=m)
+        return out * scale - g.sum() * mean
 
     v = np.random.default_rng(0).normal(size=m)
     bend = 1.0
