@@ -4,8 +4,13 @@ A small window network predicts every token of a document from the two before an
 neighbours, each with weights of its own, add up to a hidden layer, which gives the log-probabilities of all tokens. A document's
 score is the sum of the log-probabilities of its own tokens, each hidden in turn.
 
-The vocabulary is fixed in size: the most frequent words of the whole corpus, and classes of rarer words by a hash of their last
-two letters. Word counts cover every document. For training, every document gives a fixed share of its positions, chosen by a hash,
+The network's tokens are fixed in number: the most frequent words of the whole corpus, and classes of rarer words by a hash of their
+last two letters. A word of a class adds log P(word | class), from the counts of all words of the corpus, which stay in a table: of
+n occurrences of a class and t distinct words, a word seen c times has c / (n + t + 1), and the rest is for unseen words, shared out
+by spelling (each byte, and the end, 1 in 257). So a position gets log P(word), and the probabilities of all words add up to 1 at most.
+The HELD most frequent words of the table go to the tasks; where it has more, rarer words are joined.
+
+Word counts cover every document. For training, every document gives a fixed share of its positions, chosen by a hash,
 to a table in the shared folder; it grows with the corpus and stays there. In each round every task starts from the current weights,
 trains on its part of the table in numpy, and the weights are averaged by the number of windows. The driver holds one set of weights.
 
@@ -16,10 +21,11 @@ empty corpus gives untrained weights and an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +42,54 @@ SHARE = 32  # one position in SHARE is trained on
 ROUNDS, BATCH, RATE = 4, 256, 0.05
 _OFFSETS = (-2, -1, 1, 2)
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+HELD = 200_000  # words whose counts every task holds; the counts of all others are joined
 _BLOCK, _CACHE = 8192, 300_000
 
 
+@dataclass
+class Rarer:
+    """log P(word | class) of the words in classes."""
+
+    held: dict[bytes, int]  # counts of the most frequent of them
+    totals: np.ndarray  # CLASSES: occurrences + distinct words + 1
+    distinct: np.ndarray  # CLASSES
+    table: DataFrame | None = None  # word, n of those not held, None if all are
+
+    def __post_init__(self) -> None:
+        self.whole = self.table is None
+        self.cache: dict[bytes, float] = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"table": None, "cache": {}}
+
+    def seen(self, n: int, word: bytes) -> float:
+        return math.log(n / self.totals[class_of(word)])
+
+    def unseen(self, word: bytes) -> float:
+        c = class_of(word)
+        return math.log((self.distinct[c] + 1) / self.totals[c]) - (len(word) + 1) * math.log(257)
+
+    def of(self, raw: bytes, known: dict[bytes, int]) -> float:
+        """0 for a token of its own, NaN where the table has to say."""
+        if (found := self.cache.get(raw)) is None:
+            if len(self.cache) > _CACHE:
+                self.cache.clear()
+            bare = bare_word(raw)
+            if bare in known:
+                found = 0.0
+            elif n := self.held.get(bare):
+                found = self.seen(n, bare)
+            else:
+                found = self.unseen(bare) if self.whole else math.nan
+            self.cache[raw] = found
+        return found
+
+
 @dataclass
 class Vocabulary:
     words: list[str]
     counts: list[int]  # of the words, then of all others together
+    rarer: Rarer = field(default_factory=lambda: Rarer({}, np.ones(CLASSES), np.zeros(CLASSES)))
 
     def __post_init__(self) -> None:
         self.known = {w.encode("utf-8", "surrogatepass"): i + 1 for i, w in enumerate(self.words)}
@@ -53,13 +100,20 @@ class Vocabulary:
             if len(self.cache) > _CACHE:
                 self.cache.clear()
             bare = bare_word(raw)
-            found = self.cache[raw] = self.known.get(bare) or 1 + WORDS + zlib.crc32(bare[-2:]) % CLASSES
+            found = self.cache[raw] = self.known.get(bare) or 1 + WORDS + class_of(bare)
         return found
 
     def tokens(self, text: str | None) -> np.ndarray:
         words = raw_words(text)
         return np.fromiter(map(self.token, words), dtype=np.uint8, count=len(words))
 
+    def within(self, text: str | None) -> tuple[float, Counter]:
+        """The sum of log P(word | class), and how often words occur that the table has to say."""
+        words, of, known = raw_words(text), self.rarer.of, self.known
+        values = np.fromiter((of(w, known) for w in words), dtype=np.float64, count=len(words))
+        asked = np.isnan(values)
+        return float(values[~asked].sum()), Counter(bare_word(words[i]) for i in np.flatnonzero(asked))
+
 
 def raw_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -69,8 +123,12 @@ def bare_word(raw: bytes) -> bytes:
     return raw.strip(_PUNCTUATION)
 
 
+def class_of(bare: bytes) -> int:
+    return zlib.crc32(bare[-2:]) % CLASSES
+
+
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The most frequent words of all documents. Tasks send one row for each distinct word of a batch."""
+    """The most frequent words of all documents, and the counts of all others. Tasks send one row for each distinct word of a batch."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,13 +138,26 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
                 raw.update(raw_words(batch.column(0)[i].as_py()))
             for word, n in raw.items():
                 bare[bare_word(word)] += n
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in bare], pa.string()), pa.array(list(bare.values()), pa.int64())], names=["word", "n"])
-
-    counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = written(counts.filter("word <> ''"), shared_dir(docs.sparkSession), "words")
-    top = counts.orderBy(F.col("n").desc(), "word").limit(WORDS).collect()  # a top-k of fixed size
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return Vocabulary([r["word"] for r in top], [r["n"] for r in top] + [total - sum(r["n"] for r in top)])
+            yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in bare], pa.string()), pa.array(map(class_of, bare), pa.int32()), pa.array(list(bare.values()), pa.int64())], names=["word", "class", "n"])
+
+    counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
+    counts = written(counts, shared_dir(docs.sparkSession), "words")
+    first = counts.orderBy(F.col("n").desc(), "word").limit(HELD + WORDS + 1).toArrow()  # a top-k of fixed size
+    first = list(zip(first["word"].to_pylist(), first["n"].to_pylist(), strict=True))
+    top = [(w, n) for w, n in first if w][:WORDS]
+    own = {w for w, _ in top}
+    held = {w.encode("utf-8", "surrogatepass"): n for w, n in first if w not in own}
+    totals, distinct = np.ones(CLASSES), np.zeros(CLASSES)
+    in_class = counts.filter(~F.col("word").isin(sorted(own))) if own else counts
+    for r in in_class.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t")).collect():  # CLASSES rows at most
+        totals[r["class"]] += r["n"] + r["t"]
+        distinct[r["class"]] = r["t"]
+    total = counts.filter("word <> ''").agg(F.sum("n")).first()[0] or 0
+    rest = None
+    if len(held) < distinct.sum():
+        word, n = first[-1]
+        rest = counts.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word))).select("word", "n")
+    return Vocabulary([w for w, _ in top], [n for _, n in top] + [total - sum(n for _, n in top)], Rarer(held, totals, distinct, rest))
 
 
 @dataclass
@@ -205,12 +276,35 @@ def scored(docs: DataFrame, vocab: Vocabulary, net: WindowNet, text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = [vocab.tokens(batch.column(1)[i].as_py()) for i in range(batch.num_rows)]
-            sums, sizes = np.array([net.log_probs(t) for t in tokens], dtype=np.float64), np.array([len(t) for t in tokens], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(sums), pa.array(sums / np.maximum(sizes, 1))], names=["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+            texts = [batch.column(2)[i].as_py() for i in range(batch.num_rows)]
+            tokens, within = [vocab.tokens(t) for t in texts], [vocab.within(t) for t in texts]
+            sums, sizes = np.array([net.log_probs(t) + w for t, (w, _) in zip(tokens, within, strict=True)], dtype=np.float64), np.array([len(t) for t in tokens], dtype=np.int64)
+            asked = [[{"word": w.decode("utf-8", "replace"), "times": n} for w, n in a.items()] for _, a in within]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(sums), pa.array(asked, _ASKED)], names=["row", "doc_id", "n_tokens", "log_prob", "asked"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double, asked array<struct<word: string, times: long>>")
+    if vocab.rarer.table is not None:
+        found = written(found, shared_dir(docs.sparkSession), "scored")  # rows keep their numbers
+        found = found.join(_asked(found, vocab.rarer), "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    return found.select("doc_id", "n_tokens", "log_prob", (F.col("log_prob") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob"))
+
+
+_ASKED = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
+
+
+def _asked(found: DataFrame, rarer: Rarer) -> DataFrame:
+    """row, more: what the words that tasks do not hold add to a row."""
+    words = found.select("row", F.explode("asked").alias("a")).select("row", "a.word", "a.times").join(rarer.table, "word", "left")
+    rarer = Rarer({}, rarer.totals, rarer.distinct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n, times = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_numpy()
+            each = np.array([rarer.unseen(w) if c is None else rarer.seen(c, w) for w, c in zip(word, n, strict=True)], dtype=np.float64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each * times)], names=["row", "more"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    return words.select("row", "word", "n", "times").mapInArrow(run, "row long, more double").groupBy("row").agg(F.sum("more").alias("more"))
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

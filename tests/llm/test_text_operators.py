@@ -228,6 +228,41 @@ def test_lm_of_odd_tables(docs):
     assert v.words == [] and lm_scoring.scored(empty, v, lm_scoring.trained(empty, v)).count() == 0
 
 
+@pytest.mark.parametrize("held", [200_000, 3])
+def test_lm_tells_rare_words_apart(docs, monkeypatch, held):
+    """Each position gets log P(class) and log P(word | class), whether tasks hold the word's count or a table is joined."""
+    monkeypatch.setattr(lm_scoring, "HELD", held)
+    top = " ".join(["the", "on", *(f"top{i}" for i in range(lm_scoring.WORDS - 2))])
+    rows = [(0, " ".join([top] * 9)), (1, "the cat sat, the rat sat on the mat -- a bat"), (2, "the the sat sat nation station station ration"), (None, "on a mat at a mat"), (None, "on a mat at a mat"), (4, None)]
+    df = docs(rows)
+    vocab = lm_scoring.vocabulary(df)
+    net = lm_scoring.WindowNet.new(vocab)
+    assert (vocab.rarer.table is not None) == (held == 3) and sorted(vocab.words) == sorted(top.split())
+    n = {}
+    for _, t in rows:
+        for w in map(lm_scoring.bare_word, lm_scoring.raw_words(t)):
+            n[w] = n.get(w, 0) + 1
+    for w in map(str.encode, vocab.words):
+        n.pop(w)
+    class_of = lambda w: zlib.crc32(w[-2:]) % lm_scoring.CLASSES
+
+    def within(w):
+        if w.decode() in vocab.words:
+            return 0.0
+        own = {k: v for k, v in n.items() if class_of(k) == class_of(w)}
+        all_of = sum(own.values()) + len(own) + 1
+        return np.log(own[w] / all_of) if w in own else np.log((len(own) + 1) / all_of) - (len(w) + 1) * np.log(257)
+
+    more = [(10, "the cat station"), (11, "the cat qqqqtion"), (12, "the cat zzzzzzzzzzztion")]
+    got = lm_scoring.scored(docs(rows + more), vocab, net).collect()
+    want = [(i, net.log_probs(vocab.tokens(t)) + sum(within(lm_scoring.bare_word(w)) for w in lm_scoring.raw_words(t))) for i, t in rows + more]
+    assert sorted(repr((r["doc_id"], round(r["log_prob"], 3))) for r in got) == sorted(repr((i, round(float(s), 3))) for i, s in want)
+    at = {r["doc_id"]: r["log_prob"] for r in got}
+    assert at[10] > at[11] > at[12]
+    for c in range(lm_scoring.CLASSES):
+        assert sum(np.exp(within(w)) for w in n if class_of(w) == c) < 1
+
+
 # --- 9 ---
 
 
