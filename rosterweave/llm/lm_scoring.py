@@ -10,9 +10,9 @@ n occurrences of a class and t distinct words, a word seen c times has c / (n +
 by spelling (each byte, and the end, 1 in 257). So a position gets log P(word), and the probabilities of all words add up to 1 at most.
 The HELD most frequent words of the table go to the tasks; where it has more, rarer words are joined.
 
-Word counts cover every document. For training, every document gives a fixed share of its positions, chosen by a hash,
-to a table in the shared folder; it grows with the corpus and stays there. In each round every task starts from the current weights,
-trains on its part of the table in numpy, and the weights are averaged by the number of windows. The driver holds one set of weights.
+Word counts cover every document. For training, the tokens of every document go to a table in the shared folder, one byte
+each; it grows with the corpus and stays there. In each round every task starts from the current weights, trains on every position of
+its part of the table in numpy, and the weights are averaged by the number of windows. The driver holds one set of weights.
 
 Words are split at white space, A-Z in lower case, without ASCII punctuation at the ends; words of punctuation alone are one class
 too. A null or empty text has no tokens and score 0. Repeated rows count and are scored each time; a null doc_id passes through. An
@@ -38,12 +38,12 @@ from rosterweave.shipping import ship
 WORDS, CLASSES = 95, 32
 SIZE = 1 + WORDS + CLASSES  # token 0 stands beyond the ends of a document
 REACH, EMBEDDING, HIDDEN = 2, 16, 32
-SHARE = 32  # one position in SHARE is trained on
 ROUNDS, BATCH, RATE = 4, 256, 0.05
 _OFFSETS = (-2, -1, 1, 2)
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 HELD = 200_000  # words whose counts every task holds; the counts of all others are joined
 _BLOCK, _CACHE = 8192, 300_000
+_MIXED = 1_000_000  # tokens whose documents are shuffled together; a longer document is taken whole
 
 
 @dataclass
@@ -208,56 +208,73 @@ class WindowNet:
         for at in range(0, len(windows), BATCH):
             part = windows[at : at + BATCH]
             near, own, n = part[:, :-1], part[:, -1], len(part)
-            e = self.embed[near]  # n x 4 x E
-            h = np.tanh(np.einsum("nke,keh->nh", e, self.mix) + self.bias)
+            e = self.embed[near].reshape(n, -1)  # n x 4 E
+            mix = self.mix.reshape(-1, HIDDEN)
+            h = np.tanh(e @ mix + self.bias)
             s = h @ self.out + self.prior
             s -= s.max(axis=1, keepdims=True)
-            p = np.exp(s)
+            p = np.exp(s, out=s)
             p /= p.sum(axis=1, keepdims=True)
             loss -= float(np.log(p[np.arange(n), own] + 1e-12).sum())
             p[np.arange(n), own] -= 1
             p /= n
             dh = (p @ self.out.T) * (1 - h * h)
-            de = np.einsum("nh,keh->nke", dh, self.mix)
-            d_embed = np.zeros_like(self.embed)
-            np.add.at(d_embed, near.ravel(), de.reshape(-1, EMBEDDING))
-            for w, d, q in zip(self.parts(), [d_embed, np.einsum("nke,nh->keh", e, dh), dh.sum(axis=0), h.T @ p, p.sum(axis=0)], squares, strict=True):
+            cells = (near.reshape(-1, 1).astype(np.int64) * EMBEDDING + np.arange(EMBEDDING)).ravel()
+            d_embed = np.bincount(cells, (dh @ mix.T).ravel(), SIZE * EMBEDDING).reshape(SIZE, EMBEDDING).astype(np.float32)
+            for w, d, q in zip(self.parts(), [d_embed, (e.T @ dh).reshape(self.mix.shape), dh.sum(axis=0), h.T @ p, p.sum(axis=0)], squares, strict=True):
                 q += d * d
                 w -= RATE * d / (np.sqrt(q) + 1e-6)
         return loss / max(1, len(windows))
 
 
-def windows_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row a document that gives positions: its windows, five bytes each."""
+def tokens_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str = "text") -> DataFrame:
+    """One row a document with tokens: one byte each."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                tokens = vocab.tokens(batch.column(1)[i].as_py())
-                start = zlib.crc32(str(batch.column(0)[i].as_py()).encode()) % SHARE
-                at = np.arange(start, len(tokens), SHARE)
-                if len(at):
-                    padded = np.concatenate([np.zeros(REACH, np.uint8), tokens, np.zeros(REACH, np.uint8)])
-                    out.append(np.stack([*(padded[at + REACH + o] for o in _OFFSETS), tokens[at]], axis=1).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["windows"])
+            out = [t.tobytes() for i in range(batch.num_rows) if len(t := vocab.tokens(batch.column(0)[i].as_py()))]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["tokens"])
+
+    return written(docs.select(F.col(text_col).cast("string")).mapInArrow(run, "tokens binary"), folder, "tokens")
+
+
+def windows(documents: list[bytes], rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Every position of the documents once, in mixed order: blocks of n x 5, the neighbours' tokens, then the token."""
+    ends = bytes(REACH)  # no token of a document is 0
+    flat = np.frombuffer(ends + ends.join(documents) + ends, dtype=np.uint8)
+    at = rng.permutation(np.flatnonzero(flat))
+    for k in range(0, len(at), 256 * BATCH):
+        yield flat[at[k : k + 256 * BATCH, None] + np.array([*_OFFSETS, 0])]
+
 
-    return written(docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, "windows binary"), folder, "windows")
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The documents of all batches, in lists of about _MIXED tokens."""
+    kept, size = [], 0
+    for batch in batches:
+        for document in batch.column(0):
+            kept.append(document.as_py())
+            size += len(kept[-1])
+            if size >= _MIXED:
+                yield kept
+                kept, size = [], 0
+    if kept:
+        yield kept
 
 
 def trained(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS) -> WindowNet:
-    table = windows_table(docs, vocab, shared_dir(docs.sparkSession), text_col, id_col)
+    table = tokens_table(docs, vocab, shared_dir(docs.sparkSession), text_col)
     net = WindowNet.new(vocab)
     for r in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], start: np.ndarray = net.flat(), seed: int = r) -> Iterator[pa.RecordBatch]:
             own = WindowNet.of_flat(start)
             squares, n = [np.full(p.shape, 0.01, np.float32) for p in own.parts()], 0
-            for batch in batches:
-                rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint8).reshape(-1, 2 * REACH + 1)
-                own.train(np.random.default_rng(seed).permutation(rows), squares)
-                n += len(rows)
+            rng = np.random.default_rng(seed)
+            for documents in groups(batches):
+                for block in windows(documents, rng):
+                    own.train(block, squares)
+                    n += len(block)
             if n:
                 flat = own.flat()
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat.astype(np.float64) * n), pa.array(np.full(len(flat), n, dtype=np.int64))], names=["i", "v", "n"])

@@ -263,6 +263,44 @@ def test_lm_tells_rare_words_apart(docs, monkeypatch, held):
         assert sum(np.exp(within(w)) for w in n if class_of(w) == c) < 1
 
 
+def test_lm_trains_on_every_position(docs):
+    """Each position of each document once, also of short ones and of those without an id."""
+    rows = [(None, "a"), (None, "b c"), (1, "a b"), (2, "c " * 100), (3, ""), (4, None)]
+    df = docs(rows)
+    vocab = lm_scoring.vocabulary(df)
+    table = [bytes(r["tokens"]) for r in lm_scoring.tokens_table(df, vocab, lm_scoring.shared_dir(df.sparkSession)).collect()]
+    got = [tuple(map(int, w)) for block in lm_scoring.windows(table, np.random.default_rng(0)) for w in block]
+    want = []
+    for _, t in rows:
+        padded = [0, 0, *map(int, vocab.tokens(t)), 0, 0]
+        want += [(padded[i - 2], padded[i - 1], padded[i + 1], padded[i + 2], padded[i]) for i in range(2, len(padded) - 2)]
+    assert sorted(got) == sorted(want) and len(got) == 105
+
+
+def test_lm_steps_by_definition():
+    """One step of training against the gradient, written out."""
+    net = lm_scoring.WindowNet.new(lm_scoring.Vocabulary(["a", "b"], [5, 3, 10]), seed=4)
+    rows = np.random.default_rng(1).integers(0, lm_scoring.SIZE, (40, 5)).astype(np.uint8)
+    old = [p.astype(np.float64) for p in net.parts()]
+    net.train(rows, [np.full(p.shape, 0.01, np.float32) for p in net.parts()])
+    embed, mix, bias, out, prior = old
+    grads = [np.zeros_like(p) for p in old]
+    for *near, own in rows:
+        h = np.tanh(sum(embed[x] @ mix[k] for k, x in enumerate(near)) + bias)
+        s = h @ out + prior
+        p = np.exp(s - s.max())
+        p /= p.sum()
+        p[own] -= 1
+        dh = (out @ p) * (1 - h * h)
+        for k, x in enumerate(near):
+            grads[0][x] += mix[k] @ dh / len(rows)
+            grads[1][k] += np.outer(embed[x], dh) / len(rows)
+        for g, d in zip(grads[2:], (dh, np.outer(h, p), p), strict=True):
+            g += d / len(rows)
+    for new, was, g in zip(net.parts(), old, grads, strict=True):
+        assert np.allclose(new, was - lm_scoring.RATE * g / (np.sqrt(0.01 + g * g) + 1e-6), atol=1e-5)
+
+
 # --- 9 ---
 
 
