@@ -25,7 +25,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterweave.llm.common import packed, salted_join, shared_dir, without_rows, written
@@ -55,8 +55,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE, hash_texts: bool = False) -> DataFrame:
+    """doc_id, fp: the fingerprint as a signed long; with hash_texts also the text's SHA-256 (null as empty)."""
 
     ship(docs.sparkSession)
 
@@ -64,9 +64,16 @@ def fingerprints(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
         for batch in batches:
             texts = batch.column(1)
             found = np.array([fingerprint(texts[i].as_py(), shingle) for i in range(batch.num_rows)], dtype="<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if hash_texts:
+        return rows.withColumn("sha", text_sha(F.col("text"))).mapInArrow(run, "doc_id long, fp long, sha string")
+    return rows.mapInArrow(run, "doc_id long, fp long")
+
+
+def text_sha(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
 def _first_shared(x: np.ndarray) -> np.ndarray:
@@ -171,14 +178,19 @@ def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
+def _classes(marks: DataFrame, folder: str, max_bits: int) -> DataFrame:
+    """A row a fingerprint of marks: fp, n (its rows), least (doc_id), root of its component."""
+    classes = written(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), folder, "classes")
+    roots = components(links(classes.select("fp"), folder, max_bits), folder)
+    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return written(rooted, folder, "rooted")
+
+
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """One row a row of docs: doc_id, fp, component_id (the smallest doc_id of its component)."""
     folder = shared_dir(docs.sparkSession)
     marks = written(fingerprints(docs, text_col, id_col, shingle), folder, "fingerprints")
-    classes = written(marks.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), folder, "classes")
-    roots = components(links(classes.select("fp"), folder, max_bits), folder)
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = written(rooted, folder, "rooted")
+    rooted = _classes(marks, folder, max_bits)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("fps"))
     n_classes = rooted.count()
     of_class = salted_join(rooted, named, ["root"], "fps", n_classes, F.col("fp")).select("fp", "n", "component_id")
@@ -186,13 +198,24 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return salted_join(marks, of_class, ["fp"], "n", total, F.xxhash64("doc_id")).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs that stay, one of each component, with all their columns: that with the smallest doc_id; of rows that repeat it, one."""
-    marks = written(near_duplicates(docs, text_col, id_col, **options), shared_dir(docs.sparkSession), "marks")
-    drop = marks.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    repeated = marks.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    out = without_rows(packed(docs, id=docs[id_col].cast("long")), drop, {"_id": F.col("id")})
-    return (out.dropDuplicates(["id"]) if repeated else out).select("_row.*")
+def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs that stay, one of each component, with all their columns: that with the smallest doc_id; of rows that repeat it, one.
+
+    Where doc_ids repeat (nulls too), a row is told by doc_id and text, since its doc_id may stand in several components."""
+    folder = shared_dir(docs.sparkSession)
+    rows = packed(docs, id=docs[id_col].cast("long"), text=docs[text_col].cast("string"))
+    if rows.groupBy("id").count().filter("count > 1").limit(1).count() == 0:
+        marks = written(near_duplicates(docs, text_col, id_col, max_bits, shingle), folder, "marks")
+        drop = marks.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
+        return without_rows(rows, drop, {"_id": F.col("id")}).select("_row.*")
+    marks = written(fingerprints(docs, text_col, id_col, shingle, hash_texts=True), folder, "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sha")).alias("first")
+    # one row a fingerprint, then one a component: both are plain aggregates, combined before their shuffles
+    chosen = marks.groupBy("fp").agg(first).join(_classes(marks, folder, max_bits).select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    drop = marks.select("doc_id", "sha").subtract(chosen.select("first.doc_id", "first.sha")).toDF("_id", "_sha")
+    rows = rows.withColumn("sha", text_sha(F.col("text")))
+    out = without_rows(rows, written(drop, folder, "drop"), {"_id": F.col("id"), "_sha": F.col("sha")})
+    return out.dropDuplicates(["id", "sha"]).select("_row.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

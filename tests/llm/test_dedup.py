@@ -201,6 +201,20 @@ def test_simhash_keeps_one_of_each(docs):
     assert got.columns == df.columns and sorted(r["doc_id"] for r in got.collect()) == [2, 4, 9]
 
 
+def test_simhash_keeps_one_of_each_where_ids_repeat(docs):
+    """Nulls, and one doc_id with two texts: a row of every component stays, and one only."""
+    rows = [
+        (None, "a b c d e f g h"), (3, "A B c d e f g h"),  # a null id linked with an id
+        (None, "clean text of its own without any id"), (None, "another clean text that has no id"), (None, "another clean text that has no id"),
+        (9, "the least of its component has two texts"), (12, "The Least of its component has two texts"), (9, "a B C d e f g h"),
+        (20, "one id two cases of a text"), (20, "ONE ID two cases of a text"), (30, None), (30, ""),
+    ]
+    got = simhash.one_of_each(docs(rows))
+    found = sorted(((r["doc_id"] or 0), (r["text"] or "").lower()) for r in got.collect())
+    want = [(0, "another clean text that has no id"), (0, "clean text of its own without any id"), (3, "a b c d e f g h"), (9, "the least of its component has two texts"), (20, "one id two cases of a text"), (30, "")]
+    assert found == want and simhash.one_of_each(docs([])).count() == 0
+
+
 def test_components_of_a_long_chain_and_a_star(spark, tmp_path):
     edges = [(i, i + 1) for i in range(100)] + [(1000, 2000 + i) for i in range(300)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(4), str(tmp_path)).collect()}
