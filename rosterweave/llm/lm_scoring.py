@@ -1,22 +1,25 @@
 """LM scoring by masked pseudo-likelihood.
 
-A small window network predicts every token of a document from the two before and the two after it: the embeddings of the four
-neighbours, each with weights of its own, add up to a hidden layer, which gives the log-probabilities of all tokens. A document's
-score is the sum of the log-probabilities of its own tokens, each hidden in turn.
-
-The network's tokens are fixed in number: the most frequent words of the whole corpus, and classes of rarer words by a hash of their
-last two letters. A word of a class adds log P(word | class), from the counts of all words of the corpus, which stay in a table: of
-n occurrences of a class and t distinct words, a word seen c times has c / (n + t + 1), and the rest is for unseen words, shared out
-by spelling (each byte, and the end, 1 in 257). So a position gets log P(word), and the probabilities of all words add up to 1 at most.
-The HELD most frequent words of the table go to the tasks; where it has more, rarer words are joined.
-
-Word counts cover every document. For training, the tokens of every document go to a table in the shared folder, one byte
-each; it grows with the corpus and stays there. In each round every task starts from the current weights, trains on every position of
-its part of the table in numpy, and the weights are averaged by the number of windows. The driver holds one set of weights.
-
-Words are split at white space, A-Z in lower case, without ASCII punctuation at the ends; words of punctuation alone are one class
-too. A null or empty text has no tokens and score 0. Repeated rows count and are scored each time; a null doc_id passes through. An
-empty corpus gives untrained weights and an empty result.
+A small window network predicts every word of a document from the two before and the two after it: each neighbour adds a row of its
+place's table to a hidden layer, which gives first the log-probability of a group of words and then that of the word in its group.
+A document's score is the sum of the log-probabilities of its own words, each hidden in turn.
+
+The network's tokens are fixed in number (LEAVES): the WORDS most frequent words of the whole corpus, and CLASSES of rarer words by a
+hash of their last two letters. A rarer word adds log P(word | class), from the counts of all words of the corpus, which stay in a
+table: of n occurrences of a class and t distinct words, a word seen c times has c / (n + t + 1), and the rest is for unseen words,
+shared out by spelling (each byte, and the end, 1 in 257). So a position gets log P(word), and the probabilities of all words add up to
+1 at most. The HELD most frequent of the rarer words go to the tasks; where there are more, the rest are joined. Untrained, the network
+gives the shares of the words in the corpus.
+
+Word counts cover every document. For training, documents are dealt by a hash of doc_id and text to parts of a fixed size (so their
+number grows with the corpus, and does not depend on the table's partitions) and to ROUNDS rounds. In each round every part of that
+round starts from the current weights and trains on each of its positions; the weights are then averaged by the number of positions.
+Every position of the corpus is trained on once. The driver holds one set of weights.
+
+Words are split at white space, A-Z in lower case, without ASCII punctuation at the ends; punctuation alone is the empty word, one word
+like others. Words of equal counts rank by their letters. A null or empty text has no words and score 0. A very long text is one
+document, scored in blocks. Repeated rows count and are scored each time; a null doc_id passes through. Other columns of the input are
+ignored. An empty corpus gives untrained weights and an empty result.
 """
 
 from __future__ import annotations
@@ -35,32 +38,45 @@ from pyspark.sql import functions as F
 from rosterweave.llm.common import shared_dir, written
 from rosterweave.shipping import ship
 
-WORDS, CLASSES = 95, 32
-SIZE = 1 + WORDS + CLASSES  # token 0 stands beyond the ends of a document
-REACH, EMBEDDING, HIDDEN = 2, 16, 32
-ROUNDS, BATCH, RATE = 4, 256, 0.05
+GROUPS = MEMBERS = 64
+LEAVES, CLASSES = GROUPS * MEMBERS, 32
+WORDS = LEAVES - CLASSES  # tokens 1 to WORDS are words, then come the classes; 0 stands beyond the ends of a document
+NEAR_WORDS = 2048  # words that have a row of their own as neighbours; others share their class's
+NEAR = 1 + NEAR_WORDS + CLASSES
+REACH, HIDDEN = 2, 16
 _OFFSETS = (-2, -1, 1, 2)
-_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+ROUNDS, PART, BATCH, RATE = 4, 2_000_000, 8192, 0.2
 HELD = 200_000  # words whose counts every task holds; the counts of all others are joined
-_BLOCK, _CACHE = 8192, 300_000
-_MIXED = 1_000_000  # tokens whose documents are shuffled together; a longer document is taken whole
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_BLOCK, _CACHE, _CHUNK = 16_384, 300_000, 16_384
 
 
-@dataclass
-class Rarer:
-    """log P(word | class) of the words in classes."""
+def raw_words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def bare_word(raw: bytes) -> bytes:
+    return raw.strip(_PUNCTUATION)
+
+
+def class_of(bare: bytes) -> int:
+    return zlib.crc32(bare[-2:]) % CLASSES
+
 
-    held: dict[bytes, int]  # counts of the most frequent of them
-    totals: np.ndarray  # CLASSES: occurrences + distinct words + 1
-    distinct: np.ndarray  # CLASSES
-    table: DataFrame | None = None  # word, n of those not held, None if all are
+@dataclass
+class Vocabulary:
+    words: list[bytes]
+    counts: list[int]  # of the words
+    held: dict[bytes, int] = field(default_factory=dict)  # counts of the most frequent rarer words
+    totals: np.ndarray = field(default_factory=lambda: np.ones(CLASSES))  # a class's occurrences + distinct words + 1
+    distinct: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))
+    whole: bool = True  # held has all of them
 
     def __post_init__(self) -> None:
-        self.whole = self.table is None
-        self.cache: dict[bytes, float] = {}
+        self.known = {w: i + 1 for i, w in enumerate(self.words)}
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"table": None, "cache": {}}
+    def size(self) -> int:
+        return int(sum(self.counts) + (self.totals - self.distinct - 1).sum())
 
     def seen(self, n: int, word: bytes) -> float:
         return math.log(n / self.totals[class_of(word)])
@@ -69,256 +85,318 @@ class Rarer:
         c = class_of(word)
         return math.log((self.distinct[c] + 1) / self.totals[c]) - (len(word) + 1) * math.log(257)
 
-    def of(self, raw: bytes, known: dict[bytes, int]) -> float:
-        """0 for a token of its own, NaN where the table has to say."""
-        if (found := self.cache.get(raw)) is None:
-            if len(self.cache) > _CACHE:
-                self.cache.clear()
-            bare = bare_word(raw)
-            if bare in known:
-                found = 0.0
-            elif n := self.held.get(bare):
-                found = self.seen(n, bare)
-            else:
-                found = self.unseen(bare) if self.whole else math.nan
-            self.cache[raw] = found
-        return found
-
-
-@dataclass
-class Vocabulary:
-    words: list[str]
-    counts: list[int]  # of the words, then of all others together
-    rarer: Rarer = field(default_factory=lambda: Rarer({}, np.ones(CLASSES), np.zeros(CLASSES)))
-
-    def __post_init__(self) -> None:
-        self.known = {w.encode("utf-8", "surrogatepass"): i + 1 for i, w in enumerate(self.words)}
-        self.cache: dict[bytes, int] = {}
-
-    def token(self, raw: bytes) -> int:
-        if (found := self.cache.get(raw)) is None:
-            if len(self.cache) > _CACHE:
-                self.cache.clear()
-            bare = bare_word(raw)
-            found = self.cache[raw] = self.known.get(bare) or 1 + WORDS + class_of(bare)
-        return found
-
-    def tokens(self, text: str | None) -> np.ndarray:
-        words = raw_words(text)
-        return np.fromiter(map(self.token, words), dtype=np.uint8, count=len(words))
-
-    def within(self, text: str | None) -> tuple[float, Counter]:
-        """The sum of log P(word | class), and how often words occur that the table has to say."""
-        words, of, known = raw_words(text), self.rarer.of, self.known
-        values = np.fromiter((of(w, known) for w in words), dtype=np.float64, count=len(words))
-        asked = np.isnan(values)
-        return float(values[~asked].sum()), Counter(bare_word(words[i]) for i in np.flatnonzero(asked))
 
+class Lookup(dict):
+    """Raw words to numbers of their own, and what is known of each: token, and log P(word | class): 0 for a token of its own, NaN where the table has to say."""
 
-def raw_words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    def __init__(self, vocab: Vocabulary):
+        super().__init__()
+        self.vocab, self.token, self.within, self.bare = vocab, [], [], []
 
+    def __missing__(self, raw: bytes) -> int:
+        bare, v = bare_word(raw), self.vocab
+        token, within = v.known.get(bare), 0.0
+        if token is None:
+            token = 1 + WORDS + class_of(bare)
+            within = v.seen(n, bare) if (n := v.held.get(bare)) else v.unseen(bare) if v.whole else math.nan
+        number = self[raw] = len(self.token)
+        self.token.append(token)
+        self.within.append(within)
+        self.bare.append(bare)
+        return number
 
-def bare_word(raw: bytes) -> bytes:
-    return raw.strip(_PUNCTUATION)
+    def numbers(self, text: str | None) -> np.ndarray:
+        words = raw_words(text)
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
+    def forget(self) -> None:
+        """Between batches, so that memory stays bounded."""
+        if len(self.token) > _CACHE:
+            self.clear()
+            self.token, self.within, self.bare = [], [], []
 
-def class_of(bare: bytes) -> int:
-    return zlib.crc32(bare[-2:]) % CLASSES
+    def tokens(self, texts: list[str | None]) -> list[np.ndarray]:
+        numbers = [self.numbers(t) for t in texts]
+        table = np.array(self.token, dtype=np.uint16)
+        return [table[n] for n in numbers]
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The most frequent words of all documents, and the counts of all others. Tasks send one row for each distinct word of a batch."""
+def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[Vocabulary, DataFrame]:
+    """The counts of all words of all documents: those that go to the tasks, and the table (word, n) of the others. A task sends a row for each distinct word, again when it has met _CACHE of them."""
     ship(docs.sparkSession)
 
+    def sent(raw: Counter) -> pa.RecordBatch:
+        bare: Counter[bytes] = Counter()
+        for word, n in raw.items():
+            bare[bare_word(word)] += n
+        return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in bare], pa.string()), pa.array(map(class_of, bare), pa.int32()), pa.array(list(bare.values()), pa.int64())], names=["word", "class", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw: Counter[bytes] = Counter()
         for batch in batches:
-            raw, bare = Counter(), Counter()
-            for i in range(batch.num_rows):
-                raw.update(raw_words(batch.column(0)[i].as_py()))
-            for word, n in raw.items():
-                bare[bare_word(word)] += n
-            yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in bare], pa.string()), pa.array(map(class_of, bare), pa.int32()), pa.array(list(bare.values()), pa.int64())], names=["word", "class", "n"])
+            for text in batch.column(0):
+                raw.update(raw_words(text.as_py()))
+                if len(raw) > _CACHE:
+                    yield sent(raw)
+                    raw = Counter()
+        yield sent(raw)
 
     counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
     counts = written(counts, shared_dir(docs.sparkSession), "words")
     first = counts.orderBy(F.col("n").desc(), "word").limit(HELD + WORDS + 1).toArrow()  # a top-k of fixed size
-    first = list(zip(first["word"].to_pylist(), first["n"].to_pylist(), strict=True))
-    top = [(w, n) for w, n in first if w][:WORDS]
-    own = {w for w, _ in top}
-    held = {w.encode("utf-8", "surrogatepass"): n for w, n in first if w not in own}
+    first = [(w.encode("utf-8", "surrogatepass"), n) for w, n in zip(first["word"].to_pylist(), first["n"].to_pylist(), strict=True)]
+    top, held = first[:WORDS], first[WORDS:]
     totals, distinct = np.ones(CLASSES), np.zeros(CLASSES)
-    in_class = counts.filter(~F.col("word").isin(sorted(own))) if own else counts
-    for r in in_class.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t")).collect():  # CLASSES rows at most
+    for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("t")).collect():  # CLASSES rows at most
         totals[r["class"]] += r["n"] + r["t"]
         distinct[r["class"]] = r["t"]
-    total = counts.filter("word <> ''").agg(F.sum("n")).first()[0] or 0
-    rest = None
-    if len(held) < distinct.sum():
-        word, n = first[-1]
-        rest = counts.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word))).select("word", "n")
-    return Vocabulary([w for w, _ in top], [n for _, n in top] + [total - sum(n for _, n in top)], Rarer(held, totals, distinct, rest))
+    for w, n in top:
+        totals[class_of(w)] -= n + 1
+        distinct[class_of(w)] -= 1
+    whole = len(held) == distinct.sum()
+    rest = counts.filter("false")
+    if not whole:
+        word, n = held[-1][0].decode(), held[-1][1]
+        rest = counts.filter((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    return Vocabulary([w for w, _ in top], [n for _, n in top], dict(held), totals, distinct, whole), rest.select("word", "n")
 
 
 @dataclass
 class WindowNet:
-    embed: np.ndarray  # SIZE x EMBEDDING
-    mix: np.ndarray  # 2 REACH x EMBEDDING x HIDDEN
-    bias: np.ndarray  # HIDDEN
-    out: np.ndarray  # HIDDEN x SIZE
-    prior: np.ndarray  # SIZE
+    tables: np.ndarray  # 2 REACH x NEAR x HIDDEN: what a neighbour adds to the hidden layer
+    group: np.ndarray  # HIDDEN x GROUPS
+    member: np.ndarray  # GROUPS x HIDDEN x MEMBERS
+    group_bias: np.ndarray  # GROUPS
+    member_bias: np.ndarray  # GROUPS x MEMBERS
+    near: np.ndarray  # 1 + LEAVES: a token's row as a neighbour; fixed
 
     @classmethod
     def new(cls, vocab: Vocabulary, seed: int = 0) -> WindowNet:
         rng = np.random.default_rng(seed)
-        rest = vocab.counts[-1] / CLASSES if vocab.counts else 0
-        prior = np.array([0.0, *vocab.counts[:-1], *[0.0] * (WORDS - len(vocab.words)), *[rest] * CLASSES]) + 0.5
-        f = lambda *shape: (rng.normal(size=shape) * 0.3).astype(np.float32)
-        return cls(f(SIZE, EMBEDDING), f(2 * REACH, EMBEDDING, HIDDEN), np.zeros(HIDDEN, np.float32), f(HIDDEN, SIZE) * 0.1, np.log(prior / prior.sum()).astype(np.float32))
+        share = np.full(LEAVES, 0.5)
+        share[: len(vocab.counts)] += vocab.counts
+        share[WORDS:] += np.maximum(vocab.totals - vocab.distinct - 1, 0)
+        share = share.reshape(GROUPS, MEMBERS)
+        near = np.zeros(1 + LEAVES, dtype=np.int64)
+        near[1 : NEAR_WORDS + 1] = np.arange(1, NEAR_WORDS + 1)
+        near[NEAR_WORDS + 1 : 1 + WORDS] = 1 + NEAR_WORDS
+        for i, w in enumerate(vocab.words[NEAR_WORDS:], NEAR_WORDS + 1):
+            near[i] = 1 + NEAR_WORDS + class_of(w)
+        near[1 + WORDS :] = 1 + NEAR_WORDS + np.arange(CLASSES)
+        tables = (rng.normal(size=(2 * REACH, NEAR, HIDDEN)) * 0.1).astype(np.float32)
+        none = np.zeros((HIDDEN, GROUPS), np.float32), np.zeros((GROUPS, HIDDEN, MEMBERS), np.float32)
+        return cls(tables, *none, np.log(share.sum(1) / share.sum()).astype(np.float32), np.log(share / share.sum(1, keepdims=True)).astype(np.float32), near)
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embed, self.mix, self.bias, self.out, self.prior]
+        return [self.tables, self.group, self.member, self.group_bias, self.member_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
 
-    @classmethod
-    def of_flat(cls, values: np.ndarray) -> WindowNet:
-        shapes = [(SIZE, EMBEDDING), (2 * REACH, EMBEDDING, HIDDEN), (HIDDEN,), (HIDDEN, SIZE), (SIZE,)]
-        ends = np.cumsum([int(np.prod(s)) for s in shapes])
-        return cls(*[p.reshape(s).astype(np.float32) for p, s in zip(np.split(values, ends[:-1]), shapes, strict=True)])
-
-    def log_probs(self, tokens: np.ndarray) -> float:
-        """The sum over positions of log P(token | its neighbours)."""
-        tables = np.einsum("ve,keh->kvh", self.embed, self.mix)  # what each neighbour adds to the hidden layer
-        padded = np.concatenate([np.zeros(REACH, np.uint8), tokens, np.zeros(REACH, np.uint8)])
-        total = 0.0
-        for at in range(0, len(tokens), _BLOCK):
-            own = tokens[at : at + _BLOCK]
-            hidden = self.bias + sum(tables[k][padded[at + REACH + o : at + REACH + o + len(own)]] for k, o in enumerate(_OFFSETS))
-            scores = np.tanh(hidden) @ self.out + self.prior
-            own_score = scores[np.arange(len(own)), own].sum(dtype=np.float64)
-            scores -= (most := scores.max(axis=1, keepdims=True))
-            total += own_score - float(np.log(np.exp(scores, out=scores).sum(axis=1)).sum(dtype=np.float64)) - float(most.sum(dtype=np.float64))
-        return total
-
-    def train(self, windows: np.ndarray, squares: list[np.ndarray]) -> float:
-        """One pass over windows (n x 5: the neighbours' tokens, then the token); steps shrink with the squares so far. Returns the mean loss."""
-        loss = 0.0
-        for at in range(0, len(windows), BATCH):
-            part = windows[at : at + BATCH]
-            near, own, n = part[:, :-1], part[:, -1], len(part)
-            e = self.embed[near].reshape(n, -1)  # n x 4 E
-            mix = self.mix.reshape(-1, HIDDEN)
-            h = np.tanh(e @ mix + self.bias)
-            s = h @ self.out + self.prior
-            s -= s.max(axis=1, keepdims=True)
-            p = np.exp(s, out=s)
-            p /= p.sum(axis=1, keepdims=True)
-            loss -= float(np.log(p[np.arange(n), own] + 1e-12).sum())
-            p[np.arange(n), own] -= 1
-            p /= n
-            dh = (p @ self.out.T) * (1 - h * h)
-            cells = (near.reshape(-1, 1).astype(np.int64) * EMBEDDING + np.arange(EMBEDDING)).ravel()
-            d_embed = np.bincount(cells, (dh @ mix.T).ravel(), SIZE * EMBEDDING).reshape(SIZE, EMBEDDING).astype(np.float32)
-            for w, d, q in zip(self.parts(), [d_embed, (e.T @ dh).reshape(self.mix.shape), dh.sum(axis=0), h.T @ p, p.sum(axis=0)], squares, strict=True):
-                q += d * d
-                w -= RATE * d / (np.sqrt(q) + 1e-6)
-        return loss / max(1, len(windows))
-
-
-def tokens_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str = "text") -> DataFrame:
-    """One row a document with tokens: one byte each."""
-    ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_flat(self, values: np.ndarray) -> WindowNet:
+        ends = np.cumsum([p.size for p in self.parts()])
+        return WindowNet(*[v.reshape(p.shape).astype(np.float32) for v, p in zip(np.split(values, ends[:-1]), self.parts(), strict=True)], self.near)
+
+    def _hidden(self, rows: list[np.ndarray]) -> np.ndarray:
+        h = self.tables[0][rows[0]]
+        for k in range(1, 2 * REACH):
+            h += self.tables[k][rows[k]]
+        return np.tanh(h, out=h)
+
+    def log_probs(self, padded: np.ndarray) -> np.ndarray:
+        """padded: documents with REACH zeros before, between and after them. For each token of theirs, in order, log P(token | its neighbours)."""
+        at, rows = np.flatnonzero(padded), self.near[padded]
+        out = np.empty(len(at), dtype=np.float32)
+        for first in range(0, len(at), _BLOCK):
+            here = at[first : first + _BLOCK]
+            own = padded[here].astype(np.int64) - 1
+            order = np.argsort((own // MEMBERS).astype(np.uint8), kind="stable")
+            here, own = here[order], own[order]
+            of, i = own // MEMBERS, np.arange(len(own))
+            h = self._hidden([rows[here + o] for o in _OFFSETS])
+            got = _log_share(h @ self.group + self.group_bias, i, of)
+            edges = np.searchsorted(of, np.arange(GROUPS + 1))
+            for g in range(GROUPS):
+                a, b = edges[g], edges[g + 1]
+                if a < b:
+                    got[a:b] += _log_share(h[a:b] @ self.member[g] + self.member_bias[g], i[: b - a], own[a:b] - g * MEMBERS)
+            out[first + order] = got
+        return out
+
+    def train(self, padded: np.ndarray, rng: np.random.Generator) -> int:
+        """One pass over every position of padded documents, in mixed order; steps shrink with the squares of the gradients so far. Returns the number of positions."""
+        squares = [np.full(p.shape, 0.01, np.float32) for p in self.parts()]
+        rows, at = self.near[padded], rng.permutation(np.flatnonzero(padded))
+        for first in range(0, len(at), BATCH):
+            here = at[first : first + BATCH]
+            self.step([rows[here + o] for o in _OFFSETS], padded[here].astype(np.int64) - 1, squares)
+        return len(at)
+
+    def step(self, near: list[np.ndarray], own: np.ndarray, squares: list[np.ndarray]) -> None:
+        """near: the neighbours' rows by place; own: the tokens, from 0."""
+        order = np.argsort((own // MEMBERS).astype(np.uint8), kind="stable")
+        own, near = own[order], [x[order] for x in near]
+        of, i, spread = own // MEMBERS, np.arange(len(own)), np.arange(HIDDEN)
+        h = self._hidden(near)
+        p = _shares(h @ self.group + self.group_bias)
+        p[i, of] -= 1
+        dh, d_group, d_group_bias = p @ self.group.T, h.T @ p, p.sum(axis=0)
+        edges = np.searchsorted(of, np.arange(GROUPS + 1))
+        for g in range(GROUPS):
+            a, b = edges[g], edges[g + 1]
+            if a < b:
+                p = _shares(h[a:b] @ self.member[g] + self.member_bias[g])
+                p[i[: b - a], own[a:b] - g * MEMBERS] -= 1
+                dh[a:b] += p @ self.member[g].T
+                _move(self.member[g], squares[2][g], h[a:b].T @ p)
+                _move(self.member_bias[g], squares[4][g], p.sum(axis=0))
+        _move(self.group, squares[1], d_group)
+        _move(self.group_bias, squares[3], d_group_bias)
+        dh *= 1 - h * h
+        for k in range(2 * REACH):
+            cells = (near[k][:, None] * HIDDEN + spread).ravel()
+            _move(self.tables[k], squares[0][k], np.bincount(cells, dh.ravel(), NEAR * HIDDEN).reshape(NEAR, HIDDEN).astype(np.float32))
+
+
+def _shares(scores: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
+def _log_share(scores: np.ndarray, i: np.ndarray, own: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    got = scores[i, own]
+    return got - np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
+def _move(weights: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
+    squares += slope * slope
+    weights -= RATE * slope / np.sqrt(squares)
+
+
+def padded(documents: list[np.ndarray]) -> np.ndarray:
+    ends = np.zeros(REACH, np.uint16)
+    return np.concatenate([ends, *(x for d in documents for x in (d, ends))])
+
+
+def parts_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """round, part, piece, tokens: padded documents, two bytes a token. A part has about PART tokens in all its rounds; a piece is closed when it has PART / ROUNDS."""
+    spark = docs.sparkSession
+    ship(spark)
+    shipped, n_parts = spark.sparkContext.broadcast(vocab), max(1, math.ceil(vocab.size() / PART))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look = Lookup(shipped.value)
         for batch in batches:
-            out = [t.tobytes() for i in range(batch.num_rows) if len(t := vocab.tokens(batch.column(0)[i].as_py()))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["tokens"])
-
-    return written(docs.select(F.col(text_col).cast("string")).mapInArrow(run, "tokens binary"), folder, "tokens")
-
-
-def windows(documents: list[bytes], rng: np.random.Generator) -> Iterator[np.ndarray]:
-    """Every position of the documents once, in mixed order: blocks of n x 5, the neighbours' tokens, then the token."""
-    ends = bytes(REACH)  # no token of a document is 0
-    flat = np.frombuffer(ends + ends.join(documents) + ends, dtype=np.uint8)
-    at = rng.permutation(np.flatnonzero(flat))
-    for k in range(0, len(at), 256 * BATCH):
-        yield flat[at[k : k + 256 * BATCH, None] + np.array([*_OFFSETS, 0])]
-
-
-def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    """The documents of all batches, in lists of about _MIXED tokens."""
-    kept, size = [], 0
+            found = look.tokens(batch.column(3).to_pylist())
+            look.forget()
+            some = [k for k, t in enumerate(found) if len(t)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(some, pa.int64())) for c in range(3)), pa.array([found[k].tobytes() for k in some], pa.binary())], names=["round", "part", "h", "tokens"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, piece, kept, size = None, 0, [], 0
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((at[0], pa.int32()), (at[1], pa.int32()), (piece, pa.int32()), (padded(kept).tobytes(), pa.binary()))], names=["round", "part", "piece", "tokens"])
+        for batch in batches:
+            for r, p, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+                if at != (r, p) or size >= PART // ROUNDS:
+                    if kept:
+                        yield row()
+                    at, piece, kept, size = (r, p), piece + 1 if at == (r, p) else 0, [], 0
+                kept.append(np.frombuffer(tokens.as_py(), np.uint16))
+                size += len(kept[-1])
+        if kept:
+            yield row()
+
+    h = F.xxhash64(F.col(id_col).cast("long"), F.col("text"))
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).select(F.pmod(F.shiftright(h, 40), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(h, F.lit(n_parts)).cast("int").alias("part"), h.alias("h"), "text")
+    dealt = rows.mapInArrow(cut, "round int, part int, h long, tokens binary").repartition("round", "part").sortWithinPartitions("round", "part", "h", "tokens")
+    return written(dealt.mapInArrow(pack, "round int, part int, piece int, tokens binary"), folder, "parts")
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the chunks that come by, whatever their number."""
+    sums: dict[int, list] = {}
     for batch in batches:
-        for document in batch.column(0):
-            kept.append(document.as_py())
-            size += len(kept[-1])
-            if size >= _MIXED:
-                yield kept
-                kept, size = [], 0
-    if kept:
-        yield kept
-
-
-def trained(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS) -> WindowNet:
-    table = tokens_table(docs, vocab, shared_dir(docs.sparkSession), text_col)
-    net = WindowNet.new(vocab)
-    for r in range(rounds):
-
-        def run(batches: Iterator[pa.RecordBatch], start: np.ndarray = net.flat(), seed: int = r) -> Iterator[pa.RecordBatch]:
-            own = WindowNet.of_flat(start)
-            squares, n = [np.full(p.shape, 0.01, np.float32) for p in own.parts()], 0
-            rng = np.random.default_rng(seed)
-            for documents in groups(batches):
-                for block in windows(documents, rng):
-                    own.train(block, squares)
-                    n += len(block)
+        for chunk, n, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            own = sums.setdefault(chunk, [0, 0.0])
+            own[0] += n
+            own[1] = own[1] + np.frombuffer(values.as_py(), np.float64)
+    yield _chunks(list(sums.items()))
+
+
+def _chunks(found: list[tuple[int, list]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([n for _, (n, _) in found], pa.int64()), pa.array([v.tobytes() for _, (_, v) in found], pa.binary())], names=["chunk", "n", "v"])
+
+
+def trained(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> WindowNet:
+    spark = docs.sparkSession
+    table, net = parts_table(docs, vocab, shared_dir(spark), text_col, id_col), WindowNet.new(vocab)
+    for r in range(ROUNDS):
+        start = spark.sparkContext.broadcast(net)  # its size is fixed
+
+        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
+            total, n = 0.0, 0
+            for batch in batches:
+                for turn, part, piece, tokens in zip(*(batch.column(c) for c in range(4)), strict=True):
+                    own = start.value.with_flat(start.value.flat())
+                    m = own.train(np.frombuffer(tokens.as_py(), np.uint16), np.random.default_rng([turn.as_py(), part.as_py(), piece.as_py()]))
+                    total, n = total + own.flat().astype(np.float64) * m, n + m
             if n:
-                flat = own.flat()
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat.astype(np.float64) * n), pa.array(np.full(len(flat), n, dtype=np.int64))], names=["i", "v", "n"])
-
-        # one row a weight comes back
-        mean = table.mapInArrow(run, "i int, v double, n long").groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect()
-        if not mean:
-            break
-        net = WindowNet.of_flat(np.array([x["v"] for x in sorted(mean, key=lambda x: x["i"])]))
+                yield _chunks([(k, [n, total[k * _CHUNK : (k + 1) * _CHUNK]]) for k in range(math.ceil(len(total) / _CHUNK))])
+
+        sums = table.filter(F.col("round") == r).mapInArrow(run, "chunk int, n long, v binary").repartition("chunk").mapInArrow(_added, "chunk int, n long, v binary").collect()  # one set of weights
+        start.unpersist()
+        if sums:
+            net = net.with_flat(np.concatenate([np.frombuffer(x["v"], np.float64) / x["n"] for x in sorted(sums, key=lambda x: x["chunk"])]))
     return net
 
 
-def scored(docs: DataFrame, vocab: Vocabulary, net: WindowNet, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, log_prob (the sum), mean_log_prob for each row."""
-    ship(docs.sparkSession)
+def scored(docs: DataFrame, vocab: Vocabulary, rest: DataFrame, net: WindowNet, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """doc_id, n_tokens, log_prob (the sum), mean_log_prob for each row. rest: the counts that vocab does not hold."""
+    spark = docs.sparkSession
+    ship(spark)
+    shipped = spark.sparkContext.broadcast((vocab, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, net = shipped.value
+        look = Lookup(vocab)
         for batch in batches:
-            texts = [batch.column(2)[i].as_py() for i in range(batch.num_rows)]
-            tokens, within = [vocab.tokens(t) for t in texts], [vocab.within(t) for t in texts]
-            sums, sizes = np.array([net.log_probs(t) + w for t, (w, _) in zip(tokens, within, strict=True)], dtype=np.float64), np.array([len(t) for t in tokens], dtype=np.int64)
-            asked = [[{"word": w.decode("utf-8", "replace"), "times": n} for w, n in a.items()] for _, a in within]
+            numbers = [look.numbers(t) for t in batch.column(2).to_pylist()]
+            token, within = np.array(look.token, dtype=np.uint16), np.array(look.within)
+            sizes = np.array([len(n) for n in numbers], dtype=np.int64)
+            each = net.log_probs(padded([token[n] for n in numbers])) if sizes.any() else np.empty(0)
+            ends = np.cumsum(sizes)
+            sums, asked = np.zeros(len(numbers)), []
+            for k, n in enumerate(numbers):
+                inner = within[n]
+                sums[k] = each[ends[k] - sizes[k] : ends[k]].sum(dtype=np.float64) + np.nansum(inner)
+                more = Counter(look.bare[x] for x in n[np.isnan(inner)].tolist())
+                asked.append([{"word": w.decode("utf-8", "replace"), "times": m} for w, m in more.items()])
+            look.forget()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(sums), pa.array(asked, _ASKED)], names=["row", "doc_id", "n_tokens", "log_prob", "asked"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double, asked array<struct<word: string, times: long>>")
-    if vocab.rarer.table is not None:
-        found = written(found, shared_dir(docs.sparkSession), "scored")  # rows keep their numbers
-        found = found.join(_asked(found, vocab.rarer), "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+    if not vocab.whole:
+        found = written(found, shared_dir(spark), "scored")  # rows keep their numbers
+        found = found.join(_asked(found, vocab, rest), "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
     return found.select("doc_id", "n_tokens", "log_prob", (F.col("log_prob") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob"))
 
 
 _ASKED = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
 
 
-def _asked(found: DataFrame, rarer: Rarer) -> DataFrame:
-    """row, more: what the words that tasks do not hold add to a row."""
-    words = found.select("row", F.explode("asked").alias("a")).select("row", "a.word", "a.times").join(rarer.table, "word", "left")
-    rarer = Rarer({}, rarer.totals, rarer.distinct)
+def _asked(found: DataFrame, vocab: Vocabulary, rest: DataFrame) -> DataFrame:
+    """row, more: what the words that tasks do not hold add to a row. None of them is frequent, or it would be held."""
+    words = found.select("row", F.explode("asked").alias("a")).select("row", "a.word", "a.times").join(rest, "word", "left")
+    small = Vocabulary([], [], {}, vocab.totals, vocab.distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             word, n, times = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_numpy()
-            each = np.array([rarer.unseen(w) if c is None else rarer.seen(c, w) for w, c in zip(word, n, strict=True)], dtype=np.float64)
+            each = np.array([small.unseen(w) if c is None else small.seen(c, w) for w, c in zip(word, n, strict=True)], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each * times)], names=["row", "more"])
 
     return words.select("row", "word", "n", "times").mapInArrow(run, "row long, more double").groupBy("row").agg(F.sum("more").alias("more"))
@@ -326,5 +404,5 @@ def _asked(found: DataFrame, rarer: Rarer) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    vocab = vocabulary(docs)
-    return scored(docs, vocab, trained(docs, vocab))
+    vocab, rest = vocabulary(docs)
+    return scored(docs, vocab, rest, trained(docs, vocab))

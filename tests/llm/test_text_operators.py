@@ -188,44 +188,87 @@ def test_bpe_forgets_and_still_agrees(library):
 # --- 8 ---
 
 
-def test_lm_learns_and_sums_conditionals(spark):
+def lm_vocabulary(*words):
+    return lm_scoring.Vocabulary([w.encode() for w in words], [9 - i for i in range(len(words))])
+
+
+def lm_odd_net(vocab, seed=4):
+    net = lm_scoring.WindowNet.new(vocab, seed)
+    rng = np.random.default_rng(seed)
+    for p in net.parts():
+        p += rng.normal(size=p.shape).astype(np.float32) * 0.3
+    return net
+
+
+def lm_chance(net, near, own):
+    """P(group) * P(word in its group), written out in double precision."""
+    h = np.tanh(sum(net.tables[k, net.near[x]].astype(np.float64) for k, x in enumerate(near)))
+    share = lambda s: np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+    g, m = divmod(own - 1, lm_scoring.MEMBERS)
+    return share(h @ net.group + net.group_bias)[g] * share(h @ net.member[g] + net.member_bias[g])[m]
+
+
+def test_lm_beats_word_shares_on_held_out_documents(spark):
+    """Held-out documents, the same vocabulary: over half a nat a word better than the untrained network, which gives each word's share."""
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
-    vocab = lm_scoring.vocabulary(docs)
-    texts = [r["text"] for r in docs.select("text").collect()]
-    counts = {}
-    for t in texts:
-        for w in lm_scoring.raw_words(t):
-            counts[lm_scoring.bare_word(w)] = counts.get(lm_scoring.bare_word(w), 0) + 1
-    top = sorted((w for w in counts if w), key=lambda w: (-counts[w], w.decode()))[: lm_scoring.WORDS]
-    assert [w.encode() for w in vocab.words] == top
-    mean = lambda net: (lambda rows: sum(r["log_prob"] for r in rows) / sum(r["n_tokens"] for r in rows))(lm_scoring.scored(docs, vocab, net).collect())
-    start = lm_scoring.WindowNet.new(vocab)
-    start.out[:] = 0
-    assert mean(lm_scoring.trained(docs, vocab, rounds=2)) > mean(start) + 0.2
+    held = F.crc32(F.col("text").cast("binary")) % 4 == 1
+    vocab, rest = lm_scoring.vocabulary(docs.filter(~held))
+    assert vocab.size() > 250_000 and len(vocab.words) == lm_scoring.WORDS
+    mean = lambda net: (lambda r: r[0] / r[1])(lm_scoring.scored(docs.filter(held), vocab, rest, net).agg(F.sum("log_prob"), F.sum("n_tokens")).first())
+    assert mean(lm_scoring.trained(docs.filter(~held), vocab)) > mean(lm_scoring.WindowNet.new(vocab)) + 0.5
+
+
+def test_lm_untrained_gives_shares():
+    vocab = lm_vocabulary("a", "b", "c")
+    net = lm_scoring.WindowNet.new(vocab)
+    got = np.exp(net.log_probs(lm_scoring.padded([np.array([1, 2, 3], np.uint16)])))
+    want = np.array([9.5, 8.5, 7.5]) / (24 + lm_scoring.LEAVES * 0.5)
+    assert got == pytest.approx(want, rel=1e-4)
 
 
 def test_lm_scores_by_definition():
-    vocab = lm_scoring.Vocabulary(["a", "b"], [5, 3, 10])
-    net = lm_scoring.WindowNet.new(vocab, seed=4)
-    t = vocab.tokens("a b, C a zz b " * 3)
-    padded = [0, 0, *t, 0, 0]
-    total = 0.0
-    for i in range(len(t)):
-        near = [padded[i], padded[i + 1], padded[i + 3], padded[i + 4]]
-        h = np.tanh(sum(net.embed[x] @ net.mix[k] for k, x in enumerate(near)) + net.bias)
-        s = h @ net.out + net.prior
-        total += s[t[i]] - np.log(np.exp(s).sum())
-    assert net.log_probs(t) == pytest.approx(total, rel=1e-4) and lm_scoring.WindowNet.of_flat(net.flat()).log_probs(t) == net.log_probs(t)
+    vocab = lm_vocabulary("a", "b")
+    net = lm_odd_net(vocab)
+    documents = lm_scoring.Lookup(vocab).tokens(["a b, C a zz b " * 3, "", "b"])
+    want = []
+    for t in documents:
+        at = [0, 0, *map(int, t), 0, 0]
+        want += [np.log(lm_chance(net, [at[i - 2], at[i - 1], at[i + 1], at[i + 2]], at[i])) for i in range(2, len(at) - 2)]
+    assert net.log_probs(lm_scoring.padded(documents)) == pytest.approx(want, rel=1e-3)
+    assert sum(lm_chance(net, [0, 1, 2, 0], x) for x in range(1, lm_scoring.LEAVES + 1)) == pytest.approx(1)
+
+
+def test_lm_steps_by_definition():
+    """A step of training against slopes by differences."""
+    net, rng = lm_odd_net(lm_vocabulary("a", "b")), np.random.default_rng(1)
+    near, own = [rng.integers(0, 40, 30) for _ in range(4)], rng.integers(0, lm_scoring.LEAVES, 30)
+    loss = lambda: -sum(np.log(lm_chance(net, [x[i] for x in near], own[i] + 1)) for i in range(30))
+    g, m = divmod(int(own[0]), lm_scoring.MEMBERS)
+    places = [(0, (1, net.near[near[1][0]], 3)), (1, (5, g)), (2, (g, 7, m)), (3, (g,)), (4, (g, m))]
+    slopes, was = [], net.flat()
+    for part, at in places:
+        p = net.parts()[part]
+        old = p[at]
+        p[at] = old + 1e-2
+        up = loss()
+        p[at] = old - 1e-2
+        slopes.append((up - loss()) / (float(np.float32(old + 1e-2)) - float(np.float32(old - 1e-2))))
+        p[at] = old
+    assert np.array_equal(was, net.flat())
+    before = [net.parts()[part][at] for part, at in places]
+    net.step([net.near[x] for x in near], own, [np.full(p.shape, 0.01, np.float32) for p in net.parts()])
+    for (part, at), old, d in zip(places, before, slopes, strict=True):
+        assert net.parts()[part][at] == pytest.approx(old - lm_scoring.RATE * d / np.sqrt(0.01 + d * d), abs=2e-3)
 
 
 def test_lm_of_odd_tables(docs):
     df = docs(ODD)
-    vocab = lm_scoring.vocabulary(df)
-    got = {r["doc_id"]: r for r in lm_scoring.scored(df, vocab, lm_scoring.trained(df, vocab)).collect()}
+    vocab, rest = lm_scoring.vocabulary(df)
+    got = {r["doc_id"]: r for r in lm_scoring.scored(df, vocab, rest, lm_scoring.trained(df, vocab)).collect()}
     assert got[1]["log_prob"] == got[2]["log_prob"] == 0.0 and got[7]["n_tokens"] == 60_000 and got[7]["log_prob"] < 0
     empty = docs([])
-    v = lm_scoring.vocabulary(empty)
-    assert v.words == [] and lm_scoring.scored(empty, v, lm_scoring.trained(empty, v)).count() == 0
+    v, none = lm_scoring.vocabulary(empty)
+    assert v.words == [] and lm_scoring.scored(empty, v, none, lm_scoring.trained(empty, v)).count() == 0
 
 
 @pytest.mark.parametrize("held", [200_000, 3])
@@ -235,70 +278,68 @@ def test_lm_tells_rare_words_apart(docs, monkeypatch, held):
     top = " ".join(["the", "on", *(f"top{i}" for i in range(lm_scoring.WORDS - 2))])
     rows = [(0, " ".join([top] * 9)), (1, "the cat sat, the rat sat on the mat -- a bat"), (2, "the the sat sat nation station station ration"), (None, "on a mat at a mat"), (None, "on a mat at a mat"), (4, None)]
     df = docs(rows)
-    vocab = lm_scoring.vocabulary(df)
+    vocab, rest = lm_scoring.vocabulary(df)
     net = lm_scoring.WindowNet.new(vocab)
-    assert (vocab.rarer.table is not None) == (held == 3) and sorted(vocab.words) == sorted(top.split())
+    assert vocab.whole == (held != 3) and {w.decode() for w in vocab.words} == set(top.split())
     n = {}
     for _, t in rows:
         for w in map(lm_scoring.bare_word, lm_scoring.raw_words(t)):
             n[w] = n.get(w, 0) + 1
-    for w in map(str.encode, vocab.words):
+    assert vocab.size() == sum(n.values())
+    for w in vocab.words:
         n.pop(w)
     class_of = lambda w: zlib.crc32(w[-2:]) % lm_scoring.CLASSES
 
     def within(w):
-        if w.decode() in vocab.words:
+        if w in vocab.known:
             return 0.0
         own = {k: v for k, v in n.items() if class_of(k) == class_of(w)}
         all_of = sum(own.values()) + len(own) + 1
         return np.log(own[w] / all_of) if w in own else np.log((len(own) + 1) / all_of) - (len(w) + 1) * np.log(257)
 
     more = [(10, "the cat station"), (11, "the cat qqqqtion"), (12, "the cat zzzzzzzzzzztion")]
-    got = lm_scoring.scored(docs(rows + more), vocab, net).collect()
-    want = [(i, net.log_probs(vocab.tokens(t)) + sum(within(lm_scoring.bare_word(w)) for w in lm_scoring.raw_words(t))) for i, t in rows + more]
-    assert sorted(repr((r["doc_id"], round(r["log_prob"], 3))) for r in got) == sorted(repr((i, round(float(s), 3))) for i, s in want)
+    got = lm_scoring.scored(docs(rows + more), vocab, rest, net).collect()
+    look = lm_scoring.Lookup(vocab)
+    score = lambda t: float(net.log_probs(lm_scoring.padded(look.tokens([t]))).sum(dtype=float)) if t else 0.0
+    want = sorted(((i, score(t) + sum(within(lm_scoring.bare_word(w)) for w in lm_scoring.raw_words(t))) for i, t in rows + more), key=repr)
+    found = sorted(((r["doc_id"], r["log_prob"]) for r in got), key=repr)
+    assert [i for i, _ in found] == [i for i, _ in want] and [s for _, s in found] == pytest.approx([s for _, s in want], rel=1e-5)
     at = {r["doc_id"]: r["log_prob"] for r in got}
     assert at[10] > at[11] > at[12]
     for c in range(lm_scoring.CLASSES):
         assert sum(np.exp(within(w)) for w in n if class_of(w) == c) < 1
 
 
-def test_lm_trains_on_every_position(docs):
-    """Each position of each document once, also of short ones and of those without an id."""
-    rows = [(None, "a"), (None, "b c"), (1, "a b"), (2, "c " * 100), (3, ""), (4, None)]
+@pytest.mark.parametrize("part", [2_000_000, 40])
+def test_lm_trains_on_every_position(docs, monkeypatch, part):
+    """Each position of each document once, also of short ones and of those without an id; parts do not depend on partitions."""
+    monkeypatch.setattr(lm_scoring, "PART", part)
+    rows = [(None, "a"), (None, "b c"), (1, "a b"), (2, "c " * 100), (3, ""), (4, None), *((10 + i, "a b c d") for i in range(50))]
     df = docs(rows)
-    vocab = lm_scoring.vocabulary(df)
-    table = [bytes(r["tokens"]) for r in lm_scoring.tokens_table(df, vocab, lm_scoring.shared_dir(df.sparkSession)).collect()]
-    got = [tuple(map(int, w)) for block in lm_scoring.windows(table, np.random.default_rng(0)) for w in block]
+    vocab, _ = lm_scoring.vocabulary(df)
+    tables = [sorted(tuple(map(bytes, (repr(r[:3]).encode(), r["tokens"]))) for r in lm_scoring.parts_table(docs(rows, n), vocab, lm_scoring.shared_dir(df.sparkSession)).collect()) for n in (3, 7)]
+    assert tables[0] == tables[1] and (len(tables[0]) > 8) == (part == 40)
+    got = []
+    for _, tokens in tables[0]:
+        flat = np.frombuffer(tokens, np.uint16)
+        got += [tuple(int(flat[i + o]) for o in (-2, -1, 0, 1, 2)) for i in np.flatnonzero(flat)]
     want = []
     for _, t in rows:
-        padded = [0, 0, *map(int, vocab.tokens(t)), 0, 0]
-        want += [(padded[i - 2], padded[i - 1], padded[i + 1], padded[i + 2], padded[i]) for i in range(2, len(padded) - 2)]
-    assert sorted(got) == sorted(want) and len(got) == 105
-
-
-def test_lm_steps_by_definition():
-    """One step of training against the gradient, written out."""
-    net = lm_scoring.WindowNet.new(lm_scoring.Vocabulary(["a", "b"], [5, 3, 10]), seed=4)
-    rows = np.random.default_rng(1).integers(0, lm_scoring.SIZE, (40, 5)).astype(np.uint8)
-    old = [p.astype(np.float64) for p in net.parts()]
-    net.train(rows, [np.full(p.shape, 0.01, np.float32) for p in net.parts()])
-    embed, mix, bias, out, prior = old
-    grads = [np.zeros_like(p) for p in old]
-    for *near, own in rows:
-        h = np.tanh(sum(embed[x] @ mix[k] for k, x in enumerate(near)) + bias)
-        s = h @ out + prior
-        p = np.exp(s - s.max())
-        p /= p.sum()
-        p[own] -= 1
-        dh = (out @ p) * (1 - h * h)
-        for k, x in enumerate(near):
-            grads[0][x] += mix[k] @ dh / len(rows)
-            grads[1][k] += np.outer(embed[x], dh) / len(rows)
-        for g, d in zip(grads[2:], (dh, np.outer(h, p), p), strict=True):
-            g += d / len(rows)
-    for new, was, g in zip(net.parts(), old, grads, strict=True):
-        assert np.allclose(new, was - lm_scoring.RATE * g / (np.sqrt(0.01 + g * g) + 1e-6), atol=1e-5)
+        at = [0, 0, *map(int, lm_scoring.Lookup(vocab).tokens([t])[0]), 0, 0]
+        want += [tuple(at[i - 2 : i + 3]) for i in range(2, len(at) - 2)]
+    assert sorted(got) == sorted(want) and len(got) == 305
+
+
+def test_lm_scores_do_not_depend_on_partitions(docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART", 2000)
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 2) for _ in range(rnd.randint(0, 60)))) for i in range(300)]
+    found = []
+    for parts in (2, 9):
+        df = docs(rows, parts)
+        vocab, rest = lm_scoring.vocabulary(df)
+        found.append([r["log_prob"] for r in lm_scoring.scored(df, vocab, rest, lm_scoring.trained(df, vocab)).orderBy("doc_id").collect()])
+    assert found[0] == pytest.approx(found[1], rel=1e-4)
 
 
 # --- 9 ---
