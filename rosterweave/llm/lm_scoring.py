@@ -48,7 +48,7 @@ _OFFSETS = (-2, -1, 1, 2)
 ROUNDS, PART, BATCH, RATE = 4, 2_000_000, 8192, 0.2
 HELD = 200_000  # words whose counts every task holds; the counts of all others are joined
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_BLOCK, _CACHE, _CHUNK = 16_384, 300_000, 16_384
+_BLOCK, _CACHE, _CHUNK = 16_384, 300_000, 4096
 
 
 def raw_words(text: str | None) -> list[bytes]:
@@ -214,12 +214,12 @@ class WindowNet:
             here, own = here[order], own[order]
             of, i = own // MEMBERS, np.arange(len(own))
             h = self._hidden([rows[here + o] for o in _OFFSETS])
-            got = _log_share(h @ self.group + self.group_bias, i, of)
+            got = _log_share(h, self.group, self.group_bias, i, of)
             edges = np.searchsorted(of, np.arange(GROUPS + 1))
             for g in range(GROUPS):
                 a, b = edges[g], edges[g + 1]
                 if a < b:
-                    got[a:b] += _log_share(h[a:b] @ self.member[g] + self.member_bias[g], i[: b - a], own[a:b] - g * MEMBERS)
+                    got[a:b] += _log_share(h[a:b], self.member[g], self.member_bias[g], i[: b - a], own[a:b] - g * MEMBERS)
             out[first + order] = got
         return out
 
@@ -238,14 +238,14 @@ class WindowNet:
         own, near = own[order], [x[order] for x in near]
         of, i, spread = own // MEMBERS, np.arange(len(own)), np.arange(HIDDEN)
         h = self._hidden(near)
-        p = _shares(h @ self.group + self.group_bias)
+        p = _shares(h, self.group, self.group_bias)
         p[i, of] -= 1
         dh, d_group, d_group_bias = p @ self.group.T, h.T @ p, p.sum(axis=0)
         edges = np.searchsorted(of, np.arange(GROUPS + 1))
         for g in range(GROUPS):
             a, b = edges[g], edges[g + 1]
             if a < b:
-                p = _shares(h[a:b] @ self.member[g] + self.member_bias[g])
+                p = _shares(h[a:b], self.member[g], self.member_bias[g])
                 p[i[: b - a], own[a:b] - g * MEMBERS] -= 1
                 dh[a:b] += p @ self.member[g].T
                 _move(self.member[g], squares[2][g], h[a:b].T @ p)
@@ -258,17 +258,26 @@ class WindowNet:
             _move(self.tables[k], squares[0][k], np.bincount(cells, dh.ravel(), NEAR * HIDDEN).reshape(NEAR, HIDDEN).astype(np.float32))
 
 
-def _shares(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+def _scores(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Shifted where exp could overflow; no value of h is beyond 1."""
+    scores = h @ weights
+    scores += bias
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > 80:
+        scores -= scores.max(axis=1, keepdims=True)
+    return scores
+
+
+def _shares(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    scores = _scores(h, weights, bias)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores *= 1 / (scores @ np.ones((scores.shape[1], 1), np.float32))
     return scores
 
 
-def _log_share(scores: np.ndarray, i: np.ndarray, own: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+def _log_share(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, i: np.ndarray, own: np.ndarray) -> np.ndarray:
+    scores = _scores(h, weights, bias)
     got = scores[i, own]
-    return got - np.log(np.exp(scores, out=scores).sum(axis=1))
+    return got - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
 
 
 def _move(weights: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
@@ -281,19 +290,36 @@ def padded(documents: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([ends, *(x for d in documents for x in (d, ends))])
 
 
-def parts_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """round, part, piece, tokens: padded documents, two bytes a token. A part has about PART tokens in all its rounds; a piece is closed when it has PART / ROUNDS."""
+_ASKED = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
+
+
+def tokenized(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """A row for each row of docs, in a table of the shared folder: row (its number), doc_id, h (a hash of doc_id and text), n_tokens, within (the sum of log P(word | class)), asked (words whose counts tasks do not hold), tokens (two bytes each)."""
     spark = docs.sparkSession
     ship(spark)
-    shipped, n_parts = spark.sparkContext.broadcast(vocab), max(1, math.ceil(vocab.size() / PART))
+    shipped = spark.sparkContext.broadcast(vocab)  # bounded by HELD
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Lookup(shipped.value)
         for batch in batches:
-            found = look.tokens(batch.column(3).to_pylist())
+            numbers = [look.numbers(t) for t in batch.column(3).to_pylist()]
+            token, within, sums, asked = np.array(look.token, dtype=np.uint16), np.array(look.within), [], []
+            for n in numbers:
+                inner = within[n]
+                sums.append(np.nansum(inner))
+                more = Counter(look.bare[x] for x in n[np.isnan(inner)].tolist())
+                asked.append([{"word": w.decode("utf-8", "replace"), "times": m} for w, m in more.items()])
+            made = [pa.array([len(n) for n in numbers], pa.int64()), pa.array(sums, pa.float64()), pa.array(asked, _ASKED), pa.array([token[n].tobytes() for n in numbers], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["row", "doc_id", "h", "n_tokens", "within", "asked", "tokens"])
             look.forget()
-            some = [k for k, t in enumerate(found) if len(t)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(some, pa.int64())) for c in range(3)), pa.array([found[k].tobytes() for k in some], pa.binary())], names=["round", "part", "h", "tokens"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = rows.select("row", "doc_id", F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "row long, doc_id long, h long, n_tokens long, within double, asked array<struct<word: string, times: long>>, tokens binary")
+    return written(found, shared_dir(spark), "tokens")
+
+
+def parts_table(tokens: DataFrame, n_tokens: int, folder: str) -> DataFrame:
+    """round, part, piece, tokens: padded documents. A part has about PART tokens in all its rounds; a piece is closed when it has PART / ROUNDS."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, piece, kept, size = None, 0, [], 0
@@ -309,9 +335,9 @@ def parts_table(docs: DataFrame, vocab: Vocabulary, folder: str, text_col: str =
         if kept:
             yield row()
 
-    h = F.xxhash64(F.col(id_col).cast("long"), F.col("text"))
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).select(F.pmod(F.shiftright(h, 40), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod(h, F.lit(n_parts)).cast("int").alias("part"), h.alias("h"), "text")
-    dealt = rows.mapInArrow(cut, "round int, part int, h long, tokens binary").repartition("round", "part").sortWithinPartitions("round", "part", "h", "tokens")
+    n_parts = max(1, math.ceil(n_tokens / PART))
+    rows = tokens.filter("n_tokens > 0").select(F.pmod(F.shiftright("h", 40), F.lit(ROUNDS)).cast("int").alias("round"), F.pmod("h", F.lit(n_parts)).cast("int").alias("part"), "h", "tokens")
+    dealt = rows.repartition("round", "part").sortWithinPartitions("round", "part", "h", "tokens")
     return written(dealt.mapInArrow(pack, "round int, part int, piece int, tokens binary"), folder, "parts")
 
 
@@ -330,9 +356,10 @@ def _chunks(found: list[tuple[int, list]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([n for _, (n, _) in found], pa.int64()), pa.array([v.tobytes() for _, (_, v) in found], pa.binary())], names=["chunk", "n", "v"])
 
 
-def trained(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> WindowNet:
-    spark = docs.sparkSession
-    table, net = parts_table(docs, vocab, shared_dir(spark), text_col, id_col), WindowNet.new(vocab)
+def trained(tokens: DataFrame, vocab: Vocabulary) -> WindowNet:
+    """tokens: of `tokenized`."""
+    spark = tokens.sparkSession
+    table, net = parts_table(tokens, vocab.size(), shared_dir(spark)), WindowNet.new(vocab)
     for r in range(ROUNDS):
         start = spark.sparkContext.broadcast(net)  # its size is fixed
 
@@ -353,44 +380,25 @@ def trained(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col:
     return net
 
 
-def scored(docs: DataFrame, vocab: Vocabulary, rest: DataFrame, net: WindowNet, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, log_prob (the sum), mean_log_prob for each row. rest: the counts that vocab does not hold."""
-    spark = docs.sparkSession
-    ship(spark)
-    shipped = spark.sparkContext.broadcast((vocab, net))
+def scored(tokens: DataFrame, vocab: Vocabulary, rest: DataFrame, net: WindowNet) -> DataFrame:
+    """tokens: of `tokenized`. doc_id, n_tokens, log_prob (the sum), mean_log_prob for each row. rest: the counts that vocab does not hold."""
+    shipped = tokens.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, net = shipped.value
-        look = Lookup(vocab)
         for batch in batches:
-            numbers = [look.numbers(t) for t in batch.column(2).to_pylist()]
-            token, within = np.array(look.token, dtype=np.uint16), np.array(look.within)
-            sizes = np.array([len(n) for n in numbers], dtype=np.int64)
-            each = net.log_probs(padded([token[n] for n in numbers])) if sizes.any() else np.empty(0)
-            ends = np.cumsum(sizes)
-            sums, asked = np.zeros(len(numbers)), []
-            for k, n in enumerate(numbers):
-                inner = within[n]
-                sums[k] = each[ends[k] - sizes[k] : ends[k]].sum(dtype=np.float64) + np.nansum(inner)
-                more = Counter(look.bare[x] for x in n[np.isnan(inner)].tolist())
-                asked.append([{"word": w.decode("utf-8", "replace"), "times": m} for w, m in more.items()])
-            look.forget()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(sums), pa.array(asked, _ASKED)], names=["row", "doc_id", "n_tokens", "log_prob", "asked"])
+            each = shipped.value.log_probs(padded([np.frombuffer(t.as_py(), np.uint16) for t in batch.column(4)]))
+            ends = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])[np.cumsum(np.concatenate([[0], batch.column(2).to_numpy()]))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(ends) + batch.column(3).to_numpy())], names=["row", "doc_id", "n_tokens", "log_prob"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double, asked array<struct<word: string, times: long>>")
+    found = tokens.select("row", "doc_id", "n_tokens", "within", "tokens").mapInArrow(run, "row long, doc_id long, n_tokens long, log_prob double")
     if not vocab.whole:
-        found = written(found, shared_dir(spark), "scored")  # rows keep their numbers
-        found = found.join(_asked(found, vocab, rest), "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
+        found = found.join(_asked(tokens, vocab, rest), "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("more", F.lit(0.0)))
     return found.select("doc_id", "n_tokens", "log_prob", (F.col("log_prob") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob"))
 
 
-_ASKED = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
-
-
-def _asked(found: DataFrame, vocab: Vocabulary, rest: DataFrame) -> DataFrame:
+def _asked(tokens: DataFrame, vocab: Vocabulary, rest: DataFrame) -> DataFrame:
     """row, more: what the words that tasks do not hold add to a row. None of them is frequent, or it would be held."""
-    words = found.select("row", F.explode("asked").alias("a")).select("row", "a.word", "a.times").join(rest, "word", "left")
+    words = tokens.select("row", F.explode("asked").alias("a")).select("row", "a.word", "a.times").join(rest, "word", "left")
     small = Vocabulary([], [], {}, vocab.totals, vocab.distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -405,4 +413,5 @@ def _asked(found: DataFrame, vocab: Vocabulary, rest: DataFrame) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     vocab, rest = vocabulary(docs)
-    return scored(docs, vocab, rest, trained(docs, vocab))
+    tokens = tokenized(docs, vocab)
+    return scored(tokens, vocab, rest, trained(tokens, vocab))

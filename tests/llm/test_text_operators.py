@@ -214,8 +214,9 @@ def test_lm_beats_word_shares_on_held_out_documents(spark):
     held = F.crc32(F.col("text").cast("binary")) % 4 == 1
     vocab, rest = lm_scoring.vocabulary(docs.filter(~held))
     assert vocab.size() > 250_000 and len(vocab.words) == lm_scoring.WORDS
-    mean = lambda net: (lambda r: r[0] / r[1])(lm_scoring.scored(docs.filter(held), vocab, rest, net).agg(F.sum("log_prob"), F.sum("n_tokens")).first())
-    assert mean(lm_scoring.trained(docs.filter(~held), vocab)) > mean(lm_scoring.WindowNet.new(vocab)) + 0.5
+    test, train = lm_scoring.tokenized(docs.filter(held), vocab), lm_scoring.tokenized(docs.filter(~held), vocab)
+    mean = lambda net: (lambda r: r[0] / r[1])(lm_scoring.scored(test, vocab, rest, net).agg(F.sum("log_prob"), F.sum("n_tokens")).first())
+    assert mean(lm_scoring.trained(train, vocab)) > mean(lm_scoring.WindowNet.new(vocab)) + 0.5
 
 
 def test_lm_untrained_gives_shares():
@@ -264,11 +265,12 @@ def test_lm_steps_by_definition():
 def test_lm_of_odd_tables(docs):
     df = docs(ODD)
     vocab, rest = lm_scoring.vocabulary(df)
-    got = {r["doc_id"]: r for r in lm_scoring.scored(df, vocab, rest, lm_scoring.trained(df, vocab)).collect()}
+    tokens = lm_scoring.tokenized(df, vocab)
+    got = {r["doc_id"]: r for r in lm_scoring.scored(tokens, vocab, rest, lm_scoring.trained(tokens, vocab)).collect()}
     assert got[1]["log_prob"] == got[2]["log_prob"] == 0.0 and got[7]["n_tokens"] == 60_000 and got[7]["log_prob"] < 0
     empty = docs([])
     v, none = lm_scoring.vocabulary(empty)
-    assert v.words == [] and lm_scoring.scored(empty, v, none, lm_scoring.trained(empty, v)).count() == 0
+    assert v.words == [] and lm_scoring.scored(t := lm_scoring.tokenized(empty, v), v, none, lm_scoring.trained(t, v)).count() == 0
 
 
 @pytest.mark.parametrize("held", [200_000, 3])
@@ -298,7 +300,7 @@ def test_lm_tells_rare_words_apart(docs, monkeypatch, held):
         return np.log(own[w] / all_of) if w in own else np.log((len(own) + 1) / all_of) - (len(w) + 1) * np.log(257)
 
     more = [(10, "the cat station"), (11, "the cat qqqqtion"), (12, "the cat zzzzzzzzzzztion")]
-    got = lm_scoring.scored(docs(rows + more), vocab, rest, net).collect()
+    got = lm_scoring.scored(lm_scoring.tokenized(docs(rows + more), vocab), vocab, rest, net).collect()
     look = lm_scoring.Lookup(vocab)
     score = lambda t: float(net.log_probs(lm_scoring.padded(look.tokens([t]))).sum(dtype=float)) if t else 0.0
     want = sorted(((i, score(t) + sum(within(lm_scoring.bare_word(w)) for w in lm_scoring.raw_words(t))) for i, t in rows + more), key=repr)
@@ -317,7 +319,7 @@ def test_lm_trains_on_every_position(docs, monkeypatch, part):
     rows = [(None, "a"), (None, "b c"), (1, "a b"), (2, "c " * 100), (3, ""), (4, None), *((10 + i, "a b c d") for i in range(50))]
     df = docs(rows)
     vocab, _ = lm_scoring.vocabulary(df)
-    tables = [sorted(tuple(map(bytes, (repr(r[:3]).encode(), r["tokens"]))) for r in lm_scoring.parts_table(docs(rows, n), vocab, lm_scoring.shared_dir(df.sparkSession)).collect()) for n in (3, 7)]
+    tables = [sorted(tuple(map(bytes, (repr(r[:3]).encode(), r["tokens"]))) for r in lm_scoring.parts_table(lm_scoring.tokenized(docs(rows, n), vocab), vocab.size(), lm_scoring.shared_dir(df.sparkSession)).collect()) for n in (3, 7)]
     assert tables[0] == tables[1] and (len(tables[0]) > 8) == (part == 40)
     got = []
     for _, tokens in tables[0]:
@@ -338,7 +340,8 @@ def test_lm_scores_do_not_depend_on_partitions(docs, monkeypatch):
     for parts in (2, 9):
         df = docs(rows, parts)
         vocab, rest = lm_scoring.vocabulary(df)
-        found.append([r["log_prob"] for r in lm_scoring.scored(df, vocab, rest, lm_scoring.trained(df, vocab)).orderBy("doc_id").collect()])
+        tokens = lm_scoring.tokenized(df, vocab)
+        found.append([r["log_prob"] for r in lm_scoring.scored(tokens, vocab, rest, lm_scoring.trained(tokens, vocab)).orderBy("doc_id").collect()])
     assert found[0] == pytest.approx(found[1], rel=1e-4)
 
 
