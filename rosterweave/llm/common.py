@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The white space that every contract names: [\x20\x09-\x0D].
@@ -23,9 +24,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that the driver and every executor reach: below spark.checkpoint.dir, or below the local temp folder where that is unset (tests)."""
+    """A new folder that the driver and every executor reach: below spark.checkpoint.dir. Where that is unset, it is below the temp folder in local mode, in which all share it, and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor reach")
         base = f"{tempfile.gettempdir()}/rosterweave-checkpoints"
     path = f"{base.rstrip('/')}/rosterweave-{uuid.uuid4().hex}"
     _made.append((spark, path))
@@ -77,6 +80,15 @@ def packed(docs: DataFrame, **named: Column | str) -> DataFrame:
     return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *[(docs[c] if isinstance(c, str) else c).alias(n) for n, c in named.items()])
 
 
+def smallest(rows: DataFrame, of: str, by: str, most: int) -> DataFrame:
+    """Of distinct rows (of, by: a hash), those with the `most` smallest hashes for each value of `of`, and no more. Counts come first, so that about twice as many rows as stay are ranked."""
+    sizes = rows.groupBy(of).agg(F.count(F.lit(1)).alias("_n"))
+    unit = F.pmod(F.col(by), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    few = rows.join(sizes, rows[of].eqNullSafe(sizes[of]), "left").filter(unit * F.col("_n") <= F.lit(2.0 * most + 10)).select(rows["*"])
+    rank = F.row_number().over(Window.partitionBy(of).orderBy(F.pmod(by, F.lit(1_000_003)), by))
+    return few.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
+
+
 #: Keys of rows to drop are broadcast up to this many; beyond it they are shuffled.
 KEYS_BROADCAST = 1_000_000
 
@@ -94,11 +106,26 @@ def without_rows(df: DataFrame, keys: DataFrame, made: dict[str, Column]) -> Dat
 BITMAP_BITS = 26
 
 
-def possible(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
-    """rows whose key may be among the n keys (longs): all that are, and few others while the bitmap is sparse. For use before an exact join."""
+def flagged(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
+    """rows with `_likely`: whether their key may be among the n keys (longs). It is true for all that are, and few others while the bitmap is sparse; when it is full, for all. For use before an exact join."""
     bits = min(BITMAP_BITS, max(10, (16 * max(n, 1)).bit_length()))
     at = F.col(key).bitwiseAND(F.lit(2**bits - 1).cast("long"))
     word, bit = F.shiftrightunsigned(at, 6), at.bitwiseAND(F.lit(63).cast("long")).cast("int")
     words = keys.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
     hit = F.call_function("shiftrightunsigned", F.col("_bits"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
-    return rows.withColumn("_word", word).join(F.broadcast(words), "_word").filter(hit).drop("_word", "_bits")
+    return rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left").withColumn("_likely", F.coalesce(hit, F.lit(False))).drop("_word", "_bits")
+
+
+def possible(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows that `flagged` holds for likely."""
+    return flagged(rows, keys, key, n).filter("_likely").drop("_likely")
+
+
+def joined_where_found(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (texts) left-joined with found, a written table that has a row a key at most and no nulls in keys. Rows that no key of found can match stay where they are."""
+    mark = F.xxhash64(*keys)
+    marked = flagged(rows.withColumn("_mark", mark), found.select(mark.alias("_mark")), "_mark", found.count()).drop("_mark")
+    others = [c for c in found.columns if c not in keys]
+    moved = marked.filter("_likely").drop("_likely").join(found, keys, "left")
+    stay = marked.filter("not _likely").drop("_likely").withColumns({c: F.lit(None).cast(found.schema[c].dataType) for c in others})
+    return moved.unionByName(stay)

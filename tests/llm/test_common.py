@@ -28,6 +28,30 @@ def test_possible_loses_no_row_of_a_key(spark):
     assert set(keys) <= got and len(got) < len(keys) + 0.2 * len(others)
 
 
+@pytest.mark.parametrize("bits", [6, 26])
+def test_joined_where_found_equals_a_left_join(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "BITMAP_BITS", bits)
+    rows = spark.range(1000).select((F.col("id") % 700).alias("k"), F.lit(3).cast("long").alias("l"), "id")
+    found = spark.range(0, 2000, 50).select(F.col("id").alias("k"), F.lit(3).cast("long").alias("l"), F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    mine, plain = common.joined_where_found(rows, found, ["k", "l"]), rows.join(found, ["k", "l"], "left")
+    assert sorted(map(repr, mine.select("id", "k", "v").collect())) == sorted(map(repr, plain.select("id", "k", "v").collect()))
+
+
+def test_smallest_keeps_so_many_of_each(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("g"), (F.col("id") % 3).cast("string")).alias("g"), F.xxhash64("id").alias("h")).unionByName(spark.createDataFrame([("few", 1), (None, 2)], "g string, h long"))
+    got = {r["g"]: r["n"] for r in common.smallest(rows, "g", "h", 20).groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {"g0": 20, "g1": 20, "g2": 20, "few": 1, None: 1}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Cluster:
+        conf = type("conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("context", (), {"master": "local-cluster[3,2,1024]"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(Cluster())
+
+
 @pytest.mark.parametrize("most", [0, 10])
 def test_without_rows_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
     monkeypatch.setattr(common, "KEYS_BROADCAST", most)
