@@ -1,32 +1,34 @@
 """Exact dedup: an extendible-hash index on shared files.
 
-Texts are equal when they are identical after white space is deleted. A 64-bit hash of the normalised text addresses a directory
-by its leading bits. The directory doubles until no bucket holds over `bucket_rows` entries (or MAX_DEPTH is reached: copies of one
-text share a hash, so no split parts them; they are an overflow chain, which is aggregated before it is shuffled). The entries of a
-hash form a chain; every chain of two or more entries is resolved by comparing the normalised bytes themselves, so a collision of
-hashes never joins two texts.
+Texts are equal when they are identical after white space is deleted. A 64-bit hash of the normalised text addresses a directory by its
+leading bits. The directory doubles until no bucket holds over `bucket_rows` entries (or MAX_DEPTH is reached: copies of one text share
+a hash, so no split parts them; they are a chain). Each owner has a contiguous range of buckets, hence of hashes; owners have about
+equal numbers of entries. The index is files in the shared folder, a folder an owner: pages of entries (sorted by bucket and hash), and
+the chains of hashes that occur twice or more.
 
-Shuffled are 60 bytes a row, and the texts of rows in chains of two or more, once for each text and map task.
+Chains are resolved by comparing bytes: the texts of a chain go to their owner's task, which groups what is identical, so a collision
+of hashes never joins two texts. A chain with over a thousandth of all rows is dealt over salts first, and what the salts found is
+compared again. A bitmap of bounded size keeps texts whose hash occurs once where they are; when more chains than it has bits make it
+useless, each text moves once, and nothing else changes. `Index.probe` looks up other documents in the files.
 
 Null and empty texts are equal to each other. Rows of the same text and length are told apart by doc_id, the smallest stays; a
-null doc_id ranks last. A repeated row counts as a row each time and every copy of the row that stays is marked kept. An empty
-table gives an empty result. Other columns of the input are ignored.
+null doc_id ranks last. A repeated row counts as a row each time and every copy of the row that stays is marked kept. A very long text
+is compared whole, like any other. An empty table gives an empty result. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import SPACE_CLASS, packed, salted_join, shared_dir, without_rows, written
+from rosterweave.llm.common import HOT_SALTS, HOT_SHARE, SPACE_CLASS, packed, possible, salted_join, shared_dir, without_rows, written
 
-#: The directory has at most 2 ** MAX_DEPTH entries, which bounds what reaches the driver.
-MAX_DEPTH = 14
+#: The directory has at most 2 ** MAX_DEPTH entries, which bounds what reaches the driver and what is broadcast.
+MAX_DEPTH = 16
 BUCKET_ROWS = 50_000
-#: The list of hashes in chains is broadcast up to this many (8 bytes each); beyond it, all texts are compared.
-CHAINS_BROADCAST = 2_000_000
 _TOP = 2**63 - 1
 
 
@@ -53,45 +55,102 @@ def directory(counts: dict[int, int], bucket_rows: int = BUCKET_ROWS, max_depth:
     return slots
 
 
+def owners(slots: list[int], counts: dict[int, int], n: int, max_depth: int = MAX_DEPTH) -> list[int]:
+    """The owner of each bucket: rising with the buckets, about equal in entries."""
+    depth = len(slots).bit_length() - 1
+    load = [0] * (slots[-1] + 1)
+    for slot, rows in counts.items():
+        load[slots[slot >> (max_depth - depth)]] += rows
+    out, before, total = [], 0, max(1, sum(load))
+    for rows in load:
+        out.append(min(n - 1, before * n // total))
+        before += rows
+    return out
+
+
 def _leading(bits: int) -> Column:
     return F.shiftrightunsigned("h64", 64 - bits).cast("int") if bits else F.lit(0)
 
 
-def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_code_points, bucket."""
-    spark, folder = docs.sparkSession, shared_dir(docs.sparkSession)
+def _hashed(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """doc_id, n_code_points, norm, h64."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    norm = rows.select("doc_id", F.length(F.coalesce("_text", F.lit(""))).cast("long").alias("n_code_points"), normalised(F.col("_text")).alias("norm"))
-    entries = written(norm.select("doc_id", "n_code_points", F.xxhash64("norm").alias("h64"), F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")), folder, "entries")
+    return rows.select("doc_id", F.length(F.coalesce("_text", F.lit(""))).cast("long").alias("n_code_points"), normalised(F.col("_text")).alias("norm")).withColumn("h64", F.xxhash64("norm"))
+
+
+def _sha() -> Column:
+    return F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
+
+
+@dataclass
+class Index:
+    """Files in the shared folder. directory: slot, bucket, owner. pages: an entry a row of the documents. chains: an entry a text that occurs twice or more, with the doc_id that stays (keep; the largest long if that is null)."""
+
+    depth: int
+    total: int
+    directory: DataFrame
+    pages: DataFrame
+    chains: DataFrame
+
+    def routed(self, rows: DataFrame) -> DataFrame:
+        """rows (with h64) with bucket and owner. The directory is broadcast: 2 ** MAX_DEPTH rows at most."""
+        return rows.withColumn("slot", _leading(self.depth)).join(F.broadcast(self.directory), "slot").drop("slot")
+
+    def marked(self) -> DataFrame:
+        """A row a page entry: doc_id, keep_id, group_size, kept, text_sha256, n_code_points, bucket."""
+        found = salted_join(self.pages, self.chains, ["owner", "bucket", "h64", "text_sha256"], "group_size", self.total, F.xxhash64("doc_id"))
+        keep = F.when(F.col("keep") != _TOP, F.col("keep")).otherwise(F.when(F.col("group_size").isNull(), F.col("doc_id")))
+        return found.select(
+            "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+            F.coalesce(F.col("doc_id").eqNullSafe(keep), F.lit(True)).alias("kept"), "text_sha256", "n_code_points", "bucket",
+        )
+
+    def probe(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+        """doc_id, found for each row of docs (other documents): whether the index has its text."""
+        asked = self.routed(_hashed(docs, text_col, id_col).select("doc_id", "h64", _sha()))
+        keys = ["owner", "bucket", "h64", "text_sha256"]
+        return asked.join(self.pages.select(*keys).distinct().withColumn("found", F.lit(True)), keys, "left").select("doc_id", F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def build(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> Index:
+    spark, folder = docs.sparkSession, shared_dir(docs.sparkSession)
+    n_owners, hashed = int(spark.conf.get("spark.sql.shuffle.partitions")), _hashed(docs, text_col, id_col)
+    entries = written(hashed.select("doc_id", "n_code_points", "h64", _sha()), folder, "entries")
 
     # the directory, from at most 2 ** MAX_DEPTH counts
     counts = {int(r["slot"]): int(r["n"]) for r in entries.groupBy(_leading(MAX_DEPTH).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots, total = directory(counts, bucket_rows), sum(counts.values())
-    depth = len(slots).bit_length() - 1
-    bucket = F.element_at(F.array(*[F.lit(s) for s in slots]), _leading(depth) + 1) if depth else F.lit(0)
-
-    # chains of two or more entries
-    chains = written(entries.groupBy("h64").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h64"), folder, "chains")
-    texts = rows.select("doc_id", F.length(F.coalesce("_text", F.lit(""))).alias("cp"), normalised(F.col("_text")).alias("norm")).withColumn("h64", F.xxhash64("norm"))
-    if chains.count() <= CHAINS_BROADCAST:
-        texts = texts.join(F.broadcast(chains), "h64", "left_semi")
+    slots, total = directory(counts, bucket_rows, MAX_DEPTH), sum(counts.values())
+    of = owners(slots, counts, n_owners, MAX_DEPTH)
+    table = written(spark.createDataFrame([(s, b, of[b]) for s, b in enumerate(slots)], "slot int, bucket int, owner int").coalesce(1), folder, "directory")
+    index = Index(len(slots).bit_length() - 1, total, table, entries, entries)
+
+    def filed(rows: DataFrame, name: str) -> DataFrame:
+        """A folder an owner, sorted by bucket and hash."""
+        rows.repartition("owner").sortWithinPartitions("owner", "bucket", "h64").write.partitionBy("owner").parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    index.pages = filed(index.routed(entries), "pages")
+    chains = written(entries.groupBy("h64").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), folder, "hashes")
+    hot = chains.filter(F.col("n") > max(total // HOT_SHARE, HOT_SALTS)).select("h64", F.lit(True).alias("hot"))  # HOT_SHARE rows at most
+    texts = index.routed(possible(hashed, chains.select("h64"), "h64", chains.count())).join(F.broadcast(hot), "h64", "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SALTS)).cast("int")).otherwise(F.lit(0))
     # Of a group the longest stays, then the smallest doc_id: one number holds both, so that the aggregate stays a hash aggregate.
-    rank = F.col("cp").cast("decimal(20,0)") * F.lit(Decimal(2**64)).cast("decimal(20,0)") - F.coalesce(F.col("doc_id"), F.lit(_TOP)).cast("decimal(20,0)")
-    groups = texts.withColumn("bucket", bucket).groupBy("bucket", "h64", "norm").agg(F.max(rank.cast("decimal(38,0)")).alias("best"), F.count(F.lit(1)).alias("n"))
+    rank = F.col("n_code_points").cast("decimal(20,0)") * F.lit(Decimal(2**64)).cast("decimal(20,0)") - F.coalesce(F.col("doc_id"), F.lit(_TOP)).cast("decimal(20,0)")
+    dealt = texts.select("owner", salt.alias("salt"), "hot", "bucket", "h64", "norm", rank.cast("decimal(38,0)").alias("rank")).repartition("owner", "salt")
+    # no shuffle between: an owner's task groups identical texts
+    own = dealt.groupBy("owner", "salt", "hot", "bucket", "h64", "norm").agg(F.max("rank").alias("best"), F.count(F.lit(1)).alias("n"))
+    own = own.select("owner", "bucket", "h64", _sha(), F.when(F.col("hot"), F.col("norm")).alias("spelled"), "best", "n")
+    groups = own.groupBy("owner", "bucket", "h64", "text_sha256", "spelled").agg(F.max("best").alias("best"), F.sum("n").alias("n")).filter("n > 1")
     modulus = F.lit(Decimal(2**64)).cast("decimal(38,0)")
     back = F.pmod(-F.col("best"), modulus)
-    index = groups.filter("n > 1").select(
-        "bucket", "h64", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), F.col("n").alias("group_size"),
-        F.when(back > F.lit(_TOP), back - modulus).otherwise(back).cast("long").alias("keep"),
-    )
-    index = written(index.repartitionByRange("bucket", "h64").sortWithinPartitions("bucket", "h64"), folder, "index")
-
-    found = salted_join(entries, index.drop("bucket"), ["h64", "text_sha256"], "group_size", total, F.xxhash64("doc_id"))
-    keep = F.when(F.col("keep") != _TOP, F.col("keep")).otherwise(F.when(F.col("group_size").isNull(), F.col("doc_id")))
-    return found.select(
-        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("doc_id").eqNullSafe(keep), F.lit(True)).alias("kept"), "text_sha256", "n_code_points", bucket.alias("bucket"),
-    )
+    keep = F.when(back > F.lit(_TOP), back - modulus).otherwise(back).cast("long").alias("keep")
+    index.chains = filed(groups.select("owner", "bucket", "h64", "text_sha256", F.col("n").alias("group_size"), keep), "chains")
+    return index
+
+
+def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_code_points, bucket."""
+    return build(docs, text_col, id_col, bucket_rows).marked()
 
 
 def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

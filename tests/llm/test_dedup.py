@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -78,6 +79,43 @@ def test_hash_collision_does_not_join(docs, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(plain_exact(rows))
 
 
+def test_owners_have_ranges_and_files_of_their_own(spark, docs):
+    """Each owner's folder has hashes between those of its neighbours; a directory that leads elsewhere loses what it led to."""
+    index = exact_dedup.build(docs(corpus(1)), bucket_rows=10)
+    pages = index.pages.groupBy("owner").agg(F.min(F.shiftrightunsigned("h64", 1)).alias("low"), F.max(F.shiftrightunsigned("h64", 1)).alias("high"), F.count_distinct("bucket").alias("buckets")).orderBy("owner").collect()
+    assert len(pages) == 2 and pages[0]["high"] < pages[1]["low"] and all(r["buckets"] > 3 for r in pages)
+    assert {r["owner"] for r in index.chains.collect()} <= {r["owner"] for r in pages}
+    probe = lambda: {r["doc_id"]: r["found"] for r in index.probe(docs([(900, corpus(1)[0][1] + "\n"), (901, "not there"), (None, corpus(1)[7][1])])).collect()}
+    assert probe() == {900: True, 901: False, None: True}
+    index.directory = index.directory.withColumn("bucket", F.lit(0))
+    assert not all(probe().values()) and probe()[900] is False
+
+
+def test_hot_chains_are_salted(docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", 20)
+    monkeypatch.setattr(exact_dedup, "HOT_SALTS", 4)
+    rows = [(i, "hot text" + " " * (i % 5)) for i in range(60)] + corpus(2, 40)[1:]
+    got = exact_dedup.exact_duplicates(docs(rows)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(plain_exact(rows))
+
+
+def test_an_owners_task_groups_without_a_shuffle(spark, docs, monkeypatch):
+    """Texts are moved once, to their owner."""
+    plans, kind = [], type(spark.range(0))
+    real = kind.groupBy
+
+    def spy(df, *c):
+        out = real(df, *c)
+        if any(isinstance(x, str) and x == "norm" for x in c):
+            plans.append(out.count()._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(kind, "groupBy", spy)
+    exact_dedup.build(docs(corpus(1)))
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning(owner") == 1
+    assert plans[0].count("Exchange hashpartitioning") == 2 and plans[0].count("Exchange hashpartitioning(_word") == 1  # the bitmap's
+
+
 def test_directory_doubles_until_buckets_fit():
     rnd = random.Random(3)
     counts = {rnd.randrange(2**10): rnd.randint(1, 50) for _ in range(300)} | {5: 10_000}
@@ -90,37 +128,82 @@ def test_directory_doubles_until_buckets_fit():
     assert over == [slots[5]] and exact_dedup.directory({}, 1) == [0] and exact_dedup.directory({0: 3}, 5) == [0]
 
 
+def signed_hash(text):
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
 def plain_lines(rows):
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    least = -(2**63)
+    rank = lambda i, t: (-(2**63) if i is None else i, signed_hash(t))
     held = {}
-    for i, t in {((least if i is None else i), t or "") for i, t in rows}:
+    for i, t in {(i, t or "") for i, t in rows}:
         for line in t.split("\n"):
-            held.setdefault(key(line), set()).add((i, t))
+            held.setdefault(key(line), set()).add(rank(i, t))
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        stay = [x for x in lines if len(key(x)) < 20 or len(held[key(x)]) < 3 or max(d for d, _ in held[key(x)]) == (least if i is None else i)]
+        stay = [x for x in lines if len(key(x)) < 20 or len(held[key(x)]) < 3 or max(held[key(x)]) == rank(i, t)]
         out.append((i, len(lines), len(lines) - len(stay), sha("\n".join(stay))))
     return out
 
 
 LINES = [(1, "A common line of more than twenty\nown"), (2, " a COMMON line of more than twenty\r\nA common line of more than twenty"), (3, "x\n\na common line of more than twenty\n"), (None, "A common line of more than twenty"), (3, "Écommon line of more than twenty")]
+NO_IDS = [(None, f"{w}\nA common line of more than twenty\n{w}") for w in "abcde"] + [(7, "A common line of more than twenty"), (7, "A common line of more than twenty\nx")]
 
 
-@pytest.mark.parametrize("rows", [ODD, corpus(4), LINES, []])
+@pytest.mark.parametrize("rows", [ODD, corpus(4), LINES, NO_IDS, NO_IDS[:5], []])
 @pytest.mark.parametrize("batches", [1, 4])
 def test_lines(docs, rows, batches):
     got = line_dedup.without_repeated_lines(docs(rows), batches=batches).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256))
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, plain_lines(rows)))
 
 
-def test_runs_are_compacted(spark, tmp_path):
-    runs = line_dedup.SortedRuns(str(tmp_path))
+def run_batch(spark, *rows):
+    return spark.createDataFrame([(bytearray(k), 1, (i, 0)) for k, i in rows], line_dedup._ROW)
+
+
+def test_runs_are_compacted_kept_and_opened(spark, tmp_path):
+    runs = line_dedup.SortedRuns(spark, str(tmp_path))
     for b in range(5):
-        runs.add(spark.createDataFrame([(bytearray(b"k"), 1, 10 - b), (bytearray([b]), 1, 10 - b)], "key binary, n long, holder long"))
+        runs.add(run_batch(spark, (b"k", 10 - b), (bytes([b]), 10 - b)))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    assert {(bytes(r["key"]), r["n"], r["holder"]) for r in runs.merged(runs.rows()).collect()} == {(b"k", 5, 10), *((bytes([b]), 1, 10 - b) for b in range(5))}
+    held = lambda r: {(bytes(x["key"]), x["n"], x["holder"]["doc_id"]) for x in r.merged(r.tables()).collect()}
+    want = {(b"k", 5, 10), *((bytes([b]), 1, 10 - b) for b in range(5))}
+    assert held(runs) == want
+    runs.save()
+    runs.close()
+    again = line_dedup.SortedRuns.open(spark, str(tmp_path))
+    assert [len(level) for level in again.levels] == [1, 0, 1] and held(again) == want
+    again.add(run_batch(spark, (b"k", 99), (b"new", 98)))
+    assert held(again) == {(b"k", 6, 10), (b"new", 1, 98), *list(want - {(b"k", 5, 10)})}
+    again.close()
+
+
+def test_merging_with_a_run_moves_none_of_its_rows(spark, tmp_path):
+    """One shuffle, of the batch; and without the anti-join, holders would be wrong."""
+    runs = line_dedup.SortedRuns(spark, str(tmp_path))
+    runs.add(run_batch(spark, (b"k", 10)))
+    held = runs.tables()[0].select("key", F.lit(True).alias("held"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = run_batch(spark, (b"k", 9)).groupBy("key").agg(F.sum("n")).join(held, "key", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+    runs._write(run_batch(spark, (b"k", 9)), 0)  # a run that was not merged against the first
+    assert runs.merged(runs.tables()).first()["holder"]["doc_id"] == 9
+    runs.close()
+
+
+def test_a_second_call_adds_to_kept_runs(spark, docs, tmp_path):
+    line = "A common line of more than twenty"
+    runs = line_dedup.SortedRuns(spark, str(tmp_path))
+    first = line_dedup.without_repeated_lines(docs([(1, line), (2, line)]), runs=runs)
+    assert all(r["n_dropped"] == 0 for r in first.collect())
+    runs.close()
+    second = line_dedup.without_repeated_lines(docs([(8, line + "\nown"), (9, "else")]), runs=line_dedup.SortedRuns.open(spark, str(tmp_path)))
+    assert {(r["doc_id"], r["kept_text"]) for r in second.collect()} == {(8, "own"), (9, "else")}
 
 
 def plain_fingerprint(text):
@@ -222,6 +305,39 @@ def test_components_of_a_long_chain_and_a_star(spark, tmp_path):
     assert components(spark.createDataFrame([], "a long, b long"), str(tmp_path), "none").count() == 0
 
 
+def plain_sentences(text):
+    """By the docstring, letter by letter."""
+    text, out, i = text or "", [], 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] not in ".!?\n":
+            j += 1
+        if j < len(text):
+            while j < len(text) and text[j] in ".!?\n":
+                j += 1
+            while j < len(text) and text[j].isspace():
+                j += 1
+        out.append(text[i:j])
+        i = j
+    cut = []
+    for s in out:
+        words = s.split()
+        if len(words) <= 12:
+            cut.append(s)
+            continue
+        hashes = [zlib.crc32(w.lower().encode()) for w in words]
+        after = {min(range(k, k + 12), key=lambda x: (hashes[x], x)) for k in range(len(words) - 11)}
+        at, start = 0, 0
+        for k, w in enumerate(words):
+            at = s.index(w, at) + len(w)
+            if k in after and k + 1 < len(words):
+                end = s.index(words[k + 1], at)
+                cut.append(s[start:end])
+                start = end
+        cut.append(s[start:])
+    return cut
+
+
 def plain_spans(parts):
     words = [p.lower().split() for p in parts]
     used = [i for i, w in enumerate(words) if w]
@@ -236,23 +352,25 @@ def plain_spans(parts):
 
 
 def plain_substrings(rows):
-    least = -(2**63)
-    at = lambda i: least if i is None else i
+    at = lambda i, t: (-(2**63) if i is None else i, signed_hash(t))
     first = {}
-    for i, t in sorted(rows, key=lambda r: at(r[0])):
-        for a, _, k in plain_spans(substring_dedup.sentences(t)):
-            first[k] = min(first.get(k, (1 << 63, 0)), (at(i), a))
+    for i, t in rows:
+        for a, _, k in plain_spans(plain_sentences(t)):
+            first[k] = min(first.get(k, ((1 << 63, 0), 0)), (at(i, t), a))
     out = []
     for i, t in rows:
-        parts, gone = substring_dedup.sentences(t), set()
+        parts, gone = plain_sentences(t), set()
         for a, b, k in plain_spans(parts):
-            if first[k] != (at(i), a):
+            if first[k] != (at(i, t), a):
                 gone.update(range(a, b + 1))
         out.append((i, len(gone), "".join(p for j, p in enumerate(parts) if j not in gone)))
     return out
 
 
-@pytest.mark.parametrize("rows", [ODD, corpus(8), []])
+NO_ID_COPIES = [(i, t + extra) for i, extra in ((None, ""), (None, " One more."), (None, " Two more, too."), (5, " three"), (5, " four")) for t in ["A first sentence of some words here. " + "Then a second one of as many words. " + "The third one ends the passage, at last, with more words than it needs."]]
+
+
+@pytest.mark.parametrize("rows", [ODD, corpus(8), NO_ID_COPIES, []])
 def test_substrings(docs, rows):
     got = substring_dedup.without_repeated_spans(docs(rows)).select("doc_id", "n_removed", "kept_text").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, plain_substrings(rows)))
@@ -268,6 +386,31 @@ def test_long_passages_are_caught_wherever_they_stand(docs):
         assert all(got[i]["n_words_removed"] >= 25 for i in (1, 2, 3)), passage[:40]
 
 
+def test_no_passage_of_51_words_is_missed(docs):
+    """400 passages, with and without full stops, at the start of a sentence and inside one, each in two documents."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 8)))
+    rows, share = [], []
+    for k in range(400):
+        stops = rnd.choice([0, 0.08, 0.2])
+        passage = " ".join(word() + ("." if rnd.random() < stops else "") for _ in range(51))
+        for half in range(2):
+            around = [" ".join(word() for _ in range(rnd.randint(0, 30))) for _ in range(2)]
+            rows.append((2 * k + half, around[0] + rnd.choice([" ", ". ", "\n"]) + passage + rnd.choice([" ", "\n"]) + around[1]))
+    got = {r["doc_id"]: r["n_words_removed"] for r in substring_dedup.without_repeated_spans(docs(rows)).collect()}
+    share = [got[2 * k + 1] for k in range(400)]
+    assert min(share) >= 20 and sum(share) / 400 > 0.8 * 51 and all(got[2 * k] == 0 for k in range(400))
+
+
+def test_full_bitmap_changes_nothing(docs, monkeypatch):
+    from rosterweave.llm import common
+
+    rows = corpus(8)
+    want = sorted(map(tuple, substring_dedup.without_repeated_spans(docs(rows)).collect()))
+    monkeypatch.setattr(common, "BITMAP_BITS", 6)
+    assert sorted(map(tuple, substring_dedup.without_repeated_spans(docs(rows)).collect())) == want
+
+
 def test_sentences_lose_nothing():
     rnd = random.Random(10)
     for _ in range(300):
