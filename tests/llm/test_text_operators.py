@@ -51,6 +51,28 @@ def test_language_of_odd_texts(docs):
     assert langid.identified(empty, langid.fitted(empty)).count() == 0 and {r["lang_pred"] for r in langid.identified(df, langid.fitted(empty)).collect()} == {"und"}
 
 
+def test_sample_of_languages_is_bounded(spark, docs, monkeypatch):
+    """By texts, not by ids: many rows without an id, and more languages than the sample holds."""
+    seen = []
+    monkeypatch.setattr(langid.Hierarchy, "fit", classmethod(lambda cls, x, langs: seen.append(list(langs)) or cls()))
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text number "), F.col("id").cast("string"), F.lit(" of many")).alias("text"), F.lit("en").alias("lang"))
+    langid.fitted(rows.unionByName(rows), per_language=10)
+    langid.fitted(rows.withColumn("lang", F.concat(F.lit("l"), F.expr("substring(text, 13, 3)"))), sample=500)
+    assert seen[0] == ["en"] * 10 and 400 < len(set(seen[1])) <= len(seen[1]) <= 500
+
+
+def test_a_thousand_languages(docs, spark):
+    rows = spark.range(3000).select("id", F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.concat(F.lit("l"), (F.col("id") % 1000).cast("string")).alias("lang")).withColumnRenamed("id", "doc_id")
+    model = langid.fitted(rows, sample=60)
+    assert len(model.languages) == 60 == len(model.families)
+
+
+def test_ties_of_languages():
+    """Nothing tells the languages apart: the first family, then the first language."""
+    flat = langid.Hierarchy(["de", "en", "fr"], ["germanic", "romance"], [("de", "en")], np.zeros((langid.DIMENSIONS, 3), np.float32), np.zeros(3))
+    assert flat.predict("any text")[0] == "de"
+
+
 def test_family_comes_first_and_pairs_follow():
     rnd = random.Random(1)
     letters = {"en": "abcde", "de": "abcdf", "fr": "uvwxy", "es": "uvwxz", "xx": "mnopq"}
@@ -95,9 +117,18 @@ def test_targets(docs, seed):
     for r in got:
         t, s = by_id[r["doc_id"]]
         assert r["size"] == len((t or "").split()) and r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s]) and 0 <= r["copies"] <= 3
-        coin = int(hashlib.md5(f"mix:{r['doc_id']}".encode()).hexdigest()[:13], 16) / 16**13
-        rate = r["target"] / r["source_size"] if r["source_size"] else 0
-        assert r["copies"] == int(rate) + (coin < rate - int(rate))
+    digits = lambda what: int(hashlib.md5(f"mix:{what}".encode()).hexdigest()[:13], 16)
+    for s, size in sizes.items():
+        own = sorted((r for r in got if by_id[r["doc_id"]][1] == s), key=lambda r: digits(r["doc_id"]))
+        rate, at, taken = want[s] / size if size else 0, 0, 0
+        begin = int(digits("" if s is None else f"source {s}") / 2**52 * size)
+        wide = round((rate - int(rate)) * size)
+        for r in own:
+            inside = rate > int(rate) and (2 * at + r["size"] - 2 * begin) % (2 * size) < 2 * wide
+            if r["size"]:
+                assert r["copies"] == int(rate) + inside
+            at, taken = at + r["size"], taken + r["size"] * r["copies"]
+        assert abs(taken - want[s]) <= max([r["size"] for r in own]) + 1
     assert sorted(map(tuple, got)) == sorted(map(tuple, source_mix.mixed(docs(rows, parts=7)).collect()))
 
 
@@ -111,6 +142,27 @@ def test_mix_of_odd_tables(docs, monkeypatch):
     assert sorted(map(repr, map(tuple, source_mix.mixed(df).collect()))) == before
 
 
+@pytest.mark.parametrize("folder", [MIDDLE, "/root/testdata/sf0.1"])
+def test_mix_comes_near_its_targets(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = source_mix.mixed(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("size").alias("longest"))
+    for r in got.collect():
+        assert abs(r["taken"] - r["target"]) <= r["longest"] + 1 and 0.9 < r["taken"] / r["target"] < 1.1
+
+
+def test_each_documents_chance_is_the_fraction():
+    """By the rule that test_targets holds the operator to: over many seeds a document of a third of its source's words is taken as often as others."""
+    sizes, times = [50] + [5] * 20, [0] * 21
+    total, wide = sum(sizes), round(0.4 * sum(sizes))
+    for seed in range(2000):
+        digits = lambda what: int(hashlib.md5(f"{seed}:{what}".encode()).hexdigest()[:13], 16)  # noqa: B023, E731
+        at, begin = 0, int(digits("source s") / 2**52 * total)
+        for i in sorted(range(21), key=digits):
+            times[i] += (2 * at + sizes[i] - 2 * begin) % (2 * total) < 2 * wide
+            at += sizes[i]
+    assert all(abs(t / 2000 - 0.4) < 0.05 for t in times)
+
+
 # --- 6 ---
 
 
@@ -131,7 +183,7 @@ def plain_measures(text):
 
 def test_measures(docs):
     rnd = random.Random(2)
-    rows = [r for r in ODD if len(r[1] or "") < 100_000] + [(100 + i, "".join(rnd.choice(["a ", "b ", "c d ", "\n", "#x ", "a b c d e ", "\x0b", "é "]) for _ in range(rnd.randint(0, 80)))) for i in range(150)]
+    rows = ODD + [(100 + i, "".join(rnd.choice(["a ", "b ", "c d ", "\n", "#x ", "a b c d e ", "\x0b", "é "]) for _ in range(rnd.randint(0, 80)))) for i in range(150)]
     got = quality_rules.apply_policy(quality_rules.ledger(docs(rows))).collect()
     want = sorted(((i, *plain_measures(t)) for i, t in rows), key=repr)
     assert sorted(((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got), key=repr) == want
@@ -140,6 +192,19 @@ def test_measures(docs):
     assert quality_rules.ledger(docs([])).count() == 0
 
 
+def test_measures_agree_with_sql_on_any_letters(spark, docs):
+    """No-break spaces, title case, Roman numerals, marks, and very long texts."""
+    rnd = random.Random(7)
+    letters = ["a", "B ", "\u00a0", "\u2003", "\u01c5", "\u2167", "\u24b6", "e\u0301", "\u4e00", " ", "\n", "x. ", "(Q)", "\U0001d400", "\u00aa ", "7 ", "\x1c", "\x85", "\u0130 "]
+    rows = [r for r in ODD if r[0] is not None and r[0] != 4] + [(100 + i, "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 200)))) for i in range(200)] + [(400, "Word and WORD\u00a0too " * 20_000)]
+    got = quality_rules.apply_policy(quality_rules.ledger(docs(rows))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.sql(quality_rules.ORACLE).select(*got.columns).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_ledger_ablations_agree_with_the_rules(spark):
     book = quality_rules.ledger(spark.read.parquet(f"{MIDDLE}/documents.parquet")).cache()
     found = {r["rule"]: (r["failed_docs"], r["decided_docs"]) for r in quality_rules.ablations(book).collect()}
@@ -270,7 +335,8 @@ def test_lm_of_odd_tables(docs):
     assert got[1]["log_prob"] == got[2]["log_prob"] == 0.0 and got[7]["n_tokens"] == 60_000 and got[7]["log_prob"] < 0
     empty = docs([])
     v, none = lm_scoring.vocabulary(empty)
-    assert v.words == [] and lm_scoring.scored(t := lm_scoring.tokenized(empty, v), v, none, lm_scoring.trained(t, v)).count() == 0
+    tokens = lm_scoring.tokenized(empty, v)
+    assert v.words == [] and lm_scoring.scored(tokens, v, none, lm_scoring.trained(tokens, v)).count() == 0
 
 
 @pytest.mark.parametrize("held", [200_000, 3])
@@ -356,7 +422,43 @@ def test_grades_on_held_out_labels(spark):
     share = lambda rows: sum(r["kept"] for r in rows) / max(1, len(rows))
     assert share([r for r in got if r["quality"] == 1 and not r["toxic"]]) > 0.95
     assert share([r for r in got if r["quality"] == 0]) < 0.05 and share([r for r in got if r["quality"] == 1 and r["toxic"]]) < 0.1
-    assert all(0 <= r["expected_grade"] <= 2 and 0 <= r["tail_prob"] <= 1 for r in got) and model.thresholds[0] < model.thresholds[1] and model.weights.max() <= 0
+    assert all(0 <= r["expected_grade"] <= 2 and 0 <= r["tail_prob"] <= 1 for r in got) and model.thresholds[0] < model.thresholds[1] and model.weights.min() < 0 < model.weights.max()
+
+
+def test_sample_of_labels_is_bounded(spark, monkeypatch):
+    """Many labels of one id, and many documents of it: one teaches. Many ids: `per_grade` teach."""
+    seen = []
+    monkeypatch.setattr(quality_classifier.Ordinal, "fit", classmethod(lambda cls, rows, grades: seen.append(sorted(grades.tolist())) or cls(np.zeros(1 << quality_classifier.BITS), np.zeros(2))))
+    text = F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")
+    docs = spark.range(2000).select(F.lit(5).cast("long").alias("doc_id"), text).unionByName(spark.range(10, 2000).select(F.col("id").alias("doc_id"), text))
+    labels = spark.range(1000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    quality_classifier.fitted(docs, labels, per_grade=100)
+    quality_classifier.fitted(docs, labels.unionByName(spark.range(10, 2000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))), per_grade=100)
+    assert seen == [[2], [0] * 100 + [2]]
+
+
+def test_fit_is_the_likeliest(spark):
+    """Against a plain search over two features, without penalties that matter."""
+    rnd = np.random.default_rng(3)
+    rows, grades = [], []
+    for _ in range(3000):
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        latent = 2.0 * a - 1.5 * b + rnd.logistic()
+        rows.append(np.array([k for k, on in ((11, a), (22, b)) if on], dtype=np.int32))
+        grades.append(int(latent > -1) + int(latent > 1))
+    model = quality_classifier.Ordinal.fit(rows, np.array(grades))
+    assert model.weights[11] == pytest.approx(2.0, abs=0.4) and model.weights[22] == pytest.approx(-1.5, abs=0.4)
+    assert (model.thresholds - np.array([-1, 1])).tolist() == pytest.approx([0, 0], abs=0.6)
+
+
+def test_ties_keep_a_document():
+    model = quality_classifier.Ordinal(np.zeros(1 << quality_classifier.BITS), np.zeros(2))
+    assert model.tails(np.array([], dtype=np.int32)).tolist() == [0.5, 0.5]
+
+
+def test_features_survive_packing():
+    few, many = np.array([0, 7, 2**18 - 1], dtype=np.int32), np.arange(0, 2**18, 3, dtype=np.int32)
+    assert all(np.array_equal(quality_classifier._unpacked(quality_classifier._packed(x)), x) for x in (few, many, few[:0])) and len(quality_classifier._packed(many)) == 2**15
 
 
 def test_grades_of_odd_tables(spark, docs):
