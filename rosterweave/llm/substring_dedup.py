@@ -1,16 +1,19 @@
 """Substring dedup by sliding spans of sentences.
 
-A text is cut into sentences, each with the white space after it, so that joining them gives the text again. A sentence of over
-LONG words is cut further after words that a hash picks, which does not depend on where the sentence began. From every sentence a
-span runs over SENTENCES sentences or more, until it has MIN_WORDS words. Spans are compared everywhere by 96 bits of a hash of their
-words in lower case. Of the spans that are equal, the first (smallest doc_id, then position) stays; every sentence that any other
-of them covers is removed.
+A text is cut into sentences (up to a run of full stops, exclamation marks, question marks or line ends), each with the white space
+after it, so that joining them gives the text again. A sentence of over LONG words is cut further, after the word with the least hash
+in each window of LONG of its words: cuts do not depend on where the sentence began, and no piece has over LONG words. From every
+sentence a span runs over SENTENCES sentences or more, until it has MIN_WORDS words. So two texts that share a passage of
+2 LONG + MIN_WORDS + 6 = 50 words share a span, wherever the passage stands in them. Spans are compared everywhere by 96 bits of a hash
+over their sentences' words in lower case. Of the spans that are equal, the first (smallest doc_id, then position) stays; every
+sentence that any other of them covers is removed.
 
 Two shuffles move spans, so their rows are kept small: a key, a doc_id, two positions. Whether a span repeats one before it in its
 own document is settled before the shuffle; so the smallest doc_id of a key, a plain aggregate, decides the rest.
 
-Null and empty texts have no sentences and stay empty. Rows that repeat both doc_id and text are the same document and get the same
-result; rows that share a doc_id alone rank alike. A null doc_id ranks below all others. An empty table gives an empty result.
+Null and empty texts have no sentences and stay empty; very long texts are cut whole; other columns of the input are ignored. Rows
+that repeat both doc_id and text are the same document and get the same result; where rows share a doc_id alone, a hash of the text
+ranks them. A null doc_id ranks below all others. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterweave.llm.common import possible, salted_join, shared_dir, written
+from rosterweave.llm.common import joined_where_found, possible, salted_join, shared_dir, written
 from rosterweave.shipping import ship
 
-SENTENCES, MIN_WORDS, LONG, CUT = 3, 20, 12, 6
+SENTENCES, MIN_WORDS, LONG = 3, 20, 12
 TEXTS = 1000  # texts whose spans are found at once
 _LEAST = -(2**63)
 _sentence = regex.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
-_word = regex.compile(r"\S+\s*|\s+")
+_word = regex.compile(r"\s*\S+\s*")
 
 
 def sentences(text: str | None) -> list[str]:
@@ -41,18 +44,24 @@ def sentences(text: str | None) -> list[str]:
     for s in _sentence.findall(text or ""):
         if not s:
             continue
-        if s.count(" ") < LONG or len(s.split()) <= LONG:
+        words, start = _word.findall(s) if len(s) > 2 * LONG else [], 0
+        if len(words) <= LONG:
             out.append(s)
             continue
-        words, start = _word.findall(s), 0
-        for i, w in enumerate(words):
-            if zlib.crc32(w.strip().lower().encode("utf-8", "surrogatepass")) % CUT == 0 and i + 1 < len(words):
-                out.append("".join(words[start : i + 1]))
-                start = i + 1
+        for end in _cuts(words):
+            out.append("".join(words[start:end]))
+            start = end
         out.append("".join(words[start:]))
     return out
 
 
+def _cuts(words: list[str]) -> list[int]:
+    """After the word with the least hash, the first of equals, in each window of LONG words; not after the last word."""
+    hashes = np.fromiter((zlib.crc32(w.strip().lower().encode("utf-8", "surrogatepass")) for w in words), dtype=np.int64, count=len(words))
+    least = np.lib.stride_tricks.sliding_window_view(hashes, LONG).argmin(axis=1) + np.arange(len(words) - LONG + 1)
+    return [int(x) + 1 for x in np.unique(least) if x + 1 < len(words)]
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n + 1, base, dtype=np.uint64)
     out[0] = 1
@@ -124,21 +133,23 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     """doc_id, text_hash, firsts, lasts: for each document with spans that are not the first of their kind, where these begin and end; whether doc_ids are unique."""
     folder = shared_dir(docs.sparkSession)
     table, unique = span_table(docs, folder, text_col, id_col)
-    first = table.groupBy("key", "more").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rank = F.col("doc_id") if unique else F.struct("doc_id", "text_hash")
+    first = table.groupBy("key", "more").agg(F.min(rank).alias("first_doc"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = written(first, folder, "repeated")
     # most spans occur once; a bitmap of bounded size keeps them out of the shuffle
     likely = possible(table, first.select("key"), "key", first.count())
     found = salted_join(likely, first, ["key", "more"], "n", table.count(), F.xxhash64("doc_id", "first"), how="inner")
-    gone = found.filter((F.col("first_doc") != F.col("doc_id")) | F.col("again"))
+    gone = found.filter((F.col("first_doc") != rank) | F.col("again"))
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")).select("doc_id", "text_hash", F.col("spans.first").alias("firsts"), F.col("spans.last").alias("lasts")), unique
 
 
 def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_removed, n_words_removed, kept_text for each row."""
     gone, unique = repeated_spans(docs, text_col, id_col)
-    gone = gone.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    gone = written(gone.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), shared_dir(docs.sparkSession), "gone")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = rows.join(gone, (F.coalesce("doc_id", F.lit(_LEAST)) == gone["_id"]) & ((F.lit(0) if unique else F.xxhash64("text")) == gone["_hash"]), "left").select("doc_id", "text", "firsts", "lasts")
+    rows = rows.withColumns({"_id": F.coalesce("doc_id", F.lit(_LEAST)), "_hash": F.lit(0).cast("long") if unique else F.xxhash64("text")})
+    found = joined_where_found(rows, gone, ["_id", "_hash"]).select("doc_id", "text", "firsts", "lasts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
