@@ -3,10 +3,18 @@
 The words of each source are summed, and targets derived by filling: a source's target is weight * level, at most `most` times its
 size, where the level makes all targets add up to all words. The level is found by a loop that moves two sums to the driver each
 time, however many sources there are. A document of a source with rate r = target / size is taken floor(r) times, and once more
-with probability r - floor(r): its coin is the MD5 of seed and doc_id, so reruns agree on any number of partitions.
-
-Sources weigh 1, 2, 3, 1, ... in order of code points, null last. A null or empty text has no words and takes none. A source
-without words has target 0. Rows that repeat a doc_id share its coin, and count as rows. An empty table gives an empty result.
+with probability f = r - floor(r).
+
+That copy hangs on a coin, the MD5 of seed and doc_id, so reruns agree on any number of partitions. Independent coins would leave the
+words of a source far from its target where few documents have most of the words. So the coins of a source are used together: its
+documents in order of coins lie side by side on a circle, each as long as it has words, and those whose middle is in an arc of f of the
+circle are taken once more. The arc begins where the MD5 of seed and source says, so each document's probability is f, and the words
+taken miss the target by no more than the words of the source's longest document. Where the arc begins and ends is found from sums of words
+by leading bits of coins, LEVELS times refined; the result is two coins a source, and each document is decided by its own coin.
+
+Sources weigh 1, 2, 3, 1, ... in order of code points, null last. A null or empty text has no words and takes none. A source without
+words has target 0. Rows of a source that repeat a doc_id share its coin and its place on the circle. Very long texts are counted whole;
+clashing names of other columns do no harm. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,12 +26,13 @@ from rosterweave.llm.common import WORD_PATTERN, packed, salted_join, shared_dir
 
 WEIGHTS, MOST, SEED = (1, 2, 3), 3, "mix"
 _COIN_DIGITS = 13  # hexadecimal, 52 bits: exact in a double
+LEVELS, _LEVEL_BITS = 4, 13  # a level's sums are at most 2 ** 13 a source and end of its arc
 
 
-def coin(id_col: str, seed: str = SEED) -> Column:
-    """A number in [0, 1) made from the seed and the id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    return F.conv(F.substring(digest, 1, _COIN_DIGITS), 16, 10).cast("double") / F.lit(float(16**_COIN_DIGITS))
+def coin(what: Column, seed: str = SEED) -> Column:
+    """A number from 0 to 2 ** 52 - 1 made from the seed and a text."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(what.cast("string"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, _COIN_DIGITS), 16, 10).cast("long")
 
 
 def _ranked(sources: DataFrame, folder: str) -> DataFrame:
@@ -62,20 +71,65 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 SOURCES_BROADCAST = 50_000
 
 
+def _with_source(rows: DataFrame, table: DataFrame, few: bool, total: int, how: str) -> DataFrame:
+    """rows joined with a table of a row a source; both have _source and _last, the table n_docs."""
+    if few:
+        return rows.join(F.broadcast(table), ["_source", "_last"], how)
+    return salted_join(rows, table, ["_source", "_last"], "n_docs", total, F.col("coin"), how=how)
+
+
+def _arcs(sizes: DataFrame, targets: DataFrame, few: bool, total: int, seed: str, folder: str) -> DataFrame:
+    """targets with `from` and `to`: the first coins of documents with their middle at or after the arc's two ends, 2 ** 52 for none.
+
+    sizes: _source, _last, coin, size. A source's documents by coins begin at the sums of the words before them. An end's place on the
+    line of words is followed down the coins' bits: at each level the words of each next piece of bits say which piece it falls in."""
+    s, fraction = F.col("source_size"), F.col("target") / F.greatest("source_size", F.lit(1)) - F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
+    begin = F.floor(coin(F.when(~F.col("_last"), F.concat(F.lit("source "), F.col("_source"))), seed) / F.lit(float(2**52)) * s).cast("long")
+    stop = (begin + F.round(fraction * s)).cast("long")
+    # an end at or beyond the line's end wraps to its start
+    ends = targets.filter(s > 0).select("_source", "_last", "n_docs", F.posexplode(F.array(begin, F.when(stop >= s, stop - s).otherwise(stop))).alias("end", "rest"), F.lit(0).cast("long").alias("lead"))
+    at = written(ends, folder, "level0")
+    for level in range(LEVELS):
+        shift = _LEVEL_BITS * (LEVELS - 1 - level)
+        both = at.groupBy("_source", "_last").agg(F.max("n_docs").alias("n_docs"), F.collect_list(F.struct("end", "rest", "lead")).alias("ends"))  # two
+        own = _with_source(sizes, both, few, total, "inner").select("_source", "_last", "coin", "size", F.explode("ends").alias("e")).select("_source", "_last", "coin", "size", "e.*")
+        own = own.filter(F.shiftright("coin", shift + _LEVEL_BITS) == F.col("lead"))
+        sums = own.groupBy("_source", "_last", "end", "rest", F.shiftright("coin", shift).alias("piece")).agg(F.sum("size").alias("words"))
+        line = Window.partitionBy("_source", "_last", "end").orderBy("piece")  # 2 ** _LEVEL_BITS rows at most
+        sums = sums.withColumn("before", F.sum("words").over(line) - F.col("words"))
+        # the piece that the place falls in; it has words
+        found = sums.filter((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
+        found = found.select("_source", "_last", "end", (F.col("rest") - F.col("before")).alias("rest"), F.col("piece").alias("lead"), "words")
+        at = written(found.join(targets.select("_source", "_last", "n_docs"), ["_source", "_last"]), folder, f"level{level + 1}")
+    # the last piece is one coin
+    edge = F.when(2 * F.col("rest") > F.col("words"), F.col("lead") + 1).otherwise(F.col("lead"))
+    found = at.groupBy("_source", "_last").agg(F.max(F.when(F.col("end") == 0, edge)).alias("from"), F.max(F.when(F.col("end") == 1, edge)).alias("to"))
+    return targets.join(found, ["_source", "_last"], "left").withColumn("wraps", stop >= s)
+
+
 def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int, seed: str) -> DataFrame:
     """rows: doc_id, text, source and others. Adds size, source_size, target, copies; text and source go."""
-    rows = rows.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")).drop("text")
-    measured = written(rows.select("source", "size"), shared_dir(rows.sparkSession), "sizes")
-    targets, total = source_targets(measured, weights, most)
-    targets = targets.select(F.coalesce("source", F.lit("")).alias("_source"), F.col("last").alias("_last"), "n_docs", "source_size", "target")
-    keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_last": F.col("source").isNull()}).drop("source")
-    if targets.count() <= SOURCES_BROADCAST:
-        found = keyed.join(F.broadcast(targets), ["_source", "_last"], "left")
+    folder = shared_dir(rows.sparkSession)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    keys = {"_source": F.coalesce("source", F.lit("")), "_last": F.col("source").isNull(), "coin": coin(F.col("doc_id"), seed)}
+    # words are counted once: what else the rows have comes back with them only if there is more than ids
+    keyed = rows.withColumns({"size": size, **keys}).drop("text")
+    others = [c for c in keyed.columns if c not in ("doc_id", "source", "size", *keys)]
+    if not others:
+        keyed = written(keyed, folder, "sizes")
+        sizes = keyed
     else:
-        found = salted_join(keyed, targets, ["_source", "_last"], "n_docs", total, F.xxhash64("doc_id"))
+        sizes = written(keyed.select("source", "size", *keys), folder, "sizes")
+    targets, total = source_targets(sizes.select("source", "size"), weights, most)
+    targets = targets.select(F.coalesce("source", F.lit("")).alias("_source"), F.col("last").alias("_last"), "n_docs", "source_size", "target")
+    few = targets.count() <= SOURCES_BROADCAST
+    arcs = written(_arcs(sizes, targets, few, total, seed, folder), folder, "arcs")
+    found = _with_source(keyed.drop("source"), arcs, few, total, "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(coin("doc_id", seed) < rate - F.floor(rate), 1).otherwise(0)
-    return found.withColumn("copies", copies.cast("long")).drop("_source", "_last", "n_docs")
+    after, before = F.col("coin") >= F.col("from"), F.col("coin") < F.col("to")
+    more = F.when(F.col("wraps"), after | before).otherwise(after & before)
+    copies = F.floor(rate) + F.when(more & (rate > F.floor(rate)), 1).otherwise(0)
+    return found.withColumn("copies", copies.cast("long")).drop("_source", "_last", "n_docs", "coin", "from", "to", "wraps")
 
 
 def _named(docs: DataFrame, text_col: str, source_col: str, id_col: str) -> dict[str, Column]:
@@ -114,10 +168,18 @@ x AS (
     ELSE (words - f.above)::DOUBLE * weight / f.rest::DOUBLE END AS target
   FROM c LEFT JOIN f ON true
 ),
-r AS (
+k AS (
   SELECT d.doc_id, d.size, x.source_size, x.target, CASE WHEN x.source_size > 0 THEN x.target / x.source_size ELSE 0.0::DOUBLE END AS rate,
-    ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS coin
+    ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::UBIGINT::BIGINT AS coin, x.source AS src,
+    floor(('0x' || substr(md5('mix:' || coalesce('source ' || x.source, '')), 1, 13))::UBIGINT::DOUBLE / 4503599627370496.0::DOUBLE * x.source_size)::BIGINT AS arc
   FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source
+),
+p AS (
+  SELECT *, rate - floor(rate) AS f, (arc + round((rate - floor(rate)) * source_size))::BIGINT AS stop,
+    coalesce(sum(size) OVER (PARTITION BY src ORDER BY coin RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, sum(size) OVER (PARTITION BY src, coin)::BIGINT AS own
+  FROM k
 )
-SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE
+  WHEN f = 0 THEN 0 WHEN stop >= source_size THEN (2 * start + own >= 2 * arc OR 2 * start + own < 2 * (stop - source_size))::INT ELSE (2 * start + own >= 2 * arc AND 2 * start + own < 2 * stop)::INT END))::BIGINT AS taken
+FROM p
 """
