@@ -3,17 +3,23 @@
 Every rule is evaluated once over a whole text; the ledger holds the measurements and one bit for each rule that fails. Policies are
 versioned sets of bits: applying one, or finding what each rule alone decides (ablation), reads the ledger and never a text.
 
-A null or empty text has no words and fails `few_words`. Repeated rows are measured each time; a null doc_id passes through. An
-empty table gives an empty ledger. Ratios are compared as products of integers, so a tie at a limit is not a failure.
+Words stand between the six white-space characters of ASCII; others, such as no-break spaces, are part of a word. A letter is \\p{L},
+a capital \\p{Lu}. A word is alphabetic when it is letters alone, punctuation at its ends aside.
+
+A null or empty text has no words and fails `few_words`. A very long text is measured whole and fails `many_words`. Repeated rows are
+measured each time; a null doc_id passes through; other columns of the input are ignored. An empty table gives an empty ledger. Ratios
+are compared as products of integers, so a tie at a limit is not a failure.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +28,7 @@ from rosterweave.shipping import ship
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 5
+_letters, _capital = regex.compile(r"\p{L}+"), regex.compile(r"\p{Lu}")
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_alpha_words")
 
@@ -54,10 +61,10 @@ def measured(text: str | None) -> tuple[int, ...]:
     text = text or ""
     words = text.encode("utf-8", "surrogatepass").split()
     lines = [line for line in text.split("\n") if line.strip(SPACES)]
-    upper = sum(map(str.isupper, text)) if not text.islower() else 0
+    alphabetic = sum(n for w, n in Counter(words).items() if _letters.fullmatch(w.decode("utf-8", "surrogatepass").strip(".,;:!?\"'()")))
     return (
         len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), _windows_repeated(words),
-        text.count("\n") + 1, upper, sum(map(str.isalpha, text)), sum(1 for w in text.split() if w.strip(".,;:!?\"'()").isalpha()),
+        text.count("\n") + 1, len(_capital.findall(text)), sum(map(str.isalpha, text)), alphabetic,
     )
 
 
