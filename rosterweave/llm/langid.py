@@ -6,8 +6,12 @@ languages votes, and margins break ties. All are fitted on the driver by dual co
 documents; the rest of the work is one pass over whole texts.
 
 A document teaches only if its label is not null and crc32(doc_id as text) mod 3 is not 1; a null doc_id counts as the empty text.
-A null text, or one without a letter, is `und` with score 0. Without anything to learn from, every text is `und`. Repeated rows are
-predicted each time. An empty table gives an empty result.
+A text teaches a language once, however often it occurs. SAMPLE texts at most teach in all, SAMPLE_PER_LANGUAGE of a language, chosen
+by a hash of the text; with more languages than SAMPLE, those with the most rows are learned (by code, where these are equal).
+
+A null text, or one without a letter, is `und` with score 0. Without anything to learn from, every text is `und`. Of families with equal
+margins the first by name wins, of a pair the first, of languages with equal votes and margins the first by code. Repeated rows are
+predicted each time; very long texts are read whole; other columns of the input are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,10 +26,11 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterweave.llm.common import smallest
 from rosterweave.shipping import ship
 
-#: Labelled documents a language that the machines are fitted on, by hash of doc_id; the bound of the sample.
-SAMPLE_PER_LANGUAGE = 400
+#: Labelled texts that the machines are fitted on: of a language, and in all; the bound of the sample.
+SAMPLE_PER_LANGUAGE, SAMPLE = 400, 3200
 UNDETERMINED = "und"
 
 #: Language codes of a family. A code that is in none is a family of its own.
@@ -140,24 +145,25 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def fitted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> Hierarchy:
-    """Learns from about `per_language` documents of each language, chosen by a hash of doc_id, whole texts."""
+def fitted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE, sample: int = SAMPLE) -> Hierarchy:
+    """Learns from at most `per_language` whole texts of each language and `sample` in all."""
     ship(docs.sparkSession)
-    usable = docs.filter(~is_held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in usable.groupBy(F.col(lang_col)).count().collect()}  # a row a language
-    if not sizes:
+    usable = docs.filter(~is_held_out(id_col)).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    learned = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(sample)
+    languages = [r["lang"] for r in learned.select("lang").collect()]  # `sample` rows at most
+    if not languages:
         return Hierarchy()
-    unit = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col(lang_col) == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
+    own = usable if len(languages) < sample else usable.join(F.broadcast(learned.select("lang")), "lang")
+    chosen = smallest(own.select("lang", "h").distinct(), "lang", "h", max(1, min(per_language, sample // len(languages))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(batch.column(0)[i].as_py(), counts(t)) for i in range(batch.num_rows) if _letter.search(t := batch.column(1)[i].as_py())]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].astype(np.float16).tobytes() for r in rows], pa.binary())], names=["lang", "x"])
 
-    scaled = usable.filter(unit < share).select(F.col(lang_col).cast("string"), F.col(text_col)).mapInArrow(run, "lang string, x binary").collect()
+    # `chosen` has at most `sample` rows, which bounds the broadcast; of texts with the same hash one teaches
+    texts = own.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    scaled = texts.select("lang", "text").mapInArrow(run, "lang string, x binary").collect()
     scaled.sort(key=lambda r: (r[0], bytes(r[1])))
     if not scaled:
         return Hierarchy()
