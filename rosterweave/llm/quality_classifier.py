@@ -6,12 +6,17 @@ is the sum of these tails; a document is kept when P(grade = 2), the last tail,
 
 Features are present or absent: each distinct word in lower case, its first four and five letters, and for each kind of word (letters
 to a or A, digits to 0, other characters as they are; a word that repeats the one before it is a kind too, ordinary words are none)
-whether its share of the words reaches 1/64, 1/32, ... 1. No weight is above zero: a text is good unless something speaks against
-it. The weights are fitted on the driver, on a bounded sample of labelled documents.
+whether its share of the words reaches 1/64, 1/32, ... 1. Weights may speak for a text or against it. They are fitted on the driver, on a
+bounded sample of labelled documents.
 
-A null text has no features, and its grade follows from the thresholds alone. Labels with a null quality, or without a document, are
-ignored; a null toxic counts as 0. A document with several labels teaches once for each. Without labels every document is kept, with
-the top grade. Repeated rows are scored each time; an empty table gives an empty result.
+The sample has SAMPLE_PER_GRADE labels of a grade at most, chosen by a hash of doc_id. A document that has the same grade twice
+teaches once, one with several grades once for each; of documents that share a doc_id, the one whose text has the least hash teaches.
+A row of the sample is sent to the driver as the numbers of its features, or as 2 ** BITS bits where that is shorter (32 kB).
+
+A null or empty text has no features, and its grade follows from the thresholds alone. A very long text is read whole. Labels with a
+null quality, or without a document, are ignored; a null toxic counts as 0. A tail probability equal to `least` keeps a document.
+Without labels every document is kept, with the top grade. Repeated rows are scored each time; other columns of the input are ignored,
+or passed on by `selected`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from rosterweave.llm.common import packed
+from rosterweave.llm.common import packed, smallest
 from rosterweave.shipping import ship
 
-#: Labelled documents of each grade that the model is fitted on, by hash of doc_id; the bound of the sample.
+#: Labels of each grade that the model is fitted on, by hash of doc_id; the bound of the sample.
 SAMPLE_PER_GRADE = 3000
 GRADES, BITS, LEAST = 3, 18, 0.5
 _CACHE, _ROWS = 100_000, 512
@@ -108,7 +113,7 @@ class Ordinal:
 
 
 def _descend(rows: list[np.ndarray], grades: np.ndarray, usable: np.ndarray, df: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Accelerated proximal gradient steps over the usable slots; no weight is above 0."""
+    """Accelerated proximal gradient steps over the usable slots."""
     n = len(rows)
     flat, of = np.concatenate(rows), np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     use = usable[flat]
@@ -159,7 +164,8 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, usable: np.ndarray, df:
         lower = np.where(low, _sigmoid(at[below] - s), 0.0)
         p = np.maximum(upper - lower, 1e-12)
         up, down = weigh * upper * (1 - upper) / p, weigh * lower * (1 - lower) / p
-        new = np.minimum(z - step * back(up - down) + step * penalty, 0.0)
+        new = z - step * back(up - down)
+        new = np.minimum(new + step * penalty, 0.0) + np.maximum(new - step * penalty, 0.0)
         slope = np.array([down[grades == k + 1].sum() - up[grades == k].sum() for k in range(GRADES - 1)])
         moved = at - min(step, 2.0) * slope
         moved[1] = max(moved[1], moved[0] + 1e-3)
@@ -178,33 +184,44 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", per_grade: int = SAMPLE_PER_GRADE) -> Ordinal:
-    """labels: doc_id, quality, toxic. Learns from about `per_grade` documents of each grade, chosen by a hash of doc_id, whole texts."""
+    """labels: doc_id, quality, toxic. Learns from at most `per_grade` labels of each grade, whole texts."""
     ship(docs.sparkSession)
     graded = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     graded = graded.select(F.col("doc_id").cast("long").alias("_id"), F.when(F.col("quality") == 0, 0).when(F.coalesce("toxic", F.lit(0)) != 0, 1).otherwise(2).alias("grade"))
-    sizes = {r[0]: r[1] for r in graded.groupBy("grade").count().collect()}  # at most GRADES rows
-    share = F.lit(0.0)
-    for grade, n in sizes.items():
-        share = F.when(F.col("grade") == grade, F.lit(min(1.0, per_grade / n))).otherwise(share)
-    chosen = graded.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) / F.lit(1_000_003.0) < share)
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    # about GRADES * per_grade ids, which bounds the broadcast
-    sample = rows.join(F.broadcast(chosen), "_id").select("grade", "text")
+    # GRADES * per_grade rows at most, which bounds the broadcasts
+    chosen = smallest(graded.distinct().withColumn("_h", F.xxhash64("_id")), "grade", "_h", per_grade).drop("_h")
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).withColumn("_text", F.xxhash64("text"))
+    first = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "grade").agg(F.min("_text").alias("_text"))
+    sample = rows.join(F.broadcast(first), ["_id", "_text"]).select("_id", "grade", "text").dropDuplicates(["_id", "grade"]).select("grade", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            found = [features.slots(batch.column(1)[i].as_py()).tobytes() for i in range(batch.num_rows)]
+            found = [_packed(features.slots(batch.column(1)[i].as_py())) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["grade", "slots"])
 
     got = sorted(((r[0], bytes(r[1])) for r in sample.mapInArrow(run, "grade int, slots binary").collect()))
     if not got:
         return Ordinal(np.zeros(1 << BITS, dtype=np.float32), np.full(GRADES - 1, -30.0))
-    grades, rows = np.array([g for g, _ in got]), [np.frombuffer(s, dtype=np.int32) for _, s in got]
+    grades, rows = np.array([g for g, _ in got]), [_unpacked(s) for _, s in got]
     del got
     return Ordinal.fit(rows, grades)
 
 
+def _packed(slots: np.ndarray) -> bytes:
+    if 4 * len(slots) < (1 << BITS) // 8:
+        return slots.tobytes()
+    bits = np.zeros(1 << BITS, dtype=np.uint8)
+    bits[slots] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    if len(packed) < (1 << BITS) // 8:
+        return np.frombuffer(packed, dtype=np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, dtype=np.uint8))).astype(np.int32)
+
+
 def _scored(rows: DataFrame, model: Ordinal, least: float) -> DataFrame:
     """rows: any columns, then the text. The text gives way to expected_grade, tail_prob, kept."""
     ship(rows.sparkSession)
