@@ -38,28 +38,41 @@ _sentence = regex.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _word = regex.compile(r"\s*\S+\s*")
 
 
-def sentences(text: str | None) -> list[str]:
-    """Joined, they are the text."""
-    out = []
-    for s in _sentence.findall(text or ""):
-        if not s:
-            continue
-        words, start = _word.findall(s) if len(s) > 2 * LONG else [], 0
-        if len(words) <= LONG:
-            out.append(s)
-            continue
-        for end in _cuts(words):
-            out.append("".join(words[start:end]))
-            start = end
-        out.append("".join(words[start:]))
+def sentences(texts: list[str | None]) -> list[list[str]]:
+    """Of each text; joined, they are the text."""
+    out, long = [], []
+    for text in texts:
+        parts: list = []
+        for s in _sentence.findall(text or ""):
+            if s:
+                words = _word.findall(s) if len(s) > 2 * LONG and len(s.split()) > LONG else ()
+                if len(words) > LONG:
+                    long.append((parts, len(parts), words))
+                parts.append(s)
+        out.append(parts)
+    if long:
+        cuts = _cuts([words for _, _, words in long])
+        # from the last to the first, so that the places of earlier sentences stay
+        for (parts, at, words), ends in zip(reversed(long), reversed(cuts), strict=True):
+            parts[at : at + 1] = ["".join(words[a:b]) for a, b in zip([0, *ends], [*ends, len(words)], strict=True)]
     return out
 
 
-def _cuts(words: list[str]) -> list[int]:
-    """After the word with the least hash, the first of equals, in each window of LONG words; not after the last word."""
-    hashes = np.fromiter((zlib.crc32(w.strip().lower().encode("utf-8", "surrogatepass")) for w in words), dtype=np.int64, count=len(words))
-    least = np.lib.stride_tricks.sliding_window_view(hashes, LONG).argmin(axis=1) + np.arange(len(words) - LONG + 1)
-    return [int(x) + 1 for x in np.unique(least) if x + 1 < len(words)]
+def _cuts(sentences: list[list[str]]) -> list[list[int]]:
+    """For each sentence (over LONG words): after the word with the least hash, the first of equals, in each window of LONG words; not after the last word."""
+    sizes = [len(words) for words in sentences]
+    hashes = np.fromiter((zlib.crc32(w.strip().lower().encode("utf-8", "surrogatepass")) for words in sentences for w in words), dtype=np.int64, count=sum(sizes))
+    of, ends, n = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes), len(hashes)
+    # hash and place in one number; windows of LONG = 8 + 4 words from those of 1, 2, 4 and 8
+    least = (hashes << 31) | np.arange(n)
+    two = np.minimum(least[:-1], least[1:])
+    four = np.minimum(two[:-2], two[2:])
+    eight = np.minimum(four[:-4], four[4:])
+    all_of = np.minimum(eight[: n - LONG + 1], four[8:])[of[: n - LONG + 1] == of[LONG - 1 :]]
+    at = np.unique(all_of & (2**31 - 1)) + 1
+    at = at[~np.isin(at, ends)]
+    starts = ends - sizes
+    return [(own - start).tolist() for own, start in zip(np.split(at, np.searchsorted(at, ends[:-1])), starts, strict=True)]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -119,7 +132,7 @@ def span_table(docs: DataFrame, folder: str, text_col: str = "text", id_col: str
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(start, TEXTS)
-                found = spans([sentences(part.column(2)[i].as_py()) for i in range(part.num_rows)])
+                found = spans(sentences(part.column(2).to_pylist()))
                 of = pa.array(found["text"])
                 yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(1).take(of), *(pa.array(found[c]) for c in names)], names=["doc_id", "text_hash", *names])
 
@@ -154,14 +167,15 @@ def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], []]
-            for i in range(batch.num_rows):
-                text, firsts, lost = batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), []
-                if firsts:
-                    parts = sentences(text)
+            texts, some = batch.column(1).to_pylist(), [i for i, firsts in enumerate(batch.column(2)) if firsts.is_valid]
+            cut = dict(zip(some, sentences([texts[i] for i in some]), strict=True))
+            for i, text in enumerate(texts):
+                lost: list[str] = []
+                if (parts := cut.get(i)) is not None:
                     edge = np.zeros(len(parts) + 1, dtype=np.int64)
-                    np.add.at(edge, firsts, 1)
+                    np.add.at(edge, batch.column(2)[i].as_py(), 1)
                     np.add.at(edge, np.array(batch.column(3)[i].as_py()) + 1, -1)
-                    covered = np.cumsum(edge)[:-1] > 0
+                    covered = (np.cumsum(edge)[:-1] > 0).tolist()
                     lost = [p for p, c in zip(parts, covered, strict=True) if c]
                     text = "".join(p for p, c in zip(parts, covered, strict=True) if not c)
                 for column, value in zip(out, (len(lost), sum(len(p.split()) for p in lost), text), strict=True):

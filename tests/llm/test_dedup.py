@@ -402,6 +402,11 @@ def test_no_passage_of_51_words_is_missed(docs):
     assert min(share) >= 20 and sum(share) / 400 > 0.8 * 51 and all(got[2 * k] == 0 for k in range(400))
 
 
+def test_sentences_by_definition():
+    texts = [t for _, t in corpus(12, 60)] + [" ".join(random.Random(k).choice("abcdefg") * 2 for _ in range(40 * k)) + ("." if k % 2 else "") for k in range(12)] + [None, "", " ", "a. " * 50]
+    assert substring_dedup.sentences(texts) == [plain_sentences(t) for t in texts]
+
+
 def test_full_bitmap_changes_nothing(docs, monkeypatch):
     from rosterweave.llm import common
 
@@ -415,7 +420,7 @@ def test_sentences_lose_nothing():
     rnd = random.Random(10)
     for _ in range(300):
         t = "".join(rnd.choice("ab .!?\n\t\x0bÉ　x") for _ in range(rnd.randint(0, 200)))
-        assert "".join(substring_dedup.sentences(t)) == t
+        assert "".join(substring_dedup.sentences([t])[0]) == t
 
 
 def test_queries_on_the_small_tables(spark):
