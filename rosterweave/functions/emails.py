@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from rosterweave.functions import lists
 from rosterweave.functions.text import C, alternation, any_of, ascii_key, col, fold_letters, text, trim, unescape, without_invisible
 
-ADDRESS = r"(?i)([A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,})"
+#: A run of local characters is tried from its start alone and without giving any back, so a long run without @ costs its length.
+ADDRESS = r"(?i)(?:\G|(?<![A-Z0-9._%+\-]))([A-Z0-9._%+\-]++@[A-Z0-9.\-]+\.[A-Z]{2,})"
 NONE = "array<string>"
 
 

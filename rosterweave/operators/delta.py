@@ -88,6 +88,13 @@ def scopes_to_do(scopes: DataFrame, checkpoints: DataFrame, key: str, by_status:
     return left.withColumn("priority", first)
 
 
+def prospect_by_key(wanted: DataFrame, prospects: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """J10: for each wanted key the first prospect that has it; keys that none has go."""
+    rest = [c for c in prospects.columns if c != key]
+    first = prospects.filter(F.col(key) != "").groupBy(key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_p"))
+    return wanted.join(first, key).select(*wanted.columns, *[F.col(f"_p.{c}").alias(c) for c in rest if c not in wanted.columns])
+
+
 def contact_sources(companies: DataFrame, by_domain: DataFrame, by_name: DataFrame) -> DataFrame:
     """J12: a company's domain, looked up by name where it has none, and the addresses of all sources united."""
     named = by_name.select("company_name", F.col("domain").alias("_found"))

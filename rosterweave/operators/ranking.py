@@ -78,10 +78,17 @@ def selected_contacts(candidates: DataFrame, company: str, name: str = "name", t
 
 
 def slot_of(host: Column, slots: int) -> Column:
-    """TK10: the shard of a host; picking the least loaded is the scheduler's work here."""
+    """TK10: the shard of a host."""
     return F.pmod(F.xxhash64(F.lower(host)), F.lit(slots)).cast("int")
 
 
+def least_loaded(slots: DataFrame, pool: str, now: Column, in_flight: str = "in_flight", last_used: str = "last_used", idx: str = "idx", cooling: str = "cooling_until") -> DataFrame:
+    """TK10: of each pool's slots that are not cooling, the one with the fewest tasks, the longest unused (never comes first), then the first."""
+    free = slots.filter(F.col(cooling).isNull() | (F.col(cooling) <= now))
+    at = F.struct(F.col(in_flight), F.col(last_used).isNotNull(), F.col(last_used), F.col(idx))
+    return free.groupBy(pool).agg(F.min_by(F.struct(*[c for c in slots.columns if c != pool]), at).alias("s")).select(pool, "s.*")
+
+
 def representatives(officers: DataFrame, key: str, name: str = "name", active: str = "is_active", pos: str = "pos") -> DataFrame:
     """TK11: names of current officers that are persons, in order, joined; all current ones where none is."""
     current = officers.filter(F.col(active)).withColumn("human", names.is_human_officer(name))

@@ -276,9 +276,9 @@ def offsite_emails(spark, d):
     return _harvested(spark, d).select("doc_id", F.explode(emails.for_site(F.lit("https://firm.dk"), F.array("email"))).alias("email"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(replace(lower(substr(text, 1, 80)), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS name FROM documents")
+@query("SELECT doc_id, trim(regexp_replace(replace(lower(text), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS name FROM documents")
 def uk_names(spark, d):
-    return table(spark, d, "documents").select("doc_id", names.uk_name(F.substring("text", 1, 80)).alias("name"))
+    return table(spark, d, "documents").select("doc_id", names.uk_name("text").alias("name"))
 
 
 @query("SELECT s_suppkey, regexp_replace(trim(regexp_replace(lower(s_name) || ' uk limited', '[^a-z0-9]+', ' ', 'g')), '( (limited|ltd|plc|llp|lp|uk))+$', '') AS name FROM supplier")
@@ -298,9 +298,9 @@ def addresses_and_queries(spark, d):
     return table(spark, d, "part").select("p_partkey", names.address("p_brand", "p_type", "p_brand").alias("address"), F.get(names.map_queries("p_name", "p_type", "DK"), F.lit(0)).alias("first_query"))
 
 
-@query("SELECT conv_id, turn, trim(regexp_replace(substr(text, 1, 200), '[\\s\\x{000b}\\x{0085}\\x{00a0}\\x{3000}]+', ' ', 'g')) AS squeezed FROM conversations")
+@query("SELECT conv_id, turn, trim(regexp_replace(text, '[\\s\\x{000b}\\x{0085}\\x{00a0}\\x{3000}]+', ' ', 'g')) AS squeezed FROM conversations")
 def squeezed_text(spark, d):
-    return table(spark, d, "conversations").select("conv_id", "turn", squeeze(F.substring("text", 1, 200)).alias("squeezed"))
+    return table(spark, d, "conversations").select("conv_id", "turn", squeeze("text").alias("squeezed"))
 
 
 @query("SELECT p_partkey, contains('a small ring box', split_part(p_name, ' ', 1)) OR contains('a small ring box', split_part(p_name, ' ', 2)) AS supported FROM part")
@@ -333,9 +333,3 @@ def prospect_payload(spark, d):
 def job_payload(spark, d):
     j = F.to_json(F.struct(F.struct(F.create_map(F.lit("sv"), F.lit("x"), F.lit("fi"), F.col("n_name")).alias("values")).alias("title"), F.array(F.struct(F.lit("Rep").alias("firstName"), F.col("n_regionkey").cast("string").alias("lastName"))).alias("recruiting")))
     return table(spark, d, "nation").select("n_nationkey", payloads.job(j).alias("j")).select("n_nationkey", "j.title", "j.representative")
-
-
-@query("SELECT doc_id, length(text) AS n FROM documents WHERE length(text) <= 100")
-def short_texts(spark, d):
-    cut = middle_cut("text", 100, "")
-    return table(spark, d, "documents").filter(cut == F.col("text")).select("doc_id", F.length("text").cast("long").alias("n"))

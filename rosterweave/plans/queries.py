@@ -537,14 +537,14 @@ def json_props(spark, d):
 
 
 @query("""
-SELECT conv_id, turn, trim(following, ' ' || chr(9) || chr(10) || chr(13)) AS answer FROM (SELECT conv_id, turn, role, lead(role) OVER w AS next_role, lead(substr(text, 1, 40)) OVER w AS following
+SELECT conv_id, turn, trim(following, ' ' || chr(9) || chr(10) || chr(13)) AS answer FROM (SELECT conv_id, turn, role, lead(role) OVER w AS next_role, lead(text) OVER w AS following
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND next_role = 'assistant'
 """)
 def label_next_line(spark, d):
     from pyspark.sql import Window
 
     w = Window.partitionBy("conv_id").orderBy("turn")
-    c = table(spark, d, "conversations").select("conv_id", "turn", "role", F.lead("role").over(w).alias("next_role"), F.lead(F.substring("text", 1, 40)).over(w).alias("following"))
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role", F.lead("role").over(w).alias("next_role"), F.lead("text").over(w).alias("following"))
     return c.filter("role = 'user' AND next_role = 'assistant'").select("conv_id", "turn", trim("following").alias("answer"))
 
 

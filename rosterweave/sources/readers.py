@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +96,41 @@ def site_tables(spark: SparkSession, paths: list[str], wanted: list[str]) -> Dat
     return union_in_order(*[discovered(spark.read.parquet(p), wanted) for p in paths])
 
 
+def sqlite_files(spark: SparkSession, paths: str | list[str], table: str, wanted: list[str], order: tuple[str, ...] = ("id", "company_name")) -> DataFrame:
+    """SC2-SC4: a table of SQLite database files, wherever Spark can read them: file, seq (the order within a file) and the wanted columns as text.
+
+    Columns that a file lacks are blank, `email` stands in for `emails`; rows come in order of the first order column there is. A file
+    without the table has no rows. Each file is read by one task, which opens its bytes in memory."""
+    import sqlite3
+
+    names_, quoted = list(wanted), '"' + table.replace('"', '""') + '"'
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                db = sqlite3.connect(":memory:")
+                db.deserialize(content.as_py())
+                have = [r[1] for r in db.execute(f"PRAGMA table_info({quoted})")]
+                if have:
+                    pick = [c if c in have else "email" if c == "emails" and "email" in have else None for c in names_]
+                    columns = ", ".join("''" if c is None else "CAST(\"" + c.replace('"', '""') + "\" AS TEXT)" for c in pick)
+                    by = next((c for c in order if c in have), "rowid")
+                    rows = db.execute(f"SELECT {columns} FROM {quoted} ORDER BY {by}")
+                    seq = 0
+                    while part := rows.fetchmany(10_000):
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(part)), pa.array(range(seq, seq + len(part)), pa.int64()), *(pa.array([v or "" for v in c], pa.string()) for c in zip(*part, strict=True))], names=["file", "seq", *names_])
+                        seq += len(part)
+                db.close()
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return files.mapInArrow(run, "file string, seq long, " + ", ".join(f"`{c}` string" for c in names_))
+
+
+def sqlite_sites(spark: SparkSession, sites: dict[str, str], table: str, wanted: list[str]) -> DataFrame:
+    """SC4: databases of several sites (name: path) one after the other; their order decides who wins."""
+    return union_in_order(*[sqlite_files(spark, path, table, wanted).withColumn("source", F.lit(site)) for site, path in sites.items()])
+
+
 def csv_history(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """SC6: delivered files; addresses are split at ;."""
     df = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(paths)

@@ -151,3 +151,16 @@ def test_text(one):
     assert one(text.tokens_supported(F.lit("Anna Lee"), F.lit("by anna"))) is True and one(text.tokens_supported(F.lit("Anna Lee"), F.lit("by bo"))) is False
     assert one(names.inline_representative("v"), v="代表取締役: 山田太郎") == "山田太郎" and one(names.inline_representative("v"), v="代表: 電話") == ""
     assert one(names.address("a", "b", "c"), a="x", b=" ", c="x") == "x" and one(names.jp_prefix("v"), v="東京都港区芝1-2") == "東京都港区" and one(names.keyword_seed("v"), v="株式会社青空") == "株式会社青"
+
+
+def test_addresses_take_time_in_proportion(spark):
+    """A million letters without @, and texts where an address ends inside a run."""
+    import time
+
+    from rosterweave.functions import emails
+
+    df = spark.createDataFrame([("a" * 1_000_000,), ("x@b.co1y@d.com, z@e.dk",), ("a.b@c" * 50_000,)], "t string").cache()
+    df.count()
+    start = time.time()
+    got = [r["e"] for r in df.select(emails.harvest_json("t").alias("e")).collect()]
+    assert time.time() - start < 10 and got[0] == [] and got[1] == ["x@b.co", "1y@d.com", "z@e.dk"]

@@ -185,3 +185,24 @@ def test_snapshots(spark, tmp_path, records):
     sinks.cleared(folder, "websites.txt", "absent.txt")
     assert not (tmp_path / "websites.txt").exists()
     assert [r[0] for r in sinks.full_export(df.withColumn("x", F.lit(1)), ["company_name"], ["company_name"]).collect()] == ["A", "B"]
+
+
+def test_sqlite_files_of_several_sites(spark, tmp_path):
+    """Rows in order of id, missing columns blank, email for emails, no table no rows."""
+    import sqlite3
+
+    def base(name, columns, rows, table="companies"):
+        with sqlite3.connect(tmp_path / name) as db:
+            db.execute(f"CREATE TABLE {table} ({columns})")
+            db.executemany(f"INSERT INTO {table} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+        db.close()
+        return str(tmp_path / name)
+
+    a = base("a.db", "id INTEGER, company_name TEXT, email TEXT", [(2, "B", "b@b.dk"), (1, "A", None)])
+    b = base("b.db", "company_name TEXT, emails TEXT, website TEXT, employees INTEGER", [("D", "d@d.dk", "https://d.dk", 7), ("C", "", "x", None)])
+    base("c.db", "x TEXT", [("y",)], "other")
+    wanted = ["company_name", "emails", "website", "employees"]
+    got = readers.sqlite_sites(spark, {"first": a, "second": b, "third": str(tmp_path / "c.db")}, "companies", wanted).orderBy("site_ord", "seq").collect()
+    assert [(r["source"], *(r[c] for c in wanted)) for r in got] == [("first", "A", "", "", ""), ("first", "B", "b@b.dk", "", ""), ("second", "C", "", "x", ""), ("second", "D", "d@d.dk", "https://d.dk", "7")]
+    assert readers.sqlite_files(spark, str(tmp_path / "*.db"), "companies", wanted).count() == 4
+    assert readers.sqlite_files(spark, a, 'comp"anies', wanted).count() == 0
