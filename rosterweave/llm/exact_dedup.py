@@ -154,13 +154,21 @@ def exact_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc
 
 
 def deduplicated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs that stay, with all their columns. Of rows that repeat both doc_id and text, one stays."""
-    marks = exact_duplicates(docs, text_col, id_col).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
+    """The rows of docs that stay, with all their columns: one of each group of equal texts. Of a group's rows that share the doc_id that stays, the longest stays; of equally long ones any."""
+    marks = exact_duplicates(docs, text_col, id_col).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_code_points").alias("_n"), "kept")
     marks = written(marks, shared_dir(docs.sparkSession), "marks")
-    repeated = marks.groupBy("_id", "_sha").count().filter("count > 1").limit(1).count() > 0
+    text = F.coalesce(F.col("text"), F.lit(""))
+    made = {"_id": F.col("id"), "_sha": F.sha2(normalised(text).cast("binary"), 256)}
     rows = packed(docs, id=docs[id_col].cast("long"), text=docs[text_col].cast("string"))
-    out = without_rows(rows, marks.filter("not kept").select("_id", "_sha").distinct(), {"_id": F.col("id"), "_sha": F.sha2(normalised(F.col("text")).cast("binary"), 256)})
-    return (out.dropDuplicates(["id", "text"]) if repeated else out).select("_row.*")
+    groups = marks.filter("kept").groupBy("_id", "_sha").agg(F.max("_n").alias("_most"), F.count(F.lit(1)).alias("n"), F.min("_n").alias("_least")).filter("n > 1")
+    groups = written(groups, shared_dir(docs.sparkSession), "groups")
+    out = without_rows(rows, marks.filter("not kept").select("_id", "_sha").distinct(), made)
+    if groups.limit(1).count():
+        same = marks["_id"].eqNullSafe(groups["_id"]) & (marks["_sha"] == groups["_sha"])
+        short = marks.join(groups.filter("_least < _most"), same).filter(F.col("_n") < F.col("_most")).select(marks["_id"], marks["_sha"], "_n").distinct()
+        out = without_rows(out, written(short, shared_dir(docs.sparkSession), "short"), {**made, "_n": F.length(text).cast("long")})
+        out = out.withColumn("_sha", made["_sha"]).dropDuplicates(["id", "_sha"])
+    return out.select("_row.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

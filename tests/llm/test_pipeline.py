@@ -1,5 +1,7 @@
 """The pipeline: each stage against its operator in a plain form, then the whole."""
 
+import hashlib
+import re
 import shutil
 
 import pytest
@@ -55,6 +57,46 @@ def test_stages_stand_odd_tables(spark, docs, folder, rows):
         got.count()
 
 
+MIXED_IDS = [
+    (None, "one clean text that has no id at all"), (None, "another clean text that has no id either"), (None, "another clean text that has no id either"), (None, None), (None, ""),
+    (4, "four has two texts and this is one"), (4, "Four has  two texts, here is another"), (4, "shared by many rows of the table"), (1, "shared by many rows  of the table"), (7, "SHARED by many rows of the table"),
+    (9, "a very long text " * 3000), (9, "a very long text " * 3000), (2, "tie of length ab"), (3, "tie of length ab"),
+]
+
+
+def plain_stage(name, rows):
+    """The rows that stay, of (doc_id, text)."""
+    if name == "exact dedup":
+        groups = {}
+        for i, t in rows:
+            groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i or 0, i, t))
+        return [min(g, key=lambda r: r[:3])[3:] for g in groups.values()]
+    fps = [plain_fingerprint(t) for _, t in rows]
+    of = dict(zip(fps, plain_components(fps, list(range(len(rows)))), strict=True))
+    groups = {}
+    for (i, t), f in zip(rows, fps, strict=True):
+        groups.setdefault(of[f], []).append((i is None, i or 0, hashlib.sha256((t or "").encode()).hexdigest(), i, t))
+    return [min(g, key=lambda r: r[:3])[3:] for g in groups.values()]
+
+
+def test_rows_that_stay_where_ids_are_null_or_repeat(spark, docs, folder, tmp_path):
+    """Stage by stage, each on all that its predecessor kept; texts are compared, null as empty."""
+    spark.read.parquet(f"{folder}/labels.parquet").filter("false").write.mode("overwrite").parquet(f"{folder}/labels.parquet")
+    rows, df = MIXED_IDS, docs(MIXED_IDS)
+    show = lambda found: sorted((repr(i), t or "") for i, t in found)
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, df, folder).write.parquet(str(tmp_path / f"odd{n}"))
+        df = spark.read.parquet(str(tmp_path / f"odd{n}"))
+        found = [(r["doc_id"], r["text"]) for r in df.collect()]
+        if n == 0:
+            assert show(found) == show(rows)
+        elif n < 3:
+            assert show(found) == show(plain_stage(name, rows)), name
+        else:
+            assert set(show(found)) <= set(show(rows))
+        rows = found
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     """With both llm folders and the pipeline gone, the entry imports and the other queries are there."""
     import subprocess
