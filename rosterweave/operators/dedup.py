@@ -6,6 +6,8 @@ no window over all rows of a key is needed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,27 +38,54 @@ def record_score(website: str = "website", emails_col: str = "emails", rep: str
     return [flag(website), F.size(emails_col), flag(rep), flag(phone)]
 
 
-def union_in_order(values: str, by: list[Column]) -> Column:
-    """AG3, AG15: the distinct elements of an array column over a group, in the order of `by`, the first of each."""
-    got = F.array_sort(F.collect_list(F.struct(*[b.alias(f"k{i}") for i, b in enumerate(by)], F.col(values).alias("v"))))
-    return F.array_distinct(F.flatten(F.transform(got, lambda s: s["v"])))
+#: How a value is chosen over the rows of a key: min_by or max_by, the value, its order (rows with a null order do not count).
+Pick = tuple[Callable[[Column, Column], Column], Column, Column]
+
+
+def _tagged(values: Column, tag: int, kind: str) -> Column:
+    return F.coalesce(F.transform(values, lambda v, i: F.struct(F.lit(tag).alias("tag"), v.cast("string").alias("v"), i.alias("pos"))).cast(kind), F.array().cast(kind))
+
+
+def grouped(df: DataFrame, keys: list[str], picks: dict[str, Pick], unions: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """AG3, AG15: a row a key with the picks and, for each union (an array of strings, the place of its row), the distinct elements, the first of each.
+
+    Elements are made distinct before they are collected, and both steps combine rows before their shuffle: what one task holds of a
+    key is no longer than the list that comes out, however many rows the key has. Without unions there is one step. Null arrays count
+    as empty, null keys are a key, and elements of equal places follow their positions.
+    """
+    if not unions:
+        return df.groupBy(*keys).agg(*[by(value, order).alias(name) for name, (by, value, order) in picks.items()])
+    # element 0 stands for the row itself, so that the picks are taken once a row and a key without elements stays
+    kind, tags = "array<struct<tag:int,v:string,pos:int>>", {name: tag for tag, name in enumerate(unions, 1)}
+    own = F.array(F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("pos"))).cast(kind)
+    lists = [_tagged(values, tags[name], kind) for name, (values, _) in unions.items()]
+    found = [c for name, (_, value, order) in picks.items() for c in (value.alias(f"_v_{name}"), order.alias(f"_o_{name}"))]
+    rows = df.select(*keys, *found, *[place.alias(f"_p_{name}") for name, (_, place) in unions.items()], F.explode(F.concat(own, *lists)).alias("_e"))
+
+    def once(name: str, by: Callable[[Column, Column], Column]) -> list[Column]:
+        order = F.when(F.col("_e.tag") == 0, F.col(f"_o_{name}"))
+        return [by(F.col(f"_v_{name}"), order).alias(f"_v_{name}"), (F.min if by is F.min_by else F.max)(order).alias(f"_o_{name}")]
+
+    first = [F.min(F.when(F.col("_e.tag") == tag, F.struct(F.col(f"_p_{name}").alias("at"), F.col("_e.pos").alias("pos")))).alias(f"_p_{name}") for name, tag in tags.items()]
+    distinct = rows.groupBy(*keys, F.col("_e.tag").alias("_tag"), F.col("_e.v").alias("_v")).agg(*[c for name, (by, _, _) in picks.items() for c in once(name, by)], *first)
+    lists = [F.transform(F.array_sort(F.collect_list(F.when(F.col("_tag") == tag, F.struct(f"_p_{name}", "_v")))), lambda s: s["_v"]).alias(name) for name, tag in tags.items()]
+    return distinct.groupBy(*keys).agg(*[by(f"_v_{name}", f"_o_{name}").alias(name) for name, (by, _, _) in picks.items()], *lists)
 
 
 def best_with_union(df: DataFrame, key: Column, score: list[Column], order: list[str], emails_col: str = "emails") -> DataFrame:
     """AG3: the best row of each key, with the addresses of all its rows, lower-cased, in the order of score."""
-    lowered = df.withColumn(emails_col, F.transform(emails_col, lambda e: F.lower(e)))
-    at = [-s for s in score] + [F.col(c) for c in order]
-    rows = lowered.select(key.alias("_key"), F.struct(*df.columns).alias("_row"), F.struct(*[a.alias(f"k{i}") for i, a in enumerate(at)]).alias("_at"), F.col(emails_col).alias("_emails"))
-    merged = rows.groupBy("_key").agg(F.min_by("_row", "_at").alias("_row"), F.array_sort(F.collect_list(F.struct("_at", "_emails"))).alias("_all"))
-    union = F.array_distinct(F.flatten(F.transform("_all", lambda s: s["_emails"])))
-    return merged.select("_row.*", union.alias("_union")).withColumn(emails_col, F.col("_union")).drop("_union")
+    at = F.struct(*[(-s).alias(f"s{i}") for i, s in enumerate(score)], *[F.col(c) for c in order])
+    rows = df.withColumn(emails_col, F.transform(emails_col, lambda e: F.lower(e))).select(key.alias("_key"), F.struct(*df.columns).alias("_row"), at.alias("_at"), F.col(emails_col).alias("_emails"))
+    merged = grouped(rows, ["_key"], {"_row": (F.min_by, F.col("_row"), F.col("_at"))}, {"_union": (F.col("_emails"), F.col("_at"))})
+    return merged.select("_row.*", "_union").withColumn(emails_col, F.col("_union")).drop("_union")
 
 
 def first_non_blank(df: DataFrame, keys: list[str], order: list[str], fields: list[str], arrays: tuple[str, ...] = (), blanks: tuple[str, ...] = ("",)) -> DataFrame:
     """AG5: for each key and field the first value that is not blank; arrays are united in order."""
     at = _place(order)
-    picked = [F.coalesce(F.min_by(F.when(~trim(f).isin(*blanks), text(f)), F.when(~trim(f).isin(*blanks), at)), F.lit("")).alias(f) for f in fields]
-    return df.groupBy(*keys).agg(*picked, *[union_in_order(a, [F.col(c) for c in order]).alias(a) for a in arrays], F.min(at).alias("_at"))
+    picks = {f: (F.min_by, text(f), F.when(~trim(f).isin(*blanks), at)) for f in fields}
+    got = grouped(df, keys, {**picks, "_at": (F.min_by, at, at)}, {a: (F.col(a), at) for a in arrays})
+    return got.select(*keys, *[F.coalesce(f, F.lit("")).alias(f) for f in fields], *arrays, "_at")
 
 
 def two_level(df: DataFrame, id_col: str, name_col: str, order: list[str], fields: list[str], arrays: tuple[str, ...] = ("emails",)) -> DataFrame:
@@ -76,13 +105,14 @@ def regroup(df: DataFrame, canonical: Column, fields: dict[str, str], order: lis
     """AG7: rows of one canonical id as one row, each column by its own rule: longest, shallowest (URL), latest, joined (addresses)."""
     at = _place(order)
     rules = {
-        "longest": lambda f: F.min_by(f, F.struct(-F.char_length(text(f)), at)),
-        "shallowest": lambda f: F.min_by(f, F.when(filled(f), F.struct(urls.depth(f), F.char_length(f), at))),
-        "latest": lambda f: F.max(f),
-        "joined": lambda f: F.array_join(union_in_order(f"_{f}", [F.col(c) for c in order]), "; "),
+        "longest": lambda f: (F.min_by, F.col(f), F.struct(-F.char_length(text(f)), at)),
+        "shallowest": lambda f: (F.min_by, F.col(f), F.when(filled(f), F.struct(urls.depth(f), F.char_length(f), at))),
+        "latest": lambda f: (F.max_by, F.col(f), F.col(f)),
     }
-    split = df.withColumns({f"_{f}": emails.split(f) for f, r in fields.items() if r == "joined"})
-    return split.groupBy(canonical.alias("id")).agg(*[F.coalesce(rules[r](f), F.lit("")).alias(f) if r != "latest" else rules[r](f).alias(f) for f, r in fields.items()])
+    picks = {f: rules[r](f) for f, r in fields.items() if r != "joined"}
+    got = grouped(df.withColumn("_canonical", canonical), ["_canonical"], picks, {f: (emails.split(f), at) for f, r in fields.items() if r == "joined"})
+    shown = {"joined": lambda f: F.array_join(f, "; "), "latest": F.col}
+    return got.select(F.col("_canonical").alias("id"), *[shown.get(r, lambda f: F.coalesce(f, F.lit("")))(f).alias(f) for f, r in fields.items()])
 
 
 def unique_best(df: DataFrame, key: str, score: list[Column]) -> DataFrame:
@@ -120,4 +150,4 @@ def page_emails(pages: DataFrame, site: str, website: str, found: str, order: st
     """AG11: a site's addresses over its pages in order; a page that looks like a directory gives the site's own addresses alone."""
     p = pages.withColumn("_profile", emails.profile(website, found))
     kept = p.withColumn("_kept", F.when(F.col("_profile.directory_like"), F.col("_profile.own")).otherwise(F.col("_profile.emails")))
-    return kept.groupBy(site).agg(union_in_order("_kept", [F.col(order)]).alias("emails"))
+    return grouped(kept, [site], {}, {"emails": (F.col("_kept"), F.col(order))})

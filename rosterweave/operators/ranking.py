@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.functions import lists, names, urls
 from rosterweave.functions.text import filled, is_blank, text
+from rosterweave.operators.dedup import grouped
 
 
 def _top(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -92,10 +93,8 @@ def least_loaded(slots: DataFrame, pool: str, now: Column, in_flight: str = "in_
 def representatives(officers: DataFrame, key: str, name: str = "name", active: str = "is_active", pos: str = "pos") -> DataFrame:
     """TK11: names of current officers that are persons, in order, joined; all current ones where none is."""
     current = officers.filter(F.col(active)).withColumn("human", names.is_human_officer(name))
-    got = current.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(pos, name, "human"))).alias("o"))
-    human = F.filter("o", lambda x: x["human"])
-    use = F.when(F.size(human) > 0, human).otherwise(F.col("o"))
-    return got.select(key, F.array_join(F.array_distinct(F.transform(use, lambda x: x[name])), "; ").alias("representative"))
+    got = grouped(current, [key], {}, {"all": (F.array(name), F.col(pos)), "humans": (F.when(F.col("human"), F.array(name)), F.col(pos))})
+    return got.select(key, F.array_join(F.when(F.size("humans") > 0, F.col("humans")).otherwise(F.col("all")), "; ").alias("representative"))
 
 
 def back_of_queue(queue: DataFrame, ids: DataFrame, now: Column, key: str = "id") -> DataFrame:

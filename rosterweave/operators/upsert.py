@@ -14,27 +14,33 @@ from pyspark.sql import functions as F
 
 from rosterweave.functions import emails, names
 from rosterweave.functions.text import filled, text, trim
+from rosterweave.operators.dedup import Pick, grouped
 
 BLANKS = ("", "-")
 
 
-def _non_blank(blanks: tuple[str, ...]) -> Callable[[str, Column], Column]:
-    def fold(f: str, at: Column) -> Column:
+def _non_blank(blanks: tuple[str, ...]) -> Callable[[str, Column], Pick]:
+    def pick(f: str, at: Column) -> Pick:
         fine = ~trim(f).isin(*blanks)
-        return F.coalesce(F.max_by(F.when(fine, F.col(f)), F.when(fine, at)), F.lit(""))
+        return F.max_by, F.when(fine, F.col(f)), F.when(fine, at)
 
-    return fold
+    return pick
 
 
 #: How a column of several versions gets its value. `at` is (0, 0) for the snapshot and (1, seq) for changes.
-POLICIES: dict[str, Callable[[str, Column], Column]] = {
+POLICIES: dict[str, Callable[[str, Column], Pick]] = {
     "non_blank": _non_blank(("",)),  # UP1, UP2: the last that is not blank
     "non_blank_or_dash": _non_blank(BLANKS),  # UP1: where - is blank too
-    "overwrite": lambda f, at: F.max_by(f, at),  # UP3: the last, blank or not
-    "keep_old": lambda f, at: F.min_by(f, at),  # UP3, UP4: the first
-    "greatest": lambda f, at: F.max(f),  # AG14
-    "join": lambda f, at: F.array_join(F.array_distinct(F.filter(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(at.alias("a"), F.split(text(f), ";").alias("v")))), lambda s: F.transform(s["v"], lambda x: F.trim(x)))), lambda x: x != "")), ";"),  # UP6
+    "overwrite": lambda f, at: (F.max_by, F.col(f), at),  # UP3: the last, blank or not
+    "keep_old": lambda f, at: (F.min_by, F.col(f), at),  # UP3, UP4: the first
+    "greatest": lambda f, at: (F.max_by, F.col(f), F.col(f)),  # AG14
 }
+#: UP6: the distinct values that are not blank, in order, joined by ;. A union, not a pick.
+JOIN = "join"
+
+
+def _listed(f: str) -> Column:
+    return F.filter(F.transform(F.split(text(f), ";"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def fold(snapshot: DataFrame | None, changes: DataFrame, keys: list[str], policy: dict[str, str], seq: str = "seq") -> DataFrame:
@@ -44,7 +50,10 @@ def fold(snapshot: DataFrame | None, changes: DataFrame, keys: list[str], policy
         both = snapshot.withColumns({"_new": F.lit(0), seq: F.lit(0).cast("long")}).unionByName(both, allowMissingColumns=True)
     at = F.struct("_new", F.col(seq))
     missing = {c: F.lit(None).cast("string") for c in policy if c not in both.columns}
-    return both.withColumns(missing).groupBy(*keys).agg(*[POLICIES[rule](c, at).alias(c) for c, rule in policy.items()])
+    picks = {c: POLICIES[rule](c, at) for c, rule in policy.items() if rule != JOIN}
+    got = grouped(both.withColumns(missing), keys, picks, {c: (_listed(c), at) for c, rule in policy.items() if rule == JOIN})
+    shown = {JOIN: lambda c: F.array_join(c, ";"), **{r: lambda c: F.coalesce(c, F.lit("")) for r in ("non_blank", "non_blank_or_dash")}}
+    return got.select(*keys, *[shown.get(rule, F.col)(c).alias(c) for c, rule in policy.items()])
 
 
 def true_inserts(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> int:

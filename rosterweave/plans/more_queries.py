@@ -267,7 +267,7 @@ def email_lists(spark, d):
 
 @query(f"SELECT source, count(DISTINCT array_to_string(string_split(split_part(email, '@', 2), '.')[-2:], '.'))::INT AS n_domains, 0 AS own FROM ({_EMAILS}) e JOIN documents USING (doc_id) GROUP BY source")
 def email_set_profile(spark, d):
-    e = _harvested(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source").agg(F.collect_list("email").alias("es"))
+    e = _harvested(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source").agg(F.collect_set("email").alias("es"))
     return e.select("source", emails.profile(F.lit("https://firm.dk"), "es").alias("p")).select("source", "p.n_domains", F.size("p.own").alias("own"))
 
 
@@ -308,24 +308,29 @@ def evidence_check(spark, d):
     return table(spark, d, "part").select("p_partkey", tokens_supported("p_name", F.lit("A small RING box")).alias("supported"))
 
 
+def _page(key):
+    """The page of a list that a row is on: pages hold few rows, however many the list has."""
+    return F.floor(F.col(key) / 100).alias("page")
+
+
 @query("SELECT o_custkey, o_orderkey::VARCHAR AS orgnr, o_orderpriority AS company_name FROM orders")
 def search_payload(spark, d):
     one = F.struct(F.col("o_orderkey").cast("string").alias("orgnr"), F.col("o_orderpriority").alias("name"))
-    pages = table(spark, d, "orders").groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(one).alias("companies"))).alias("payload"))
+    pages = table(spark, d, "orders").groupBy("o_custkey", _page("o_orderkey")).agg(F.to_json(F.struct(F.collect_list(one).alias("companies"))).alias("payload"))
     return payloads.search_companies(pages, "payload", ["o_custkey"]).select("o_custkey", "orgnr", "company_name")
 
 
 @query("SELECT c_nationkey AS industry, c_custkey::VARCHAR AS duns, c_name AS company_name, c_mktsegment AS postal_code FROM customer")
 def listing_payload(spark, d):
     one = F.struct(F.col("c_custkey").cast("string").alias("duns"), F.col("c_name").alias("primaryName"), F.struct(F.col("c_mktsegment").alias("postalCode")).alias("primaryAddress"))
-    pages = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("industry")).agg(F.to_json(F.struct(F.collect_list(one).alias("companyInformationCompany"))).alias("payload"))
+    pages = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("industry"), _page("c_custkey")).agg(F.to_json(F.struct(F.collect_list(one).alias("companyInformationCompany"))).alias("payload"))
     return payloads.listing_companies(pages, "payload", "industry").select("industry", "duns", "company_name", "postal_code")
 
 
 @query("SELECT c_nationkey, c_name AS name, c_mktsegment AS title FROM customer")
 def prospect_payload(spark, d):
     one = F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("job_title"))
-    pages = table(spark, d, "customer").groupBy("c_nationkey").agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("payload"))
+    pages = table(spark, d, "customer").groupBy("c_nationkey", _page("c_custkey")).agg(F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("payload"))
     return payloads.prospects(pages, "payload", ["c_nationkey"]).select("c_nationkey", "name", "title")
 
 

@@ -76,7 +76,7 @@ SELECT l_orderkey, string_agg(v, ',' ORDER BY n, v) AS flags FROM (
 """)
 def ordered_distinct_merge(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array(F.concat("l_returnflag", "l_linestatus")).alias("v"))
-    return li.groupBy("l_orderkey").agg(F.array_join(dedup.union_in_order("v", [F.col("l_linenumber")]), ",").alias("flags"))
+    return dedup.grouped(li, ["l_orderkey"], {}, {"flags": (F.col("v"), F.col("l_linenumber"))}).withColumn("flags", F.array_join("flags", ","))
 
 
 @query("""
@@ -114,7 +114,8 @@ SELECT c_mktsegment, count(*) AS n, max(c_acctbal) AS greatest_balance, arg_max(
 def column_rules_regroup(spark, d):
     c = table(spark, d, "customer")
     at = F.struct(F.length("c_name"), -F.col("c_custkey"))
-    return c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), upsert.POLICIES["greatest"]("c_acctbal", F.col("c_custkey")).alias("greatest_balance"), F.max_by("c_name", at).alias("longest_name"))
+    by, value, order = upsert.POLICIES["greatest"]("c_acctbal", F.col("c_custkey"))
+    return c.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), by(value, order).alias("greatest_balance"), F.max_by("c_name", at).alias("longest_name"))
 
 
 # --- deltas, joins, sets ---

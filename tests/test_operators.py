@@ -52,6 +52,22 @@ def test_union_of_addresses(dealt):
     assert row["emails"] == ["b@acme.dk", "a@acme.dk", "c@acme.dk"] and row["company_name"] == "ACME A/S"
 
 
+def test_grouped_unions_are_distinct_before_they_are_collected(dealt):
+    """Null arrays, null elements, null keys, two unions at once, a key without elements, and one key with nearly all rows."""
+    data = [("k", i, f"v{i}", [f"e{i % 3}", None, f"e{i % 2}"], None if i % 2 else ["x"]) for i in range(200)]
+    data += [(None, 1, "n", ["b", "a"], []), (None, 0, "m", ["a"], []), ("empty", 5, None, None, None)]
+    df = dealt(data, "key string, seq int, v string, one array<string>, two array<string>")
+    at = F.struct("seq")
+    got = dedup.grouped(df, ["key"], {"first": (F.min_by, F.col("v"), at), "last": (F.max_by, F.col("v"), at)}, {"a": (F.col("one"), at), "b": (F.col("two"), at)})
+    assert {r["key"]: tuple(r)[1:] for r in got.collect()} == {
+        "k": ("v0", "v199", ["e0", None, "e1", "e2"], ["x"]),
+        None: ("m", "n", ["a", "b"], []),
+        "empty": (None, None, [], []),
+    }
+    partial = got._jdf.queryExecution().executedPlan().toString().split("collect_list")[-1]  # below the last step: one row an element
+    assert "partial_min_by" in partial and "Window" not in partial
+
+
 def test_two_levels(dealt):
     got = dedup.two_level(dealt(records(), RECORDS), "orgnr", "company_name", ["site_ord", "seq"], ["company_name", "representative", "website", "phone", "address"])
     row = got.filter("company_name = 'Acme'").first()
