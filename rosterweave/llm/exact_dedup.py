@@ -120,6 +120,7 @@ def build(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucke
     # the directory, from at most 2 ** MAX_DEPTH counts
     counts = {int(r["slot"]): int(r["n"]) for r in entries.groupBy(_leading(MAX_DEPTH).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
     slots, total = directory(counts, bucket_rows, MAX_DEPTH), sum(counts.values())
+    slots = slots * 2 if len(slots) == 1 else slots  # one bucket, two slots: the join with the directory has a key
     of = owners(slots, counts, n_owners, MAX_DEPTH)
     table = written(spark.createDataFrame([(s, b, of[b]) for s, b in enumerate(slots)], "slot int, bucket int, owner int").coalesce(1), folder, "directory")
     index = Index(len(slots).bit_length() - 1, total, table, entries, entries)
