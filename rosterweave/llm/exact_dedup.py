@@ -18,6 +18,7 @@ is compared whole, like any other. An empty table gives an empty result. Other c
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -122,7 +123,8 @@ def build(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucke
     slots, total = directory(counts, bucket_rows, MAX_DEPTH), sum(counts.values())
     slots = slots * 2 if len(slots) == 1 else slots  # one bucket, two slots: the join with the directory has a key
     of = owners(slots, counts, n_owners, MAX_DEPTH)
-    table = written(spark.createDataFrame([(s, b, of[b]) for s, b in enumerate(slots)], "slot int, bucket int, owner int").coalesce(1), folder, "directory")
+    pairs = spark.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps([[b, of[b]] for b in slots])), "array<array<int>>")).alias("slot", "pair"))
+    table = written(pairs.select("slot", F.col("pair")[0].alias("bucket"), F.col("pair")[1].alias("owner")).coalesce(1), folder, "directory")
     index = Index(len(slots).bit_length() - 1, total, table, entries, entries)
 
     def filed(rows: DataFrame, name: str) -> DataFrame:
