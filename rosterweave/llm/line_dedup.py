@@ -18,6 +18,7 @@ very long texts and lines are read whole; other columns of the input are ignored
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from functools import reduce
@@ -55,8 +56,9 @@ class SortedRuns:
 
     def save(self) -> None:
         """Name the runs in the folder's manifest."""
-        rows = [(k, name, self.buckets, self.fanout) for k, level in enumerate(self.levels) for name in level or [""]]
-        self.spark.createDataFrame(rows, "level int, name string, buckets int, fanout int").coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifest")
+        rows = [{"level": k, "name": name, "buckets": self.buckets, "fanout": self.fanout} for k, level in enumerate(self.levels) for name in level or [""]]
+        entries = F.from_json(F.lit(json.dumps(rows)), "array<struct<level: int, name: string, buckets: int, fanout: int>>")
+        self.spark.range(1).select(F.inline(entries)).coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifest")
 
     def close(self) -> None:
         """Forget the tables; their files stay."""
