@@ -8,8 +8,10 @@ equality; the 64 bits are then compared.
 Rows of one fingerprint are one entry of the index, however many they are. Within a group of entries that share a variant, a small
 group is compared pair by pair and each link comes out in the first variant that the two share. In a group of over SMALL entries
 each entry reached is compared with those not reached yet, so a group of n that hang together gives n - 1 links, not all pairs.
-Groups of over TILE entries are first dealt in tiles, every two of which meet in one task. No candidate is dropped anywhere. The
-links then give components, whose smallest doc_id names them.
+In a group of over WIDE entries, which a larger corpus has everywhere, a further equality is asked: the bits outside the segment are
+cut into MAX_BITS + 1 blocks, one of which is equal in two entries that link, and the group falls apart by block and its bits. What
+still has over TILE entries is dealt in tiles, every two of which meet in one task. No link is lost by either. The links then give
+components, whose smallest doc_id names them.
 
 Texts: A-Z in lower case, words between white space, shingles of four words with repeats; a text of fewer words is one shingle; one
 without words (null, empty) has fingerprint 0, linked like any other. A bit is set when it is set in over half of the hashes
@@ -34,7 +36,7 @@ from rosterweave.shipping import ship
 
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, bits
-SMALL, TILE = 64, 50_000
+SMALL, WIDE, TILE = 64, 4_096, 50_000
 _BLOCK = 32_768  # hashes whose bits are spread out at once
 
 
@@ -129,6 +131,20 @@ def _linked(keys: np.ndarray, variant: np.ndarray, fps: np.ndarray, max_bits: in
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
+def _blocks(n: int) -> Column:
+    """Of rows with fp and key (a variant), the n blocks of the bits outside the variant's segment: each block's place and bits in one number above 0."""
+    of_segment = None
+    for first, bits in SEGMENTS:
+        width = 64 - bits
+        turned = F.col("fp") if first + bits == 64 else F.shiftrightunsigned("fp", first + bits).bitwiseOR(F.shiftleft("fp", 64 - first - bits))
+        cuts = [width * k // n for k in range(n + 1)]
+        values = [F.shiftrightunsigned(turned, a).bitwiseAND(F.lit(2 ** (b - a) - 1).cast("long")) for a, b in zip(cuts, cuts[1:], strict=False)]
+        blocks = F.array(*[(v + F.lit((k + 1) << 44).cast("long")) for k, v in enumerate(values)])
+        inside = F.shiftrightunsigned("key", 22) >= first
+        of_segment = blocks if of_segment is None else F.when(inside, blocks).otherwise(of_segment)
+    return of_segment
+
+
 def links(distinct: DataFrame, folder: str, max_bits: int = MAX_BITS) -> DataFrame:
     """distinct: fp, each once. a, b: pairs of fingerprints that link, enough of them to join all that hang together."""
     variants = []
@@ -136,36 +152,42 @@ def links(distinct: DataFrame, folder: str, max_bits: int = MAX_BITS) -> DataFra
         part = F.col("fp").bitwiseAND(F.lit(_signed(((1 << bits) - 1) << first)))
         variants += [(F.shiftrightunsigned(part.bitwiseAND(F.lit(_signed(~(1 << bit) & (2**64 - 1)))), first) + F.lit(bit << 22)).cast("int") for bit in range(first, first + bits)]
     index = distinct.select("fp", F.explode(F.array(*variants)).alias("key"))
-    over = written(index.groupBy("key").count().filter(F.col("count") > TILE), folder, "over")
-    tiles = F.ceil(F.col("count") / TILE).cast("int")
-    if over.limit(1).count():
-        # entry of tile t meets every tile: (0, t) .. (t, t) .. (t, last)
-        own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-        index = index.join(over.select("key", tiles.alias("tiles")), "key", "left").withColumn("own", F.coalesce(own, F.lit(0)))
-        other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("tiles"), F.lit(1)) - 1))
-        index = index.withColumn("other", other).select("fp", "key", (F.least("own", "other").cast("long") * 2**31 + F.greatest("own", "other")).alias("tile"))
-    else:
-        index = index.withColumn("tile", F.lit(0).cast("long"))
+    index = index.withColumn("block", F.lit(0).cast("long")).withColumn("tile", F.lit(0).cast("long"))
+    wide = written(index.groupBy("key").count().filter(F.col("count") > WIDE).select("key", F.lit(True).alias("wide")), folder, "wide")
+    if wide.limit(1).count():
+        block = F.explode(F.when(F.col("wide"), _blocks(max_bits + 1)).otherwise(F.array(F.lit(0).cast("long"))))
+        index = index.join(wide, "key", "left").select("fp", "key", block.alias("block"), "tile")
+        over = index.groupBy("key", "block").count().filter(F.col("count") > TILE)
+        over = written(over.select("key", "block", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")), folder, "over")
+        if over.limit(1).count():
+            # entry of tile t meets every tile: (0, t) .. (t, t) .. (t, last)
+            own = F.coalesce(F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"), F.lit(0))
+            other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("tiles"), F.lit(1)) - 1))
+            index = index.drop("tile").join(over, ["key", "block"], "left").withColumn("own", own).withColumn("other", other)
+            index = index.select("fp", "key", "block", (F.least("own", "other").cast("long") * 2**31 + F.greatest("own", "other")).alias("tile"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)]  # the last group may go on in the next batch
+        kept = [*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, np.uint64)]  # the last group may go on in the next batch
         for batch in _and_end(batches):
             if batch is not None:
-                new = [batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)]
+                new = [c.to_numpy(zero_copy_only=False).astype(np.int64, copy=False) for c in batch.columns]
+                new[3] = new[3].view(np.uint64)
                 kept = [np.concatenate(x) for x in zip(kept, new, strict=True)]
-            key, tile, fp = kept
+            key, block, tile, fp = kept
             if not len(key):
                 continue
-            last = len(key) if batch is None else int(np.flatnonzero((key == key[-1]) & (tile == tile[-1]))[0])
-            # key and tile in one number for the comparison of neighbours
-            change = np.concatenate([[0], np.cumsum((np.diff(key[:last]) != 0) | (np.diff(tile[:last]) != 0))]) if last else np.empty(0, np.int64)
+            last = len(key) if batch is None else int(np.flatnonzero((key == key[-1]) & (block == block[-1]) & (tile == tile[-1]))[0])
+            # key, block and tile in one number for the comparison of neighbours
+            changes = [np.diff(x[:last]) != 0 for x in (key, block, tile)]
+            change = np.concatenate([[0], np.cumsum(np.logical_or.reduce(changes))]) if last else np.empty(0, np.int64)
             kept = [x[last:] for x in kept]
             if last:
                 a, b = _linked(change, key[:last] >> 22, fp[:last], max_bits)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    dealt = index.select("key", "tile", "fp").repartition("key", "tile").sortWithinPartitions("key", "tile", "fp")
+    group = ["key", "block", "tile"]
+    dealt = index.select(*group, "fp").repartition(*group).sortWithinPartitions(*group, "fp")
     return dealt.mapInArrow(run, "a long, b long")
 
 

@@ -244,10 +244,11 @@ def test_simhash(docs, rows):
     assert got == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize(("small", "tile"), [(64, 50_000), (2, 50_000), (2, 40)])
-def test_links_join_all_that_hang_together(spark, tmp_path, monkeypatch, small, tile):
-    """Dense clusters, chains and strangers; with small groups, spanning groups and tiled groups."""
+@pytest.mark.parametrize(("small", "wide", "tile"), [(64, 4_096, 50_000), (2, 4_096, 50_000), (64, 1, 50_000), (2, 4, 50_000), (2, 4, 20)])
+def test_links_join_all_that_hang_together(spark, tmp_path, monkeypatch, small, wide, tile):
+    """Dense clusters, chains and strangers; with small groups, spanning groups, groups that fall apart by blocks, and tiled groups."""
     monkeypatch.setattr(simhash, "SMALL", small)
+    monkeypatch.setattr(simhash, "WIDE", wide)
     monkeypatch.setattr(simhash, "TILE", tile)
     rnd = random.Random(6)
     fps = {rnd.getrandbits(64) for _ in range(200)}
@@ -271,6 +272,33 @@ def test_links_join_all_that_hang_together(spark, tmp_path, monkeypatch, small,
     assert len(pairs) == len(set(want))
 
 
+def test_blocks_keep_every_link_of_a_variant(spark):
+    """Two entries that link and share a variant agree in a block; the blocks of an entry are all its bits outside the segment."""
+    rnd = random.Random(8)
+    rows, want = [], []
+    for n in range(600):
+        fp = rnd.getrandbits(64)
+        first, bits = simhash.SEGMENTS[n % 3]
+        outside = [b for b in range(64) if not first <= b < first + bits]
+        other = fp
+        for b in rnd.sample(outside, 4):
+            other ^= 1 << b
+        for f in (fp, other):
+            rows.append((n, f - 2**64 if f >= 2**63 else f, (first + rnd.randrange(bits)) << 22))
+        turned = sum((fp >> ((first + bits + i) % 64) & 1) << i for i in range(64 - bits))
+        want.append(turned)
+    found = spark.createDataFrame(rows, "n int, fp long, key int").select("n", "fp", simhash._blocks(5).alias("b")).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["n"], []).append(set(r["b"]))
+    assert all(len(x) == 5 and len(y) == 5 and x & y for x, y in by.values())
+    first_of = {r["n"]: r["b"] for r in reversed(found)}
+    for n, turned in enumerate(want):
+        width = 64 - simhash.SEGMENTS[n % 3][1]
+        cuts = [width * k // 5 for k in range(6)]
+        assert first_of[n] == [(k + 1 << 44) + (turned >> a & (1 << b - a) - 1) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+
+
 def test_segments_cover_all_bits_and_find_any_four():
     assert sorted(b for first, bits in simhash.SEGMENTS for b in range(first, first + bits)) == list(range(64))
     rnd = random.Random(7)
