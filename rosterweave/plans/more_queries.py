@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rosterweave.functions import emails, lists, names, payloads, urls
 from rosterweave.functions.text import alternation, middle_cut, number, pages_of, squeeze, tokens_supported
 from rosterweave.operators import dedup, delta, gates, queues, ranking, upsert
-from rosterweave.plans.queries import _EMAILS, _HOST_SQL, _TASKS, NOW, _harvested, _sql_list, _tasks, query, table
+from rosterweave.plans.queries import _EMAILS, _HOST_SQL, _SCORE, _SEARCHES, _TASKS, NOW, _harvested, _searches, _sql_list, _tasks, query, table
 
 # customers as records: some without website, in different stages
 _RECORDS = """SELECT c_custkey AS id, c_nationkey AS nation, c_name AS company_name, CASE WHEN c_acctbal < 0 THEN '' ELSE 'Rep ' || c_mktsegment END AS representative,
@@ -197,11 +197,10 @@ def drained_queues(spark, d):
     return _tasks(spark, d).groupBy("user_id").agg(queues.drained().alias("drained"))
 
 
-@query("SELECT s_suppkey, c_custkey FROM (SELECT s_suppkey, c_custkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY c_custkey) AS r FROM supplier JOIN customer ON s_nationkey = c_nationkey WHERE regexp_replace(lower(c_name), '[^0-9a-z]', '', 'g') LIKE '%cust%') WHERE r = 1")
+@query(f"SELECT s_suppkey, c_custkey, score FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY score DESC, c_custkey) AS r FROM (SELECT s_suppkey, c_custkey, {_SCORE} AS score FROM {_SEARCHES}) WHERE score >= 45) WHERE r = 1")
 def best_candidates(spark, d):
-    j = table(spark, d, "supplier").join(table(spark, d, "customer"), F.col("s_nationkey") == F.col("c_nationkey"))
-    c = j.select("s_suppkey", F.lit("custx").alias("q"), F.col("c_name").alias("name"), F.lit("").alias("website"), F.lit("").alias("phone"), F.col("c_custkey").alias("pos"), "c_custkey")
-    return ranking.best_candidate(c, "s_suppkey", "q").select("s_suppkey", "c_custkey")
+    c = _searches(spark, d).select("s_suppkey", "q", F.col("c_name").alias("name"), F.lit("").alias("website"), F.lit("").alias("phone"), F.col("c_custkey").alias("pos"), "c_custkey")
+    return ranking.best_candidate(c, "s_suppkey", "q").select("s_suppkey", "c_custkey", "score")
 
 
 _TITLES = {"BUILDING": ("Chief Executive Officer", 300), "MACHINERY": ("Finance Manager", 200), "AUTOMOBILE": ("Chief Accountant", 250), "HOUSEHOLD": ("Assistant to CEO", 0), "FURNITURE": ("Cook", 0)}
