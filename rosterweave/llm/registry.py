@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import bpe, exact_dedup, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
+from rosterweave.llm import alignment, bpe, exact_dedup, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": lm_scoring.op8_lm_scoring,
         "op9_quality_classifier": quality_classifier.op9_quality_classifier,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+        "op11_token_alignment": alignment.op11_token_alignment,
     }
 
 
