@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import alignment, bpe, exact_dedup, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
+from rosterweave.llm import alignment, bpe, exact_dedup, hard_negatives, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": quality_classifier.op9_quality_classifier,
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
         "op11_token_alignment": alignment.op11_token_alignment,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op5_source_mix": source_mix.ORACLE, "op6_quality_rules": quality_rules.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_line_dedup": line_dedup.ORACLE, "op5_source_mix": source_mix.ORACLE, "op6_quality_rules": quality_rules.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
