@@ -11,11 +11,12 @@ and meet in the larger one's, where at most D tokens may differ. The range of to
 the same tokens in both. The hash of a part's tokens names a shard; sets that share no shard can't link. A set with fewer than c parts of
 under WEAK tokens leaves these out, since one of the c equal parts then has more; so few sets meet for some common tokens alone.
 
-Equal sets are one class. Shards that one class alone has are dropped by an aggregate. The rest is searched in two rounds. In the first,
-each class joins the PICKS largest of its shards, which ties copies together; then a shard whose classes all hang together needs no
-search, and the second searches all others whole. A search looks from each set reached for those not reached, so n sets that hang
-together give n - 1 links. A shard of over TILE_TOKENS tokens is dealt in tiles, in the second round so that every two tiles meet in a task.
-The links give components, named by their smallest doc_id.
+Equal sets are one class. Shards that one class alone has are dropped by an aggregate. The classes that hang together by the others are a
+cluster, which no link leaves: a task gets a cluster's sets and searches their inverted lists. A search looks from each set reached for
+those not reached, so n sets that hang together give n - 1 links. A cluster of over TASK_TOKENS tokens is searched shard by shard instead, in
+two rounds. In the first, each class joins the PICKS largest of its shards, which ties copies together; then a shard whose classes all
+hang together, or met in one task, needs no search, and the second searches all others whole. A shard of over TASK_TOKENS tokens is dealt in
+tiles, in the second round so that every two tiles meet in a task. The links give components, named by their smallest doc_id.
 
 Words: A-Z in lower case, what stands between white space; a text of fewer words than n is one shingle; a text that is null or has no word
 has an empty set, linked with nothing, not even its like. Tokens are 64-bit hashes of shingles, classes 128-bit hashes of sets. A null doc_id
@@ -41,10 +42,10 @@ from rosterweave.llm.components import components
 from rosterweave.shipping import ship
 
 SHINGLE, OF = 3, 90
-WEAK, PICKS, TILE_TOKENS = 3, 2, 1_000_000
-#: Weight of a long list's probe against a merge step, in DivideSkip's L = T / (MU * log2(longest) + 1).
-MU = 0.05
-_PROBES = 2_000_000  # looked up at once
+WEAK, PICKS, TASK_TOKENS = 3, 2, 1_000_000
+#: Weight of a long list's probe against a merge step, in DivideSkip's L = T / (MU * log2(longest) + 1): probes are made many at once and cost little beside a step of the heap.
+MU = 0.0005
+_PROBED_AT_ONCE = 8  # long lists, after which candidates that can no longer reach their overlap go
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -132,7 +133,7 @@ class Lists:
         fit = alive[ids] & (ids >= low) & (ids < high)
         ids, counts = ids[fit], counts[fit]
         needed = -(-self.of * (m + self.sizes[ids]) // (100 + self.of))
-        step = max(1, _PROBES // max(1, len(ids)))
+        step = _PROBED_AT_ONCE
         for s in range(0, len(far), step):
             if not len(ids):
                 break
@@ -253,7 +254,35 @@ def _tile(tiles: Column) -> Column:
     return F.pmod(F.xxhash64("set_key", "shard"), tiles).cast("long")
 
 
-def similar(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = SHINGLE, of: int = OF, picks: int = PICKS, tile_tokens: int = TILE_TOKENS) -> DataFrame:
+def _in_shards(members: DataFrame, sets: DataFrame, folder: str, of: int, picks: int, tile_tokens: int) -> DataFrame:
+    """members: shard, set_key, n_shingles. Links of clusters too large for a task, shard by shard."""
+    # shards of the same classes are one; first round: a class joins its largest shards
+    same = [F.bit_xor(F.xxhash64("set_key", F.lit(k))).alias(f"same{k}") for k in range(2)]
+    sizes = members.groupBy("shard").agg(*same, F.count(F.lit(1)).alias("classes"), F.ceil(F.sum("n_shingles") / tile_tokens).alias("tiles"))
+    sizes = sizes.groupBy("same0", "same1", "classes", "tiles").agg(F.min("shard").alias("shard")).select("shard", "classes", "tiles")
+    members = written(salted_join(members, sizes, ["shard"], "classes", max(1, members.count()), F.xxhash64("set_key"), how="inner"), folder, "different")
+    rank = F.row_number().over(Window.partitionBy("set_key").orderBy(F.desc("classes"), "shard"))  # a class has as many shards as its set is long
+    first = members.withColumn("rank", rank).filter(F.col("rank") <= picks).withColumn("tile", _tile(F.col("tiles"))).withColumn("root", F.col("set_key"))
+    first = written(first.select("shard", "tile", "set_key", "root"), folder, "first")
+    found = written(_searched(first.join(sets, "set_key"), of), folder, "links1")
+    roots = components(found, folder, "first").withColumnRenamed("node", "set_key")
+
+    # second round: every shard that still has several roots, unless all its classes met in one task of the first
+    rooted = members.select("shard", "set_key", "classes", "tiles").join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
+    rooted = written(rooted, folder, "rooted")
+    several = rooted.groupBy("shard", "classes").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most")
+    several = written(several.select("shard", "classes"), folder, "several")
+    open_ = salted_join(rooted.drop("classes"), several, ["shard"], "classes", max(1, rooted.count()), F.xxhash64("set_key"), how="inner")
+    met = first.select("set_key", F.col("shard").alias("met"), F.col("tile").alias("met_tile"))
+    done = open_.join(met, "set_key").groupBy("shard", "classes", "met", "met_tile").agg(F.count(F.lit(1)).alias("n")).filter("n = classes").select("shard").distinct()
+    done = written(done.withColumn("done", F.lit(True)), folder, "done")
+    open_ = salted_join(open_, several.join(done, "shard", "left_anti"), ["shard"], "classes", max(1, rooted.count()), F.xxhash64("set_key"), how="left_semi")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    open_ = open_.withColumn("own", _tile(F.col("tiles"))).withColumn("other", other).withColumn("tile", F.least("own", "other") * 2**31 + F.greatest("own", "other"))
+    return found.unionByName(written(_searched(open_.join(sets, "set_key"), of), folder, "links2"))
+
+
+def similar(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = SHINGLE, of: int = OF, picks: int = PICKS, task_tokens: int = TASK_TOKENS) -> DataFrame:
     """One row a row of docs: doc_id, n_shingles, component_id."""
     folder = shared_dir(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("mark", F.xxhash64("text", "doc_id"))
@@ -263,46 +292,37 @@ def similar(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n:
     # shards that several classes have, and their classes
     named = marks.select(F.explode("shards").alias("shard"), "set_key", "n_shingles").withColumn("class", F.xxhash64("set_key"))
     shared = named.groupBy("shard").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.count(F.lit(1)).alias("rows")).filter("least <> most")
-    shared = written(shared.select("shard", "rows"), folder, "shared")
+    shared = written(shared.select("shard", "least", "rows"), folder, "shared")
     sums = shared.agg(F.count(F.lit(1)), F.sum("rows")).first()
-    likely = possible(named.drop("class"), shared, "shard", sums[0])
-    members = salted_join(likely, shared, ["shard"], "rows", max(total, sums[1] or 0), F.xxhash64("set_key"), how="inner")
-    members = written(members.groupBy("shard", "set_key", "n_shingles").agg(F.count(F.lit(1)).alias("rows")), folder, "members")
+    members = salted_join(possible(named, shared, "shard", sums[0]), shared, ["shard"], "rows", max(total, sums[1] or 0), F.col("class"), how="inner")
+    members = written(members.groupBy("shard", "set_key", "class", "least", "n_shingles").agg(F.count(F.lit(1)).alias("rows")), folder, "members")
 
     # the sets of these classes, each from one row
-    needed = members.select("set_key").distinct()
-    of_class = marks.join(needed, "set_key", "left_semi").groupBy("set_key").agg(F.min("mark").alias("mark"))
+    classes = members.select("set_key", "class", "n_shingles").distinct()
+    of_class = marks.join(classes, "set_key", "left_semi").groupBy("set_key").agg(F.min("mark").alias("mark"))
     of_class = written(of_class, folder, "representatives")
     texts = possible(rows, of_class.select("mark"), "mark", of_class.count()).join(of_class.select("mark").distinct(), "mark", "left_semi")
     sets = sets_of(texts, n, of, with_sets=True).filter(F.col("set_key").isNotNull()).select("set_key", "tokens").dropDuplicates(["set_key"])
     sets = written(sets, folder, "sets")
 
-    # first round: a class joins its largest shards
-    sizes = members.groupBy("shard").agg(F.count(F.lit(1)).alias("classes"), F.ceil(F.sum("n_shingles") / tile_tokens).alias("tiles"))
-    rank = F.row_number().over(Window.partitionBy("set_key").orderBy(F.desc("classes"), "shard"))  # a class has as many shards as its set is long
-    sized = salted_join(members, sizes, ["shard"], "classes", max(1, members.count()), F.xxhash64("set_key"), how="inner")
-    first = sized.withColumn("rank", rank).filter(F.col("rank") <= picks).withColumn("tile", _tile(F.col("tiles"))).withColumn("root", F.col("set_key"))
-    found = written(_searched(first.join(sets, "set_key"), of), folder, "links1")
-    roots = components(found, folder, "first").withColumnRenamed("node", "set_key")
-
-    # second round: every shard that still has several roots
-    rooted = members.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    rooted = written(rooted, folder, "rooted")
-    mixed = rooted.groupBy("shard").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("classes"), F.ceil(F.sum("n_shingles") / tile_tokens).alias("tiles"))
-    mixed = written(mixed.filter("least <> most").select("shard", "classes", "tiles"), folder, "mixed")
-    open_ = salted_join(rooted, mixed, ["shard"], "classes", max(1, rooted.count()), F.xxhash64("set_key"), how="inner")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    open_ = open_.withColumn("own", _tile(F.col("tiles"))).withColumn("other", other).withColumn("tile", F.least("own", "other") * 2**31 + F.greatest("own", "other"))
-    more = written(_searched(open_.join(sets, "set_key"), of), folder, "links2")
-    if more.limit(1).count():
-        roots = components(found.unionByName(more), folder, "second").withColumnRenamed("node", "set_key")
+    # clusters: what hangs together by shards; no link leaves one
+    clusters = components(members.select(F.col("class").alias("a"), F.col("least").alias("b")).distinct(), folder, "clusters")
+    placed = written(classes.join(clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")), "class"), folder, "placed")
+    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("classes"), (F.sum("n_shingles") > task_tokens).alias("large"))
+    sized = salted_join(placed, sizes, ["cluster"], "classes", max(1, placed.count()), F.col("class"), how="inner")
+    sized = written(sized.select("set_key", "cluster", "large"), folder, "sized")
+    whole = sized.filter(~F.col("large")).select(F.col("cluster").alias("shard"), F.lit(0).cast("long").alias("tile"), "set_key", F.col("set_key").alias("root"))
+    found = written(_searched(whole.join(sets, "set_key"), of), folder, "links0")
+    if sized.filter("large").limit(1).count():
+        large = members.select("shard", "set_key", "n_shingles").join(sized.filter("large"), "set_key", "left_semi")
+        found = found.unionByName(_in_shards(large, sets, folder, of, picks, task_tokens))
+    roots = components(found, folder, "roots").withColumnRenamed("node", "set_key")
 
     # the smallest doc_id of each component
     classes = marks.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
-    classes = classes.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    classes = written(classes, folder, "classes")
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
-    of_class = salted_join(classes, named, ["root"], "classes", classes.count(), F.xxhash64("set_key")).select("set_key", "rows", "component_id")
+    classes = written(classes.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")), folder, "classes")
+    smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes"))
+    of_class = salted_join(classes, smallest, ["root"], "classes", classes.count(), F.xxhash64("set_key")).select("set_key", "rows", "component_id")
     out = salted_join(marks.select("doc_id", "n_shingles", "set_key"), of_class, ["set_key"], "rows", total, F.xxhash64("doc_id"))
     return out.select("doc_id", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterweave.llm import alignment, bpe, exact_dedup, hard_negatives, langid, line_dedup, lm_scoring, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
+from rosterweave.llm import alignment, bpe, exact_dedup, hard_negatives, langid, line_dedup, lm_scoring, ngram_join, quality_classifier, quality_rules, simhash, source_mix, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_substring_dedup": substring_dedup.op10_substring_dedup,
         "op11_token_alignment": alignment.op11_token_alignment,
         "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_ngram_join": ngram_join.op13_ngram_join,
     }
 
 
