@@ -307,7 +307,8 @@ def similar(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n:
 
     # clusters: what hangs together by shards; no link leaves one
     clusters = components(members.select(F.col("class").alias("a"), F.col("least").alias("b")).distinct(), folder, "clusters")
-    placed = written(classes.join(clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")), "class"), folder, "placed")
+    placed = classes.join(clusters.select(F.col("node").alias("class"), F.col("root").alias("cluster")), "class", "left").withColumn("cluster", F.coalesce("cluster", "class"))
+    placed = written(placed, folder, "placed")
     sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("classes"), (F.sum("n_shingles") > task_tokens).alias("large"))
     sized = salted_join(placed, sizes, ["cluster"], "classes", max(1, placed.count()), F.col("class"), how="inner")
     sized = written(sized.select("set_key", "cluster", "large"), folder, "sized")
