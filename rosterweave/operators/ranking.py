@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rosterweave.functions import lists, names, urls
 from rosterweave.functions.text import filled, is_blank, text
 from rosterweave.operators.dedup import grouped
+from rosterweave.sources.scratch import landed, shared_folder
 
 
 def _top(df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -83,13 +84,42 @@ def slot_of(host: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(F.lower(host)), F.lit(slots)).cast("int")
 
 
-def least_loaded(slots: DataFrame, pool: str, now: Column, in_flight: str = "in_flight", last_used: str = "last_used", idx: str = "idx", cooling: str = "cooling_until") -> DataFrame:
-    """TK10: of each pool's slots that are not cooling, the one with the fewest tasks, the longest unused (never comes first), then the first."""
+def least_loaded(slots: DataFrame, pool: str, now: Column, in_flight: str = "in_flight", last_used: str = "last_used", idx: str = "idx", cooling: str = "cooling_until", disabled: str | None = None, limit: int | None = None) -> DataFrame:
+    """TK10: of each pool's slots that are not cooling (nor disabled, nor at their limit, where these are named), the one with the fewest tasks, the longest unused (never comes first), then the first."""
     free = slots.filter(F.col(cooling).isNull() | (F.col(cooling) <= now))
+    free = free if disabled is None else free.filter(~F.coalesce(F.col(disabled), F.lit(False)))
+    free = free if limit is None else free.filter(F.coalesce(F.col(in_flight), F.lit(0)) < max(limit, 1))
     at = F.struct(F.col(in_flight), F.col(last_used).isNotNull(), F.col(last_used), F.col(idx))
     return free.groupBy(pool).agg(F.min_by(F.struct(*[c for c in slots.columns if c != pool]), at).alias("s")).select(pool, "s.*")
 
 
+def ranked_by_range(df: DataFrame, group: list[str], order: list[Column], rank: str, folder: str) -> DataFrame:
+    """df with the rank of each row in its group, from 0. Rows are sorted by range and numbered within their partition, so a group of any size is spread over tasks; each partition's and each group's start is an aggregate. folder: for the sorted rows, which must not be sorted anew in between."""
+    ids = F.monotonically_increasing_id()
+    rows = landed(df.orderBy(*group, *order).withColumn("_id", ids).withColumn("_part", F.shiftrightunsigned("_id", 33).cast("int")).withColumn("_at", F.col("_id").bitwiseAND(F.lit(2**33 - 1).cast("long"))), folder)
+    parts = rows.groupBy("_part").agg((F.max("_at") + 1).alias("_n"))  # a row a partition
+    before = parts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    placed = rows.join(F.broadcast(before), "_part").withColumn("_place", F.col("_before") + F.col("_at"))
+    first = placed.groupBy(*[F.col(g).alias(f"_first_{g}") for g in group]).agg(F.min("_place").alias("_first"))
+    same = [F.col(g).eqNullSafe(F.col(f"_first_{g}")) for g in group]
+    return placed.join(first, same).select(*df.columns, (F.col("_place") - F.col("_first")).alias(rank))
+
+
+def assigned(tasks: DataFrame, slots: DataFrame, pool: str, now: Column, limit: int, order: list[Column], in_flight: str = "in_flight", last_used: str = "last_used", idx: str = "idx", cooling: str = "cooling_until", disabled: str = "disabled") -> DataFrame:
+    """TK10 for many tasks at once: each task of a pool, in order, goes to the slot that picking one by one would give it (fewest in flight, longest unused, first), until the pool has no opening left.
+
+    A slot with f in flight offers openings at load f, f + 1 ... limit - 1. Picking one by one takes openings by load; at one load, slots that were not
+    yet picked come before those picked on the way up, which is: more in flight at first, then longest unused, then first. So openings and tasks
+    are both ranked, and meet by rank. Slots that are disabled, that still cool down or are at their limit offer none; a null in_flight counts as 0.
+    Pools without openings or tasks have no rows. Columns: those of the task, then the slot's idx and load (in flight before this task)."""
+    folder, busy = shared_folder(tasks.sparkSession), F.coalesce(F.col(in_flight), F.lit(0)).cast("int")
+    free = slots.filter(~F.coalesce(F.col(disabled), F.lit(False)) & (F.col(cooling).isNull() | (F.col(cooling) <= now)) & (busy < max(limit, 1)))
+    openings = free.select(pool, F.col(idx).alias("slot"), busy.alias("busy"), F.coalesce(F.col(last_used).cast("double"), F.lit(0.0)).alias("used"), F.explode(F.sequence(busy, F.lit(max(limit, 1) - 1))).alias("load"))
+    offered = ranked_by_range(openings, [pool], [F.col("load"), F.desc("busy"), F.col("used"), F.col("slot")], "_rank", f"{folder}/openings").select(pool, "_rank", "slot", "load")
+    wanted = ranked_by_range(tasks, [pool], order, "_rank", f"{folder}/tasks")
+    return wanted.join(offered, [pool, "_rank"]).drop("_rank").select(*tasks.columns, "slot", "load")
+
+
 def representatives(officers: DataFrame, key: str, name: str = "name", active: str = "is_active", pos: str = "pos") -> DataFrame:
     """TK11: names of current officers that are persons, in order, joined; all current ones where none is."""
     current = officers.filter(F.col(active)).withColumn("human", names.is_human_officer(name))

@@ -1,15 +1,15 @@
 """SC13: a cursor source. Recorded pages of a keyset-paged service as a Spark data source: page N names the cursor of page N + 1.
 
 Batch reads follow the chain from the start; streaming reads go on from the last cursor, which Spark keeps in the checkpoint.
-Pages are JSON files {"items": [...], "last_sort": "..."} named page_<cursor>.json, the first page_start.json; a network reader would
-override `_page`.
+Pages are JSON files {"items": [...], "last_sort": "..."} named page_<cursor>.json, the first page_start.json, in a local folder or in any store
+that Arrow names by a URI; a network reader would override `page_text`. A batch reads the whole chain, however long; a chain that comes back to
+a cursor it has seen is an error.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from pathlib import Path
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
@@ -31,13 +31,29 @@ class CursorSource(DataSource):
         return CursorStream(self.options)
 
 
+def page_text(path: str, name: str) -> str | None:
+    """The text of a file of landed pages, None where there is none. path: a local folder, or a URI (file:, hdfs:, s3: ...)."""
+    from pyarrow import fs
+
+    where, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    file = f"{root.rstrip('/')}/{name}"
+    if where.get_file_info(file).type != fs.FileType.File:
+        return None
+    with where.open_input_stream(file) as stream:
+        return stream.read().decode("utf-8")
+
+
 def _page(path: str, cursor: str) -> dict | None:
-    file = Path(path) / f"page_{cursor}.json"
-    return json.loads(file.read_text(encoding="utf-8")) if file.exists() else None
+    found = page_text(path, f"page_{cursor}.json")
+    return None if found is None else json.loads(found)
 
 
-def _walk(path: str, cursor: str, most: int) -> Iterator[tuple[str, list, str]]:
-    for _ in range(most):
+def _walk(path: str, cursor: str, most: int | None = None) -> Iterator[tuple[str, list, str]]:
+    seen: set[str] = set()
+    while most is None or len(seen) < most:
+        if cursor in seen:
+            raise ValueError(f"the chain of pages in {path} comes back to {cursor!r}")
+        seen.add(cursor)
         page = _page(path, cursor)
         if page is None or not page.get("items"):
             return
@@ -50,13 +66,13 @@ def _walk(path: str, cursor: str, most: int) -> Iterator[tuple[str, list, str]]:
 
 class CursorReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path, self.most = options["path"], int(options.get("maxPages", "1000000"))
+        self.path = options["path"]
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(0)]  # a chain has no second end to start from
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for cursor, items, _ in _walk(self.path, START, self.most):
+        for cursor, items, _ in _walk(self.path, START):
             for item in items:
                 yield cursor, json.dumps(item, ensure_ascii=False)
 

@@ -179,33 +179,6 @@ def website_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(trim("value").alias("website")).filter("website <> ''").distinct().orderBy("website")
 
 
-def excel_cells(spark: SparkSession, path: str, headers: tuple[str, ...] = ("company", "company name", "name")) -> DataFrame:
-    """SC10: every cell of every sheet is a name, each once by its lower case. Needs openpyxl; a spreadsheet fits on the driver."""
-    import openpyxl
-
-    seen: dict[str, str] = {}
-    for sheet in openpyxl.load_workbook(path, read_only=True, data_only=True):
-        for row in sheet.iter_rows(values_only=True):
-            for cell in row:
-                name = str(cell or "").strip()
-                if name and name.lower() not in headers:
-                    seen.setdefault(name.lower(), name)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(seen.values())], "seq long, company_name string")
-
-
-def excel_rows(spark: SparkSession, path: str, website: int = 0, email: int = 3) -> DataFrame:
-    """SC11: two columns from the second row on; rows without a website are left out, a scheme is added."""
-    import openpyxl
-
-    rows = []
-    for sheet in openpyxl.load_workbook(path, read_only=True, data_only=True):
-        for row in sheet.iter_rows(min_row=2, values_only=True):
-            site = str((row[website] if len(row) > website else "") or "").strip()
-            if site:
-                rows.append((site if "://" in site else f"https://{site}", str((row[email] if len(row) > email else "") or "").strip()))
-    return spark.createDataFrame(rows, "website string, email string")
-
-
 def landed_pages(spark: SparkSession, path: str, content_type: str | None = None) -> DataFrame:
     """SC12, SC15: pages that were landed as a table: blank ones and other content types are left out."""
     df = spark.read.parquet(path)

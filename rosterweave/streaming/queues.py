@@ -79,6 +79,97 @@ def task_states(events: DataFrame, **options) -> DataFrame:
     return events.groupBy("task").transformWithStateInPandas(TaskStates(**options), outputStructType=OUT, outputMode="Update", timeMode="ProcessingTime")
 
 
+FLIGHT_OUT = "domain string, request string, decision string, emails array<string>, wait double"
+_FLIGHT = "status string, claimant string, until long"
+
+
+class SingleFlight(StatefulProcessor):
+    """QS6: of a domain's requests one is looked up, and its answer goes to all that wait.
+
+    Events: domain, request, kind (ask, answer, failed), emails, seconds, seq. An ask of a new domain is `claimed`; while that lookup runs, further
+    asks `wait` and are kept. An answer ends it: the claimant and all who wait get `done` with the addresses. An answer without addresses holds for
+    `seconds` (0: for good), after which the next ask claims anew; one with addresses holds for good. `failed` puts the domain off for `seconds`; asks
+    wait meanwhile. A claim that neither answers nor fails for `stale_ms`, and a domain whose time of putting off is over, go to the one that has
+    waited longest, which is then `claimed`; with none waiting, the next ask claims. A late answer of a claimant that was taken over counts too. An
+    event without a domain gets `wait` and leaves no state."""
+
+    def __init__(self, stale_ms: int = 900_000, recheck_s: float = 2.0):
+        self.stale_ms, self.recheck_s = stale_ms, recheck_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("flight", _FLIGHT)
+        self.waiting, self.found = handle.getListState("waiting", "request string"), handle.getValueState("found", "emails array<string>")
+
+    def _timer(self, at: int | None) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if at is not None:
+            self.handle.registerTimer(at)
+
+    def _claim(self, request: str, now: int) -> tuple:
+        self.state.update(("running", request, now + self.stale_ms))
+        self._timer(now + self.stale_ms)
+        return request, "claimed", [], 0.0
+
+    def _event(self, kind: str, request: str, emails: list[str], seconds: float, now: int) -> list[tuple]:
+        status, claimant, until = tuple(self.state.get()) if self.state.exists() else ("", "", 0)
+        if kind == "ask":
+            if status == "done" and not (until and until <= now):
+                held = list(self.found.get()[0] or []) if self.found.exists() else []
+                return [(request, "done", held, max(0.0, (until - now) / 1000) if until else 0.0)]
+            if status == "running" or (status == "pending" and until > now):
+                self.waiting.appendValue((request,))
+                return [(request, "wait", [], self.recheck_s if status == "running" else (until - now) / 1000)]
+            return [self._claim(request, now)]
+        if kind == "answer":
+            after = now + int(1000 * seconds) if not emails and seconds > 0 else 0
+            told = [r for r in dict.fromkeys([claimant, request, *(w[0] for w in self.waiting.get())]) if r]
+            self.state.update(("done", "", after))
+            self.found.update((emails,))
+            self.waiting.clear()
+            self._timer(None)
+            return [(r, "done", emails, float(seconds) if after else 0.0) for r in told]
+        if kind == "failed" and status == "running" and request == claimant:
+            self.state.update(("pending", "", now + int(1000 * seconds)))
+            self._timer(now + int(1000 * seconds))
+        return []
+
+    def _rows(self, domain: str, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            request, decision, emails, wait = zip(*rows, strict=True)
+            yield pd.DataFrame({"domain": [domain] * len(rows), "request": request, "decision": decision, "emails": emails, "wait": wait})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now, events = timerValues.getCurrentProcessingTimeInMs(), pd.concat(list(rows)).sort_values("seq", kind="stable")
+        if not key[0]:
+            yield from self._rows(key[0], [(r, "wait", [], 60.0) for r in events["request"]])
+            return
+        out = []
+        for e in events.itertuples(index=False):
+            emails = [] if e.emails is None or not hasattr(e.emails, "__len__") else list(e.emails)
+            out += self._event(e.kind, e.request, emails, 0.0 if pd.isna(e.seconds) else float(e.seconds), now)
+        yield from self._rows(key[0], out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, waiting = timerValues.getCurrentProcessingTimeInMs(), [w[0] for w in self.waiting.get()]
+        if not waiting:
+            self.state.update(("pending", "", 0))
+            return
+        self.waiting.clear()
+        for other in waiting[1:]:
+            self.waiting.appendValue((other,))
+        yield from self._rows(key[0], [self._claim(waiting[0], now)])
+
+    def close(self) -> None:
+        pass
+
+
+def shared_lookups(events: DataFrame, **options) -> DataFrame:
+    """QS6: events: domain, request, kind, emails, seconds, seq (see SingleFlight). A row for each decision. Needs the RocksDB state store."""
+    clean = events.withColumn("domain", F.lower(F.trim(F.coalesce("domain", F.lit("")))))
+    return clean.groupBy("domain").transformWithStateInPandas(SingleFlight(**options), outputStructType=FLIGHT_OUT, outputMode="Update", timeMode="ProcessingTime")
+
+
 def single_flight(requests: DataFrame, domain: str = "domain", time: str = "ts", delay: str = "1 hour") -> DataFrame:
     """QS6: each domain's first request within the watermark; others of it wait for the same answer."""
     return requests.withWatermark(time, delay).dropDuplicatesWithinWatermark([domain])

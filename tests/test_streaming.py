@@ -66,3 +66,61 @@ def test_incremental_delivery(spark, tmp_path):
     assert run() == [("a", "first")]
     feed(tmp_path / "in", "b", [{"key": "a", "seq": 3, "v": "again"}, {"key": "b", "seq": 4, "v": "new"}])
     assert run() == [("a", "first"), ("b", "new")]
+
+
+FLIGHT = "domain string, request string, kind string, emails array<string>, seconds double, seq long"
+
+
+def flights(spark, tmp_path, steps, until, **options):
+    """Feed a file of events at each step, when the rows so far satisfy its condition; what came out until `until` holds."""
+    ship(spark)
+    (tmp_path / "in").mkdir()
+    got, seq = [], 0
+    out = queues.shared_lookups(spark.readStream.schema(FLIGHT).json(str(tmp_path / "in")), **options)
+    q = out.writeStream.outputMode("update").foreachBatch(lambda df, n: got.extend(tuple(r) for r in df.collect())).option("checkpointLocation", str(tmp_path / "cp")).trigger(processingTime="300 milliseconds").start()
+    end = time.time() + 90
+    try:
+        for n, (ready, events) in enumerate(steps):
+            while not ready(got) and time.time() < end:
+                time.sleep(0.1)
+            rows = []
+            for domain, request, kind, *more in events:
+                seq += 1
+                rows.append({"domain": domain, "request": request, "kind": kind, "emails": more[0] if more else None, "seconds": more[1] if len(more) > 1 else None, "seq": seq})
+            (tmp_path / f"{n}.json").write_text("\n".join(json.dumps(r) for r in rows))
+            (tmp_path / f"{n}.json").rename(tmp_path / "in" / f"{n}.json")
+        while not until(got) and time.time() < end:
+            time.sleep(0.1)
+    finally:
+        q.stop()
+    if q.exception():
+        raise q.exception()
+    return got
+
+
+def decisions(got, domain):
+    return [(r, d, list(e)) for x, r, d, e, _ in got if x == domain]
+
+
+def test_a_dead_claim_goes_to_the_one_that_waits_longest(spark, tmp_path):
+    """The first claim dies; of two waiters the first takes over, and both get the second answer."""
+    steps = [
+        (lambda g: True, [("a.dk", "r1", "ask"), (" A.dk ", "r2", "ask"), ("a.dk", "r3", "ask"), ("b.dk", "s1", "ask"), ("", "nothing", "ask")]),
+        (lambda g: ("r2", "claimed") in [x[1:3] for x in g], [("a.dk", "r2", "answer", ["post@a.dk"])]),
+        (lambda g: ("r3", "done") in [x[1:3] for x in g], [("a.dk", "r4", "ask")]),
+    ]
+    got = flights(spark, tmp_path, steps, lambda g: ("r4", "done") in [x[1:3] for x in g], stale_ms=4000)
+    assert decisions(got, "a.dk") == [("r1", "claimed", []), ("r2", "wait", []), ("r3", "wait", []), ("r2", "claimed", []), ("r2", "done", ["post@a.dk"]), ("r3", "done", ["post@a.dk"]), ("r4", "done", ["post@a.dk"])]
+    assert decisions(got, "b.dk")[:1] == [("s1", "claimed", [])] and decisions(got, "") == [("nothing", "wait", [])]
+
+
+def test_empty_answers_age_and_failures_put_off(spark, tmp_path):
+    steps = [
+        (lambda g: True, [("a.dk", "r1", "ask"), ("a.dk", "r1", "answer", [], 3.0), ("a.dk", "r2", "ask"), ("b.dk", "s1", "ask"), ("b.dk", "s1", "failed", None, 3.0), ("b.dk", "s2", "ask"), ("c.dk", "t1", "ask"), ("c.dk", "t1", "answer", [], 0.0)]),
+        (lambda g: ("s2", "claimed") in [x[1:3] for x in g], [("a.dk", "r3", "ask"), ("b.dk", "s2", "answer", ["x@b.dk"]), ("c.dk", "t2", "ask")]),
+    ]
+    got = flights(spark, tmp_path, steps, lambda g: {("r3", "claimed"), ("s2", "done"), ("t2", "done")} <= {x[1:3] for x in g})
+    assert decisions(got, "a.dk") == [("r1", "claimed", []), ("r1", "done", []), ("r2", "done", []), ("r3", "claimed", [])]
+    assert decisions(got, "b.dk") == [("s1", "claimed", []), ("s2", "wait", []), ("s2", "claimed", []), ("s2", "done", ["x@b.dk"])]
+    assert decisions(got, "c.dk") == [("t1", "claimed", []), ("t1", "done", []), ("t2", "done", [])]
+    assert 0 < next(w for x, r, d, _, w in got if r == "r2") <= 3.0
