@@ -1,7 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-A text is cut into sentences (up to a run of full stops, exclamation marks, question marks or line ends), each with the white space
-after it, so that joining them gives the text again. A sentence of over LONG words is cut further, after the word with the least hash
+A text is cut into sentences (up to a run of full stops, exclamation marks, question marks, their like in other scripts, or line ends), each
+with the white space after it, so that joining them gives the text again. A word is what stands between white space; in scripts that set
+none between words each letter (with its marks) is one: of Han, Hiragana, Katakana, Bopomofo and Yi as much as a word, of Thai, Lao, Khmer and
+Myanmar, which spell words with several, a quarter of one. So a passage of 50 Han letters, or of 200 Thai ones, is caught as one of 50 words is. A sentence of over LONG words is cut further, after the word with the least hash
 in each window of LONG of its words: cuts do not depend on where the sentence began, and no piece has over LONG words. From every
 sentence a span runs over SENTENCES sentences or more, until it has MIN_WORDS words. So two texts that share a passage of
 2 LONG + MIN_WORDS + 6 = 50 words share a span, wherever the passage stands in them. Spans are compared everywhere by 96 bits of a hash
@@ -18,6 +20,7 @@ ranks them. A null doc_id ranks below all others. An empty table gives an empty
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,6 +39,26 @@ TEXTS = 1000  # texts whose spans are found at once
 _LEAST = -(2**63)
 _sentence = regex.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
 _word = regex.compile(r"\s*\S+\s*")
+#: Ends of sentences in other scripts (CJK, Arabic, Urdu, Devanagari, Ethiopic, Myanmar, Khmer).
+ENDS = "。．｡！？‼⁇⁈⁉؟۔।॥።፧၊။។៕"
+#: Letters of scripts that set no space between words; the first count as words, the others as quarters.
+WHOLE = "\u3005-\u3007\u3031-\u3035\u303b\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua48c\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+QUARTER = "\u0e01-\u0e3a\u0e40-\u0e4e\u0e80-\u0ece\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u109a-\u109d\u1780-\u17d3\u17d7\u17dc\ua9e0-\ua9ef\ua9fa-\ua9fe\uaa60-\uaa7f"
+_any_sentence = regex.compile(rf"[^.!?\n{ENDS}]*(?:[.!?\n{ENDS}]+\s*|$)")
+_unspaced = re.compile(f"[{WHOLE}{QUARTER}]")
+_unit = regex.compile(rf"[{WHOLE}{QUARTER}]\p{{M}}*|[^\s{WHOLE}{QUARTER}]+")
+_unit_and_space = regex.compile(rf"\s*(?:[{WHOLE}{QUARTER}]\p{{M}}*|[^\s{WHOLE}{QUARTER}]+)\s*")
+_quarter = re.compile(f"[{QUARTER}]")
+
+
+def words_of(part: str) -> list[str]:
+    """The words of a text, a letter each in scripts without spaces."""
+    return part.split() if part.isascii() or not _unspaced.search(part) else _unit.findall(part)
+
+
+def _quarters(words: list[str]) -> int:
+    """How much words count, in quarters of a word."""
+    return 4 * len(words) - 3 * sum(1 for w in words if len(w) <= 4 and not w.isascii() and _quarter.match(w))
 
 
 def sentences(texts: list[str | None]) -> list[list[str]]:
@@ -43,9 +66,14 @@ def sentences(texts: list[str | None]) -> list[list[str]]:
     out, long = [], []
     for text in texts:
         parts: list = []
-        for s in _sentence.findall(text or ""):
+        text = text or ""
+        dense = not text.isascii() and _unspaced.search(text) is not None
+        for s in (_sentence if text.isascii() else _any_sentence).findall(text):
             if s:
-                words = _word.findall(s) if len(s) > 2 * LONG and len(s.split()) > LONG else ()
+                if dense and len(s) > LONG:
+                    words = _unit_and_space.findall(s)
+                else:
+                    words = _word.findall(s) if len(s) > 2 * LONG and len(s.split()) > LONG else ()
                 if len(words) > LONG:
                     long.append((parts, len(parts), words))
                 parts.append(s)
@@ -98,16 +126,16 @@ def spans(texts: list[list[str]]) -> dict[str, np.ndarray]:
     of, at, sizes, hashes = [], [], [], []
     for number, parts in enumerate(texts):
         for i, part in enumerate(parts):
-            if words := part.lower().split():
+            if words := words_of(part.lower()):
                 of.append(number)
                 at.append(i)
-                sizes.append(len(words))
+                sizes.append(4 * len(words) if part.isascii() else _quarters(words))
                 hashes.append(xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")))
     of, at, h = np.array(of, dtype=np.int64), np.array(at, dtype=np.int32), np.array(hashes, dtype=np.uint64)
     n = len(of)
     words = np.concatenate([[0], np.cumsum(np.array(sizes, dtype=np.int64))]).astype(np.int64)
     start = np.arange(n)
-    end = np.maximum(start + SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS))
+    end = np.maximum(start + SENTENCES, np.searchsorted(words, words[:-1] + 4 * MIN_WORDS))
     fits = end <= np.searchsorted(of, of, side="right")
     s, e = start[fits], end[fits]
     found = []
@@ -178,7 +206,7 @@ def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str
                     covered = (np.cumsum(edge)[:-1] > 0).tolist()
                     lost = [p for p, c in zip(parts, covered, strict=True) if c]
                     text = "".join(p for p, c in zip(parts, covered, strict=True) if not c)
-                for column, value in zip(out, (len(lost), sum(len(p.split()) for p in lost), text), strict=True):
+                for column, value in zip(out, (len(lost), sum(len(words_of(p)) for p in lost), text), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.string()), strict=True))], names=["doc_id", "n_removed", "n_words_removed", "kept_text"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -333,15 +334,39 @@ def test_components_of_a_long_chain_and_a_star(spark, tmp_path):
     assert components(spark.createDataFrame([], "a long, b long"), str(tmp_path), "none").count() == 0
 
 
+WHOLE, QUARTER = ("CJK UNIFIED", "HIRAGANA LETTER", "KATAKANA LETTER", "KATAKANA-HIRAGANA"), ("THAI CHARACTER", "LAO ", "KHMER ", "MYANMAR ")
+
+
+def plain_words(text):
+    """Words with their places; letters of scripts without spaces are words of their own, by the names of the letters."""
+    out = []
+    for i, c in enumerate(text):
+        name, mark = unicodedata.name(c, ""), unicodedata.category(c)[0] == "M"
+        own = name.startswith(WHOLE + QUARTER) and unicodedata.category(c)[0] in "LM"
+        if c.isspace():
+            continue
+        begins = not out or out[-1][1] != i or (own and not mark) or (out[-1][2] and not mark)
+        if begins:
+            out.append([i, i + 1, own])
+        else:
+            out[-1][1] = i + 1
+    return [(text[a:b], a) for a, b, _ in out]
+
+
+def plain_weight(words):
+    return sum(0.25 if unicodedata.name(w[0], "").startswith(QUARTER) else 1 for w in words)
+
+
 def plain_sentences(text):
     """By the docstring, letter by letter."""
+    ends = ".!?\n" + "。．｡！？‼⁇⁈⁉؟۔।॥።፧၊။។៕"
     text, out, i = text or "", [], 0
     while i < len(text):
         j = i
-        while j < len(text) and text[j] not in ".!?\n":
+        while j < len(text) and text[j] not in ends:
             j += 1
         if j < len(text):
-            while j < len(text) and text[j] in ".!?\n":
+            while j < len(text) and text[j] in ends:
                 j += 1
             while j < len(text) and text[j].isspace():
                 j += 1
@@ -349,17 +374,16 @@ def plain_sentences(text):
         i = j
     cut = []
     for s in out:
-        words = s.split()
+        words = [w for w, _ in plain_words(s)]
         if len(words) <= 12:
             cut.append(s)
             continue
         hashes = [zlib.crc32(w.lower().encode()) for w in words]
         after = {min(range(k, k + 12), key=lambda x: (hashes[x], x)) for k in range(len(words) - 11)}
-        at, start = 0, 0
-        for k, w in enumerate(words):
-            at = s.index(w, at) + len(w)
+        places, start = [i for _, i in plain_words(s)], 0
+        for k in range(len(words)):
             if k in after and k + 1 < len(words):
-                end = s.index(words[k + 1], at)
+                end = places[k + 1]
                 cut.append(s[start:end])
                 start = end
         cut.append(s[start:])
@@ -367,14 +391,14 @@ def plain_sentences(text):
 
 
 def plain_spans(parts):
-    words = [p.lower().split() for p in parts]
+    words = [[w for w, _ in plain_words(p.lower())] for p in parts]
     used = [i for i, w in enumerate(words) if w]
     out = []
     for s in range(len(used)):
         e = s
-        while e < len(used) and (e - s < 3 or sum(len(words[i]) for i in used[s:e]) < 20):
+        while e < len(used) and (e - s < 3 or sum(plain_weight(words[i]) for i in used[s:e]) < 20):
             e += 1
-        if e - s >= 3 and sum(len(words[i]) for i in used[s:e]) >= 20:
+        if e - s >= 3 and sum(plain_weight(words[i]) for i in used[s:e]) >= 20:
             out.append((used[s], used[e - 1], tuple(tuple(words[i]) for i in used[s:e])))
     return out
 
@@ -398,7 +422,19 @@ def plain_substrings(rows):
 NO_ID_COPIES = [(i, t + extra) for i, extra in ((None, ""), (None, " One more."), (None, " Two more, too."), (5, " three"), (5, " four")) for t in ["A first sentence of some words here. " + "Then a second one of as many words. " + "The third one ends the passage, at last, with more words than it needs."]]
 
 
-@pytest.mark.parametrize("rows", [ODD, corpus(8), NO_ID_COPIES, []])
+def unspaced(seed):
+    """Texts of scripts that set no spaces, with copies, shared passages, and other scripts among them."""
+    rnd = random.Random(seed)
+    letters = {"han": "的一是不了人我在有他這為之大來以個中上們", "kana": "あいうえおかきくけこサシスセソタチツテトー", "thai": "กขคงจฉชซดตถทนบปผพฟมยรลวสห", "lao": "ກຂຄງຈສຊຍດຕຖທນບປຜຝພຟມ"}
+    rows = []
+    for kind, alphabet in letters.items():
+        say = lambda n, a=alphabet, k=kind: "".join(rnd.choice(a) + (rnd.choice(["", "่", "ี"]) if k == "thai" else "") + rnd.choice([""] * 25 + ["。", "！", "\n", " "]) for _ in range(n))
+        passage, whole = say(260), say(600)
+        rows += [(len(rows), whole), (len(rows) + 1, whole), (len(rows) + 2, say(90) + passage + say(80)), (len(rows) + 3, say(70) + " mixed words, and more. " + passage + say(60)), (len(rows) + 4, say(300))]
+    return rows
+
+
+@pytest.mark.parametrize("rows", [ODD, corpus(8), NO_ID_COPIES, unspaced(1), []])
 def test_substrings(docs, rows):
     got = substring_dedup.without_repeated_spans(docs(rows)).select("doc_id", "n_removed", "kept_text").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, plain_substrings(rows)))
@@ -414,6 +450,17 @@ def test_long_passages_are_caught_wherever_they_stand(docs):
         assert all(got[i]["n_words_removed"] >= 25 for i in (1, 2, 3)), passage[:40]
 
 
+def test_copies_and_passages_without_spaces_are_caught(docs):
+    rows = unspaced(2)
+    got = {r["doc_id"]: r for r in substring_dedup.without_repeated_spans(docs(rows)).collect()}
+    for k in range(0, len(rows), 5):
+        assert got[k]["n_removed"] == got[k + 2]["n_removed"] == got[k + 4]["n_removed"] == 0
+        assert len(got[k + 1]["kept_text"]) < 0.05 * len(rows[k + 1][1])  # a copy of the text before
+        assert got[k + 3]["n_words_removed"] > 200 and "mixed words" in got[k + 3]["kept_text"]
+    short = [(1, "短い文。次の文。三つ目。"), (2, "短い文。次の文。三つ目。")]  # under 20 words, as with spaces
+    assert all(r["n_removed"] == 0 for r in substring_dedup.without_repeated_spans(docs(short)).collect())
+
+
 def test_no_passage_of_51_words_is_missed(docs):
     """400 passages, with and without full stops, at the start of a sentence and inside one, each in two documents."""
     rnd = random.Random(11)
@@ -431,7 +478,7 @@ def test_no_passage_of_51_words_is_missed(docs):
 
 
 def test_sentences_by_definition():
-    texts = [t for _, t in corpus(12, 60)] + [" ".join(random.Random(k).choice("abcdefg") * 2 for _ in range(40 * k)) + ("." if k % 2 else "") for k in range(12)] + [None, "", " ", "a. " * 50]
+    texts = [t for _, t in corpus(12, 60) + unspaced(3)] + [" ".join(random.Random(k).choice("abcdefg") * 2 for _ in range(40 * k)) + ("." if k % 2 else "") for k in range(12)] + [None, "", " ", "a. " * 50]
     assert substring_dedup.sentences(texts) == [plain_sentences(t) for t in texts]
 
 
