@@ -299,7 +299,7 @@ def similar(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n:
 
     # the sets of these classes, each from one row
     classes = members.select("set_key", "class", "n_shingles").distinct()
-    of_class = marks.join(classes, "set_key", "left_semi").groupBy("set_key").agg(F.min("mark").alias("mark"))
+    of_class = marks.filter("n_shingles > 0").groupBy("set_key").agg(F.min("mark").alias("mark")).join(classes, "set_key", "left_semi")
     of_class = written(of_class, folder, "representatives")
     texts = possible(rows, of_class.select("mark"), "mark", of_class.count()).join(of_class.select("mark").distinct(), "mark", "left_semi")
     sets = sets_of(texts, n, of, with_sets=True).filter(F.col("set_key").isNotNull()).select("set_key", "tokens").dropDuplicates(["set_key"])
