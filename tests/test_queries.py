@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rosterweave.plans import more_queries, queries, rule_queries  # noqa: F401
+from rosterweave.plans import growth_queries, more_queries, queries, rule_queries  # noqa: F401
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -38,7 +38,7 @@ def test_no_nested_loop_and_no_python_in_plans(spark):
     for name, query in queries.QUERIES.items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
-        if name not in ("html_to_text", "search_payload", "listing_payload", "page_harvest", "sanitized_records", "person_names", "same_site_links"):  # entities, relative links
+        if name not in ("html_to_text", "search_payload", "listing_payload", "page_harvest", "sanitized_records", "person_names", "same_site_links", "page_links", "page_emails"):  # entities, relative links
             assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan, name
 
 
