@@ -7,6 +7,7 @@ no window over all rows of a key is needed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,17 @@ def _tagged(values: Column, tag: int, kind: str) -> Column:
     return F.coalesce(F.transform(values, lambda v, i: F.struct(F.lit(tag).alias("tag"), v.cast("string").alias("v"), i.alias("pos"))).cast(kind), F.array().cast(kind))
 
 
+def _with_position(df: DataFrame, place: str) -> Column:
+    """A row's place and an element's position in it, in their order: one number where the place is a whole number, so that its minimum is kept in a hash table; else a struct. A null place comes first."""
+    kind, pos = dict(df.dtypes)[place], F.col("_e.pos")
+    if kind in ("tinyint", "smallint", "int"):
+        return F.coalesce(F.col(place).cast("long") + 1, F.lit(-(2**31)).cast("long")) * F.lit(2**31).cast("long") + pos
+    if kind == "bigint":
+        wide = "decimal(38,0)"
+        return ((F.coalesce(F.col(place).cast("decimal(20,0)"), F.lit(Decimal(-(2**63) - 1)).cast("decimal(20,0)")) * F.lit(Decimal(2**32)).cast("decimal(11,0)")).cast(wide) + pos.cast("decimal(11,0)")).cast(wide)
+    return F.struct(F.col(place).alias("at"), pos.alias("pos"))
+
+
 def grouped(df: DataFrame, keys: list[str], picks: dict[str, Pick], unions: dict[str, tuple[Column, Column]]) -> DataFrame:
     """AG3, AG15: a row a key with the picks and, for each union (an array of strings, the place of its row), the distinct elements, the first of each.
 
@@ -53,22 +65,28 @@ def grouped(df: DataFrame, keys: list[str], picks: dict[str, Pick], unions: dict
     key is no longer than the list that comes out, however many rows the key has. Without unions there is one step. Null arrays count
     as empty, null keys are a key, and elements of equal places follow their positions.
     """
+    df = df.select("*", *[place.alias(f"_place_{name}") for name, (_, place) in unions.items()])
+    unions = {name: (values, _with_position(df, f"_place_{name}")) for name, (values, _) in unions.items()}
     if not unions:
         return df.groupBy(*keys).agg(*[by(value, order).alias(name) for name, (by, value, order) in picks.items()])
-    # element 0 stands for the row itself, so that the picks are taken once a row and a key without elements stays
+    # element 0 stands for the row itself, so that the picks are taken once a row; without picks only a row without elements needs one
     kind, tags = "array<struct<tag:int,v:string,pos:int>>", {name: tag for tag, name in enumerate(unions, 1)}
-    own = F.array(F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("pos"))).cast(kind)
+    own = [F.array(F.struct(F.lit(0).alias("tag"), F.lit(None).cast("string").alias("v"), F.lit(0).alias("pos"))).cast(kind)] if picks else []
     lists = [_tagged(values, tags[name], kind) for name, (values, _) in unions.items()]
     found = [c for name, (_, value, order) in picks.items() for c in (value.alias(f"_v_{name}"), order.alias(f"_o_{name}"))]
-    rows = df.select(*keys, *found, *[place.alias(f"_p_{name}") for name, (_, place) in unions.items()], F.explode(F.concat(own, *lists)).alias("_e"))
+    if len(unions) == 1 and not picks:  # one list of elements, which the engine numbers itself
+        rows = df.select(*keys, *[f"_place_{name}" for name in unions], F.posexplode_outer(*[values for values, _ in unions.values()]).alias("_pos", "_value"))
+        rows = rows.withColumn("_e", F.struct(F.when(F.col("_pos").isNotNull(), F.lit(1)).alias("tag"), F.col("_value").cast("string").alias("v"), F.col("_pos").alias("pos"))).drop("_pos", "_value")
+    else:
+        rows = df.select(*keys, *found, *[f"_place_{name}" for name in unions], F.explode_outer(F.concat(*own, *lists)).alias("_e"))
 
     def once(name: str, by: Callable[[Column, Column], Column]) -> list[Column]:
         order = F.when(F.col("_e.tag") == 0, F.col(f"_o_{name}"))
         return [by(F.col(f"_v_{name}"), order).alias(f"_v_{name}"), (F.min if by is F.min_by else F.max)(order).alias(f"_o_{name}")]
 
-    first = [F.min(F.when(F.col("_e.tag") == tag, F.struct(F.col(f"_p_{name}").alias("at"), F.col("_e.pos").alias("pos")))).alias(f"_p_{name}") for name, tag in tags.items()]
+    first = [F.min(F.when(F.col("_e.tag") == tag, unions[name][1])).alias(f"_p_{name}") for name, tag in tags.items()]
     distinct = rows.groupBy(*keys, F.col("_e.tag").alias("_tag"), F.col("_e.v").alias("_v")).agg(*[c for name, (by, _, _) in picks.items() for c in once(name, by)], *first)
-    lists = [F.transform(F.array_sort(F.collect_list(F.when(F.col("_tag") == tag, F.struct(f"_p_{name}", "_v")))), lambda s: s["_v"]).alias(name) for name, tag in tags.items()]
+    lists = [F.sort_array(F.collect_list(F.when(F.col("_tag") == tag, F.struct(f"_p_{name}", "_v")))).getField("_v").alias(name) for name, tag in tags.items()]
     return distinct.groupBy(*keys).agg(*[by(f"_v_{name}", f"_o_{name}").alias(name) for name, (by, _, _) in picks.items()], *lists)
 
 
