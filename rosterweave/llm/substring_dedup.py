@@ -193,7 +193,7 @@ def without_repeated_spans(docs: DataFrame, text_col: str = "text", id_col: str
     found = joined_where_found(rows, gone, ["_id", "_hash"]).select("doc_id", "text", "firsts", "lasts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(start, TEXTS) for whole in batches for start in range(0, whole.num_rows, TEXTS)):
             out = [[], [], []]
             texts, some = batch.column(1).to_pylist(), [i for i, firsts in enumerate(batch.column(2)) if firsts.is_valid]
             cut = dict(zip(some, sentences([texts[i] for i in some]), strict=True))
