@@ -3,7 +3,7 @@
 Texts are equal when they are identical after white space is deleted. A 64-bit hash of the normalised text addresses a directory by its
 leading bits. The directory doubles until no bucket holds over `bucket_rows` entries (or MAX_DEPTH is reached: copies of one text share
 a hash, so no split parts them; they are a chain). Each owner has a contiguous range of buckets, hence of hashes; owners have about
-equal numbers of entries. The index is files in the shared folder, a folder an owner: pages of entries (sorted by bucket and hash), and
+equal numbers of entries. A chain longer than a bucket counts as one entry when buckets are split. The index is files in the shared folder, a folder an owner: pages of entries (sorted by bucket and hash), and
 the chains of hashes that occur twice or more.
 
 Chains are resolved by comparing bytes: the texts of a chain go to their owner's task, which groups what is identical, so a collision
@@ -118,23 +118,27 @@ def build(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucke
     n_owners, hashed = int(spark.conf.get("spark.sql.shuffle.partitions")), _hashed(docs, text_col, id_col)
     entries = written(hashed.select("doc_id", "n_code_points", "h64", _sha()), folder, "entries")
 
-    # the directory, from at most 2 ** MAX_DEPTH counts
-    counts = {int(r["slot"]): int(r["n"]) for r in entries.groupBy(_leading(MAX_DEPTH).alias("slot")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots, total = directory(counts, bucket_rows, MAX_DEPTH), sum(counts.values())
+    # the directory, from at most 2 ** MAX_DEPTH counts; a chain longer than a bucket counts as one entry, for no split parts it
+    chains = written(entries.groupBy("h64").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), folder, "hashes")
+    by_slot = lambda rows, n: {int(r["slot"]): int(r["n"]) for r in rows.groupBy(_leading(MAX_DEPTH).alias("slot")).agg(n.alias("n")).collect()}
+    counts, long = by_slot(entries, F.count(F.lit(1))), by_slot(chains.filter(F.col("n") > bucket_rows), F.sum(F.col("n") - 1))
+    slots, total = directory({slot: n - long.get(slot, 0) for slot, n in counts.items()}, bucket_rows, MAX_DEPTH), sum(counts.values())
     slots = slots * 2 if len(slots) == 1 else slots  # one bucket, two slots: the join with the directory has a key
     of = owners(slots, counts, n_owners, MAX_DEPTH)
     pairs = spark.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps([[b, of[b]] for b in slots])), "array<array<int>>")).alias("slot", "pair"))
     table = written(pairs.select("slot", F.col("pair")[0].alias("bucket"), F.col("pair")[1].alias("owner")).coalesce(1), folder, "directory")
     index = Index(len(slots).bit_length() - 1, total, table, entries, entries)
 
-    def filed(rows: DataFrame, name: str) -> DataFrame:
-        """A folder an owner, sorted by bucket and hash."""
-        rows.repartition("owner").sortWithinPartitions("owner", "bucket", "h64").write.partitionBy("owner").parquet(f"{folder}/{name}")
+    def filed(rows: DataFrame, name: str, task: Column) -> DataFrame:
+        """A folder an owner, sorted by bucket and hash within each of its files."""
+        rows.repartitionById(n_owners, task).sortWithinPartitions("owner", "bucket", "h64").write.partitionBy("owner").parquet(f"{folder}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
-    index.pages = filed(index.routed(entries), "pages")
-    chains = written(entries.groupBy("h64").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), folder, "hashes")
     hot = chains.filter(F.col("n") > max(total // HOT_SHARE, HOT_SALTS)).select("h64", F.lit(True).alias("hot"))  # HOT_SHARE rows at most
+    # an owner's pages are written by the task of its number; rows of hot hashes are dealt over all tasks, each with a file in the owner's folder
+    dealt_pages = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "n_code_points"), F.lit(n_owners)).cast("int")).otherwise(F.col("owner"))
+    pages = index.routed(entries).join(F.broadcast(hot), "h64", "left").withColumn("task", dealt_pages)
+    index.pages = filed(pages.drop("hot"), "pages", F.col("task")).drop("task")
     texts = index.routed(possible(hashed, chains.select("h64"), "h64", chains.count())).join(F.broadcast(hot), "h64", "left")
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SALTS)).cast("int")).otherwise(F.lit(0))
     # Of a group the longest stays, then the smallest doc_id: one number holds both, so that the aggregate stays a hash aggregate.
@@ -147,7 +151,7 @@ def build(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", bucke
     modulus = F.lit(Decimal(2**64)).cast("decimal(38,0)")
     back = F.pmod(-F.col("best"), modulus)
     keep = F.when(back > F.lit(_TOP), back - modulus).otherwise(back).cast("long").alias("keep")
-    index.chains = filed(groups.select("owner", "bucket", "h64", "text_sha256", F.col("n").alias("group_size"), keep), "chains")
+    index.chains = filed(groups.select("owner", "bucket", "h64", "text_sha256", F.col("n").alias("group_size"), keep), "chains", F.col("owner"))
     return index
 
 

@@ -100,6 +100,23 @@ def test_hot_chains_are_salted(docs, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(plain_exact(rows))
 
 
+def test_pages_of_a_hot_text_are_dealt_over_tasks(spark, docs, monkeypatch):
+    """Half of all rows are blank; no task writes over twice its share of pages, and the long chain leaves the directory small."""
+    monkeypatch.setattr(exact_dedup, "HOT_SALTS", 4)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        rows = [(i, "" if i % 2 else f"text number {i}") for i in range(4000)]
+        index = exact_dedup.build(docs(rows), bucket_rows=300)
+        task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+        shares = [r["count"] for r in index.pages.groupBy(task.alias("task")).count().collect()]
+        assert len(shares) == 8 and sum(shares) == 4000 and max(shares) <= 2 * 4000 / 8
+        assert index.depth <= 4 and index.pages.groupBy("owner").count().count() >= 4
+        got = index.marked().select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert sorted(map(tuple, got)) == sorted(plain_exact(rows))
+
+
 def test_an_owners_task_groups_without_a_shuffle(spark, docs, monkeypatch):
     """Texts are moved once, to their owner."""
     plans, kind = [], type(spark.range(0))
