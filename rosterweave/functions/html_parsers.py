@@ -15,6 +15,7 @@ from urllib.parse import urljoin, urlsplit
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from rosterweave.operators.limits import record_limit
 from rosterweave.shipping import ship
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -262,41 +263,31 @@ def codes(page: str, base: str = "", parameter: str = "code") -> list[dict]:
 def to_markdown(page: str, base: str = "", most: int = 80_000) -> str:
     """UR11: headings, links, list items and paragraphs of a page as Markdown; head and tail of what is longer than `most`."""
     out: list[str] = []
-
-    def walk(node: Node) -> None:
-        for c in node.children:
-            if isinstance(c, str):
-                out.append(re.sub(r"\s+", " ", c))
-            elif c.tag in _SKIPPED or c.tag in ("head", "svg", "iframe"):
-                continue
-            elif re.fullmatch("h[1-6]", c.tag):
-                out.append(f"\n\n{'#' * int(c.tag[1])} {c.text()}\n\n")
-            elif c.tag == "a" and c.attrs.get("href"):
-                out.append(f"[{c.text()}]({c.attrs['href']})")
-            elif c.tag == "br":
-                out.append("\n")
-            else:
-                out.append("\n- " if c.tag == "li" else "\n\n" if c.tag in ("p", "div", "ul", "ol", "table", "tr", "section", "article") else "")
-                walk(c)
-
-    root = tree(page)
-    depth = max((_depth(n) for n in root.walk()), default=0)
-    text = root.text() if depth > 400 else (walk(root), "".join(out))[1]
+    left: list[Node | str] = list(reversed(tree(page).children))
+    while left:  # a stack, so that pages may be nested as deep as they like
+        c = left.pop()
+        if isinstance(c, str):
+            out.append(re.sub(r"\s+", " ", c))
+        elif c.tag in _SKIPPED or c.tag in ("head", "svg", "iframe"):
+            continue
+        elif re.fullmatch("h[1-6]", c.tag):
+            out.append(f"\n\n{'#' * int(c.tag[1])} {c.text()}\n\n")
+        elif c.tag == "a" and c.attrs.get("href"):
+            out.append(f"[{c.text()}]({c.attrs['href']})")
+        elif c.tag == "br":
+            out.append("\n")
+        else:
+            out.append("\n- " if c.tag == "li" else "\n\n" if c.tag in ("p", "div", "ul", "ol", "table", "tr", "section", "article") else "")
+            left.extend(reversed(c.children))
+    text = "".join(out)
     text = re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", text)).strip()
     return text if len(text) <= most else text[: most // 2] + "\n\n...\n\n" + text[-(most // 2) :]
 
 
-def _depth(node: Node) -> int:
-    n = 0
-    while node.parent is not None:
-        node, n = node.parent, n + 1
-    return n
-
-
-def parse_table(df: DataFrame, parser: Callable[[str, str], list[dict]], fields: list[str], page: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id",), errors: bool = False) -> DataFrame:
+def parse_table(df: DataFrame, parser: Callable[[str, str], list[dict]], fields: list[str], page: str = "html", url: str = "url", keys: tuple[str, ...] = ("page_id",), errors: bool = False, seconds: float | None = None, fatal: tuple[type[BaseException], ...] = (MemoryError,)) -> DataFrame:
     """Rows of a parser over a table of pages: the keys, pos, and the fields as strings.
 
-    QS12: with errors, a page that a parser fails on gives one row with the error's text instead of ending the job."""
+    QS12: with errors, a page that a parser fails on, or spends over `seconds` on, gives one row with the error's text instead of ending the job. Errors of the `fatal` classes end it always."""
     ship(df.sparkSession)
     fields = [*fields, "error"] if errors else fields
     types = dict(df.dtypes)
@@ -308,9 +299,10 @@ def parse_table(df: DataFrame, parser: Callable[[str, str], list[dict]], fields:
             at, made = [], []
             for i in range(batch.num_rows):
                 try:
-                    rows = parser(batch.column(len(keys) + 1)[i].as_py() or "", batch.column(len(keys))[i].as_py() or "")
+                    with record_limit(seconds):
+                        rows = parser(batch.column(len(keys) + 1)[i].as_py() or "", batch.column(len(keys))[i].as_py() or "")
                 except Exception as e:
-                    if not errors:
+                    if not errors or isinstance(e, fatal):
                         raise
                     rows = [{"error": f"{type(e).__name__}: {e}"[:500]}]
                 for pos, row in enumerate(rows):

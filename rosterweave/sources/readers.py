@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from rosterweave.functions import names
 from rosterweave.functions.text import filled, text, trim
+from rosterweave.operators.closure import reached
 from rosterweave.operators.delta import union_in_order
 
 #: The files of a site folder, the first that is there is read.
@@ -96,20 +97,22 @@ def site_tables(spark: SparkSession, paths: list[str], wanted: list[str]) -> Dat
     return union_in_order(*[discovered(spark.read.parquet(p), wanted) for p in paths])
 
 
-def sqlite_files(spark: SparkSession, paths: str | list[str], table: str, wanted: list[str], order: tuple[str, ...] = ("id", "company_name")) -> DataFrame:
+def sqlite_files(spark: SparkSession, paths: str | list[str], table: str, wanted: list[str], order: tuple[str, ...] = ("id", "company_name"), mounted: bool = False) -> DataFrame:
     """SC2-SC4: a table of SQLite database files, wherever Spark can read them: file, seq (the order within a file) and the wanted columns as text.
 
     Columns that a file lacks are blank, `email` stands in for `emails`; rows come in order of the first order column there is. A file
-    without the table has no rows. Each file is read by one task, which opens its bytes in memory."""
+    without the table has no rows. Each file is read by one task. Spark can't read a file of over 2 GB as bytes, and that ends the query with an error that names the file; such databases,
+    on storage that every executor mounts, are read in place with `mounted` set: the task then opens the path itself and holds no copy."""
     import sqlite3
 
     names_, quoted = list(wanted), '"' + table.replace('"', '""') + '"'
 
     def run(batches):
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                db = sqlite3.connect(":memory:")
-                db.deserialize(content.as_py())
+            for path, content in zip(batch.column(0).to_pylist(), [None] * batch.num_rows if mounted else batch.column(1), strict=True):
+                db = sqlite3.connect(f"{path}?mode=ro" if mounted else ":memory:", uri=mounted)
+                if not mounted:
+                    db.deserialize(content.as_py())
                 have = [r[1] for r in db.execute(f"PRAGMA table_info({quoted})")]
                 if have:
                     pick = [c if c in have else "email" if c == "emails" and "email" in have else None for c in names_]
@@ -122,7 +125,9 @@ def sqlite_files(spark: SparkSession, paths: str | list[str], table: str, wanted
                         seq += len(part)
                 db.close()
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    files = spark.read.format("binaryFile").load(paths)
+    # the length is asked for so that rows come from the files' status alone
+    files = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length").repartition(F.col("path")).select("path") if mounted else files.select("path", "content")
     return files.mapInArrow(run, "file string, seq long, " + ", ".join(f"`{c}` string" for c in names_))
 
 
@@ -189,21 +194,17 @@ def landed_pages(spark: SparkSession, path: str, content_type: str | None = None
 
 
 def sitemap_urls(files: DataFrame, start: str, limit: int = 200, depth: int = 3, url: str = "url", body: str = "body") -> DataFrame:
-    """SC14: page addresses of a site from landed robots and sitemap files, following sitemaps of sitemaps `depth` levels down; own host only, no files, `limit` of them."""
+    """SC14: page addresses of a site from landed robots and sitemap files, following sitemaps of sitemaps `depth` levels down (a recursive table, so any depth is one plan; bodies that are gzip go through `decode.unpacked` first); own host only, no files, `limit` of them."""
     from rosterweave.functions import urls
 
     robots = F.regexp_extract_all(text(body), F.lit(r"(?im)^\s*sitemap:\s*(\S+)"), 1)
     named = files.filter(F.endswith(url, F.lit("/robots.txt")) & (urls.host(url) == urls.host(F.lit(start)))).select(F.explode(robots).alias("loc"))
     default = files.filter(F.col(url) == start.rstrip("/") + "/sitemap.xml").select(F.col(url).alias("loc"))
-    at, pages, seen = named.unionByName(default).distinct(), None, None
     locs = F.regexp_extract_all(text(body), F.lit(r"(?is)<loc>\s*(?:<!\[CDATA\[)?\s*(.*?)\s*(?:\]\]>)?\s*</loc>"), 1)
-    for _ in range(depth + 1):
-        read = files.join(at, files[url] == at["loc"], "left_semi")
-        index = F.lower(text(body)).rlike("<sitemapindex")
-        found = read.filter(~index).select(F.explode(locs).alias("page"))
-        pages = found if pages is None else pages.unionByName(found)
-        seen = at if seen is None else seen.unionByName(at)
-        at = read.filter(index).select(F.explode(locs).alias("loc")).distinct().join(seen, "loc", "left_anti")
+    index = F.lower(text(body)).rlike("<sitemapindex")
+    links = files.filter(index).select(F.col(url).alias("src"), F.explode(locs).alias("dst"))
+    read = reached(links, named.unionByName(default).select(F.col("loc").alias("node")), depth)
+    pages = files.filter(~index).join(read, files[url] == read["node"], "left_semi").select(F.explode(locs).alias("page"))
     own = (urls.host("page") == urls.host(F.lit(start))) & ~urls.is_asset("page")
     return pages.filter(own).distinct().orderBy("page").limit(limit)
 

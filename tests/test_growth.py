@@ -1,8 +1,11 @@
 """Names by similarity, snapshots by buckets, keys by an index, paged and spreadsheet sources, slots for many tasks: each against a plain version."""
 
+import gzip
 import json
 import random
 import re
+import sqlite3
+import time
 import zipfile
 from pathlib import Path
 
@@ -10,11 +13,12 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from rosterweave.operators import ranking, similarity
+from rosterweave.functions import html_parsers
+from rosterweave.operators import closure, limits, ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
 from rosterweave.operators.upsert import fold
 from rosterweave.shipping import ship
-from rosterweave.sources import excel
+from rosterweave.sources import decode, excel, readers
 from rosterweave.sources.cursor import CursorSource
 from rosterweave.sources.key_index import KeyIndex
 from rosterweave.sources.paged import PagedSource
@@ -271,3 +275,88 @@ def test_ranks_by_range(spark, tmp_path):
     got = ranking.ranked_by_range(spark.createDataFrame(rows, "g string, n long").repartition(5), ["g"], [F.desc("n")], "r", str(tmp_path / "r"))
     want = [(g, n, r) for x in ("a", "b", None) for r, (g, n) in enumerate(sorted((row for row in rows if row[0] == x), key=lambda row: -row[1]))]
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+# ---- closures, limits, deep pages, packed sitemaps, databases in place
+
+
+def test_reached_levels(spark):
+    edges = [(f"n{k}", f"n{k + 1}") for k in range(50)] + [("n50", "n0"), ("n5", "n3"), ("n0", "n40"), ("x", "y"), ("n1", None), (None, "n9")]
+    e, s = spark.createDataFrame(edges, "src string, dst string"), spark.createDataFrame([("n0",), (None,), ("alone",)], "node string")
+    got = {r["node"]: r["level"] for r in closure.reached(e, s, 60).collect()}
+    want, at, level = {"n0": 0, "alone": 0}, ["n0", "alone"], 0
+    while at:
+        level += 1
+        at = [b for b in dict.fromkeys(b for a, b in edges if a in at and b is not None) if b not in want]
+        want |= dict.fromkeys(at, level)
+    assert got == want
+    assert {r["node"] for r in closure.reached(e, s, 2).collect()} == {n for n, k in want.items() if k <= 2}
+
+
+def test_a_chain_of_50_sitemaps(spark):
+    index = lambda *locs: "<sitemapindex>" + "".join(f"<loc>{x}</loc>" for x in locs) + "</sitemapindex>"
+    files = [("https://f.dk/robots.txt", "Sitemap: https://f.dk/s0.xml")] + [(f"https://f.dk/s{k}.xml", index(f"https://f.dk/s{k + 1}.xml", "https://f.dk/s0.xml")) for k in range(50)] + [("https://f.dk/s50.xml", "<urlset><loc>https://f.dk/deep</loc></urlset>")]
+    table = spark.createDataFrame(files, "url string, body string")
+    assert [r["page"] for r in readers.sitemap_urls(table, "https://f.dk", depth=50).collect()] == ["https://f.dk/deep"]
+    assert readers.sitemap_urls(table, "https://f.dk", depth=49).collect() == []
+
+
+def test_packed_bytes(spark):
+    ship(spark)
+    whole = gzip.compress(b"<urlset/>" * 9000)
+    rows = spark.createDataFrame([(1, bytearray(whole)), (2, bytearray(b"plain")), (3, None), (4, bytearray(whole[: len(whole) // 2]))], "n int, c binary")
+    got = {r["n"]: r["c"] for r in rows.select("n", decode.unpacked("c").alias("c")).collect()}
+    assert got[1] == b"<urlset/>" * 9000 and got[2] == b"plain" and got[3] is None and (b"<urlset/>" * 9000).startswith(got[4])
+
+
+def test_deep_pages_keep_their_markdown():
+    depth = 3000
+    page = "<div>" * depth + '<h2>Title</h2><p>see <a href="/x">this</a></p><ul><li>one</li><li>two</li></ul>' + "</div>" * depth
+    flat = html_parsers.to_markdown('<div><h2>Title</h2><p>see <a href="/x">this</a></p><ul><li>one</li><li>two</li></ul></div>')
+    assert flat.startswith("## Title") and "[this](/x)" in flat and "- one" in flat and html_parsers.to_markdown(page) == flat
+
+
+def test_a_record_that_hangs_costs_its_limit(spark):
+    def parser(page, url):
+        if page == "hang":
+            while True:
+                time.sleep(0.01)
+        if page == "fatal":
+            raise MemoryError("out")
+        if page == "bad":
+            raise ValueError("odd")
+        return [{"v": page.upper()}]
+
+    pages = lambda *texts: spark.createDataFrame([(k, "u", t) for k, t in enumerate(texts)], "page_id long, url string, html string").repartition(1)
+    start = time.time()
+    got = html_parsers.parse_table(pages("a", "hang", "b", "bad", "c"), parser, ["v"], errors=True, seconds=1.0).collect()
+    assert {(r["page_id"], r["v"], r["error"]) for r in got} == {(0, "A", ""), (1, "", "RecordTimeout: took over 1 seconds"), (2, "B", ""), (3, "", "ValueError: odd"), (4, "C", "")}
+    assert time.time() - start < 30
+    with pytest.raises(PythonException, match="MemoryError"):
+        html_parsers.parse_table(pages("a", "fatal"), parser, ["v"], errors=True).collect()
+
+
+def test_an_action_that_hangs_is_interrupted(spark):
+    ship(spark)
+
+    def slow(batches):
+        for b in batches:
+            time.sleep(120)
+            yield b
+
+    start = time.time()
+    with pytest.raises(TimeoutError, match="interrupted after 3"):
+        limits.within(spark, 3, lambda: spark.range(4).mapInPandas(slow, "id long").count())
+    assert time.time() - start < 60
+    assert limits.within(spark, 60, lambda: spark.range(7).count()) == 7
+    with pytest.raises(ZeroDivisionError):
+        limits.within(spark, 60, lambda: 1 / 0)
+
+
+def test_databases_in_place(spark, tmp_path):
+    for n in range(2):
+        with sqlite3.connect(tmp_path / f"{n}.db") as db:
+            db.execute("CREATE TABLE companies (id INTEGER, company_name TEXT)")
+            db.executemany("INSERT INTO companies VALUES (?, ?)", [(k, f"c{n}{k}") for k in range(30)])
+    held, placed = (sorted((r["file"].split("/")[-1], r["seq"], r["company_name"]) for r in readers.sqlite_files(spark, str(tmp_path / "*.db"), "companies", ["company_name", "emails"], mounted=m).collect()) for m in (False, True))
+    assert held == placed and len(placed) == 60
