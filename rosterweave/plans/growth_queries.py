@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rosterweave.functions import emails, lists, urls
+from rosterweave.functions import emails, lists, names, urls
+from rosterweave.functions.text import squeeze, tokens_supported
 from rosterweave.operators import ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
-from rosterweave.plans.queries import DAY_TWO, query, table
+from rosterweave.plans.queries import _EMAILS, _HOST_SQL, DAY_TWO, query, table
 from rosterweave.sources.key_index import KeyIndex
 from rosterweave.sources.scratch import shared_folder
 
@@ -121,3 +122,54 @@ SELECT DISTINCT page_id, lower(e) AS email FROM (
 def page_emails(spark, d):
     """EM9 over pages as they stand."""
     return table(spark, d, "pages").select("page_id", F.explode(emails.harvest("html")).alias("email"))
+
+
+# --- rules over columns as they stand ---
+
+_HOSTS = f"SELECT page_id, {_HOST_SQL} AS h FROM pages"
+_FIRST_LABEL = "split_part(replace({0}, '-', ''), '.', 1)"
+
+
+@query(f"""
+SELECT a.page_id, a.h <> '' AND b.h <> '' AND (a.h = b.h OR ends_with(a.h, '.' || b.h) OR ends_with(b.h, '.' || a.h) OR replace(a.h, '-', '') = replace(b.h, '-', '')
+  OR (length({_FIRST_LABEL.format("a.h")}) >= 3 AND length({_FIRST_LABEL.format("b.h")}) >= 3 AND (contains({_FIRST_LABEL.format("a.h")}, {_FIRST_LABEL.format("b.h")}) OR contains({_FIRST_LABEL.format("b.h")}, {_FIRST_LABEL.format("a.h")})))) AS related
+FROM ({_HOSTS}) a JOIN ({_HOSTS}) b ON b.page_id = a.page_id + 1
+""")
+def related_hosts(spark, d):
+    """EM7: whether the hosts of a page and of the next one belong together."""
+    p = table(spark, d, "pages").select("page_id", urls.host("url").alias("h"))
+    after = p.select((F.col("page_id") - 1).alias("page_id"), F.col("h").alias("other"))
+    return p.join(after, "page_id").select("page_id", emails.related("h", "other").alias("related"))
+
+
+_TITLE = "trim(regexp_extract(html, '<title>([^<]*)</title>', 1))"
+
+
+@query(f"SELECT page_id, CASE WHEN regexp_matches({_TITLE}, '^[A-Za-z0-9]') THEN substr({_TITLE}, 1, 4) ELSE substr({_TITLE}, 1, 2) END AS seed FROM pages")
+def title_seeds(spark, d):
+    """NA17 over the titles of pages."""
+    return table(spark, d, "pages").select("page_id", names.keyword_seed(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("seed"))
+
+
+@query("""
+WITH t AS (SELECT * FROM (SELECT conv_id, turn, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS text, lower(coalesce(text, '')) AS low FROM conversations)),
+j AS (SELECT t.conv_id, t.turn, string_split(lower(t.text), ' ')[:6] AS name, n.low FROM t JOIN t AS n ON n.conv_id = t.conv_id AND n.turn = t.turn + 1)
+SELECT conv_id, turn, len(list_filter(name, lambda w: w <> '')) > 0 AND 2 * len(list_filter(name, lambda w: w <> '' AND contains(low, w))) >= len(list_filter(name, lambda w: w <> '')) AS supported FROM j
+""")
+def supported_turns(spark, d):
+    """NA14: whether a turn holds at least half of the first six words of the turn before it."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    words = F.array_join(F.slice(F.split(squeeze("text"), " "), 1, 6), " ")
+    after = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("quote"))
+    return c.select("conv_id", "turn", words.alias("name")).join(after, ["conv_id", "turn"]).select("conv_id", "turn", tokens_supported("name", "quote").alias("supported"))
+
+
+@query(f"""
+WITH e AS (SELECT *, array_to_string(string_split(split_part(email, '@', 2), '.')[-2:], '.') AS domain FROM ({_EMAILS})), w AS (SELECT *, first_value(domain) OVER (PARTITION BY doc_id ORDER BY email) AS site FROM e)
+SELECT doc_id, count(DISTINCT domain)::INT AS n_domains, count(DISTINCT email) FILTER (WHERE domain = site)::INT AS own, false AS directory_like FROM w GROUP BY doc_id
+""")
+def address_profiles(spark, d):
+    """AG10: the addresses of a document, with the domain of the first as its site."""
+    found = table(spark, d, "documents").select("doc_id", F.array_sort(emails.harvest_json("text")).alias("es")).filter(F.size("es") > 0)
+    site = F.concat(F.lit("https://www."), F.regexp_extract(F.col("es")[0], "@(.*)$", 1), F.lit("/about"))
+    return found.select("doc_id", emails.profile(emails.registrable(site), "es").alias("p")).select("doc_id", "p.n_domains", F.size("p.own").alias("own"), "p.directory_like")
