@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rosterweave.functions import emails, lists, names, urls
+from rosterweave.functions import emails, lists, names, urls, variants
 from rosterweave.functions.text import squeeze, tokens_supported
 from rosterweave.operators import ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
@@ -173,3 +173,40 @@ def address_profiles(spark, d):
     found = table(spark, d, "documents").select("doc_id", F.array_sort(emails.harvest_json("text")).alias("es")).filter(F.size("es") > 0)
     site = F.concat(F.lit("https://www."), F.regexp_extract(F.col("es")[0], "@(.*)$", 1), F.lit("/about"))
     return found.select("doc_id", emails.profile(emails.registrable(site), "es").alias("p")).select("doc_id", "p.n_domains", F.size("p.own").alias("own"), "p.directory_like")
+
+
+# events' props as they come, with a renamed field, wrapped, and cut off
+_PAYLOADS = """SELECT event_id, CASE event_id % 5 WHEN 1 THEN replace(props, '"k"', '"key"') WHEN 2 THEN '{"data": {"items": [' || props || ', {"k": null}]}, "n": ' || user_id || '}' WHEN 3 THEN substr(props, 1, length(props) - 1) WHEN 4 THEN '[' || props || ', [' || props || ']]' ELSE props END AS payload FROM events"""
+
+
+def _payloads(spark, d):
+    k, props = F.col("event_id") % 5, F.col("props")
+    payload = F.when(k == 1, F.replace(props, F.lit('"k"'), F.lit('"key"'))).when(k == 2, F.concat(F.lit('{"data": {"items": ['), props, F.lit(', {"k": null}]}, "n": '), F.col("user_id").cast("string"), F.lit("}")))
+    payload = payload.when(k == 3, F.substr(props, F.lit(1), F.length(props) - 1)).when(k == 4, F.concat(F.lit("["), props, F.lit(", ["), props, F.lit("]]"))).otherwise(props)
+    return table(spark, d, "events").select("event_id", payload.alias("payload"))
+
+
+@query(f"""
+WITH p AS (SELECT event_id, CASE WHEN json_valid(payload) THEN payload END AS p FROM ({_PAYLOADS}))
+SELECT event_id, coalesce(json_extract_string(p, '$.k'), json_extract_string(p, '$.key'), json_extract_string(p, '$.data.items[0].k'), json_extract_string(p, '$[0].k'))::BIGINT AS k FROM p
+""")
+def aliased_fields(spark, d):
+    """PA1-PA4, PA11: a field by the names and places that it goes by, in payloads of five shapes, one of them malformed."""
+    v = _payloads(spark, d).select("event_id", variants.parsed("payload").alias("v"))
+    return v.select("event_id", variants.first_of("v", "$.k", "$.key", "$.data.items[0].k", "$[0].k", kind="bigint").alias("k"))
+
+
+@query(f"""
+WITH RECURSIVE p AS (SELECT event_id, payload::JSON AS v FROM ({_PAYLOADS}) WHERE json_valid(payload)),
+w AS (
+  SELECT event_id, '$' AS path, '' AS name, v FROM p
+  UNION ALL
+  SELECT event_id, c.path, c.name, c.v FROM (
+    SELECT event_id, unnest(CASE json_type(v) WHEN 'OBJECT' THEN list_transform(json_keys(v), lambda k: {{path: path || '.' || k, name: k, v: json_extract(v, '$.' || k)}})
+      WHEN 'ARRAY' THEN list_transform(range(json_array_length(v)::BIGINT), lambda i: {{path: path || '[' || i || ']', name: name, v: json_extract(v, '$[' || i || ']')}}) END) AS c FROM w WHERE json_type(v) IN ('OBJECT', 'ARRAY'))
+)
+SELECT event_id, path, json_extract_string(v, '$') AS value FROM w WHERE json_type(v) NOT IN ('OBJECT', 'ARRAY', 'NULL') AND name IN ('k', 'key')
+""")
+def named_values(spark, d):
+    """PA10: a nested walk for the values of some names, wherever they stand."""
+    return variants.named(_payloads(spark, d), "payload", ["event_id"], ("k", "key"))

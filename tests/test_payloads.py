@@ -88,3 +88,25 @@ def test_nested_payload_and_pagers():
     assert html_parsers.codes("<a href='?code=b'>x</a><a href='?x=1&code=a'>y</a><a href='?code=b'>z</a>") == [{"code": "b"}, {"code": "a"}]
     assert html_parsers.to_markdown("<h2>T</h2><p>a <a href='/b'>b</a></p><script>x</script><ul><li>c</ul>") == "## T\n\na [b](/b)\n\n- c"
     assert len(html_parsers.to_markdown("<p>" + "x" * 500 + "</p>", most=100)) < 120
+
+
+def test_leaves_of_any_shape(spark):
+    from rosterweave.functions import variants
+
+    def plain(v, path="$", name=""):
+        if isinstance(v, dict):
+            return [x for k, w in v.items() for x in plain(w, f"{path}.{k}", k)]
+        if isinstance(v, list):
+            return [x for i, w in enumerate(v) for x in plain(w, f"{path}[{i}]", name)]
+        return [] if v is None else [(path, name, {True: "true", False: "false"}.get(v, str(v)) if isinstance(v, bool) else str(v))]
+
+    shapes = [{"a": 1, "b": {"c": ["x", None, {"d": True}], "e": {}}, "f": []}, [1, [2, ["three"]]], "text", 5, None, {}, {"name": "Ünï", "deep": {"x": {"y": {"z": [[["end"]]]}}}}]
+    df = spark.createDataFrame([(i, json.dumps(s)) for i, s in enumerate(shapes)] + [(90, "{not json"), (91, None), (92, "")], "id int, p string")
+    want = sorted((i, *x) for i, s in enumerate(shapes) for x in plain(s))
+    assert sorted(map(tuple, variants.leaves(df, "p", ["id"]).collect())) == want
+    assert sorted(r["path"] for r in variants.leaves(df, "p", ["id"], depth=1).filter("id = 0").collect()) == ["$.a"]
+    assert [tuple(r) for r in variants.named(df, "p", ["id"], ("d", "name")).orderBy("id").collect()] == [(0, "$.b.c[2].d", "true"), (6, "$.name", "Ünï")]
+    v = df.select("id", variants.first_of(variants.parsed("p"), "$.zzz", "$.b.c[0]", "$.name").alias("x"), variants.first_of(variants.parsed("p"), "$.name", "$.a", kind="int").alias("n"))
+    assert {r["id"]: (r["x"], r["n"]) for r in v.filter("x is not null or n is not null").collect()} == {0: ("x", 1), 6: ("Ünï", None)}
+    plan = variants.leaves(df, "p", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan
