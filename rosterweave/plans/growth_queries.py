@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rosterweave.functions import emails, lists, names, urls, variants
+from rosterweave.functions import emails, keywords, lists, names, urls, variants
 from rosterweave.functions.text import squeeze, tokens_supported
 from rosterweave.operators import ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
@@ -210,3 +210,14 @@ SELECT event_id, path, json_extract_string(v, '$') AS value FROM w WHERE json_ty
 def named_values(spark, d):
     """PA10: a nested walk for the values of some names, wherever they stand."""
     return variants.named(_payloads(spark, d), "payload", ["event_id"], ("k", "key"))
+
+
+@query("""
+WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM benchmark), p AS (SELECT lower(html) AS t FROM pages)
+SELECT word, count(*) AS rows FROM w JOIN p ON contains(t, word) GROUP BY word
+""")
+def page_keywords(spark, d):
+    """UR9: all words of the benchmark texts, looked for in all pages at once."""
+    words = table(spark, d, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0))).alias("word"))
+    pages = table(spark, d, "pages").select("page_id", F.lower("html").alias("t"))
+    return keywords.word_counts(keywords.found_words(pages, "t", ["page_id"], words)).select("word", "rows")

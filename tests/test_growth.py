@@ -13,7 +13,7 @@ import pytest
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
-from rosterweave.functions import html_parsers
+from rosterweave.functions import html_parsers, keywords
 from rosterweave.operators import closure, limits, ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
 from rosterweave.operators.upsert import fold
@@ -360,3 +360,30 @@ def test_databases_in_place(spark, tmp_path):
             db.executemany("INSERT INTO companies VALUES (?, ?)", [(k, f"c{n}{k}") for k in range(30)])
     held, placed = (sorted((r["file"].split("/")[-1], r["seq"], r["company_name"]) for r in readers.sqlite_files(spark, str(tmp_path / "*.db"), "companies", ["company_name", "emails"], mounted=m).collect()) for m in (False, True))
     assert held == placed and len(placed) == 60
+
+
+# ---- many words
+
+
+@pytest.mark.parametrize("block", [7, 10**6])
+def test_many_words_at_once(spark, block):
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 5))) for _ in range(60)})
+    texts = [(k, "".join(rnd.choice("abcd ") for _ in range(rnd.randrange(80)))) for k in range(40)] + [(90, None), (91, ""), (None, "abcabc")]
+    df, w = spark.createDataFrame(texts, "id int, t string"), spark.createDataFrame([(x,) for x in [*words, *words[:3], None, ""]], "word string")
+    got = keywords.found_words(df, "t", ["id"], w, block=block)
+    want = [(i, x, n) for i, t in texts for x in words if (n := sum((t or "").startswith(x, k) for k in range(len(t or ""))))]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    counts = {r["word"]: (r["rows"], r["n"]) for r in keywords.word_counts(got, keywords.word_counts(got)).collect()}
+    assert counts[words[0]] == (2 * sum(x == words[0] for _, x, _ in want), 2 * sum(n for _, x, n in want if x == words[0]))
+    none = {r["id"] for r in keywords.holding_none(df, "t", ["id"], spark.createDataFrame([("ab",), ("cc",)], "word string")).collect()}
+    assert none == {i for i, t in texts if not any(x in (t or "") for x in ("ab", "cc"))}
+    assert keywords.found_words(df, "t", ["id"], w.limit(0)).collect() == []
+
+
+def test_ten_thousand_words_in_one_pass(spark):
+    words = spark.range(10_000).select(F.concat(F.lit("w"), F.lpad(F.col("id").cast("string"), 5, "0"), F.lit("e")).alias("word"))
+    df = spark.range(200).select("id", F.concat(F.lit("x w"), F.lpad((F.col("id") * 7).cast("string"), 5, "0"), F.lit("e w00000e")).alias("t"))
+    got = keywords.found_words(df, "t", ["id"], words)
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert got.count() == 2 * 200 - 1 and keywords.word_counts(got).filter("word = 'w00000e'").first()["rows"] == 200
