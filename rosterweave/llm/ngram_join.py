@@ -43,6 +43,7 @@ from rosterweave.shipping import ship
 
 SHINGLE, OF = 3, 90
 WEAK, PICKS, TASK_TOKENS = 3, 2, 1_000_000
+TEXTS = 1000  # texts whose sets are made at once
 #: Weight of a long list's probe against a merge step, in DivideSkip's L = T / (MU * log2(longest) + 1): probes are made many at once and cost little beside a step of the heap.
 MU = 0.0005
 _PROBED_AT_ONCE = 8  # long lists, after which candidates that can no longer reach their overlap go
@@ -210,7 +211,7 @@ def sets_of(docs: DataFrame, n: int = SHINGLE, of: int = OF, with_sets: bool = F
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(of)
-        for batch in batches:
+        for batch in (whole.slice(start, TEXTS) for whole in batches for start in range(0, whole.num_rows, TEXTS)):
             found = [shingle_set(batch.column(1)[i].as_py(), n) for i in range(batch.num_rows)]
             keys = pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in found], pa.string())
             sizes = pa.array([len(s) for s in found], pa.int64())
