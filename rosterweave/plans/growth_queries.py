@@ -9,7 +9,9 @@ from rosterweave.functions.text import squeeze, tokens_supported
 from rosterweave.operators import ranking, similarity
 from rosterweave.operators.snapshot import Snapshot
 from rosterweave.plans.queries import _EMAILS, _HOST_SQL, DAY_TWO, query, table
+from rosterweave.sources import readers
 from rosterweave.sources.key_index import KeyIndex
+from rosterweave.sources.readers import PAGE_CUT
 from rosterweave.sources.scratch import shared_folder
 
 _NAME = "regexp_replace(lower({0}), '[^0-9a-z]+', '', 'g')"
@@ -221,3 +223,12 @@ def page_keywords(spark, d):
     words = table(spark, d, "benchmark").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0))).alias("word"))
     pages = table(spark, d, "pages").select("page_id", F.lower("html").alias("t"))
     return keywords.word_counts(keywords.found_words(pages, "t", ["page_id"], words)).select("word", "rows")
+
+
+@query(f"""
+SELECT page_id, trim(url) AS url, CASE WHEN length(html) <= 4000 THEN html ELSE substr(html, 1, 2000) || '{PAGE_CUT}' || right(html, 2000) END AS html
+FROM pages WHERE trim(url) <> '' AND trim(html) <> '' AND NOT regexp_matches(lower(regexp_extract(trim(url), '^[^?#]*')), '({_ENDS})$')
+""")
+def bundled_pages(spark, d):
+    """UR15: pages with the middle of long ones cut out."""
+    return readers.page_bundle(table(spark, d, "pages"), 4000).select("page_id", "url", "html")

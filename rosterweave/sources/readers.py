@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterweave.functions import names
-from rosterweave.functions.text import filled, text, trim
+from rosterweave.functions.text import filled, middle_cut, text, trim
 from rosterweave.operators.closure import reached
 from rosterweave.operators.delta import union_in_order
 
@@ -193,6 +193,18 @@ def landed_pages(spark: SparkSession, path: str, content_type: str | None = None
     return df.filter(fine)
 
 
+#: The most letters of a page, and what stands where its middle was.
+PAGE_CHARS, PAGE_CUT = 250_000, "\n<!-- 页面内容过长已截断 -->\n"
+
+
+def page_bundle(pages: DataFrame, most: int | None = PAGE_CHARS, url: str = "url", html: str = "html") -> DataFrame:
+    """UR15: pages for an extraction: addresses trimmed, pages without address or content and files that are no pages left out, the middle of what is longer than `most` cut out (None: nothing is cut)."""
+    from rosterweave.functions import urls
+
+    kept = pages.withColumn(url, trim(url)).filter((F.col(url) != "") & ~urls.is_asset(url) & filled(html))
+    return kept.withColumn(html, text(html) if most is None else middle_cut(html, most, PAGE_CUT))
+
+
 def sitemap_urls(files: DataFrame, start: str, limit: int = 200, depth: int = 3, url: str = "url", body: str = "body") -> DataFrame:
     """SC14: page addresses of a site from landed robots and sitemap files, following sitemaps of sitemaps `depth` levels down (a recursive table, so any depth is one plan; bodies that are gzip go through `decode.unpacked` first); own host only, no files, `limit` of them."""
     from rosterweave.functions import urls

@@ -226,3 +226,50 @@ def test_fallback_and_seeds(dealt):
     got = queues.with_fallback(dealt([("1", "a"), ("2", "b")], "id string, name string"), dealt([("1", "A!"), ("3", "c")], "id string, name string"), "id", ["name"])
     assert rows(got, "id", "name", "from_detail") == [("1", "A!", True), ("2", "b", False)]
     assert queues.next_seed(dealt([(1, "done"), (2, "working"), (3, "open"), (4, "open")], "pos int, status string")).first()["pos"] == 3
+
+
+def test_directory_pages_give_the_sites_own_addresses_alone(spark):
+    """AG11."""
+    from rosterweave.operators import dedup
+
+    many = [f"p{k}@firm{k % 6}.dk" for k in range(9)]
+    pages = spark.createDataFrame([("a", "https://a.dk", 2, ["x@a.dk", "y@b.dk"]), ("a", "https://a.dk", 1, ["info@a.dk", "x@a.dk"]), ("a", "https://a.dk", 3, many), ("b", "https://b.dk", 1, None)], "site string, website string, n int, found array<string>")
+    got = {r["site"]: r["emails"] for r in dedup.page_emails(pages, "site", "website", "found", "n").collect()}
+    assert got["a"][:2] == ["info@a.dk", "x@a.dk"] and set(got["a"]) == {"info@a.dk", "x@a.dk", "y@b.dk"} and got["b"] == []
+
+
+def test_full_replace_and_rejects(spark, tmp_path):
+    """UP11, UP9."""
+    from rosterweave.operators import upsert
+
+    path = str(tmp_path / "t")
+    for rows in ([(1, "a"), (2, "b")], [(3, "c")]):
+        upsert.replaced(spark.createDataFrame(rows, "k int, v string"), path)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(3, "c")]
+    there, new = spark.createDataFrame([("n|1", "Acme", "Road")], "key string, name string, address string"), spark.createDataFrame([("n|1", "Acme", "Road"), ("a|x", "Acme", "Road"), ("a|y", "Other", "Road"), (None, "Acme", "Road")], "key string, name string, address string")
+    assert [r["key"] for r in upsert.dual_key_rejects(new, there, "key", ["name", "address"]).collect()] == ["a|x"]
+
+
+def test_predicate_hook_and_slots_of_hosts(spark):
+    """UX1, TK10."""
+    from rosterweave.operators import gates, ranking
+
+    df = spark.createDataFrame([("a", 1, False), ("test", 1, False), ("test", 1, True), ("b", None, False)], "name string, n int, free boolean")
+    keep = lambda **options: [(r["name"], r["free"]) for r in gates.qualified(df, F.col("n").isNotNull(), **options).collect()]
+    assert keep() == [("a", False), ("test", False), ("test", True)] and keep(suspicious=lambda: F.col("name") == "test") == [("a", False)]
+    assert keep(suspicious=lambda: F.col("name") == "test", exempt=F.col("free")) == [("a", False), ("test", True)]
+    slots = [r["s"] for r in spark.createDataFrame([("A.dk",), ("a.dk",), ("b.dk",), ("c.dk",)], "h string").select(ranking.slot_of(F.col("h"), 4).alias("s")).collect()]
+    assert slots[0] == slots[1] and all(0 <= s < 4 for s in slots)
+
+
+def test_page_bundles(spark, tmp_path):
+    """UR15, SC15."""
+    from rosterweave.sources import readers
+
+    rows = [(1, " https://a.dk/x ", "y" * 30, "text/html"), (2, "", "<p>", None), (3, "https://a.dk/f.pdf", "<p>", "application/pdf"), (4, "https://a.dk/e", " \n", "text/html"), (5, "https://a.dk/s", "short", None), (6, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, kind string")
+    got = {r["page_id"]: (r["url"], r["html"]) for r in readers.page_bundle(df, 10).collect()}
+    assert got == {1: ("https://a.dk/x", "y" * 5 + readers.PAGE_CUT + "y" * 5), 5: ("https://a.dk/s", "short")}
+    assert {r["page_id"]: len(r["html"]) for r in readers.page_bundle(df, None).collect()} == {1: 30, 5: 5}
+    df.write.parquet(str(tmp_path / "pages"))
+    assert {r["page_id"] for r in readers.landed_pages(spark, str(tmp_path / "pages"), "kind").collect()} == {1, 5}
