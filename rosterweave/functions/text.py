@@ -92,10 +92,13 @@ def unescape(c: C) -> Column:
     return F.when(F.contains(t, F.lit("&")), _unescape(F.when(F.contains(t, F.lit("&")), t))).otherwise(t)
 
 
-def unescape_common(c: C) -> Column:
-    """The five commonest entities decoded without leaving the JVM. For use inside array functions."""
+COMMON_ENTITIES = {"&nbsp;": " ", "&#39;": "'", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
+def unescape_common(c: C, entities: dict[str, str] = COMMON_ENTITIES) -> Column:
+    """The commonest entities, or those given, decoded where they are whole, without leaving the JVM. &amp; comes last. For use inside array functions."""
     out = text(c)
-    for entity, char in (("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    for entity, char in entities.items():
         out = F.replace(out, F.lit(entity), F.lit(char))
     return out
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from rosterweave.functions import lists
 from rosterweave.functions.emails import registrable
-from rosterweave.functions.text import C, alternation, any_of, col, middle_cut, text, trim, unescape
+from rosterweave.functions.text import C, alternation, any_of, col, middle_cut, text, trim, unescape, unescape_common
 
 __all__ = ["registrable", "middle_cut"]
 
@@ -125,13 +125,13 @@ def keywords(url: C) -> Column:
     return F.array_distinct(F.filter(parts, lambda s: F.length(s) >= 4))
 
 
-def to_lines(html: C) -> Column:
-    """UR10: a page's text by lines: blocks end a line, other tags are a space."""
-    t = unescape(html)
+def to_lines(html: C, entities: dict[str, str] | None = None, space: str = r"(?U)\s+") -> Column:
+    """UR10: a page's text by lines: blocks end a line, other tags are a space. Decodes every entity as HTML does, unclosed ones like &amp too; with entities, those alone."""
+    t = unescape(html) if entities is None else unescape_common(html, entities)
     t = F.regexp_replace(t, r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<template\b.*?</template>", " ")
     t = F.regexp_replace(t, r"(?i)<br\s*/?>|</(?:p|div|li|tr|td|th|dt|dd|h[1-6]|section|article|table|ul|ol)>", "\n")
     t = F.regexp_replace(t, r"<[^>]*>", " ")
-    lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
+    lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, space, " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
