@@ -49,11 +49,15 @@ def _stem(key: Column) -> Column:
     return out
 
 
-def is_placeholder(email: C) -> Column:
-    """EM3: whether the local part or the domain is made up."""
+#: EM3's runs of a letter or of zeros that nobody's address holds.
+RUNS = "x{4,}|0{4,}"
+
+
+def is_placeholder(email: C, runs: str = RUNS) -> Column:
+    """EM3: whether the local part or the domain is made up. runs: what speaks against a key wherever it stands in it; addresses that are numbered (sales10000@...) leave zeros out."""
     e = F.lower(trim(email))
     key = ascii_key(_local(e))
-    local = (key == "") | key.isin(*lists.PLACEHOLDER_LOCALS) | _stem(key) | key.rlike("^a{3,}$|^0{3,}$|x{4,}|0{4,}")
+    local = (key == "") | key.isin(*lists.PLACEHOLDER_LOCALS) | _stem(key) | key.rlike(f"^a{{3,}}$|^0{{3,}}$|{runs}")
     part = lambda p: p.isin(*lists.PLACEHOLDER_LOCALS) | _stem(ascii_key(p)) | p.rlike("^x{2,}$|^a{3,}$")
     local = local | F.exists(F.filter(F.split(_local(e), r"[._%+\-]+"), lambda p: p != ""), part)
     labels = F.filter(F.split(_domain(e), r"\."), lambda x: x != "")
@@ -65,17 +69,17 @@ def is_placeholder(email: C) -> Column:
         words = F.lit(False)
         for w in lists.PLACEHOLDER_DOMAINS:
             words = words | F.startswith(k, F.lit(w)) | F.endswith(k, F.lit(w))
-        return (k == "") | words | k.rlike("x{4,}|0{4,}|^x{2,}$|^a{3,}$|^0{2,}$")
+        return (k == "") | words | k.rlike(f"{runs}|^x{{2,}}$|^a{{3,}}$|^0{{2,}}$")
 
     domain = (F.size(labels) < 2) | (F.size(core) == 0) | F.exists(core, label)
     return ~F.contains(e, F.lit("@")) | local | domain
 
 
 def split(values: C, **options) -> Column:
-    """EM2: the clean addresses of text with ; or , between, in order, each once, without placeholders."""
-    strict = options.pop("placeholders", True)
+    """EM2: the clean addresses of text with ; or , between, in order, each once, without placeholders (placeholders=False keeps them; runs: see `is_placeholder`)."""
+    strict, runs = options.pop("placeholders", True), options.pop("runs", RUNS)
     found = F.transform(F.split(text(values), "[;,]"), lambda v: normalize(v, **options))
-    found = F.array_distinct(F.filter(found, lambda e: (e != "") & ~is_placeholder(e) if strict else e != ""))
+    found = F.array_distinct(F.filter(found, lambda e: (e != "") & ~is_placeholder(e, runs) if strict else e != ""))
     return without_prefixed(found)
 
 

@@ -28,3 +28,8 @@ def test_html_to_text_leaves_unclosed_entities(agrees):
     pages = ["<h1>Tea &amp; cake &amp</h1><p>&quot;a&quot b &copy 1 &copy; 2 &middot;</p>", "<p>&amp;quot; &am</p><td>x\u2009y\u00a0 z\u3000</td>", None, "", "<p>&amp;amp;copy;&lt;b&gt;</p>"]
     got = dict(agrees("html_to_text", pages=(list(enumerate(pages)), "page_id long, html string")))
     assert got[0] == 'Tea & cake &amp\n"a&quot b &copy 1 © 2 ·' and got[2] is None and got[3] == ""
+
+
+def test_split_addresses_keeps_numbers_with_zeros(agrees):
+    got = dict(agrees("split_addresses", supplier=([(k,) for k in (0, 1, 2, 3, 10000, 20000, 50001, 100000, 100001, 100002, 100003, 1000000)], "s_suppkey long")))
+    assert got[10000] == "sales10000@firm.dk" and got[100001] == "info@firm100001.dk" and got[100002] == ""
