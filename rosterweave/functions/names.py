@@ -171,7 +171,12 @@ def match_tokens(value: C) -> Column:
 
 def name_score(query: C, candidate: C) -> Column:
     """NA8: 100 equal, 70 one in the other, 45 the first four letters in it, else 0."""
-    q, c = match_name(query), match_name(candidate)
+    return folded_score(match_name(query), match_name(candidate))
+
+
+def folded_score(query: C, candidate: C) -> Column:
+    """NA8 of names that `match_name` has folded."""
+    q, c = col(query), col(candidate)
     return F.when((q == "") | (c == ""), 0).when(q == c, 100).when(F.contains(c, q) | F.contains(q, c), 70).when(F.contains(c, F.substring(q, 1, 4)), 45).otherwise(0)
 
 

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from rosterweave.operators import similarity
 from rosterweave.plans import growth_queries, more_queries, queries, rule_queries  # noqa: F401
 from tests.test_queries import rows_of
 
@@ -33,3 +34,17 @@ def test_html_to_text_leaves_unclosed_entities(agrees):
 def test_split_addresses_keeps_numbers_with_zeros(agrees):
     got = dict(agrees("split_addresses", supplier=([(k,) for k in (0, 1, 2, 3, 10000, 20000, 50001, 100000, 100001, 100002, 100003, 1000000)], "s_suppkey long")))
     assert got[10000] == "sales10000@firm.dk" and got[100001] == "info@firm100001.dk" and got[100002] == ""
+
+
+def test_similar_names_meet_few_others(spark, monkeypatch):
+    """Numbered names have a thousand grams between them: under pairs of frequent ones, a name meets fewer than 80 of 40,000, similar ones more than once."""
+    made, landed = {}, similarity.landed
+    monkeypatch.setattr(similarity, "landed", lambda df, path: made.setdefault(path.rsplit("/", 1)[-1], landed(df, path)))
+    met = []
+    for n in (10_000, 40_000):
+        made.clear()
+        known = spark.range(n).selectExpr("concat('customer', lpad(id * 7919 % 1000000, 9, '0')) AS name")
+        found = similarity.similar_names(known.limit(500), known, "name", "name", 85)
+        assert found.filter("left_key = right_key AND shared = grams").count() == 500
+        met.append(made["left-keys"].join(made["right-keys"].select("key"), "key").count() / 500)
+    assert met[1] < n / 500 and met[1] < 4.5 * met[0]
