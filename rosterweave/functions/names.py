@@ -180,26 +180,33 @@ def folded_score(query: C, candidate: C) -> Column:
     return F.when((q == "") | (c == ""), 0).when(q == c, 100).when(F.contains(c, q) | F.contains(q, c), 70).when(F.contains(c, F.substring(q, 1, 4)), 45).otherwise(0)
 
 
-def domain_score(query: C, website: C) -> Column:
+def folded(value: C) -> Column:
+    """match_name and match_tokens of a name, to be made once where the name stands in many pairs."""
+    return F.struct(match_name(value).alias("name"), match_tokens(value).alias("tokens"))
+
+
+def domain_score(query: C, website: C, fold: C | None = None) -> Column:
     """NA9: 100 the host's first label is the name, 80 one begins with the other, else the best of the name's tokens: 95 label, 80 in the host."""
     h = urls.host(website)
-    label, q = F.substring_index(h, ".", 1), match_name(query)
-    tokens = F.filter(match_tokens(query), lambda t: F.char_length(t) >= 4)
+    query_name, query_tokens = (match_name(query), match_tokens(query)) if fold is None else (col(fold)["name"], col(fold)["tokens"])
+    label, q = F.substring_index(h, ".", 1), query_name
+    tokens = F.filter(query_tokens, lambda t: F.char_length(t) >= 4)
     best = F.when(F.array_contains(tokens, label), 95).when(F.exists(tokens, lambda t: F.contains(h, t)), 80).otherwise(0)
     return F.when(h == "", 0).when((q != "") & (q == label), 100).when((q != "") & (F.startswith(q, label) | F.startswith(label, q)), 80).otherwise(best)
 
 
-def candidate_score(query: C, name: C, website: C, phone: C) -> Column:
-    """NA10: the better of name and domain, less what speaks for another country or for an echo of the query."""
-    domain = domain_score(query, website)
+def candidate_score(query: C, name: C, website: C, phone: C, folds: tuple[C, C] | None = None) -> Column:
+    """NA10: the better of name and domain, less what speaks for another country or for an echo of the query. folds: `folded` of query and name, if made before."""
+    domain = domain_score(query, website, folds and folds[0])
     h, low = urls.host(website), F.lower(text(website))
     foreign_tld = any_of(h, lists.FOREIGN_TLDS, F.endswith)
     foreign_url = any_of(low, lists.FOREIGN_URL_PARTS)
     foreign_phone = any_of(text(phone), lists.FOREIGN_PHONES, F.startswith)
-    q, c = match_tokens(query), match_tokens(name)
+    q, c = (match_tokens(query), match_tokens(name)) if folds is None else (col(f)["tokens"] for f in folds)
+    by_name = name_score(query, name) if folds is None else folded_score(*(col(f)["name"] for f in folds))
     echo = (F.size(q) > 0) & (F.size(c) > F.size(q) + 1) & (F.slice(c, 1, F.greatest(F.size(q), F.lit(1))) == q) & (domain < 80)
     return (
-        F.greatest(name_score(query, name), domain) - F.when(foreign_tld, 60).otherwise(0) - F.when(foreign_url, 40).otherwise(0)
+        F.greatest(by_name, domain) - F.when(foreign_tld, 60).otherwise(0) - F.when(foreign_url, 40).otherwise(0)
         - F.when(foreign_phone, F.when(domain < 80, 60).otherwise(40)).otherwise(0) - F.when(echo, 45).otherwise(0)
     )
 

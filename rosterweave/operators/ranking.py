@@ -42,9 +42,9 @@ def claim_with_flag(queue: DataFrame, k: int = 1, exists: str = "exists", rep: s
     return queue.filter("status = 'pending'").orderBy(exists, is_blank(rep), "updated_at", "id").limit(k)
 
 
-def best_candidate(candidates: DataFrame, key: str, query: str, name: str = "name", website: str = "website", phone: str = "phone", pos: str = "pos", least: int = 45) -> DataFrame:
-    """TK5: each query's best candidate, of equals the earlier, if it scores enough."""
-    scored = candidates.withColumn("score", names.candidate_score(query, name, website, phone)).filter(F.col("score") >= least)
+def best_candidate(candidates: DataFrame, key: str, query: str, name: str = "name", website: str = "website", phone: str = "phone", pos: str = "pos", least: int = 45, folds: tuple[str, str] | None = None) -> DataFrame:
+    """TK5: each query's best candidate, of equals the earlier, if it scores enough. folds: columns with `names.folded` of query and name, where these were made once for each name before names met; they are dropped."""
+    scored = candidates.withColumn("score", names.candidate_score(query, name, website, phone, folds)).filter(F.col("score") >= least).drop(*folds or ())
     return scored.groupBy(key).agg(F.min_by(F.struct(*[c for c in scored.columns if c != key]), F.struct(-F.col("score"), F.col(pos))).alias("r")).select(key, "r.*")
 
 

@@ -199,8 +199,8 @@ def drained_queues(spark, d):
 
 @query(f"SELECT s_suppkey, c_custkey, score FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY score DESC, c_custkey) AS r FROM (SELECT s_suppkey, c_custkey, {_SCORE} AS score FROM {_SEARCHES}) WHERE score >= 45) WHERE r = 1")
 def best_candidates(spark, d):
-    c = _searches(spark, d).select("s_suppkey", "q", F.col("c_name").alias("name"), F.lit("").alias("website"), F.lit("").alias("phone"), F.col("c_custkey").alias("pos"), "c_custkey")
-    return ranking.best_candidate(c, "s_suppkey", "q").select("s_suppkey", "c_custkey", "score")
+    c = _searches(spark, d).select("s_suppkey", "q", F.col("c_name").alias("name"), F.lit("").alias("website"), F.lit("").alias("phone"), F.col("c_custkey").alias("pos"), "c_custkey", "q_folded", "c_folded")
+    return ranking.best_candidate(c, "s_suppkey", "q", folds=("q_folded", "c_folded")).select("s_suppkey", "c_custkey", "score")
 
 
 _TITLES = {"BUILDING": ("Chief Executive Officer", 300), "MACHINERY": ("Finance Manager", 200), "AUTOMOBILE": ("Chief Accountant", 250), "HOUSEHOLD": ("Assistant to CEO", 0), "FURNITURE": ("Cook", 0)}

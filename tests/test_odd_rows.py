@@ -5,6 +5,7 @@ import pytest
 
 from rosterweave.operators import similarity
 from rosterweave.plans import growth_queries, more_queries, queries, rule_queries  # noqa: F401
+from tests.conftest import SF
 from tests.test_queries import rows_of
 
 
@@ -48,3 +49,12 @@ def test_similar_names_meet_few_others(spark, monkeypatch):
         assert found.filter("left_key = right_key AND shared = grams").count() == 500
         met.append(made["left-keys"].join(made["right-keys"].select("key"), "key").count() / 500)
     assert met[1] < n / 500 and met[1] < 4.5 * met[0]
+
+
+def test_best_candidates_fold_names_before_they_meet(spark):
+    """Names are folded in the scans of supplier and customer, not in what their joins give."""
+    for name in ("best_candidates", "name_match_score"):
+        plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        last = max(i for i, line in enumerate(plan) if "Join" in line.split("(")[0] and "s_suppkey" in line or "c_custkey" in line and "Join" in line)
+        first = min(i for i, line in enumerate(plan) if "Join" in line)
+        assert last >= first and not any("regexp_replace" in line for line in plan[: first + 1]), name
