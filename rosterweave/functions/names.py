@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterweave.functions import emails, lists, urls
-from rosterweave.functions.text import C, alnum_key, any_of, ascii_key, col, distinct_filled, filled, first_filled, squeeze, text, trim, unescape, unescape_common, without_invisible
+from rosterweave.functions.text import C, alnum_key, any_of, ascii_key, bound, col, distinct_filled, filled, first_filled, squeeze, text, trim, unescape, unescape_common, without_invisible
 
 _SIDES = r"^[ \t\r\n|/;,:：]+|[ \t\r\n|/;,:：]+$"
 _MATCHED = "[^0-9a-z가-힣\\x{4e00}-\\x{9fff}\\x{3040}-\\x{309f}\\x{30a0}-\\x{30ff}]+"
@@ -92,7 +92,10 @@ def person(value: C, company: C = None, decode: bool = True) -> Column:
     t = strip(F.regexp_replace(t, lists.PERSON_PREFIX, ""))
     t = strip(F.regexp_replace(t, rf"(?i)\b(?:{lists.PERSON_ROLES})$", ""))
     t = strip(F.regexp_replace(t, rf"(?i)\s+\b(?:{lists.PERSON_INLINE_ROLES})\b.*$", ""))
-    low = F.lower(t)
+    return bound(t, lambda t: bound(F.lower(t), lambda low: _checked_person(t, low, company)))
+
+
+def _checked_person(t: Column, low: Column, company: C | None) -> Column:
     rep_key = lambda c: F.regexp_replace(F.lower(text(c)), "[^a-z0-9\\x{0600}-\\x{06FF}]+", "")
     latin = lambda x: F.regexp_replace(x, "[^A-Za-z]", "")
     gibberish = F.exists(F.split(t, r"\s+"), lambda w: (F.length(latin(w)) >= 5) & ~latin(w).rlike("[aeiouAEIOU]"))
@@ -119,8 +122,8 @@ def merge_persons(first: C, second: C, company: C = None) -> Column:
     """NA5: names of both, split at ;, each once by letters, joined by ;."""
     parts = F.concat(F.split(unescape_common(first), ";"), F.split(unescape_common(second), ";"))
     named = F.filter(F.transform(parts, lambda p: person(p, company, decode=False)), lambda p: p != "")
-    keys = F.transform(named, ascii_key)
-    return F.array_join(F.filter(named, lambda p, i: F.array_position(keys, ascii_key(p)) == i + 1), ";")
+    first_of = lambda named, keys: F.filter(named, lambda p, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    return F.array_join(bound(named, lambda named: bound(F.transform(named, ascii_key), lambda keys: first_of(named, keys))), ";")
 
 
 def looks_like_person(value: C, hints=lists.COMPANY_HINTS) -> Column:

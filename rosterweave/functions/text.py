@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -20,6 +21,11 @@ def col(c: C) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(c: C, use: Callable[[Column], Column]) -> Column:
+    """use(c), with c evaluated once however often use names it (inside array functions Spark evaluates each mention anew)."""
+    return F.element_at(F.transform(F.array(col(c)), use), 1)
+
+
 def text(c: C) -> Column:
     """The value as a string, '' for null."""
     return F.coalesce(col(c).cast("string"), F.lit(""))

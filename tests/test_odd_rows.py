@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from rosterweave.functions import names
 from rosterweave.operators import similarity
 from rosterweave.plans import growth_queries, more_queries, queries, rule_queries  # noqa: F401
 from tests.conftest import SF
@@ -58,3 +59,10 @@ def test_best_candidates_fold_names_before_they_meet(spark):
         last = max(i for i, line in enumerate(plan) if "Join" in line.split("(")[0] and "s_suppkey" in line or "c_custkey" in line and "Join" in line)
         first = min(i for i, line in enumerate(plan) if "Join" in line)
         assert last >= first and not any("regexp_replace" in line for line in plan[: first + 1]), name
+
+
+def test_persons_are_cleaned_once(spark, one):
+    """A person's expression names its text a dozen times; each step of it stands in the plan a few times, not 1,596 regular expressions in all."""
+    plan = spark.createDataFrame([("John Smith", "JOHN SMITH;Anna Berg")], "a string, b string").select(names.merge_persons("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 30
+    assert one(names.merge_persons("a", "b"), a="John Smith; ", b="JOHN SMITH;Anna Berg;john  smith") == "John Smith;Anna Berg" and one(names.merge_persons("a", "b"), a=None, b=None) == ""
