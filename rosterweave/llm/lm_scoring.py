@@ -26,12 +26,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ _OFFSETS = (-2, -1, 1, 2)
 ROUNDS, PART, BATCH, RATE = 4, 2_000_000, 8192, 0.2
 HELD = 200_000  # words whose counts every task holds; the counts of all others are joined
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_BLOCK, _CACHE, _CHUNK = 16_384, 300_000, 4096
+_BLOCK, _CACHE, _CHUNK, _SLICE = 16_384, 300_000, 4096, 8_000_000
 
 
 def raw_words(text: str | None) -> list[bytes]:
@@ -63,6 +65,51 @@ def class_of(bare: bytes) -> int:
     return zlib.crc32(bare[-2:]) % CLASSES
 
 
+@cache
+def _class_tables() -> tuple[int, np.ndarray, np.ndarray]:
+    """class_of the empty word, of each byte, and of each two bytes."""
+    one = [bytes([a]) for a in range(256)]
+    return class_of(b""), np.array([*map(class_of, one)]), np.array([class_of(a + b) for a in one for b in one])
+
+
+def classes_of(bare: pa.Array) -> np.ndarray:
+    """class_of each word of an array of strings."""
+    none, one, two = _class_tables()
+    ends, letters = _offsets(bare), np.frombuffer(bare.buffers()[2] or b"", np.uint8)
+    size, last = np.diff(ends), ends[1:] - 1
+    found = np.full(len(bare), none)
+    found[size == 1] = one[letters[last[size == 1]]]
+    more = last[size > 1]
+    found[size > 1] = two[letters[more - 1].astype(np.int64) * 256 + letters[more]]
+    return found
+
+
+def _offsets(texts: pa.Array) -> np.ndarray:
+    """Of strings: where each begins in the buffer, and the end."""
+    return np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts have about _SLICE bytes together, so that memory does not depend on the size of batches. A longer text is alone."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64))
+        start = 0
+        while start < len(ends):
+            end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _SLICE, side="right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """What raw_words and bare_word give for each text: how many words it has; all words in order, by number; and what the numbers stand for, each word once."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(texts, ""), pa.scalar(None, pa.string()), texts))
+    raw = lists.flatten().dictionary_encode()
+    bare = pc.ascii_trim(raw.dictionary, characters=_PUNCTUATION.decode()).dictionary_encode()
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return n, bare.indices.to_numpy().take(raw.indices.to_numpy()), bare.dictionary
+
+
 @dataclass
 class Vocabulary:
     words: list[bytes]
@@ -86,60 +133,55 @@ class Vocabulary:
         return math.log((self.distinct[c] + 1) / self.totals[c]) - (len(word) + 1) * math.log(257)
 
 
-class Lookup(dict):
-    """Raw words to numbers of their own, and what is known of each: token, and log P(word | class): 0 for a token of its own, NaN where the table has to say."""
+class Lookup:
+    """What a vocabulary knows of words."""
 
     def __init__(self, vocab: Vocabulary):
-        super().__init__()
-        self.vocab, self.token, self.within, self.bare = vocab, [], [], []
-
-    def __missing__(self, raw: bytes) -> int:
-        bare, v = bare_word(raw), self.vocab
-        token, within = v.known.get(bare), 0.0
-        if token is None:
-            token = 1 + WORDS + class_of(bare)
-            within = v.seen(n, bare) if (n := v.held.get(bare)) else v.unseen(bare) if v.whole else math.nan
-        number = self[raw] = len(self.token)
-        self.token.append(token)
-        self.within.append(within)
-        self.bare.append(bare)
-        return number
-
-    def numbers(self, text: str | None) -> np.ndarray:
-        words = raw_words(text)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-
-    def forget(self) -> None:
-        """Between batches, so that memory stays bounded."""
-        if len(self.token) > _CACHE:
-            self.clear()
-            self.token, self.within, self.bare = [], [], []
+        self.vocab = vocab
+        self.words = pa.array([*vocab.words, *vocab.held], pa.binary()).cast(pa.string())
+        self.seen = np.array([*vocab.counts, *vocab.held.values()], dtype=np.float64)
+
+    def of(self, bare: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens, and log P(word | class): 0 for a token of its own, NaN where the table has to say."""
+        v, at, n_own = self.vocab, pc.fill_null(pc.index_in(bare, self.words), -1).to_numpy(), len(self.vocab.words)
+        own, held, c = (at >= 0) & (at < n_own), at >= n_own, classes_of(bare)
+        within = np.full(len(bare), np.nan)
+        if v.whole:
+            within = np.log((v.distinct[c] + 1) / v.totals[c]) - (np.diff(_offsets(bare)) + 1) * math.log(257)
+        within[own] = 0.0
+        within[held] = np.log(self.seen[at[held]] / v.totals[c[held]])
+        return np.where(own, at + 1, 1 + WORDS + c).astype(np.uint16), within
 
     def tokens(self, texts: list[str | None]) -> list[np.ndarray]:
-        numbers = [self.numbers(t) for t in texts]
-        table = np.array(self.token, dtype=np.uint16)
-        return [table[n] for n in numbers]
+        n, number, bare = split(pa.array(texts, pa.string()))
+        return np.split(self.of(bare)[0].take(number), np.cumsum(n)[:-1])
+
+
+def _counted(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Words and their numbers, each word once."""
+    words = pa.concat_arrays([w for w, _ in parts]).dictionary_encode()
+    n = np.bincount(words.indices.to_numpy(), np.concatenate([n for _, n in parts]), len(words.dictionary))  # sums are whole numbers below 2 ** 53
+    return words.dictionary, n.astype(np.int64)
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[Vocabulary, DataFrame]:
     """The counts of all words of all documents: those that go to the tasks, and the table (word, n) of the others. A task sends a row for each distinct word, again when it has met _CACHE of them."""
     ship(docs.sparkSession)
 
-    def sent(raw: Counter) -> pa.RecordBatch:
-        bare: Counter[bytes] = Counter()
-        for word, n in raw.items():
-            bare[bare_word(word)] += n
-        return pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in bare], pa.string()), pa.array(map(class_of, bare), pa.int32()), pa.array(list(bare.values()), pa.int64())], names=["word", "class", "n"])
+    def sent(words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([words, pa.array(classes_of(words), pa.int32()), pa.array(n)], names=["word", "class", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                raw.update(raw_words(text.as_py()))
-                if len(raw) > _CACHE:
-                    yield sent(raw)
-                    raw = Counter()
-        yield sent(raw)
+        parts: list[tuple[pa.Array, np.ndarray]] = []
+        for batch in slices(batches, 0):
+            _, number, bare = split(batch.column(0))
+            parts.append((bare, np.bincount(number, minlength=len(bare))))
+            if sum(len(w) for w, _ in parts) > 2 * _CACHE:
+                parts = [_counted(parts)]
+                if len(parts[0][0]) > _CACHE:
+                    yield sent(*parts.pop())
+        if parts:
+            yield sent(*_counted(parts))
 
     counts = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
     counts = written(counts, shared_dir(docs.sparkSession), "words")
@@ -198,28 +240,37 @@ class WindowNet:
         return WindowNet(*[v.reshape(p.shape).astype(np.float32) for v, p in zip(np.split(values, ends[:-1]), self.parts(), strict=True)], self.near)
 
     def _hidden(self, rows: list[np.ndarray]) -> np.ndarray:
-        h = self.tables[0][rows[0]]
+        h = self.tables[0].take(rows[0], axis=0)
         for k in range(1, 2 * REACH):
-            h += self.tables[k][rows[k]]
+            h += self.tables[k].take(rows[k], axis=0)
         return np.tanh(h, out=h)
 
+    def _wide(self) -> list[int]:
+        """Groups whose members' scores have to be shifted."""
+        return np.flatnonzero(np.abs(self.member).sum(axis=1).max(axis=1) + np.abs(self.member_bias).max(axis=1) > _SAFE).tolist()
+
+    def _member_scores(self, h: np.ndarray, edges: list[int], wide: list[int], out: np.ndarray) -> None:
+        """Into out. Rows of h are in order of their groups, which begin at edges."""
+        for g, (a, b) in enumerate(pairwise(edges)):
+            if a < b:
+                scores = np.matmul(h[a:b], self.member[g], out=out[a:b])
+                scores += self.member_bias[g]
+        for g in wide:
+            out[edges[g] : edges[g + 1]] -= out[edges[g] : edges[g + 1]].max(axis=1, keepdims=True, initial=-np.inf)
+
     def log_probs(self, padded: np.ndarray) -> np.ndarray:
         """padded: documents with REACH zeros before, between and after them. For each token of theirs, in order, log P(token | its neighbours)."""
-        at, rows = np.flatnonzero(padded), self.near[padded]
+        at, rows, wide = np.flatnonzero(padded), self.near[padded], self._wide()
         out = np.empty(len(at), dtype=np.float32)
         for first in range(0, len(at), _BLOCK):
             here = at[first : first + _BLOCK]
-            own = padded[here].astype(np.int64) - 1
-            order = np.argsort((own // MEMBERS).astype(np.uint8), kind="stable")
-            here, own = here[order], own[order]
-            of, i = own // MEMBERS, np.arange(len(own))
+            order, of, member, edges = _by_group(padded[here].astype(np.int64) - 1)
+            here, i = here[order], np.arange(len(of))
             h = self._hidden([rows[here + o] for o in _OFFSETS])
-            got = _log_share(h, self.group, self.group_bias, i, of)
-            edges = np.searchsorted(of, np.arange(GROUPS + 1))
-            for g in range(GROUPS):
-                a, b = edges[g], edges[g + 1]
-                if a < b:
-                    got[a:b] += _log_share(h[a:b], self.member[g], self.member_bias[g], i[: b - a], own[a:b] - g * MEMBERS)
+            scores = _scores(h, self.group, self.group_bias)
+            got = scores[i, of] - _log_sums(scores)
+            self._member_scores(h, edges, wide, scores)
+            got += scores[i, member] - _log_sums(scores)
             out[first + order] = got
         return out
 
@@ -234,50 +285,64 @@ class WindowNet:
 
     def step(self, near: list[np.ndarray], own: np.ndarray, squares: list[np.ndarray]) -> None:
         """near: the neighbours' rows by place; own: the tokens, from 0."""
-        order = np.argsort((own // MEMBERS).astype(np.uint8), kind="stable")
-        own, near = own[order], [x[order] for x in near]
-        of, i, spread = own // MEMBERS, np.arange(len(own)), np.arange(HIDDEN)
+        order, of, member, edges = _by_group(own)
+        near, i = [x[order] for x in near], np.arange(len(own))
         h = self._hidden(near)
-        p = _shares(h, self.group, self.group_bias)
-        p[i, of] -= 1
+        p = _scores(h, self.group, self.group_bias)
+        _to_slopes(p, i, of, [0, len(own)])
         dh, d_group, d_group_bias = p @ self.group.T, h.T @ p, p.sum(axis=0)
-        edges = np.searchsorted(of, np.arange(GROUPS + 1))
-        for g in range(GROUPS):
-            a, b = edges[g], edges[g + 1]
+        self._member_scores(h, edges, self._wide(), p)
+        _to_slopes(p, i, member, edges)
+        back, d_member, d_member_bias = np.empty_like(h), np.zeros_like(self.member), np.zeros_like(self.member_bias)
+        for g, (a, b) in enumerate(pairwise(edges)):
             if a < b:
-                p = _shares(h[a:b], self.member[g], self.member_bias[g])
-                p[i[: b - a], own[a:b] - g * MEMBERS] -= 1
-                dh[a:b] += p @ self.member[g].T
-                _move(self.member[g], squares[2][g], h[a:b].T @ p)
-                _move(self.member_bias[g], squares[4][g], p.sum(axis=0))
-        _move(self.group, squares[1], d_group)
-        _move(self.group_bias, squares[3], d_group_bias)
+                np.matmul(p[a:b], self.member[g].T, out=back[a:b])
+                np.matmul(h[a:b].T, p[a:b], out=d_member[g])
+                p[a:b].sum(axis=0, out=d_member_bias[g])
+        for weights, own_squares, slope in zip(self.parts()[1:], squares[1:], (d_group, d_member, d_group_bias, d_member_bias), strict=True):
+            _move(weights, own_squares, slope)
+        dh += back
         dh *= 1 - h * h
+        each = dh.ravel().astype(np.float64)
         for k in range(2 * REACH):
-            cells = (near[k][:, None] * HIDDEN + spread).ravel()
-            _move(self.tables[k], squares[0][k], np.bincount(cells, dh.ravel(), NEAR * HIDDEN).reshape(NEAR, HIDDEN).astype(np.float32))
+            _move(self.tables[k], squares[0][k], np.bincount(_CELLS.take(near[k], axis=0).ravel(), each, NEAR * HIDDEN).reshape(NEAR, HIDDEN).astype(np.float32))
+
+
+_SAFE = 80  # exp of this and of its opposite are floats
+_ONES = np.ones((MEMBERS, 1), np.float32)
+_CELLS = np.arange(NEAR * HIDDEN).reshape(NEAR, HIDDEN)
+
+
+def _by_group(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Tokens, from 0, by group: their order, then in that order each one's group and number in it, and where groups begin."""
+    order = np.argsort((own // MEMBERS).astype(np.uint8), kind="stable")
+    of, member = np.divmod(own[order], MEMBERS)
+    return order, of, member, np.searchsorted(of, np.arange(GROUPS + 1)).tolist()
 
 
 def _scores(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Shifted where exp could overflow; no value of h is beyond 1."""
     scores = h @ weights
     scores += bias
-    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > 80:
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > _SAFE:
         scores -= scores.max(axis=1, keepdims=True)
     return scores
 
 
-def _shares(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    scores = _scores(h, weights, bias)
-    np.exp(scores, out=scores)
-    scores *= 1 / (scores @ np.ones((scores.shape[1], 1), np.float32))
-    return scores
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums of exp of the scores, whose place is used."""
+    return np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
 
 
-def _log_share(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, i: np.ndarray, own: np.ndarray) -> np.ndarray:
-    scores = _scores(h, weights, bias)
-    got = scores[i, own]
-    return got - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
+def _to_slopes(scores: np.ndarray, i: np.ndarray, own: np.ndarray, edges: list[int]) -> None:
+    """Scores to shares, less 1 for the own one. Rows are added up from edge to edge: BLAS rounds by the number of rows, and training carries on what was rounded."""
+    np.exp(scores, out=scores)
+    sums = np.empty((len(scores), 1), np.float32)
+    for a, b in pairwise(edges):
+        if a < b:
+            np.matmul(scores[a:b], _ONES, out=sums[a:b])
+    scores *= 1 / sums
+    scores[i, own] -= 1
 
 
 def _move(weights: np.ndarray, squares: np.ndarray, slope: np.ndarray) -> None:
@@ -290,7 +355,23 @@ def padded(documents: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([ends, *(x for d in documents for x in (d, ends))])
 
 
-_ASKED = pa.list_(pa.struct([("word", pa.string()), ("times", pa.int64())]))
+def _sums_between(ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of the values from each end to the next. They do not depend on the values of others."""
+    sums, full = np.zeros(len(ends) - 1), np.diff(ends) > 0
+    if full.any():
+        sums[full] = np.add.reduceat(values, ends[:-1][full])
+    return sums
+
+
+def _asked_words(ends: np.ndarray, number: np.ndarray, bare: pa.Array, asked: np.ndarray) -> pa.Array:
+    """For each document, the words that are asked for, each once, and how often it has them."""
+    at = np.flatnonzero(asked.take(number))
+    document = np.searchsorted(ends, at, side="right") - 1
+    pairs, times = np.unique(document * max(len(bare), 1) + number[at], return_counts=True)
+    document, word = np.divmod(pairs, max(len(bare), 1))
+    firsts = np.searchsorted(document, np.arange(len(ends)))
+    words = pa.StructArray.from_arrays([bare.take(pa.array(word)), pa.array(times, pa.int64())], names=["word", "times"])
+    return pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), words)
 
 
 def tokenized(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -301,17 +382,13 @@ def tokenized(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Lookup(shipped.value)
-        for batch in batches:
-            numbers = [look.numbers(t) for t in batch.column(3).to_pylist()]
-            token, within, sums, asked = np.array(look.token, dtype=np.uint16), np.array(look.within), [], []
-            for n in numbers:
-                inner = within[n]
-                sums.append(np.nansum(inner))
-                more = Counter(look.bare[x] for x in n[np.isnan(inner)].tolist())
-                asked.append([{"word": w.decode("utf-8", "replace"), "times": m} for w, m in more.items()])
-            made = [pa.array([len(n) for n in numbers], pa.int64()), pa.array(sums, pa.float64()), pa.array(asked, _ASKED), pa.array([token[n].tobytes() for n in numbers], pa.binary())]
+        for batch in slices(batches, 3):
+            n, number, bare = split(batch.column(3))
+            token, within = look.of(bare)
+            ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            tokens = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(token.take(number))])
+            made = [pa.array(n, pa.int64()), pa.array(_sums_between(ends, np.nan_to_num(within).take(number))), _asked_words(ends, number, bare, np.isnan(within)), tokens]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=["row", "doc_id", "h", "n_tokens", "within", "asked", "tokens"])
-            look.forget()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = rows.select("row", "doc_id", F.xxhash64("doc_id", "text").alias("h"), "text").mapInArrow(run, "row long, doc_id long, h long, n_tokens long, within double, asked array<struct<word: string, times: long>>, tokens binary")

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -378,6 +380,47 @@ def test_lm_tells_rare_words_apart(docs, monkeypatch, held):
         assert sum(np.exp(within(w)) for w in n if class_of(w) == c) < 1
 
 
+def test_lm_words_in_bulk_are_those_of_single_texts():
+    """Also at every ASCII control character, empty texts, punctuation alone, and cut in slices."""
+    rnd = random.Random(8)
+    letters = "".join(map(chr, range(128))) * 2 + " " * 60 + "\x85\xa0é漢🎉İß\u3000"
+    texts = ["", None, " \t\n", "-- ... a", "a A. ..a", "é", *("".join(rnd.choices(letters, k=rnd.randint(0, 90))) for _ in range(400))]
+    want = [[lm_scoring.bare_word(w) for w in lm_scoring.raw_words(t)] for t in texts]
+    n, number, bare = lm_scoring.split(pa.array(texts, pa.string()))
+    words = [w.encode() for w in bare.to_pylist()]
+    assert n.tolist() == list(map(len, want)) and [words[i] for i in number] == [w for t in want for w in t] and len(set(words)) == len(words)
+    assert lm_scoring.classes_of(bare).tolist() == list(map(lm_scoring.class_of, words))
+    assert lm_scoring.classes_of(bare[3:]).tolist() == list(map(lm_scoring.class_of, words[3:]))
+
+
+def test_lm_batches_are_sliced_by_bytes(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_SLICE", 10)
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], names=["t"]) for t in (["a" * 4, None, "b" * 6, "c", "d" * 30, ""], [], ["e"])]
+    assert [b.column(0).to_pylist() for b in lm_scoring.slices(iter(batches), 0)] == [["aaaa", None, "bbbbbb"], ["c"], ["d" * 30], [""], ["e"]]
+
+
+def test_lm_words_cost_no_python_step_each():
+    """A million words to tokens in less than two thirds of the time that splitting them and looking each up in a dict takes."""
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(150_000)]
+    texts = [" ".join(rnd.choices(words, k=500)) for _ in range(2000)]
+    vocab = lm_vocabulary(*words[: lm_scoring.WORDS])
+
+    def plain():
+        numbers = {}
+        for t in texts:
+            for w in lm_scoring.raw_words(t):
+                numbers.setdefault(w, len(numbers))
+
+    def seconds(f):
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    ours, theirs = (min(seconds(f) for _ in range(3)) for f in (lambda: lm_scoring.Lookup(vocab).tokens(texts), plain))
+    assert ours < theirs * 2 / 3
+
+
 @pytest.mark.parametrize("part", [2_000_000, 40])
 def test_lm_trains_on_every_position(docs, monkeypatch, part):
     """Each position of each document once, also of short ones and of those without an id; parts do not depend on partitions."""
